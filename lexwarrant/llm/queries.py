@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, token_counts
+from . import fingerprints, media, mixing, near_dedup, packing, secret_scan, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,12 +21,28 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), width=4)
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(documents(spark, sf_dir))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(documents(spark, sf_dir))
+
+
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_columns(documents(spark, sf_dir))
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_token_counts, op10_mix)}
+    return {f.__name__: f for f in (op1_pack, op2_token_counts, op6_near_duplicates, op7_fingerprints, op8_secrets, op9_media, op10_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
