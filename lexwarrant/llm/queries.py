@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, media, mixing, near_dedup, packing, secret_scan, token_counts
+from . import fingerprints, language_id, media, mixing, near_dedup, packing, secret_scan, token_counts, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_languages(documents(spark, sf_dir))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), width=4)
 
@@ -42,7 +50,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_token_counts, op6_near_duplicates, op7_fingerprints, op8_secrets, op9_media, op10_mix)}
+    return {f.__name__: f for f in (op1_pack, op2_token_counts, op4_toxicity, op5_language, op6_near_duplicates, op7_fingerprints, op8_secrets, op9_media, op10_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
