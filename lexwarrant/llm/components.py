@@ -10,20 +10,26 @@ from ..storage import write_table
 def components(links: DataFrame) -> DataFrame:
     """node, component: the least node each node of ``links`` (a, b) can reach.
 
-    Rounds of two steps until nothing changes: each node takes the least label among its neighbours'
-    and its own, then the label of its label, which halves the depth of the trees. Each round is
-    written, so a lost executor costs no earlier round. Groups by a node are summed in part before they
-    are shuffled; a node with very many links meets the others' labels in a join that can be split.
+    Rounds of contraction until no link is left: each node points to the least of its neighbours and
+    itself, pointers are followed once more, and links are redrawn between what the nodes point to. A
+    component's least node always points to itself, so it is what remains. Links shrink from round to
+    round; each round is written, so a lost executor costs no earlier round. Groups by a node are
+    summed in part before they are shuffled, and the joins can be split where a node has many links.
     """
-    both = write_table(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
-    labels = write_table(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")), "labels")
+    left = write_table(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "links")
+    found = None
     while True:
-        offered = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("offer"))
-        nearer = labels.join(offered, F.col("node") == F.col("a"), "left").select("node", F.col("component").alias("before"), F.least("component", "offer").alias("component"))
-        roots = labels.select(F.col("node").alias("root"), F.col("component").alias("of_root"))
-        jumped = nearer.join(roots, F.col("component") == F.col("root"), "left").select("node", "before", F.least("component", "of_root").alias("component"))
-        labels = write_table(jumped, "labels")
-        changed = labels.where("component <> before").limit(1).count()
-        labels = labels.select("node", "component")
-        if not changed:
-            return labels
+        ends = left.select(F.col("a").alias("node"), F.col("b").alias("other")).union(left.select("b", "a"))
+        nearest = ends.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("m"))
+        beyond = nearest.select(F.col("node").alias("_n"), F.col("m").alias("_m"))
+        points = write_table(nearest.join(beyond, F.col("m") == F.col("_n")).select("node", F.col("_m").alias("component")), "points")
+        if found is None:
+            found = points
+        else:
+            to = points.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+            found = write_table(found.join(to, F.col("component") == F.col("_n"), "left").select("node", F.coalesce("_c", "component").alias("component")), "components")
+        at_a, at_b = (points.select(F.col("node").alias(f"_{x}"), F.col("component").alias(x)) for x in ("x", "y"))
+        drawn = left.join(at_a, F.col("a") == F.col("_x")).join(at_b, F.col("b") == F.col("_y")).where("x <> y")
+        left = write_table(drawn.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        if not left.limit(1).count():
+            return found
