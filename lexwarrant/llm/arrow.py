@@ -13,6 +13,16 @@ def columns_of(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[docs[n] for n in names])
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be no column of ``docs``."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def type_of(docs: DataFrame, name: str) -> T.DataType:
     return docs.schema[name].dataType
 

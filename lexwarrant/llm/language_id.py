@@ -320,3 +320,25 @@ def predict_languages(docs: DataFrame, model: Model | None = None, vocab_dir: st
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=schema.names)
 
     return docs.select(docs["doc_id"], docs["text"]).withColumn("held_out", held_out()).mapInArrow(predict, schema)
+
+
+def with_known_language(docs: DataFrame, least_score: float, model: Model | None = None, vocab_dir: str | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text has a language of at least this score, all columns kept.
+
+    The rows themselves pass through the scorer, so rows that share an id are judged one by one. Where
+    no language was learned (no labelled text at all) no text is rejected but those without letters.
+    """
+    model = model or learn(docs, vocab_dir)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        scorer = scorer_of(shared.value, vocab_dir)
+        for batch in slices(batches):
+            rows = texts(batch)
+            if shared.value.languages:
+                good = [language != UNDETERMINED and score >= least_score for language, score in scorer.predict(rows)]
+            else:
+                good = [has_letters(words_of(t)) for t in rows]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

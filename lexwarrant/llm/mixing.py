@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..storage import write_table
+from .arrow import free_names
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -150,11 +151,12 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     """
     text_key = F.xxhash64(docs["text"])
     found = copies(docs, weights, cap, seed, chunk, keep=(("text_key", text_key),))
-    wanted = found.groupBy("doc_id", "source", "text_key").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    wanted = wanted.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "text_key")], "_copies", "_rows").where("_copies > 0")
-    rows = docs.withColumn("_key", text_key)
-    same = (rows["doc_id"].eqNullSafe(F.col("_doc_id"))) & (rows["source"].eqNullSafe(F.col("_source"))) & (rows["_key"].eqNullSafe(F.col("_text_key")))
-    joined = rows.join(wanted, same)
-    single = joined.where("_rows = 1")
-    repeated = joined.where("_rows > 1").dropDuplicates(["_doc_id", "_source", "_text_key"])
-    return single.unionByName(repeated).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    wanted = found.groupBy("doc_id", "source", "text_key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    n, rows, key, of_id, of_source, of_text, copy = free_names(docs, "copies", "rows", "key", "of_id", "of_source", "of_text", "copy")
+    wanted = wanted.where("copies > 0").select(*[F.col(c).alias(a) for c, a in zip(("copies", "rows", "doc_id", "source", "text_key"), (n, rows, of_id, of_source, of_text))])
+    keyed = docs.withColumn(key, text_key)
+    same = keyed["doc_id"].eqNullSafe(F.col(of_id)) & keyed["source"].eqNullSafe(F.col(of_source)) & keyed[key].eqNullSafe(F.col(of_text))
+    joined = keyed.join(wanted, same)
+    single = joined.where(F.col(rows) == 1)
+    repeated = joined.where(F.col(rows) > 1).dropDuplicates([of_id, of_source, of_text])
+    return single.unionByName(repeated).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)

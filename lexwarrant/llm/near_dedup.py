@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import write_table
-from .arrow import columns_of, slices, texts
+from .arrow import columns_of, free_names, slices, texts
 from .components import components
 from .shingles import shingle_set, signature
 
@@ -187,5 +187,6 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, needed: int = NEEDED) -
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, needed: int = NEEDED) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group the document with the least id stays."""
-    gone = near_duplicates(docs, width, needed).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    (name,) = free_names(docs, "gone")
+    gone = near_duplicates(docs, width, needed).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col(name), "left_anti")

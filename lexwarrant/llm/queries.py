@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language_id, media, mixing, near_dedup, packing, secret_scan, token_counts, toxicity
+from . import fingerprints, language_id, line_templates, media, mixing, near_dedup, packing, secret_scan, token_counts, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.line_report(documents(spark, sf_dir))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -49,8 +53,14 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+QUERIES = (
+    op1_pack, op2_token_counts, op3_line_templates, op4_toxicity, op5_language,
+    op6_near_duplicates, op7_fingerprints, op8_secrets, op9_media, op10_mix,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_token_counts, op4_toxicity, op5_language, op6_near_duplicates, op7_fingerprints, op8_secrets, op9_media, op10_mix)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
