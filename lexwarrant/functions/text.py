@@ -7,7 +7,7 @@ import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 #: A word: a letter, then letters, marks and apostrophes. Fixed by the counting rule.
 TOKEN = r"\p{L}[\p{L}\p{M}'’]*"
@@ -22,7 +22,7 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
@@ -38,7 +38,7 @@ def upper_ss(word: Column) -> Column:
 
 
 def _udf(fold: Callable[[str], str]) -> Callable[[Column], Column]:
-    run = F.pandas_udf(lambda s: s.map(lambda x: None if x is None else fold(x)), "string")
+    run = F.pandas_udf(lambda s: s.map(lambda x: None if x is None else fold(x)), T.StringType())
     return lambda word: run(word)
 
 
@@ -124,7 +124,7 @@ def strip_wikitext(text: Column) -> Column:
     return text
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _numeric_entities(s: pd.Series) -> pd.Series:
     def one(m: re.Match) -> str:
         n = int(m[1])

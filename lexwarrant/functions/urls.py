@@ -5,7 +5,7 @@ from __future__ import annotations
 from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Suffixes under which anyone may register, so that the label before them is part of the domain.
 SUFFIXES = (
@@ -98,7 +98,7 @@ def absolute(href: str, base: str) -> str | None:
     return parts._replace(fragment="").geturl().replace(" ", "%20")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _joined(hrefs: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([list(dict.fromkeys(u for h in (hs if hs is not None else ()) if (u := absolute(h, b or "")))) for hs, b in zip(hrefs, base)])
 

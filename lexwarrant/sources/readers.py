@@ -54,7 +54,7 @@ def file_documents(spark: SparkSession, path: str, source: str, body: Callable[[
     """One document per file of a directory, ordered by name; the locator is the name without its ending."""
     name = F.col("_metadata.file_name")
     found = locator if locator is not None else F.regexp_replace(name, r"\.[^.]*$", "")
-    rows = spark.read.option("wholetext", True).text(path).select(name.alias("name"), found.alias("locator"), body(F.col("value")).alias("text"))
+    rows = spark.read.text(path, wholetext=True).select(name.alias("name"), found.alias("locator"), body(F.col("value")).alias("text"))
     # few bytes a file are sorted, not the texts: the name is hashed into an order that never changes
     return rows.select(F.lit(source).alias("source"), F.xxhash64("name").alias("seq"), "locator", "text")
 
