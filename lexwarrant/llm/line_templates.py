@@ -13,6 +13,10 @@ a copied document's own lines are not a template, however many copies there are.
 
 from __future__ import annotations
 
+import numpy as np
+import re
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -20,7 +24,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import write_table
 from .arrow import columns_of, free_names, slices, texts
-from .shingles import shingle_set
+from .shingles import mixed
+from .vocabularies import Cache
 
 LEADING = 3
 #: Fewer tokens than this are no template.
@@ -33,29 +38,71 @@ LEAST_DOCUMENTS = 4
 #: And their share of all documents with it, distinct texts counted once.
 LEAST_SHARE = 0.5
 WIDTH = 5
-FIELD = b"<*>"
-_DIGITS = frozenset(b"0123456789")
-
+_FIELD = np.uint64(0x5EED)
+_ONE = np.uint64(1)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_digit = re.compile(rb"[0-9]").search
+#: The last bit of a token's hash says whether it has a digit.
+_token_hashes = Cache(lambda token: xxhash.xxh3_64_intdigest(token) & ~1 | bool(_digit(token)))
 
-def paths(line: str) -> list[int]:
-    """Keys of a line's paths, the most specific first; none for a line that is too short."""
-    tokens = [FIELD if _DIGITS.intersection(t) else t for t in line.encode("utf-8", "surrogatepass").split()]
-    n = len(tokens)
-    if n < LEAST_TOKENS or all(t == FIELD for t in tokens):
-        return []
-    forms = [b"%d 0 " % n + b" ".join(tokens)]
-    if n >= LEAST_PARTED:
-        rest = n - LEADING
-        for part in range(PARTS):
-            start, stop = LEADING + rest * part // PARTS, LEADING + rest * (part + 1) // PARTS
-            forms.append(b"%d %d " % (n, part + 1) + b" ".join(tokens[:start] + [FIELD] + tokens[stop:]))
-    return [xxhash.xxh3_64_intdigest(f) - (1 << 63) for f in forms]
 
+def line_tokens(rows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of all tokens, tokens of each line, lines of each text) of some texts in a row.
 
-def context(text: str) -> int:
-    """The least hash of a text's shingles."""
-    shingles = shingle_set(text, WIDTH)
-    return int(shingles[0]) - (1 << 63) if len(shingles) else 0
+    A token is lower-cased.
+    """
+    cut = [text.encode("utf-8", "surrogatepass").lower().split(b"\n") for text in rows]
+    lines = [line.split() for text in cut for line in text]
+    counts = np.fromiter(map(len, lines), np.int64, len(lines))
+    hashes = np.fromiter(map(_token_hashes.__getitem__, chain.from_iterable(lines)), np.uint64, int(counts.sum()))
+    _token_hashes.trim()
+    return hashes, counts, np.fromiter(map(len, cut), np.int64, len(cut))
+
+
+def _shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
+    h = np.full(max(0, len(hashes) - k + 1), k, np.uint64)
+    for i in range(k):
+        h = mixed(h * _STEP + hashes[i : len(hashes) - k + 1 + i])
+    return h
+
+
+def contexts_of(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each text, given its number of tokens, the least hash among their shingles, 0 if it has none."""
+    out = np.zeros(len(sizes), np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    for i in np.nonzero((sizes > 0) & (sizes < WIDTH))[0]:
+        out[i] = _shingle_hashes(hashes[starts[i] : starts[i] + sizes[i]], int(sizes[i])).min()
+    long = np.nonzero(sizes >= WIDTH)[0]
+    if len(long):
+        h = np.append(_shingle_hashes(hashes, WIDTH), np.uint64(0))
+        # from the start of each text to its last whole shingle; the stretches between belong to no text
+        edges = np.column_stack([starts[long], starts[long] + sizes[long] - WIDTH + 1]).ravel()
+        out[long] = np.minimum.reduceat(h, edges)[::2]
+    return out.view(np.int64)
+
+
+def paths_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, path) of every path of every line.
+
+    A stretch of a line hashes to the sum of its tokens' hashes mixed with their places in the line, so
+    leaving a stretch out is a subtraction from the line's sum. A token with a digit is a variable field.
+    """
+    hashes = np.where(hashes & _ONE, _FIELD, hashes)
+    starts = np.cumsum(counts) - counts
+    place = np.arange(len(hashes), dtype=np.int64) - np.repeat(starts, counts)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(hashes + place.astype(np.uint64) * _STEP))])
+    fields = np.concatenate([np.zeros(1, np.int64), np.cumsum(hashes == _FIELD)])
+    usable = np.nonzero((counts >= LEAST_TOKENS) & (fields[starts + counts] - fields[starts] < counts))[0]
+    n, first = counts[usable], starts[usable]
+    total = sums[first + n] - sums[first]
+    lines, found = [usable], [mixed(total + n.astype(np.uint64) * np.uint64(8) * _STEP)]
+    parted = n >= LEAST_PARTED
+    n, first, total, rest = n[parted], first[parted] + LEADING, total[parted], n[parted] - LEADING
+    for part in range(PARTS):
+        stretch = sums[first + rest * (part + 1) // PARTS] - sums[first + rest * part // PARTS]
+        lines.append(usable[parted])
+        found.append(mixed(total - stretch + (n.astype(np.uint64) * np.uint64(8) + np.uint64(part + 1)) * _STEP))
+    return np.concatenate(lines), np.concatenate(found).view(np.int64)
 
 
 _ROWS = T.StructType([T.StructField(n, t) for n, t in (("text_key", T.LongType()), ("line", T.IntegerType()), ("path", T.LongType()), ("context", T.LongType()))])
@@ -66,16 +113,14 @@ def line_paths(docs: DataFrame) -> DataFrame:
 
     def cut(batches):
         for batch in slices(batches, 256):
-            keys, lines, found, contexts = [], [], [], []
-            for key, text in zip(batch.column("text_key").to_pylist(), texts(batch)):
-                own = context(text)
-                for i, line in enumerate(text.split("\n")):
-                    for path in paths(line):
-                        keys.append(key)
-                        lines.append(i)
-                        found.append(path)
-                        contexts.append(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lines, pa.int32()), pa.array(found, pa.int64()), pa.array(contexts, pa.int64())], names=_ROWS.names)
+            hashes, counts, lines = line_tokens(texts(batch))
+            owner = np.repeat(np.arange(len(lines)), lines)
+            sizes = np.bincount(owner, counts, len(lines)).astype(np.int64)
+            line, path = paths_of(hashes, counts)
+            own = owner[line]
+            number = line - (np.cumsum(lines) - lines)[own]
+            keys = batch.column("text_key").to_numpy(zero_copy_only=False)[own]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(number.astype(np.int32)), pa.array(path), pa.array(contexts_of(hashes, sizes)[own])], names=_ROWS.names)
 
     return docs.select(F.xxhash64(docs["text"]).alias("text_key"), docs["text"]).mapInArrow(cut, _ROWS)
 
@@ -84,10 +129,10 @@ def recurring_lines(docs: DataFrame, least: int = LEAST_DOCUMENTS, share: float
     """text_key and ``drop``: the sorted numbers of the lines of a text that are instances of a recurring template."""
     rows = write_table(line_paths(docs), "line-paths")
     several = rows.select("path", "context").distinct().groupBy("path").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= least)
-    held = rows.select("path", "text_key").join(several.select("path"), "path", "left_semi")
-    texts_of = held.distinct().groupBy("path").agg(F.count(F.lit(1)).alias("texts"))
-    chosen = several.join(texts_of, "path").where(F.col("contexts") >= share * F.col("texts")).select("path")
-    lines = rows.join(chosen, "path", "left_semi").select("text_key", "line").distinct()
+    held = write_table(rows.select("path", "text_key", "line").join(several, "path"), "held-paths")
+    texts_of = held.select("path", "contexts", "text_key").distinct().groupBy("path", "contexts").agg(F.count(F.lit(1)).alias("texts"))
+    chosen = texts_of.where(F.col("contexts") >= share * F.col("texts")).select("path")
+    lines = held.join(chosen, "path", "left_semi").select("text_key", "line").distinct()
     return lines.groupBy("text_key").agg(F.array_sort(F.collect_list("line")).alias("drop"))
 
 
