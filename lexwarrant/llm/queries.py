@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language_id, line_templates, media, mixing, near_dedup, packing, secret_scan, token_counts, toxicity
+from . import fingerprints, language_id, line_templates, media, mixing, near_dedup, oracles, packing, secret_scan, token_counts, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,4 +64,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_near_duplicates": oracles.NEAR_DUPLICATES, "op10_mix": oracles.MIX}
