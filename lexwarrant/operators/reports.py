@@ -88,7 +88,7 @@ def status(language: str, built: str, verdicts: DataFrame, steps: DataFrame, che
     """One language's state. A decision taken before stays; anything but yes or held is pending."""
     counted = verdicts.agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("k")).first()
     before = before or {}
-    ships = before.get("ships")
+    ships = {True: "yes", False: "held"}.get(before.get("ships"), before.get("ships"))
     knee = knees.where(F.col("language") == language).first()
     families = checkable.agg(F.count(F.lit(1)).alias("n"), F.count_if("checkable").alias("c")).first()
     return {

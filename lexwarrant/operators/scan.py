@@ -108,3 +108,15 @@ def evidence_of(hits: DataFrame) -> DataFrame:
 def take(docs: DataFrame, count: int) -> DataFrame:
     """The first documents in order."""
     return docs.orderBy("seq").limit(count)
+
+
+def weeded(docs: DataFrame, candidates: DataFrame, floor: float = 0.35, chars: int = 400_000) -> DataFrame:
+    """(source, seq, locator, share) of documents to remove from a collection.
+
+    Unlike ``legible``, this judges the first ``chars`` characters only, as a book's opening tells its
+    language, and a document without a single word has share 0.
+    """
+    opened = docs.withColumn("text", F.substring("text", 1, chars))
+    shares = known_share(marked(word_counts(opened), candidates)).select("source", "seq", (F.col("known") / F.col("tokens")).alias("share"))
+    judged = docs.select("source", "seq", "locator").join(shares, ["source", "seq"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
+    return judged.where(F.col("share") < floor)

@@ -111,11 +111,11 @@ def test_shards(tmp_path):
     assert len(paths) > 5 and all(p.stat().st_size <= 400 for p in paths)
     back = E.read_evidence(tmp_path)
     assert back.words == whole.words and back.totals == whole.totals and back.digest.count("+") == len(paths) - 1
-    (tmp_path / "evidence.tsv").write_text("x")
+    (tmp_path / "ATTESTATIONS.tsv").write_text("x")
     with pytest.raises(E.Malformed):
         E.evidence_paths(tmp_path)
     E.write_evidence(tmp_path, whole)
-    assert [p.name for p in E.evidence_paths(tmp_path)] == ["evidence.tsv"]
+    assert [p.name for p in E.evidence_paths(tmp_path)] == ["ATTESTATIONS.tsv"]
     with pytest.raises(FileNotFoundError):
         E.evidence_paths(tmp_path / "none")
 
