@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .arrow import columns_of, held_out, slices, texts, type_of
-from .vocabularies import CACHE_ENTRIES, PIECE_BPE, vocab_path
+from .vocabularies import PIECE_BPE, Cache, vocab_path
 
 #: Labelled documents learned from, per language, about; and the longest of them, in characters.
 SAMPLE_DOCUMENTS = 400
@@ -244,36 +244,35 @@ class Scorer:
 
     def __init__(self, model: Model, vocabulary: Pieces):
         self._model, self._vocabulary = model, vocabulary
+        self._row = Cache(lambda word: -1)
         self._clear()
 
     def _clear(self) -> None:
-        self._row: dict[str, int] = {}
+        self._row.clear()
         self._scores = np.zeros((1024, len(self._model.languages)))
 
     def _learn(self, words: list[str]) -> None:
-        if len(self._row) + len(words) > CACHE_ENTRIES and self._row:
-            self._clear()
         first = len(self._row)
+        if not first:
+            self._clear()
         self._row.update(zip(words, range(first, first + len(words))))
         if first + len(words) > len(self._scores):
-            grown = np.zeros((2 * (first + len(words)), self._scores.shape[1]))
+            grown = np.zeros((int(1.5 * (first + len(words))), self._scores.shape[1]))
             grown[:first] = self._scores[:first]
             self._scores = grown
         self._scores[first : first + len(words)] = word_scores(words, self._model, self._vocabulary)
 
     def predict(self, rows: list[str]) -> list[tuple[str, float]]:
+        if not self._model.languages:
+            return [(UNDETERMINED, 0.0)] * len(rows)
         cut = [words_of(t) for t in rows]
         wanted = set().union(*cut) if cut else set()
-        if len(self._row) > CACHE_ENTRIES:
-            self._clear()
         if missing := wanted - self._row.keys():
-            if len(self._row) + len(missing) > CACHE_ENTRIES:
-                self._clear()
-                missing = wanted
-            self._learn(list(missing))
+            self._row.trim()
+            self._learn(list(missing if self._row else wanted))
         out = []
         for words in cut:
-            if not self._model.languages or not has_letters(words):
+            if not has_letters(words):
                 out.append((UNDETERMINED, 0.0))
                 continue
             total = self._scores[np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))].sum(axis=0)

@@ -39,7 +39,7 @@ class PrefixCounts:
                 self.score[model.id_to_piece(i)] = model.get_score(i)
         self.longest = max(map(len, self.score))
         self._unit = self._units_pattern()
-        self._agrees = Cache(self._compatible, limit=2_000_000)
+        self._agrees = Cache(self._compatible)
         self._tables = Cache(self._table)
         self._totals = Cache(lambda unit: self._tables[unit][-1])
 
@@ -120,8 +120,7 @@ class PrefixCounts:
         return ends[-1], max(0, sum(map(len, units[:k])) + inside - 1)
 
     def trim(self) -> None:
-        for cache in (self._tables, self._totals, self._agrees):
-            cache.trim()
+        self._tables.trim(beside=(self._totals, self._agrees))
 
 
 @functools.lru_cache(maxsize=2)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import write_table
 from .arrow import columns_of, held_out, slices, texts, type_of
+from .vocabularies import Cache
 
 #: Labelled documents of either class the dictionaries are made from, and those for calibration, at most about.
 SAMPLE_DOCUMENTS = 6_000
@@ -86,14 +87,14 @@ class Scorer:
         self._before, self._after = model.ordinary[at : at + 60], model.ordinary[at + 100 : at + 124]
         empty = [self._before + _MARK + b"  " + _MARK + self._after]
         self._base = int(self._ordinary.lengths(empty)[0]), int(self._toxic.lengths(empty)[0])
-        self._seen: dict[bytes, float] = {}
+        self._seen: Cache = Cache(None)
 
     def _gains(self, words: list[bytes]) -> np.ndarray:
         """For each word: bytes saved, less twice the bytes it still costs."""
         new = [w for w in dict.fromkeys(words) if w not in self._seen]
         if new:
-            if len(self._seen) > 500_000:
-                self._seen.clear()
+            self._seen.trim()
+            if not self._seen:
                 new = list(dict.fromkeys(words))
             framed = [self._before + _MARK + b" " + w + b" " + _MARK + self._after for w in new]
             costs0, costs1 = self._ordinary.lengths(framed) - self._base[0], self._toxic.lengths(framed) - self._base[1]

@@ -6,16 +6,18 @@ The folder is a parameter everywhere (``vocab_dir``); left out, it is that of th
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
 import re
+import weakref
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
-#: Entries a worker's cache may hold before it is emptied; about 200 bytes each.
-CACHE_ENTRIES = 700_000
+#: Entries the caches of a worker may hold before they are emptied; about 250 bytes each.
+CACHE_ENTRIES = 600_000
 
 
 def vocab_path(name: str, vocab_dir: str | None = None) -> str:
@@ -26,20 +28,45 @@ def vocab_path(name: str, vocab_dir: str | None = None) -> str:
     return public_tokenizers.path(name)
 
 
+_caches: weakref.WeakSet = weakref.WeakSet()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system, where the C library can: a worker lives on after its task."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 class Cache(dict):
-    """A dictionary that computes what it lacks; ``trim`` empties it once it has grown too large."""
+    """A dictionary that computes what it lacks.
+
+    A worker process is used for one task after another. ``trim`` empties the caches that tasks of
+    other operators have left in it, and this one once it has grown too large; ``beside`` are caches of
+    the same operator.
+    """
+
+    __hash__ = object.__hash__
 
     def __init__(self, compute, limit: int = CACHE_ENTRIES):
         super().__init__()
         self.compute, self.limit = compute, limit
+        _caches.add(self)
 
     def __missing__(self, key):
         value = self[key] = self.compute(key)
         return value
 
-    def trim(self) -> None:
-        if len(self) > self.limit:
-            self.clear()
+    def trim(self, beside: tuple[Cache, ...] = ()) -> None:
+        own = (self, *beside)
+        left = [c for c in _caches if c and all(c is not o for o in own)]
+        if sum(map(len, own)) > self.limit:
+            left += own
+        if left:
+            for cache in left:
+                cache.clear()
+            _give_back()
 
 
 class WordBpe:
