@@ -1,0 +1,122 @@
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from lexwarrant.llm import packing, token_counts, vocabularies
+
+ALPHABET = ["   ", " ", "a", "b", "é", "é", "中", "▁", "\n", "don't", "the", "12", "<s>", "<0x0A>", "<|endoftext|>", "𝔘", "_", "//", "ing", "\x00", "'S", "ß", "İ", "²"]
+mixtures = st.lists(st.sampled_from(ALPHABET), max_size=12).map("".join)
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=vocabularies.vocab_path(vocabularies.PIECE_BPE))
+
+
+@settings(max_examples=400, deadline=None)
+@given(mixtures)
+def test_prefix_counts_are_the_librarys(text):
+    import sentencepiece
+
+    sp = test_prefix_counts_are_the_librarys.__dict__.setdefault("sp", sentencepiece.SentencePieceProcessor(model_file=vocabularies.vocab_path(vocabularies.PIECE_BPE)))
+    counts = token_counts.prefix_counts()
+    expected = [len(sp.encode(text[:i])) for i in range(len(text) + 1)]
+    assert counts.at_every_prefix(text) == expected and counts.count(text) == expected[-1]
+    for budget in (0, 1, 4):
+        assert counts.longest_within(text, budget) == (expected[-1], max(i for i, n in enumerate(expected) if n <= budget))
+
+
+def test_counts_of_documents(spark, sample, pieces):
+    got = {r["doc_id"]: r for r in token_counts.count_tokens(sample, limit=500).collect()}
+    for i, text in sample.texts.items():
+        n = len(pieces.encode(text))
+        assert (got[i]["n_tokens"], got[i]["n_bytes"], got[i]["over_limit"]) == (n, len(text.encode()), n > 500)
+        if n > 500:
+            assert len(pieces.encode(text[: got[i]["fitting_chars"]])) <= 500
+    tables = token_counts.prefix_tables(sample.limit(20)).collect()
+    assert all(len(r["counts"]) == len(sample.texts[r["doc_id"]]) + 1 and r["counts"][-1] == got[r["doc_id"]]["n_tokens"] for r in tables)
+
+
+def test_counts_of_odd_rows(odd, pieces):
+    got = sorted((r["doc_id"] or -1, r["n_tokens"], r["n_bytes"]) for r in token_counts.count_tokens(odd).collect())
+    assert got == sorted((r[0] or -1, len(pieces.encode(r[1] or "")), len((r[1] or "").encode())) for r in odd.rows)
+
+
+@settings(max_examples=300, deadline=None)
+@given(mixtures)
+def test_word_ids_are_the_librarys(text):
+    from tokenizers import Tokenizer
+
+    lib = test_word_ids_are_the_librarys.__dict__.setdefault("lib", Tokenizer.from_file(vocabularies.vocab_path(vocabularies.WORD_BPE)))
+    assert vocabularies.word_bpe().ids(text) == b"".join(i.to_bytes(4, "little") for i in lib.encode(text, add_special_tokens=False).ids)
+
+
+def lay_out(rows, capacity):
+    """Checks that sequences are gapless and within capacity; their number."""
+    by = defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by)
+
+
+def expected_pieces(rows, capacity):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(vocabularies.vocab_path(vocabularies.WORD_BPE))
+    out = []
+    for doc_id, text in rows:
+        ids = lib.encode(text or "", add_special_tokens=False).ids + [0]
+        for p, at in enumerate(range(0, len(ids), capacity)):
+            part = ids[at : at + capacity]
+            out.append((doc_id, p, at, len(part), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in part))))
+    return out
+
+
+KEY = ("doc_id", "piece", "start", "length", "ids_crc32")
+order = lambda rows: sorted(rows, key=lambda r: tuple(-1 if x is None else x for x in r))
+
+
+@pytest.mark.parametrize("shard", [8192, 40])
+def test_packing(sample, shard):
+    rows = packing.pack_documents(sample, shard=shard).collect()
+    expected = expected_pieces(sample.texts.items(), 2048)
+    assert order(tuple(r[k] for k in KEY) for r in rows) == order(expected)
+    least = -(-sum(r[3] for r in expected) // 2048)
+    assert lay_out(rows, 2048) <= least * 1.02 + 1
+
+
+def test_packing_odd_rows(odd):
+    rows = packing.pack_documents(odd).collect()
+    assert order(tuple(r[k] for k in KEY) for r in rows) == order(expected_pieces([r[:2] for r in odd.rows], 2048))
+    lay_out(rows, 2048)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 100), max_size=60))
+def test_local_search_keeps_every_piece(lengths):
+    bins = packing.pack_lengths(lengths, 100)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in b) <= 100 for b in bins)
+    first = packing.best_fit(lengths, 100)
+    assert -(-sum(lengths) // 100) <= len(bins) <= len(first)
+
+
+def test_local_search_empties_bins_that_best_fit_leaves():
+    rnd, better = random.Random(1), 0
+    for _ in range(300):
+        lengths = [rnd.randint(20, 60) for _ in range(24)]
+        first, then = len(packing.best_fit(lengths, 100)), len(packing.pack_lengths(lengths, 100))
+        assert then <= first
+        better += then < first
+    assert better
