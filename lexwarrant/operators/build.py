@@ -40,7 +40,7 @@ def refuse_empty_scans(fresh: DataFrame, recorded: DataFrame) -> None:
 
 def reuse(fresh_totals: DataFrame, fresh_hits: DataFrame, totals: DataFrame, hits: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(totals, hits): fresh ones, and recorded ones of sources not scanned now, for words still candidates."""
-    scanned = F.broadcast(fresh_totals.select("source"))
+    scanned = fresh_totals.select("source")
     kept_totals = totals.join(scanned, "source", "left_anti")
     kept_hits = hits.join(scanned, "source", "left_anti").join(candidates.select("word").distinct(), "word", "left_semi")
     return fresh_totals.unionByName(kept_totals), fresh_hits.unionByName(kept_hits)
@@ -52,7 +52,7 @@ def build(candidates: DataFrame, scan: Scan, sources: DataFrame, recorded: Scan
     reused = totals.limit(0)
     if recorded:
         refuse_empty_scans(totals, recorded.totals)
-        reused = recorded.totals.join(F.broadcast(totals.select("source")), "source", "left_anti")
+        reused = recorded.totals.join(totals.select("source"), "source", "left_anti")
         totals, hits = reuse(totals, hits, recorded.totals, recorded.hits, candidates)
     totals = rule.with_family(totals, sources).drop("family")
     attested = rule.with_family(hits, sources).drop("ranks")

@@ -36,7 +36,7 @@ def conform(shipped: DataFrame, attestations: DataFrame, evidence_words: DataFra
     shipped(word[, place]), attestations(word, source, locators), evidence_words(word), sources(id, family).
     """
     listed = shipped.select("word", F.col("place").alias("_order") if "place" in shipped.columns else F.col("word").alias("_order"))
-    known = F.broadcast(sources.select(F.col("id").alias("source"), "family"))  # a source dimension
+    known = sources.select(F.col("id").alias("source"), "family")
     unknown = attestations.select("source").distinct().join(known, "source", "left_anti").withColumn("_order", F.col("source"))
     missing = listed.join(evidence_words.select("word"), "word", "left_anti")
     families = attestations.join(known, "source", "left").select("word", F.coalesce("family", "source").alias("family")).distinct().groupBy("word").agg(F.count(F.lit(1)).alias("families"))
@@ -54,7 +54,7 @@ def conform(shipped: DataFrame, attestations: DataFrame, evidence_words: DataFra
 
 def citations(attestations: DataFrame, sources: DataFrame) -> DataFrame:
     """(word, source, family, locator, as_of, url): one row per locator; url is null where the source isn't registered."""
-    known = F.broadcast(sources.select(F.col("id").alias("_id"), F.col("family").alias("_family"), "locator_kind", "template", "as_of"))
+    known = sources.select(F.col("id").alias("_id"), F.col("family").alias("_family"), "locator_kind", "template", "as_of")
     rows = attestations.select("word", "source", F.explode("locators").alias("locator")).join(known, F.col("source") == F.col("_id"), "left")
     return rows.select("word", "source", F.coalesce("_family", "source").alias("family"), "locator", "as_of", F.when(F.col("_id").isNotNull(), expand_locator(F.col("locator_kind"), F.col("template"), F.col("locator"))).alias("url"))
 

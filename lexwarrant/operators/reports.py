@@ -40,13 +40,13 @@ def shared_words(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def family_checkability(attestations: DataFrame, checkabilities: DataFrame) -> DataFrame:
     """(family, checkable): whether any source of the family can be looked up again. Sources and families are few."""
-    used = attestations.select("source", "family").distinct().join(F.broadcast(checkabilities), "source", "left")
+    used = attestations.select("source", "family").distinct().join(checkabilities, "source", "left")
     return used.groupBy("family").agg(F.max(F.coalesce(F.col("checkability") != "crawled", F.lit(True))).alias("checkable"))
 
 
 def collections(totals: DataFrame, origins: DataFrame) -> DataFrame:
     """(source, tokens, origin), most tokens first."""
-    return totals.join(F.broadcast(origins), "source", "left").select("source", "tokens", "origin").orderBy(F.col("tokens").desc(), "source")
+    return totals.join(origins, "source", "left").select("source", "tokens", "origin").orderBy(F.col("tokens").desc(), "source")
 
 
 def coverage_by_minimum(verdicts: DataFrame, most: int) -> DataFrame:

@@ -16,7 +16,7 @@ TRUSTED_WORDS = 50
 def with_family(attestations: DataFrame, sources: DataFrame) -> DataFrame:
     """(…, family, ranks): a source without a row is its own family and ranks."""
     known = sources.select(F.col("id").alias("_id"), F.col("family").alias("_family"), F.col("ranks").alias("_ranks"))
-    joined = attestations.join(F.broadcast(known), F.col("source") == F.col("_id"), "left")  # a source dimension
+    joined = attestations.join(known, F.col("source") == F.col("_id"), "left")
     return joined.withColumn("family", F.coalesce("_family", "source")).withColumn("ranks", F.coalesce("_ranks", F.lit(True))).drop("_id", "_family", "_ranks")
 
 
@@ -38,7 +38,7 @@ def rates(words: DataFrame, attestations: DataFrame, totals: DataFrame) -> DataF
     """
     ranking = totals.where("ranks").select("source", "tokens")
     number = ranking.agg(F.count(F.lit(1)).alias("n"))
-    each = attestations.join(F.broadcast(ranking), "source").where("tokens > 0").groupBy("word").agg(F.sum(F.col("count") * F.lit(float(PER)) / F.col("tokens")).alias("sum"))
+    each = attestations.join(ranking, "source").where("tokens > 0").groupBy("word").agg(F.sum(F.col("count") * F.lit(float(PER)) / F.col("tokens")).alias("sum"))
     joined = words.select("word").join(each, "word", "left").crossJoin(F.broadcast(number))  # one row
     return joined.select("word", F.when(F.col("n") > 0, F.coalesce("sum", F.lit(0.0)) / F.col("n")).otherwise(F.lit(0.0)).alias("rate"))
 
@@ -65,6 +65,6 @@ def trusted_spellings(spellings: DataFrame, tiles: list[str], at_least: int = TR
     """(word, written): spellings all of whose characters are trusted, in composed form."""
     rows = spellings.select("word", nfc(F.col("written")).alias("written"))
     chars = rows.select("word", "written", F.explode(F.array_distinct(F.split(F.lower("written"), ""))).alias("ch")).where("ch <> ''")
-    # characters are few: an alphabet and what strays into it
+    # at most as many rows as there are characters
     doubtful = chars.join(F.broadcast(trusted_characters(spellings, tiles, at_least)), "ch", "left_anti").select("word", "written").distinct()
     return rows.join(doubtful, ["word", "written"], "left_anti")

@@ -1,8 +1,7 @@
 """Counting candidate words in documents, per source, with places to look.
 
 Input documents have source, seq, locator and text; seq orders the documents of a source. Everything
-follows from one frame of (source, seq, locator, word, n), counted per document before any shuffle of
-words between documents.
+follows from one table of (source, seq, locator, word, n), for which the text is read and cut once.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import keys
 from ..functions.urls import domain_of
+from ..storage import write_table
 
 #: Locators kept per word and source.
 SAMPLES = 2
@@ -37,25 +37,33 @@ def word_counts(docs: DataFrame, fold: Column | None = None) -> DataFrame:
     return words.groupBy("source", "seq", "locator", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def marked(counts: DataFrame, candidates: DataFrame) -> DataFrame:
-    """``counts`` with whether the word is a candidate."""
-    known = candidates.select("word").distinct().withColumn("known", F.lit(True))
+def counted(docs: DataFrame, candidates: DataFrame, fold: Column | None = None) -> DataFrame:
+    """(source, seq, locator, word, n) for candidates; a document's other words are one row with a null word.
+
+    The text is read once for all that a scan gives. Small candidate lists are joined with the words as
+    they are read; with a large one, words are first counted per document.
+    """
+    known = candidates.select("word").distinct()
+    document = ["source", "seq", "locator"]
     if known.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
-        known = F.broadcast(known)
-    return counts.join(known, "word", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+        words = docs.select(*document, F.explode(keys(F.col("text")) if fold is None else fold).alias("token"))
+        marked = words.join(F.broadcast(known), F.col("token") == F.col("word"), "left")
+        return marked.groupBy(*document, "word").agg(F.count(F.lit(1)).alias("n"))
+    marked = word_counts(docs, fold).withColumnRenamed("word", "token").join(known, F.col("token") == F.col("word"), "left")
+    return marked.groupBy(*document, "word").agg(F.sum("n").alias("n"))
 
 
-def known_share(marked_counts: DataFrame) -> DataFrame:
+def known_share(counts: DataFrame) -> DataFrame:
     """(source, seq, tokens, known): words of a document, and those that are candidates."""
-    return marked_counts.groupBy("source", "seq").agg(F.sum("n").alias("tokens"), F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("known"))
+    return counts.groupBy("source", "seq").agg(F.sum("n").alias("tokens"), F.sum(F.when(F.col("word").isNotNull(), F.col("n")).otherwise(0)).alias("known"))
 
 
-def legible(marked_counts: DataFrame, floor: float) -> DataFrame:
-    """``marked_counts`` without documents whose share of candidates is below ``floor``; 0 keeps all."""
+def legible(counts: DataFrame, floor: float) -> DataFrame:
+    """``counts`` without documents whose share of candidates is below ``floor``; 0 keeps all."""
     if floor <= 0:
-        return marked_counts
-    bad = known_share(marked_counts).where(F.col("known") / F.col("tokens") < floor).select("source", "seq")
-    return marked_counts.join(bad, ["source", "seq"], "left_anti")
+        return counts
+    bad = known_share(counts).where(F.col("known") / F.col("tokens") < floor).select("source", "seq")
+    return counts.join(bad, ["source", "seq"], "left_anti")
 
 
 def sample_locators(hits: DataFrame) -> DataFrame:
@@ -70,19 +78,22 @@ def sample_locators(hits: DataFrame) -> DataFrame:
     return few.groupBy("source", "word").agg(F.transform(listed, lambda x: x["locator"]).alias("locators"))
 
 
-def totals_of(marked_counts: DataFrame, sources: DataFrame) -> DataFrame:
+def totals_of(counts: DataFrame, sources: DataFrame) -> DataFrame:
     """(source, tokens) for every source given; one without any word has 0."""
-    found = marked_counts.groupBy("source").agg(F.sum("n").alias("tokens"))
+    found = counts.groupBy("source").agg(F.sum("n").alias("tokens"))
     return sources.select("source").distinct().join(found, "source", "left").select("source", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
 
 
 def scan(docs: DataFrame, candidates: DataFrame, floor: float = 0.0, sources: DataFrame | None = None, fold: Column | None = None) -> Scan:
-    """Count candidates in documents. ``sources`` lists sources that must have a total even if empty."""
-    counts = legible(marked(word_counts(docs, fold), candidates), floor)
+    """Count candidates in documents. ``sources`` lists sources that must have a total even if empty.
+
+    The counts are written to the shared folder, and totals, hits and locators are read from there.
+    """
+    counts = legible(write_table(counted(docs, candidates, fold), "counts"), floor)
     totals = totals_of(counts, docs if sources is None else sources)
-    hits = counts.where("known")
-    counted = hits.groupBy("source", "word").agg(F.sum("n").alias("count"))
-    return Scan(totals, counted.join(sample_locators(hits), ["source", "word"]))
+    hits = counts.where(F.col("word").isNotNull())
+    summed = hits.groupBy("source", "word").agg(F.sum("n").alias("count"))
+    return Scan(totals, summed.join(sample_locators(hits), ["source", "word"]))
 
 
 def scan_by_domain(pages: DataFrame, candidates: DataFrame, fold: Column | None = None) -> Scan:
@@ -117,6 +128,6 @@ def weeded(docs: DataFrame, candidates: DataFrame, floor: float = 0.35, chars: i
     language, and a document without a single word has share 0.
     """
     opened = docs.withColumn("text", F.substring("text", 1, chars))
-    shares = known_share(marked(word_counts(opened), candidates)).select("source", "seq", (F.col("known") / F.col("tokens")).alias("share"))
+    shares = known_share(counted(opened, candidates)).select("source", "seq", (F.col("known") / F.col("tokens")).alias("share"))
     judged = docs.select("source", "seq", "locator").join(shares, ["source", "seq"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
     return judged.where(F.col("share") < floor)

@@ -94,7 +94,7 @@ def hits_semi_join(spark, d):
 
 @query("""SELECT doc_id, CAST(sum(n) AS BIGINT) AS tokens, CAST(coalesce(sum(n) FILTER (word IN (SELECT word FROM cand)), 0) AS BIGINT) AS known FROM dw GROUP BY 1""")
 def known_share_by_doc(spark, d):
-    counts = S.marked(S.word_counts(corpus.documents(spark, d)), corpus.candidates(spark, d))
+    counts = S.counted(corpus.documents(spark, d), corpus.candidates(spark, d))
     return S.known_share(counts).select(F.col("seq").alias("doc_id"), "tokens", F.col("known").cast("long").alias("known"))
 
 
@@ -239,7 +239,7 @@ def domain_of_pages(spark, d):
   SELECT source, word, doc_id, row_number() OVER (PARTITION BY source, word ORDER BY doc_id) AS r FROM dw WHERE word IN (SELECT word FROM cand)) hits JOIN src USING (source) WHERE r <= 2 GROUP BY ALL""")
 def expand_locators(spark, d):
     known = corpus.sources(spark, d)
-    rows = _scan(spark, d).hits.join(F.broadcast(known), F.col("source") == F.col("id"))  # the source dimension
+    rows = _scan(spark, d).hits.join(known, F.col("source") == F.col("id"))
     urls = F.transform("locators", lambda x: expand_locator(F.col("locator_kind"), F.col("template"), x))
     return rows.select("source", "word", F.array_join(urls, " ").alias("urls"))
 
@@ -302,7 +302,7 @@ _HARVEST = "SELECT doc_id, source, 'https://' || source || '.example.org/p' || d
 @query(f"""SELECT u.url, word, CAST(n AS BIGINT) AS times FROM dw JOIN ({_HARVEST}) u ON u.doc_id = dw.doc_id WHERE word IN (SELECT word FROM cand)""")
 def harvest_log_parse(spark, d):
     """Candidate counts written as harvest log lines, and read back."""
-    counts = S.marked(S.word_counts(corpus.documents(spark, d)), corpus.candidates(spark, d)).where("known")
+    counts = S.counted(corpus.documents(spark, d), corpus.candidates(spark, d)).where("word is not null")
     pairs = F.array_join(F.collect_list(F.concat("word", F.lit(":"), F.col("n").cast("string"))), " ")
     url = F.concat(F.lit("https://"), "source", F.lit(".example.org/p"), "locator")
     lines = counts.groupBy("source", "seq", "locator").agg(pairs.alias("pairs")).select(F.col("seq").alias("n"), F.concat(url, F.lit("\t"), "pairs", F.lit(" BAD:0 NEG:-1 NOCOUNT")).alias("line"))
@@ -536,7 +536,7 @@ def _checked(spark, d) -> DataFrame:
     known = corpus.sources(spark, d)
     hits = _scan(spark, d).hits.withColumn("locators", F.filter("locators", lambda x: x.cast("long") % 7 < 5))
     cited = C.citations(hits, known)
-    docs = corpus.documents(spark, d).join(F.broadcast(known.select(F.col("id").alias("source"), "locator_kind", "template")), "source")
+    docs = corpus.documents(spark, d).join(known.select(F.col("id").alias("source"), "locator_kind", "template"), "source")
     url, kind = expand_locator(F.col("locator_kind"), F.col("template"), F.col("locator")), F.col("seq") % 7
     own = docs.where(kind == 0).select(url.alias("url"), "text")
     archived = docs.where(kind == 1).select(C.archive_url(url).alias("url"), "text")

@@ -68,7 +68,7 @@ def gutenberg_documents(spark: SparkSession, path: str, shortest: int = 2_000) -
 def archive_documents(spark: SparkSession, path: str, manifest: DataFrame, shortest: int = 20_000) -> DataFrame:
     """Scanned books; ``manifest`` (id, name) gives the file of an item, which the locator cites."""
     docs = file_documents(spark, path, "ia").withColumnRenamed("locator", "id")
-    cited = docs.join(F.broadcast(manifest.select("id", "name")), "id", "left")  # a shelf of books
+    cited = docs.join(manifest.select("id", "name"), "id", "left")
     return cited.where(F.length("text") >= shortest).select("source", "seq", F.when(F.col("name").isNotNull(), F.concat_ws("/", "id", "name")).otherwise(F.col("id")).alias("locator"), "text")
 
 

@@ -79,3 +79,10 @@ def test_keys_and_nfc(spark):
     df = spark.createDataFrame([("l'été d’un no 3x a'b'c",), (None,)], "t string")
     assert df.select(keys(F.col("t"))).first()[0] == ["L'ÉTÉ", "D’UN", "A'B'C"]
     assert spark.createDataFrame([("é",)], "t string").select(nfc(F.col("t"))).first()[0] == "é"
+
+
+def test_large_candidate_lists_are_joined_after_counting(spark, monkeypatch):
+    texts = [("1", "Haus Haus Katze"), ("2", "schade ab Hund")]
+    small = run(spark, texts, 0.2)
+    monkeypatch.setattr(S, "BROADCAST_WORDS", 0)
+    assert run(spark, texts, 0.2) == small == ({"s": 5}, {"HAUS": (2, ["1"]), "SCHADE": (1, ["2"])})
