@@ -215,7 +215,7 @@ def sample_counts(labelled: DataFrame, per_language: int = SAMPLE_DOCUMENTS, cha
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars))
     sizes = labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     draw = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = usable.join(F.broadcast(sizes), "lang").where(draw < F.lit(float(per_language)) / F.col("n"))
+    chosen = usable.join(sizes, "lang").where(draw < F.lit(float(per_language)) / F.col("n"))
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
     def count(batches):
@@ -244,32 +244,36 @@ class Scorer:
 
     def __init__(self, model: Model, vocabulary: Pieces):
         self._model, self._vocabulary = model, vocabulary
-        self._row = Cache(lambda word: -1)
-        self._clear()
+        self._row = Cache(None)
+        self._scores = self._older = np.zeros((0, len(model.languages)))
 
-    def _clear(self) -> None:
-        self._row.clear()
-        self._scores = np.zeros((1024, len(self._model.languages)))
-
-    def _learn(self, words: list[str]) -> None:
+    def _add(self, words: list[str], scores: np.ndarray) -> None:
         first = len(self._row)
-        if not first:
-            self._clear()
         self._row.update(zip(words, range(first, first + len(words))))
         if first + len(words) > len(self._scores):
-            grown = np.zeros((int(1.5 * (first + len(words))), self._scores.shape[1]))
+            grown = np.zeros((1024 + (first + len(words)) * 3 // 2, self._scores.shape[1]))
             grown[:first] = self._scores[:first]
             self._scores = grown
-        self._scores[first : first + len(words)] = word_scores(words, self._model, self._vocabulary)
+        self._scores[first : first + len(words)] = scores
+
+    def _learn(self, wanted: set[str]) -> None:
+        """Add the words of ``wanted`` that aren't known; those of the older generation by their old scores."""
+        self._row.trim()
+        if not self._row:
+            self._older, self._scores = self._scores, np.zeros((0, self._scores.shape[1]))
+        missing = wanted - self._row.keys()
+        again = [w for w in missing if w in self._row.older]
+        self._add(again, self._older[[self._row.older[w] for w in again]])
+        new = list(missing - self._row.keys())
+        self._add(new, word_scores(new, self._model, self._vocabulary))
 
     def predict(self, rows: list[str]) -> list[tuple[str, float]]:
         if not self._model.languages:
             return [(UNDETERMINED, 0.0)] * len(rows)
         cut = [words_of(t) for t in rows]
         wanted = set().union(*cut) if cut else set()
-        if missing := wanted - self._row.keys():
-            self._row.trim()
-            self._learn(list(missing if self._row else wanted))
+        if wanted - self._row.keys():
+            self._learn(wanted)
         out = []
         for words in cut:
             if not has_letters(words):

@@ -40,7 +40,7 @@ class PrefixCounts:
         self.longest = max(map(len, self.score))
         self._unit = self._units_pattern()
         self._agrees = Cache(self._compatible)
-        self._tables = Cache(self._table)
+        self._tables = Cache(self._table, limit=1_600_000)  # counted with the two beside it
         self._totals = Cache(lambda unit: self._tables[unit][-1])
 
     def _units_pattern(self) -> re.Pattern:

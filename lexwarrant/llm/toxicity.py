@@ -91,11 +91,8 @@ class Scorer:
 
     def _gains(self, words: list[bytes]) -> np.ndarray:
         """For each word: bytes saved, less twice the bytes it still costs."""
-        new = [w for w in dict.fromkeys(words) if w not in self._seen]
-        if new:
-            self._seen.trim()
-            if not self._seen:
-                new = list(dict.fromkeys(words))
+        self._seen.trim()
+        if new := [w for w in dict.fromkeys(words) if w not in self._seen and w not in self._seen.older]:
             framed = [self._before + _MARK + b" " + w + b" " + _MARK + self._after for w in new]
             costs0, costs1 = self._ordinary.lengths(framed) - self._base[0], self._toxic.lengths(framed) - self._base[1]
             self._seen.update(zip(new, (costs0 - costs1 - 2.0 * np.maximum(costs1, 0)).tolist()))

@@ -42,30 +42,41 @@ def _give_back() -> None:
 class Cache(dict):
     """A dictionary that computes what it lacks.
 
-    A worker process is used for one task after another. ``trim`` empties the caches that tasks of
-    other operators have left in it, and this one once it has grown too large; ``beside`` are caches of
-    the same operator.
+    Entries are in two generations: once there are too many, the younger becomes the older and what was
+    older goes; an older entry that is asked for is young again. A worker process is used for one task
+    after another, so ``trim`` also empties the caches that tasks of other operators have left in it;
+    ``beside`` are caches of the same operator.
     """
 
     __hash__ = object.__hash__
 
     def __init__(self, compute, limit: int = CACHE_ENTRIES):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.older = compute, limit, {}
         _caches.add(self)
 
     def __missing__(self, key):
-        value = self[key] = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value
 
+    def clear(self) -> None:
+        super().clear()
+        self.older = {}
+
     def trim(self, beside: tuple[Cache, ...] = ()) -> None:
         own = (self, *beside)
-        left = [c for c in _caches if c and all(c is not o for o in own)]
-        if sum(map(len, own)) > self.limit:
-            left += own
-        if left:
-            for cache in left:
+        left = [c for c in _caches if (c or c.older) and all(c is not o for o in own)]
+        for cache in left:
+            cache.clear()
+        if full := sum(map(len, own)) > self.limit // 2:
+            for cache in own:
+                young = dict(cache)
                 cache.clear()
+                cache.older = young
+        if left or full:
             _give_back()
 
 
@@ -80,11 +91,13 @@ class WordBpe:
 
     #: What the fast path can't take: other characters, and the dotted capital I, which lower-cases to two.
     _OTHER = re.compile("[^\n\r\t\x20-\x7e¡-ɏ]|İ|<\\|")
-    #: The tokenizer's own split pattern, spelled out for that range after lower-casing.
+    #: The tokenizer's own split pattern, spelled out for that range after lower-casing; letters, which
+    #: none of the other parts can begin with, are tried first.
     _UNIT = re.compile(
-        "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºÀ-ÖØ-öø-ɏ]+"
-        "|[0-9²³¹¼-¾]"
-        "|[^\\s0-9a-zªµºÀ-ÖØ-öø-ɏ²³¹¼-¾]+"
+        "[a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+        "|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]"
+        "|'s|'t|'re|'ve|'m|'ll|'d"
+        "|[^\\s0-9a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u00b2\u00b3\u00b9\u00bc-\u00be]+"
     )
 
     def __init__(self, path: str):
