@@ -115,8 +115,15 @@ class WordBpe:
             return b"".join(i.to_bytes(4, "little") for i in ids)
         return ids.tobytes()
 
+    def _plain(self, text: str) -> bool:
+        """Whether the fast path can take a text; that of ASCII only costs next to nothing."""
+        if text.isascii():
+            # what this language's white space has beside the tokenizer's, and the start of special tokens
+            return not any(mark in text for mark in ("<|", "\x1c", "\x1d", "\x1e", "\x1f"))
+        return not self._OTHER.search(text)
+
     def ids(self, text: str) -> bytes:
-        if self._OTHER.search(text):
+        if not self._plain(text):
             return self._encode(text)
         return b"".join(map(self._units.__getitem__, self._UNIT.findall(text.lower())))
 

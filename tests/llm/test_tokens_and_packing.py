@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 
 from lexwarrant.llm import packing, token_counts, vocabularies
 
-ALPHABET = ["   ", " ", "a", "b", "é", "é", "中", "▁", "\n", "don't", "the", "12", "<s>", "<0x0A>", "<|endoftext|>", "𝔘", "_", "//", "ing", "\x00", "'S", "ß", "İ", "²"]
+ALPHABET = ["   ", " ", "a", "b", "é", "é", "中", "▁", "\n", "don't", "the", "12", "<s>", "<0x0A>", "<|endoftext|>", "𝔘", "_", "//", "ing", "\x00", "\x0b", "\x0c", "\x1c", "\x1f", "\x7f", "'S", "ß", "İ", "²"]
 mixtures = st.lists(st.sampled_from(ALPHABET), max_size=12).map("".join)
 
 
