@@ -18,6 +18,8 @@ BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 #: Entries the caches of a worker may hold before they are emptied; about 250 bytes each.
 CACHE_ENTRIES = 600_000
+#: Word units are smaller, and dear to encode anew.
+UNIT_ENTRIES = 1_600_000
 
 
 def vocab_path(name: str, vocab_dir: str | None = None) -> str:
@@ -105,7 +107,7 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._units = Cache(self._encode)
+        self._units = Cache(self._encode, limit=UNIT_ENTRIES)
 
     def _encode(self, text: str) -> bytes:
         import array
