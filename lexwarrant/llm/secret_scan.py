@@ -1,9 +1,9 @@
 """Secret spans: three fixed patterns, and random strings that a token vocabulary finds inefficient.
 
-Words of a language take few tokens for their length; random strings take many. Every run of
-credential characters with a letter and a digit is encoded by a byte-level vocabulary, and a low
-number of characters per token marks it as random, unless it is a known digest (a hexadecimal string
-of a digest's length, a UUID) or an identifier (parts that are words or numbers).
+Words of a language take few tokens for their length; random strings take many. Every maximal run of
+credential characters with a letter, with or without digits, is encoded by a byte-level vocabulary, and
+a low number of characters per token marks it as random, unless it is a known digest (a hexadecimal
+string of a digest's length, a UUID) or an identifier (parts that are words or numbers).
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "random")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
-#: Where a random string may stand: runs of these characters with a digit in them.
-_RUN = re.compile(r"[A-Za-z_+/=.-]*[0-9][A-Za-z0-9_+/=.-]{7,}")
+#: Where a random string may stand: every maximal run of these characters that is long enough.
 _SHORTEST = 16
+_RUN = re.compile(rf"[A-Za-z0-9_+/=.-]{{{_SHORTEST},}}")
 #: At most so many characters per token; words and identifiers have more.
 CHARS_PER_TOKEN = 2.0
 _DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
@@ -50,7 +50,7 @@ class TokenEfficiency:
         return len(run) / len(self._encode(run))
 
     def random(self, run: str) -> bool:
-        if len(run) < _SHORTEST or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
+        if len(run) < _SHORTEST or not any(c.isalpha() for c in run):
             return False
         if _UUID.match(run) or ((m := _DIGEST.match(run)) and len(m[1]) in _DIGEST_LENGTHS):
             return False
