@@ -6,14 +6,16 @@ tokens kept, a line of ``LEAST_PARTED`` tokens or more has one path for each qua
 that quarter is a variable field as well. Lines that share a path are instances of one template, so the
 leaves are plain keys: they are counted by partial sums and no leaf's lines are ever brought together.
 
-A template recurs if its lines stand in enough documents that are otherwise different. Documents are
-told apart by the least hash among their shingles, which copies and near copies mostly have in common:
-a copied document's own lines are not a template, however many copies there are.
+A template recurs if its lines stand in enough documents that are otherwise different, which is a fixed
+number of classes of near copies: a copied document's own lines are not a template, however many copies
+there are. A text has a MinHash signature of one value a bin (an empty bin takes that of the next one
+filled); texts that share a band of ``ROWS`` values are tied to the band's least text if at least
+``ALIKE`` of all values agree, and what is tied together is a class. A passage that many documents share
+ties them only where it is so much of each that they are near copies of each other.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import re
 from itertools import chain
 
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import write_table
 from .arrow import columns_of, free_names, slices, texts
+from .components import components
 from .shingles import mixed
 from .vocabularies import Cache
 
@@ -35,9 +38,12 @@ LEAST_PARTED = 12
 PARTS = 4
 #: Documents, different as a whole, in which a template must stand.
 LEAST_DOCUMENTS = 4
-#: And their share of all documents with it, distinct texts counted once.
-LEAST_SHARE = 0.5
 WIDTH = 5
+#: Values of a signature, and of one band of it.
+BINS = 128
+ROWS = 4
+#: Share of equal values from which on two texts are copies.
+ALIKE = 0.6
 _FIELD = np.uint64(0x5EED)
 _ONE = np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -66,19 +72,19 @@ def _shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
-def contexts_of(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """For each text, given its number of tokens, the least hash among their shingles, 0 if it has none."""
-    out = np.zeros(len(sizes), np.uint64)
-    starts = np.cumsum(sizes) - sizes
-    for i in np.nonzero((sizes > 0) & (sizes < WIDTH))[0]:
-        out[i] = _shingle_hashes(hashes[starts[i] : starts[i] + sizes[i]], int(sizes[i])).min()
-    long = np.nonzero(sizes >= WIDTH)[0]
-    if len(long):
-        h = np.append(_shingle_hashes(hashes, WIDTH), np.uint64(0))
-        # from the start of each text to its last whole shingle; the stretches between belong to no text
-        edges = np.column_stack([starts[long], starts[long] + sizes[long] - WIDTH + 1]).ravel()
-        out[long] = np.minimum.reduceat(h, edges)[::2]
-    return out.view(np.int64)
+def signatures_of(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """For each text, given its number of tokens, ``BINS`` values: the least hash of its shingles in each bin."""
+    out, at = [], 0
+    bins = np.arange(BINS + 1, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)
+    for n in sizes.tolist():
+        h = np.sort(_shingle_hashes(hashes[at : at + n], min(WIDTH, n))) if n else np.zeros(1, np.uint64)
+        at += n
+        first = np.searchsorted(h, bins[:BINS])
+        filled = np.nonzero(np.diff(np.append(first, len(h))))[0]
+        to = filled[np.searchsorted(filled, np.arange(BINS)) % len(filled)]
+        away = ((to - np.arange(BINS)) % BINS).astype(np.uint64)
+        out.append(mixed(h[first[to]] + away * _STEP))
+    return out
 
 
 def paths_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,11 +111,15 @@ def paths_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(lines), np.concatenate(found).view(np.int64)
 
 
-_ROWS = T.StructType([T.StructField(n, t) for n, t in (("text_key", T.LongType()), ("line", T.IntegerType()), ("path", T.LongType()), ("context", T.LongType()))])
+_ROWS = T.StructType([
+    *(T.StructField(n, t) for n, t in (("text_key", T.LongType()), ("line", T.IntegerType()), ("path", T.LongType()))),
+    T.StructField("signature", T.BinaryType()),
+    T.StructField("bands", T.ArrayType(T.LongType())),
+])
 
 
 def line_paths(docs: DataFrame) -> DataFrame:
-    """text_key, line, path and context of every path of every line."""
+    """text_key, line and path of every path of every line; and one row a text with its signature and bands instead."""
 
     def cut(batches):
         for batch in slices(batches, 256):
@@ -119,24 +129,54 @@ def line_paths(docs: DataFrame) -> DataFrame:
             line, path = paths_of(hashes, counts)
             own = owner[line]
             number = line - (np.cumsum(lines) - lines)[own]
-            keys = batch.column("text_key").to_numpy(zero_copy_only=False)[own]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(number.astype(np.int32)), pa.array(path), pa.array(contexts_of(hashes, sizes)[own])], names=_ROWS.names)
+            keys = batch.column("text_key").to_numpy(zero_copy_only=False)
+            none = [pa.nulls(len(own), f) for f in (pa.binary(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[own], pa.int64()), pa.array(number.astype(np.int32)), pa.array(path), *none], names=_ROWS.names)
+            rows = np.unique(own)  # a text without a path has no part in this
+            if len(rows):
+                found = signatures_of(hashes, sizes)
+                values = np.array([found[i] for i in rows]).reshape(-1, BINS // ROWS, ROWS)
+                band = np.tile(np.arange(BINS // ROWS, dtype=np.uint64), (len(rows), 1))
+                for i in range(ROWS):
+                    band = mixed(band * _STEP + values[:, :, i])
+                # 16 bits of each value tell others apart well enough
+                said = values.reshape(len(rows), BINS).astype(np.uint16)
+                none = [pa.nulls(len(rows), f) for f in (pa.int32(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[rows], pa.int64()), *none, pa.array([x.tobytes() for x in said], pa.binary()), pa.array(list(band.view(np.int64)), pa.list_(pa.int64()))], names=_ROWS.names)
 
     return docs.select(F.xxhash64(docs["text"]).alias("text_key"), docs["text"]).mapInArrow(cut, _ROWS)
 
 
-def recurring_lines(docs: DataFrame, least: int = LEAST_DOCUMENTS, share: float = LEAST_SHARE) -> DataFrame:
+def copy_links(signed: DataFrame) -> DataFrame:
+    """(a, b): ties between texts that are near copies by their signatures."""
+    signed = signed.dropDuplicates(["text_key"])
+    bands = write_table(signed.select("text_key", F.explode("bands").alias("band")), "bands")
+    least = bands.groupBy("band").agg(F.min("text_key").alias("least"), F.count(F.lit(1)).alias("texts")).where("texts > 1").drop("texts")
+    pairs = bands.join(least, "band").where("text_key <> least").select(F.col("text_key").alias("a"), F.col("least").alias("b")).distinct()
+    left, right = (signed.select(F.col("text_key").alias(n), F.col("signature").alias(f"of_{n}")) for n in "ab")
+
+    def alike(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BINS) for c in ("of_a", "of_b"))
+            yield batch.filter(pa.array((a == b).mean(axis=1) >= ALIKE)).select(["a", "b"])
+
+    return pairs.join(left, "a").join(right, "b").mapInArrow(alike, "a long, b long")
+
+
+def recurring_lines(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """text_key and ``drop``: the sorted numbers of the lines of a text that are instances of a recurring template."""
-    rows = write_table(line_paths(docs), "line-paths")
-    several = rows.select("path", "context").distinct().groupBy("path").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= least)
-    held = write_table(rows.select("path", "text_key", "line").join(several, "path"), "held-paths")
-    texts_of = held.select("path", "contexts", "text_key").distinct().groupBy("path", "contexts").agg(F.count(F.lit(1)).alias("texts"))
-    chosen = texts_of.where(F.col("contexts") >= share * F.col("texts")).select("path")
+    cut = write_table(line_paths(docs), "line-paths")
+    rows = cut.where("path IS NOT NULL").select("path", "text_key", "line")
+    classes = components(copy_links(cut.where("signature IS NOT NULL").select("text_key", "signature", "bands"))).withColumnRenamed("node", "text_key")
+    # at least so many texts first, which needs no classes
+    several = rows.select("path", "text_key").distinct().groupBy("path").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= least).select("path")
+    held = write_table(rows.join(several, "path", "left_semi").join(classes, "text_key", "left").select("path", "text_key", "line", F.coalesce("component", "text_key").alias("class")), "held-paths")
+    chosen = held.select("path", "class").distinct().groupBy("path").agg(F.count(F.lit(1)).alias("classes")).where(F.col("classes") >= least).select("path")
     lines = held.join(chosen, "path", "left_semi").select("text_key", "line").distinct()
     return lines.groupBy("text_key").agg(F.array_sort(F.collect_list("line")).alias("drop"))
 
 
-def without_templates(docs: DataFrame, least: int = LEAST_DOCUMENTS, share: float = LEAST_SHARE, counts: tuple[str, str] = ("lines", "dropped")) -> DataFrame:
+def without_templates(docs: DataFrame, least: int = LEAST_DOCUMENTS, counts: tuple[str, str] = ("lines", "dropped")) -> DataFrame:
     """``docs`` with recurring template lines taken out of ``text``, and two more columns that count lines.
 
     All instances go, the first too. The other lines stay as they are, in order. A null text stays null
@@ -145,7 +185,7 @@ def without_templates(docs: DataFrame, least: int = LEAST_DOCUMENTS, share: floa
     for a text's lines and those dropped, which ``docs`` must not have.
     """
     key, other, drop = free_names(docs, "text_key", "dropped_key", "drop")
-    gone = recurring_lines(docs, least, share).select(F.col("text_key").alias(other), F.col("drop").alias(drop))
+    gone = recurring_lines(docs, least).select(F.col("text_key").alias(other), F.col("drop").alias(drop))
     joined = docs.withColumn(key, F.xxhash64(docs["text"])).join(gone, F.col(key) == F.col(other), "left")
     lines = F.split(F.col("text"), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col(drop), i)), "\n")
@@ -164,11 +204,11 @@ def line_report(docs: DataFrame) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
 
 
-def cleaned_documents(docs: DataFrame, least: int = LEAST_DOCUMENTS, share: float = LEAST_SHARE) -> DataFrame:
+def cleaned_documents(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """``docs`` without recurring lines and without the documents that were nothing else; n_chars, where
     there is one, follows the text."""
     total, dropped = free_names(docs, "lines", "dropped")
-    cleaned = without_templates(docs, least, share, (total, dropped))
+    cleaned = without_templates(docs, least, (total, dropped))
     empty = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) == 0
     rows = cleaned.where(~((F.col(dropped) > 0) & empty))
     if "n_chars" in docs.columns:
