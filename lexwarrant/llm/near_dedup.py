@@ -10,7 +10,9 @@ over all orders is a zone.
 A zone is compared within itself in blocks of ``BLOCK`` members on exact sets: each pair of blocks is
 one task, which counts common shingles by a matrix product and returns only the links that join what
 it has not joined yet. Two sets at the threshold miss each other in every order with probability
-(1 - 0.8 ** DEPTH) ** TREES = 5e-8, and even then may meet in a zone by way of others.
+(1 - 0.8 ** DEPTH) ** TREES = 5e-8, and even then may meet in a zone by way of others. Within regions of
+more than ``DENSE`` members only the first ``DEEP`` values tie, so there it is (1 - 0.8 ** DEEP) ** TREES
+= 6e-5 if orders were independent, and more as they overlap: links can be lost in such regions.
 """
 
 from __future__ import annotations
