@@ -208,11 +208,12 @@ def fit(counts: list[tuple[str, str, int]], vocab_dir: str | None = None, rounds
 
 
 def sample_counts(labelled: DataFrame, per_language: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str, int]]:
-    """(language, word, count) of about ``per_language`` documents of each language, chosen by a hash.
+    """(language, word, count) of about ``per_language`` documents of each language, chosen by a hash;
+    of a longer one the first ``chars`` letters.
 
     Bounded by per_language * chars letters a language, which is what the driver may come to hold.
     """
-    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars))
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("text", F.substring("text", 1, chars))
     sizes = labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     draw = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = usable.join(sizes, "lang").where(draw < F.lit(float(per_language)) / F.col("n"))

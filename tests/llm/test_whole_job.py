@@ -6,7 +6,7 @@ import string
 
 import pytest
 
-from lexwarrant.llm import line_templates, secret_scan as S
+from lexwarrant.llm import language_id, line_templates, secret_scan as S
 
 
 @pytest.mark.parametrize("letters", [string.ascii_letters + string.digits, string.ascii_letters])
@@ -44,3 +44,9 @@ def test_a_passage_that_is_most_of_its_documents_goes_and_copies_keep_their_line
     assert not any(p in x for p in passages for x in left.values())
     for i, t in enumerate(rows[80:110], 80):
         assert left[i] == [x for x in t.split("\n") if x != lines[0]]
+
+
+def test_long_labelled_documents_are_learned_from(documents):
+    rows = [(1, "lang wort " * 3000, "xx", "s", 1), (2, "short text", "yy", "s", 1)]
+    found = language_id.sample_counts(documents(rows).select("doc_id", "text", "lang"))
+    assert {f[0] for f in found} == {"xx", "yy"} and sum(n for lang, _, n in found if lang == "xx") == 4000
