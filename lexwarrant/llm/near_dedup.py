@@ -1,22 +1,31 @@
 """MinHash near-duplicate groups by an LSH forest, with every link confirmed on full shingle sets.
 
-Documents with equal shingle sets are one class and have one representative. Its MinHash signature is
-read in ``TREES`` orders, each starting at another value; sorted by such an order, representatives that
-share a prefix stand together. The first ``DEPTH`` values make a region; a region of more than
-``DENSE`` members is cut again by the first ``DEEP`` values. Neighbours by longest common prefix are
-candidates of each other, so all of a region are tied to its least member, and what is tied together
-over all orders is a zone.
-
-A zone is compared within itself in blocks of ``BLOCK`` members on exact sets: each pair of blocks is
-one task, which counts common shingles by a matrix product and returns only the links that join what
-it has not joined yet. Two sets at the threshold miss each other in every order with probability
-(1 - 0.8 ** DEPTH) ** TREES = 5e-8, and even then may meet in a zone by way of others. Within regions of
-more than ``DENSE`` members only the first ``DEEP`` values tie, so there it is (1 - 0.8 ** DEEP) ** TREES
-= 6e-5 if orders were independent, and more as they overlap: links can be lost in such regions.
+Documents with equal shingle sets are one class with one representative. A tree of the forest is one
+order of signature values; all representatives are sorted by it over the whole cluster (ranges of
+tree, prefix and further values), so those with a long common prefix stand side by side. A run of equal
+prefixes of a level's depth is a region. Candidates of a representative are its neighbours within the
+region, by distance in the order: the next ``WINDOWS[0]`` first, then further ones, and in the last
+round the whole region. A pair is a candidate only if the two aren't in one component yet and their
+sketches (two bits of each of 128 values) agree well enough. Candidates are confirmed on full sets, and
+only confirmed links make components.
+
+Depth adapts by region. A region of more than ``DENSE`` members is not searched; its members go to the
+next level of ``LEVELS``, where prefixes are longer and trees more, so that what is only somewhat alike
+comes apart while a pair at the threshold still meets. What is dense at the last level too is searched
+in runs of ``DENSE`` in sorted order, and then, where it isn't one component, by all pairs of blocks,
+which loses nothing.
+
+Two sets at the threshold of 0.8 miss each other in all trees of the first level with probability
+(1 - 0.8 ** 4) ** 32 = 5e-8; the sketch fails them with 2e-6; a pair that only meets in dense regions
+misses all trees of the second level with 4e-6 and of the third with 2e-6 (trees there share values, which
+these figures allow for).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,16 +34,39 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..storage import write_table
 from .arrow import columns_of, free_names, slices, texts
 from .components import components
-from .shingles import shingle_set, signature
+from .shingles import mixed, shingle_set, signature
 
 WIDTH = 5
 NEEDED = 80
-TREES = 32
-DEPTH = 4
-DEEP = 6
-DENSE = 512
-BLOCK = 128
-_VALUES = TREES * DEPTH
+#: Members of the largest region that is searched whole.
+DENSE = 1024
+#: Distances in sorted order that the first rounds look at; the last round takes the whole region.
+WINDOWS = (2, 24)
+#: Values of the sketch, two bits each, and how many deviations below the expected a pair may agree.
+SKETCH = 128
+_DEVIATIONS = 5.0
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_S = ("s0", "s1", "s2", "s3")
+
+
+@dataclass(frozen=True)
+class Level:
+    trees: int
+    depth: int
+    #: Values of a signature, which the trees of a level share.
+    values: int
+
+
+LEVELS = (Level(32, 4, 128), Level(96, 8, 256), Level(256, 12, 512))
+
+
+@lru_cache(maxsize=8)
+def _order(level: Level) -> np.ndarray:
+    """Which values each tree reads: its prefix, then two more that order what shares the prefix."""
+    if level.trees * level.depth == level.values:
+        return (np.arange(level.trees)[:, None] * level.depth + np.arange(level.depth + 2)) % level.values
+    draw = np.random.default_rng(level.trees)
+    return np.array([draw.permutation(level.values)[: level.depth + 2] for _ in range(level.trees)])
 
 
 def _set_key(shingles: np.ndarray) -> bytes:
@@ -42,145 +74,261 @@ def _set_key(shingles: np.ndarray) -> bytes:
 
 
 def signed(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_key, and per order the hashes of the first DEPTH and DEEP values."""
-    schema = T.StructType([
-        docs.schema["doc_id"],
-        T.StructField("n_shingles", T.LongType()),
-        T.StructField("set_key", T.BinaryType()),
-        *(T.StructField(n, T.ArrayType(T.LongType())) for n in ("shallow", "deep")),
-    ])
-    at = (np.arange(TREES)[:, None] * DEPTH + np.arange(DEEP)) % _VALUES
-    order = np.arange(TREES, dtype=np.uint32)[:, None]
+    """doc_id, n_shingles, set_key and signature (32-bit values) of every text."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()), T.StructField("signature", T.BinaryType())])
+    values = LEVELS[0].values
 
     def sign(batches):
         for batch in slices(batches):
-            sizes, keys, shallow, deep = [], [], [], []
-            for text in texts(batch):
-                shingles = shingle_set(text, width)
-                sizes.append(len(shingles))
-                if len(shingles):
-                    keys.append(_set_key(shingles))
-                    paths = np.hstack([order, signature(shingles, _VALUES)[at]])
-                    shallow.append([xxhash.xxh3_64_intdigest(p.tobytes()) - (1 << 63) for p in paths[:, : DEPTH + 1]])
-                    deep.append([xxhash.xxh3_64_intdigest(p.tobytes()) - (1 << 63) for p in paths])
-                else:
-                    for column in (keys, shallow, deep):
-                        column.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), *(pa.array(c, pa.list_(pa.int64())) for c in (shallow, deep))],
-                names=schema.names,
-            )
+            sets = [shingle_set(text, width) for text in texts(batch)]
+            keys = [_set_key(s) if len(s) else None for s in sets]
+            values_of = [signature(s, values).tobytes() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array(keys, pa.binary()), pa.array(values_of, pa.binary())], names=schema.names)
 
     return columns_of(docs, "doc_id", "text").mapInArrow(sign, schema)
 
 
-def _ties(rows: DataFrame, key: str) -> DataFrame:
-    """Each row with its region's size and least member; regions of one are left out."""
-    regions = rows.groupBy(key).agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    return rows.join(regions, key)
-
-
-def zone_links(reps: DataFrame) -> DataFrame:
-    """(a, b): ties between representatives that share a region in some order."""
-    paths = reps.select("rep", F.explode(F.arrays_zip("shallow", "deep")).alias("p")).select("rep", "p.shallow", "p.deep")
-    tied = write_table(_ties(paths, "shallow"), "regions")
-    sparse = tied.where(F.col("members") <= DENSE).select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    dense = _ties(tied.where(F.col("members") > DENSE).select("rep", "deep"), "deep").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    return sparse.union(dense).where("a <> b").distinct()
-
-
-def _common(sets: list[np.ndarray], left: range, right: range) -> np.ndarray:
-    """Sizes of the intersections of the sets at ``left`` with those at ``right``."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count > 1  # others are in no intersection
-    place = np.cumsum(shared) - 1
-    keep = shared[column]
-    owner, column = owner[keep], place[column[keep]]
-    found = np.zeros((len(left), len(right)))
-    step = 1 << 14
-    for start in range(0, int(shared.sum()), step):
-        inside = (column >= start) & (column < start + step)
-        table = np.zeros((len(sets), min(step, int(shared.sum()) - start)), np.float32)
-        table[owner[inside], column[inside] - start] = 1
-        found += table[left.start : left.stop] @ table[right.start : right.stop].T
-    return found
-
-
-def _links_within(width: int, needed: int):
-    """Links of one pair of blocks (or of one block) as a forest."""
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def compare(table: pa.Table) -> pa.Table:
-        members: dict[tuple[int, bytes], tuple[int, np.ndarray]] = {}
-        for rep, block, key, text in zip(*(table.column(c).to_pylist() for c in ("rep", "own", "set_key", "text"))):
-            if (rep, key) not in members:
-                shingles = shingle_set(text or "", width)
-                if _set_key(shingles) == key:  # another row may carry the same id
-                    members[rep, key] = (block, shingles)
-        order = sorted(members, key=lambda r: (members[r][0], r))
-        sets = [members[r][1] for r in order]
-        blocks = [members[r][0] for r in order]
+def entries(members: DataFrame, level: Level) -> DataFrame:
+    """prefix, tail, rep and the sketch: one row a tree of every member (rep, signature)."""
+    names = ("prefix", "tail", "rep", *_S)
+    order = _order(level)
+
+    def deal(batches):
+        for batch in slices(batches, max(64, 65_536 // level.trees)):
+            n = batch.num_rows
+            if not n:
+                continue
+            table = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(n, level.values)
+            read = table[:, order].astype(np.uint64)  # members, trees, places
+            prefix = np.broadcast_to(np.arange(level.trees, dtype=np.uint64) + np.uint64(level.trees << 16), (n, level.trees))
+            for i in range(level.depth):
+                prefix = mixed(prefix * _STEP + read[:, :, i])
+            tail = (read[:, :, -2] << np.uint64(31)) | (read[:, :, -1] >> np.uint64(1))
+            bits = (table[:, :SKETCH] & 3).astype(np.uint64).reshape(n, 4, SKETCH // 4) << (2 * np.arange(SKETCH // 4, dtype=np.uint64))
+            sketch = np.bitwise_or.reduce(bits, axis=2).view(np.int64)
+            reps = batch.column("rep").to_numpy(zero_copy_only=False)
+            each = lambda x: pa.array(np.repeat(x, level.trees))
+            yield pa.RecordBatch.from_arrays([pa.array(prefix.reshape(-1).view(np.int64)), pa.array(tail.reshape(-1).view(np.int64)), each(reps), *(each(sketch[:, i]) for i in range(4))], names=names)
+
+    return members.select("rep", "signature").mapInArrow(deal, ", ".join(f"{n} long" for n in names))
+
+
+def runs(found: DataFrame, most: int) -> DataFrame:
+    """prefix, edge, first (the order of its first member), reps and sketch: the runs of equal prefixes
+    in the global order, in pieces of at most ``most`` members.
+
+    ``edge`` marks pieces that may not be a whole region: those at an end of a range, and parts of
+    longer runs. A lone member inside a range has no neighbour and is left out.
+    """
+    schema = "prefix long, edge boolean, first struct<tail: long, rep: long>, reps array<long>, sketch array<long>"
+    ordered = found.repartitionByRange("prefix", "tail", "rep").sortWithinPartitions("prefix", "tail", "rep")
+    place = pa.struct([("tail", pa.int64()), ("rep", pa.int64())])
+
+    def pieces(rows: np.ndarray, begins: bool, ends: bool) -> pa.RecordBatch | None:
+        """Pieces of sorted rows; whether they begin and end where the range does."""
+        at = np.nonzero(np.diff(rows[:, 0]))[0] + 1
+        starts, stops = np.append(0, at), np.append(at, len(rows))
+        out = []
+        for k, (s, e) in enumerate(zip(starts.tolist(), stops.tolist())):
+            edge = (begins and k == 0) or (ends and k == len(starts) - 1) or e - s > most
+            if edge or e - s > 1:
+                out += [(edge, rows[i : min(e, i + most)]) for i in range(s, e, most)]
+        if not out:
+            return None
+        parts = [p for _, p in out]
+        size = np.append(0, np.cumsum([len(p) for p in parts])).astype(np.int32)
+        reps = pa.ListArray.from_arrays(pa.array(size), pa.array(np.concatenate([p[:, 2] for p in parts])))
+        sketch = pa.ListArray.from_arrays(pa.array(size * 4), pa.array(np.concatenate([p[:, 3:].reshape(-1) for p in parts])))
+        first = [{"tail": int(p[0, 1]), "rep": int(p[0, 2])} for p in parts]
+        return pa.RecordBatch.from_arrays([pa.array([int(p[0, 0]) for p in parts], pa.int64()), pa.array([x for x, _ in out]), pa.array(first, place), reps, sketch], names=["prefix", "edge", "first", "reps", "sketch"])
+
+    def cut(batches):
+        held, begins = np.zeros((0, 3 + len(_S)), np.int64), True
+        for batch in batches:
+            rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            held = np.concatenate([held, rows])
+            if not len(held):
+                continue
+            last = int(np.searchsorted(held[:, 0], held[-1, 0]))  # where the last run begins, which may go on
+            long = len(held) - last > most  # of a long run whole pieces can go at once; they are edges in any case
+            go = last + (len(held) - last - 1) // most * most if long else last
+            if go:
+                if made := pieces(held[:go], begins, long):
+                    yield made
+                held, begins = held[go:], long  # what is left of a long run is an edge too
+        if len(held) and (made := pieces(held, begins, True)):
+            yield made
+
+    return ordered.mapInArrow(cut, schema)
+
+
+def regions_of(cut: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """(regions, dense): regions of 2 to ``most`` members, with those that ranges have cut put together
+    again; and the pieces of larger ones."""
+    edges = cut.where("edge")
+    sizes = edges.groupBy("prefix").agg(F.sum(F.size("reps")).alias("members"))
+    sized = edges.join(sizes, "prefix")
+    listed = F.array_sort(F.collect_list(F.struct("first", "reps", "sketch")))
+    mended = sized.where((F.col("members") > 1) & (F.col("members") <= most)).groupBy("prefix").agg(listed.alias("p"))
+    whole = mended.select("prefix", F.flatten(F.col("p.reps")).alias("reps"), F.flatten(F.col("p.sketch")).alias("sketch"))
+    return cut.where(~F.col("edge")).select("prefix", "reps", "sketch").union(whole), sized.where(F.col("members") > most).select("prefix", "reps", "sketch")
+
+
+def _most_apart(needed: int) -> int:
+    """Sketch values in which two sets at the threshold may differ."""
+    agree = needed / 100 + (1 - needed / 100) / 4
+    return int(np.floor(SKETCH * (1 - agree) + _DEVIATIONS * np.sqrt(SKETCH * agree * (1 - agree))))
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many sketch values rows of x and y differ."""
+    d = x ^ y
+    return np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=-1)
+
+
+def candidates(regions: DataFrame, low: int, high: int, needed: int, known: DataFrame | None) -> DataFrame:
+    """(a, b): members of a region at distances above ``low`` up to ``high`` in its order whose sketches
+    agree; with ``known`` (node, component), only those of different components."""
+    most = _most_apart(needed)
+    regions = regions.where(F.size("reps") > low + 1)
+    if known is None:
+        rows = regions.select("reps", "sketch", F.col("reps").alias("held"))
+    else:
+        keyed = regions.withColumn("first", F.element_at("reps", 1)).withColumn("last", F.element_at("reps", -1))
+        members = keyed.select("prefix", "first", "last", F.posexplode("reps").alias("at", "rep")).join(known.withColumnRenamed("node", "rep"), "rep", "left")
+        members = members.withColumn("component", F.coalesce("component", "rep"))
+        several = members.groupBy("prefix", "first", "last").agg(F.array_sort(F.collect_list(F.struct("at", "component"))).alias("c"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+        rows = keyed.join(several, ["prefix", "first", "last"]).select("reps", "sketch", F.col("c.component").alias("held")).where(F.size("held") == F.size("reps"))
+
+    def look(batches):
+        for batch in batches:
+            found: list[np.ndarray] = []
+            for k in range(batch.num_rows):
+                reps, held, sketch = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in ("reps", "held", "sketch"))
+                sketch = sketch.view(np.uint64).reshape(-1, 4)
+                for d in range(low + 1, min(high, len(reps) - 1) + 1):
+                    near = np.nonzero((_apart(sketch[:-d], sketch[d:]) <= most) & (held[:-d] != held[d:]))[0]
+                    if len(near):
+                        found.append(np.stack([reps[near], reps[near + d]]))
+            pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+            pairs = np.unique(np.stack([pairs.min(axis=0), pairs.max(axis=0)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, i].copy()) for i in range(2)], names=["a", "b"])
+
+    return rows.mapInArrow(look, "a long, b long").where("a < b").distinct()
+
+
+def dense_candidates(dense: DataFrame, needed: int, known: DataFrame) -> DataFrame:
+    """(a, b): the same for all pairs of a large region's members, in pairs of blocks of ``DENSE``.
+
+    Only regions that aren't one component yet are looked at.
+    """
+    most, names = _most_apart(needed), ["rep", "component", *_S]
+    place = F.posexplode("reps").alias("at", "rep")
+    sketch = [F.get("sketch", F.col("at") * 4 + i).alias(s) for i, s in enumerate(_S)]
+    members = dense.select("prefix", "sketch", place).select("prefix", "rep", *sketch).join(known.withColumnRenamed("node", "rep"), "rep", "left")
+    members = write_table(members.withColumn("component", F.coalesce("component", "rep")), "dense-members")
+    several = members.groupBy("prefix").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / DENSE).cast("int").alias("blocks")).where("x <> y").select("prefix", "blocks")
+    placed = members.join(several, "prefix").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = pairs.select("prefix", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", *names)
+
+    def look(table: pa.Table) -> pa.Table:
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        cut = sum(b == low for b in blocks) if low != high else 0
-        if len(order) < 2:
-            return out.empty_table()
-        left = range(0, cut) if low != high else range(len(order))
-        right = range(cut, len(order)) if low != high else left
-        sizes = np.array([len(s) for s in sets], float)
-        common = _common(sets, left, right)
-        union = sizes[left.start : left.stop, None] + sizes[None, right.start : right.stop] - common
-        near = 100 * common >= needed * union
-        parent = list(range(len(order)))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        a, b = [], []
-        for i, j in zip(*np.nonzero(near)):
-            x, y = left.start + int(i), right.start + int(j)
-            if (p := root(x)) != (q := root(y)):
-                parent[max(p, q)] = min(p, q)
-                a.append(order[x][0])
-                b.append(order[y][0])
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=out)
-
-    return compare
-
-
-def confirmed_links(docs: DataFrame, members: DataFrame, width: int, needed: int) -> DataFrame:
-    """(a, b): a forest of links within zones; ``members`` has rep, set_key and zone."""
-    sizes = members.groupBy("zone").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = members.join(sizes, "zone").withColumn("own", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks")).cast("int"))
-    rows = placed.join(columns_of(docs, "doc_id", "text").withColumnRenamed("doc_id", "rep"), "rep")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    pairs = rows.withColumn("other", other).select("zone", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep", "set_key", "text")
-    return pairs.groupBy("zone", "low", "high").applyInArrow(_links_within(width, needed), T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
+        rows = np.stack([table.column(n).to_numpy() for n in names], axis=1)
+        own, found = table.column("own").to_numpy(), [np.zeros((0, 2), np.int64)]
+        left, right = rows[own == low], rows[own == high]
+        sketches = right[:, 2:].copy().view(np.uint64)
+        for rep, component, *s in left:
+            near = (_apart(np.array(s, np.int64).view(np.uint64), sketches) <= most) & (right[:, 1] != component)
+            near &= (right[:, 0] > rep) if low == high else True
+            found.append(np.stack([np.full(near.sum(), rep), right[near, 0]], axis=1))
+        out = np.concatenate(found)
+        return pa.table({"a": out.min(axis=1), "b": out.max(axis=1)} if len(out) else {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+
+    return pairs.groupBy("prefix", "low", "high").applyInArrow(look, "a long, b long").where("a < b").distinct()
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame, classes: DataFrame) -> DataFrame:
+    """rep, set_key and text of the representatives in ``ids`` (rep)."""
+    wanted = classes.select("rep", "set_key").join(ids, "rep", "left_semi")
+    return columns_of(docs, "doc_id", "text").withColumnRenamed("doc_id", "rep").join(wanted, "rep")
+
+
+def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, needed: int) -> DataFrame:
+    """The pairs with 100 * intersection >= ``needed`` * union on full shingle sets."""
+    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+
+    def build(batches):
+        for batch in slices(batches):
+            sets = [shingle_set(text, width) for text in texts(batch)]
+            held = [_set_key(s) == key for s, key in zip(sets, batch.column("set_key").to_pylist())]  # another row may carry the same id
+            yield pa.RecordBatch.from_arrays([batch.column("rep").filter(pa.array(held)), pa.array([s.view(np.int64) for s, h in zip(sets, held) if h], pa.list_(pa.int64()))], names=["rep", "shingles"])
+
+    sets = write_table(_texts_of(docs, ids, classes).mapInArrow(build, "rep long, shingles array<long>").dropDuplicates(["rep", "shingles"]), "sets")
+    of_a, of_b = (sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "ab")
+    n, m = F.size("of_a"), F.size("of_b")
+    both = pairs.join(of_a, "a").join(of_b, "b").where((100 * n >= needed * m) & (100 * m >= needed * n))
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    return both.select("a", "b", n.alias("n"), m.alias("m"), common.alias("c")).where(100 * F.col("c") >= needed * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b").distinct()
+
+
+def confirmed_links(docs: DataFrame, classes: DataFrame, width: int, needed: int) -> DataFrame:
+    """(a, b): confirmed links that connect all classes (rep, set_key, signature) the forest finds alike."""
+    links, known = None, None
+
+    def confirm(pairs: DataFrame) -> None:
+        nonlocal links, known
+        fresh = write_table(confirmed(docs, classes, write_table(pairs, "candidates"), width, needed), "near-links")
+        if known is None or fresh.limit(1).count():
+            links = fresh if links is None else links.union(fresh)
+            known = write_table(components(links), "near-components")
+
+    members = classes
+    for k, level in enumerate(LEVELS):
+        last = k == len(LEVELS) - 1
+        regions, dense = regions_of(write_table(runs(entries(members, level), DENSE), "runs"), DENSE)
+        searched = write_table(regions.union(dense) if last else regions, "regions")
+        for low, high in zip((0, *WINDOWS), (*WINDOWS, DENSE)):
+            confirm(candidates(searched, low, high, needed, known))
+        dense = write_table(dense, "dense")
+        if not dense.limit(1).count():
+            break
+        if last:
+            confirm(dense_candidates(dense, needed, known))
+            break
+        values = LEVELS[k + 1].values
+
+        def sign(batches, values=values):
+            for batch in slices(batches):
+                sets = [shingle_set(text, width) for text in texts(batch)]
+                held = pa.array([_set_key(s) == key for s, key in zip(sets, batch.column("set_key").to_pylist())])
+                found = [signature(s, values).tobytes() for s, h in zip(sets, held.to_pylist()) if h]
+                yield pa.RecordBatch.from_arrays([batch.column("rep").filter(held), pa.array(found, pa.binary())], names=["rep", "signature"])
+
+        ids = dense.select(F.explode("reps").alias("rep")).distinct()
+        members = write_table(_texts_of(docs, ids, classes).mapInArrow(sign, "rep long, signature binary").dropDuplicates(), "deep-signed")
+    return links
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, needed: int = NEEDED) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links) and kept, per document.
 
-    Links join sets with 100 * intersection >= ``needed`` * union. A null text or one without words has
-    the empty set and is linked with nothing. A row with a null id can't be named by others: it is
-    linked with nothing, its component is null, and it is kept. Rows that repeat an id count as one
-    document for links; an empty table gives an empty result; further columns are ignored. Ids are
-    integers.
+    Links join sets with 100 * intersection >= ``needed`` * union; trees and depths are set for 80. A
+    null text or one without words has the empty set and is linked with nothing. A row with a null id
+    can't be named by others: it is linked with nothing, its component is null, and it is kept. Rows
+    that repeat an id count as one document for links; an empty table gives an empty result; further
+    columns are ignored. Ids are integers.
     """
-    sets = write_table(signed(docs.withColumn("doc_id", docs["doc_id"].cast("long")), width), "signed")
+    docs = columns_of(docs, "doc_id", "text")
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    sets = write_table(signed(docs, width), "signed")
     named = sets.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
-    classes = write_table(named.groupBy("set_key").agg(F.min(F.struct("doc_id", "shallow", "deep")).alias("r")).select("set_key", F.col("r.doc_id").alias("rep"), "r.shallow", "r.deep"), "classes")
-    zones = components(zone_links(classes.select("rep", "shallow", "deep")))
-    # a document that stands for two classes (a repeated id) has one zone
-    members = classes.select("rep", "set_key").join(zones.withColumnRenamed("node", "rep"), "rep").withColumnRenamed("component", "zone")
-    links = write_table(confirmed_links(docs, members, width, needed), "near-links")
+    classes = write_table(named.groupBy("set_key").agg(F.min(F.struct("doc_id", "signature")).alias("r")).select("set_key", F.col("r.doc_id").alias("rep"), "r.signature"), "classes")
+    links = confirmed_links(docs, classes, width, needed)
     # rows of a repeated id tie their classes together
-    same = named.select("doc_id", "set_key").join(classes.select("set_key", "rep"), "set_key").where("doc_id <> rep")
-    repeated = same.join(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = components(links.union(repeated)).withColumnRenamed("node", "rep")
+    repeats = named.select("doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    same = named.select("doc_id", "set_key").join(repeats, "doc_id", "left_semi").join(classes.select("set_key", "rep"), "set_key").where("doc_id <> rep")
+    found = components(links.union(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))).withColumnRenamed("node", "rep")
     by_class = classes.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("linked"))
     joined = sets.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(by_class, "set_key", "left")
     component = F.coalesce("linked", "doc_id")

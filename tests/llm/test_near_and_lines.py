@@ -3,6 +3,7 @@ import re
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexwarrant.llm import line_templates, near_dedup
 from lexwarrant.llm.components import components
@@ -46,10 +47,9 @@ def test_supplied_documents(sample, width):
     check(sample, sample.texts, width)
 
 
-@pytest.mark.parametrize("block, dense", [(128, 512), (8, 16)])
-def test_families_around_the_threshold(documents, monkeypatch, block, dense):
-    """Copies with edits of every strength, in zones of many blocks and in dense regions."""
-    monkeypatch.setattr(near_dedup, "BLOCK", block)
+@pytest.mark.parametrize("dense", [1024, 16])
+def test_families_around_the_threshold(documents, monkeypatch, dense):
+    """Copies with edits of every strength, in regions searched whole and in dense ones of all levels."""
     monkeypatch.setattr(near_dedup, "DENSE", dense)
     rnd, texts = random.Random(5), {}
     for family in range(3):
@@ -80,10 +80,74 @@ def test_repeated_ids_tie_their_texts(documents):
     assert {r["component_id"] for r in near_dedup.near_duplicates(df, 4).collect()} == {1}
 
 
-def test_components(spark):
+def test_pairs_at_the_threshold_in_dense_regions(documents, monkeypatch):
+    """Recall of links that only dense regions show: partners of 0.80 to 0.83 among alike documents."""
+    monkeypatch.setattr(near_dedup, "DENSE", 12)
+    rnd, texts = random.Random(9), {}
+    shared = [f"s{k}" for k in range(60)]  # ties all documents at about 0.3 or 0.4
+    for i in range(0, 120, 2):
+        own = [f"o{i}x{k}" for k in range(62)]
+        w = shared + own
+        texts[i] = " ".join(w)
+        # one place changes four shingles: three changes among 119 give 107 / 131, or 0.817
+        for k in (5, 70, 110):
+            w[k] = f"z{i}{rnd.randrange(9)}"
+        texts[i + 1] = " ".join(w)
+    check(documents([(i, t, "en", "s", len(t)) for i, t in texts.items()]), texts, 4)
+
+
+def test_half_shared_documents_stay_apart(documents, spark):
+    """2,000 documents that share half their words: no links, and few candidates."""
+    rnd = random.Random(3)
+    shared = [f"s{k}" for k in range(100)]
+    docs = documents([(i, " ".join(shared + [f"o{rnd.randrange(10**9)}" for _ in range(100)]), "en", "s", 1) for i in range(2000)])
+    got = near_dedup.near_duplicates(docs, 4)
+    assert got.where("component_id <> doc_id").count() == 0 and got.count() == 2000
+    classes = near_dedup.signed(docs, 4).select(F.col("doc_id").alias("rep"), "signature")
+    regions, dense = near_dedup.regions_of(near_dedup.runs(near_dedup.entries(classes, near_dedup.LEVELS[0]), near_dedup.DENSE), near_dedup.DENSE)
+    assert regions.count() > 0 and dense.count() == 0
+    assert near_dedup.candidates(regions, 0, near_dedup.DENSE, 80, None).count() < 500
+
+
+@pytest.mark.parametrize("most", [1024, 7])
+def test_runs_are_the_regions(spark, most):
+    """Runs put together again are the groups of equal prefixes, however ranges cut them."""
+    rnd = random.Random(1)
+    rows = [(rnd.choice([1, 2, 3, rnd.randrange(400)]), rnd.randrange(99), i, i, i, i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "prefix long, tail long, rep long, s0 long, s1 long, s2 long, s3 long").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        regions, dense = near_dedup.regions_of(near_dedup.runs(df, most), most)
+        got = {r["prefix"]: list(r["reps"]) for r in regions.collect()}
+        left = [r for r in dense.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    groups = {}
+    for p, t, i, *_ in sorted(rows):
+        groups.setdefault(p, []).append(i)
+    assert got == {p: g for p, g in groups.items() if 2 <= len(g) <= most}
+    for p in {r["prefix"] for r in left} | {p for p, g in groups.items() if len(g) > most}:
+        assert sorted(i for r in left if r["prefix"] == p for i in r["reps"]) == sorted(groups[p]) and len(groups[p]) > most
+    assert all(list(r["sketch"]) == [i for i in r["reps"] for _ in range(4)] and len(r["reps"]) <= most for r in left)
+
+
+def test_components_of_a_long_chain(spark, monkeypatch):
+    from lexwarrant.llm import components as module
+
+    written = []
+    keep = module.write_table
+    monkeypatch.setattr(module, "write_table", lambda df, name: (written.append(name), keep(df, name))[1])
+    links = spark.range(10_000).selectExpr("id AS a", "id + 1 AS b")
+    got = components(links, finish=0)
+    assert got.count() == 10_001 and got.where("component <> 0").count() == 0
+    assert written.count("nearest") <= 20
+
+
+@pytest.mark.parametrize("finish", [0, 100, 500_000])
+def test_components(spark, finish):
     rnd = random.Random(2)
     links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(70)]
-    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long"), finish).collect()}
     parent = {n: n for link in links for n in link}
 
     def root(x):
@@ -95,7 +159,7 @@ def test_components(spark):
         x, y = sorted((root(a), root(b)))
         parent[y] = x
     assert got == {n: root(n) for n in parent if any(n in link and link[0] != link[1] for link in links)}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long"), finish).count() == 0
 
 
 def prose(rnd, n):
