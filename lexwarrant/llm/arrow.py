@@ -13,6 +13,15 @@ def columns_of(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[docs[n] for n in names])
 
 
+def spread(docs: DataFrame) -> DataFrame:
+    """``docs`` in at least as many partitions as there are cores; a table of many splits stays as it is.
+
+    A small file is one split, which one core alone would work through.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() * 2 <= cores else docs
+
+
 def free_names(docs: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores before it as it takes to be no column of ``docs``."""
     taken, out = {c.lower() for c in docs.columns}, []

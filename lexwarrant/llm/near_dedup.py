@@ -4,8 +4,7 @@ Documents with equal shingle sets are one class with one representative. A tree
 order of signature values; all representatives are sorted by it over the whole cluster (ranges of
 tree, prefix and further values), so those with a long common prefix stand side by side. A run of equal
 prefixes of a level's depth is a region. Candidates of a representative are its neighbours within the
-region, by distance in the order: the next ``WINDOWS[0]`` first, then further ones, and in the last
-round the whole region. A pair is a candidate only if the two aren't in one component yet and their
+region, by distance in the order: the next ``NEAREST`` in the first round, the whole region in the second. A pair is a candidate only if the two aren't in one component yet and their
 sketches (two bits of each of 128 values) agree well enough. Candidates are confirmed on full sets, and
 only confirmed links make components.
 
@@ -32,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import write_table
-from .arrow import columns_of, free_names, slices, texts
+from .arrow import columns_of, free_names, slices, spread, texts
 from .components import components
 from .shingles import mixed, shingle_set, signature
 
@@ -40,8 +39,8 @@ WIDTH = 5
 NEEDED = 80
 #: Members of the largest region that is searched whole.
 DENSE = 1024
-#: Distances in sorted order that the first rounds look at; the last round takes the whole region.
-WINDOWS = (2, 24)
+#: Distances in sorted order that the first round looks at; the second takes the whole region.
+NEAREST = 3
 #: Values of the sketch, two bits each, and how many deviations below the expected a pair may agree.
 SKETCH = 128
 _DEVIATIONS = 5.0
@@ -186,19 +185,16 @@ def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=-1)
 
 
-def candidates(regions: DataFrame, low: int, high: int, needed: int, known: DataFrame | None) -> DataFrame:
+def candidates(regions: DataFrame, low: int, high: int, needed: int, known: DataFrame) -> DataFrame:
     """(a, b): members of a region at distances above ``low`` up to ``high`` in its order whose sketches
-    agree; with ``known`` (node, component), only those of different components."""
+    agree and which ``known`` (node, component) doesn't have in one component."""
     most = _most_apart(needed)
     regions = regions.where(F.size("reps") > low + 1)
-    if known is None:
-        rows = regions.select("reps", "sketch", F.col("reps").alias("held"))
-    else:
-        keyed = regions.withColumn("first", F.element_at("reps", 1)).withColumn("last", F.element_at("reps", -1))
-        members = keyed.select("prefix", "first", "last", F.posexplode("reps").alias("at", "rep")).join(known.withColumnRenamed("node", "rep"), "rep", "left")
-        members = members.withColumn("component", F.coalesce("component", "rep"))
-        several = members.groupBy("prefix", "first", "last").agg(F.array_sort(F.collect_list(F.struct("at", "component"))).alias("c"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        rows = keyed.join(several, ["prefix", "first", "last"]).select("reps", "sketch", F.col("c.component").alias("held")).where(F.size("held") == F.size("reps"))
+    keyed = regions.withColumn("first", F.element_at("reps", 1)).withColumn("last", F.element_at("reps", -1))
+    members = keyed.select("prefix", "first", "last", F.posexplode("reps").alias("at", "rep")).join(known.withColumnRenamed("node", "rep"), "rep", "left")
+    members = members.withColumn("component", F.coalesce("component", "rep"))
+    several = members.groupBy("prefix", "first", "last").agg(F.array_sort(F.collect_list(F.struct("at", "component"))).alias("c"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    rows = keyed.join(several, ["prefix", "first", "last"]).select("reps", "sketch", F.col("c.component").alias("held")).where(F.size("held") == F.size("reps"))
 
     def look(batches):
         for batch in batches:
@@ -272,24 +268,26 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     return both.select("a", "b", n.alias("n"), m.alias("m"), common.alias("c")).where(100 * F.col("c") >= needed * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b").distinct()
 
 
-def confirmed_links(docs: DataFrame, classes: DataFrame, width: int, needed: int) -> DataFrame:
-    """(a, b): confirmed links that connect all classes (rep, set_key, signature) the forest finds alike."""
-    links, known = None, None
+def linked(docs: DataFrame, classes: DataFrame, same: DataFrame, width: int, needed: int) -> DataFrame:
+    """node, component over all links the forest finds between classes (rep, set_key, signature), and those
+    of ``same`` (a, b)."""
+    links = write_table(same, "same")
+    known = components(links)
 
     def confirm(pairs: DataFrame) -> None:
         nonlocal links, known
-        fresh = write_table(confirmed(docs, classes, write_table(pairs, "candidates"), width, needed), "near-links")
-        if known is None or fresh.limit(1).count():
-            links = fresh if links is None else links.union(fresh)
-            known = write_table(components(links), "near-components")
+        pairs = write_table(pairs, "candidates")
+        if pairs.limit(1).count():
+            links = links.union(write_table(confirmed(docs, classes, pairs, width, needed), "near-links"))
+            known = components(links)
 
     members = classes
     for k, level in enumerate(LEVELS):
         last = k == len(LEVELS) - 1
         regions, dense = regions_of(write_table(runs(entries(members, level), DENSE), "runs"), DENSE)
         searched = write_table(regions.union(dense) if last else regions, "regions")
-        for low, high in zip((0, *WINDOWS), (*WINDOWS, DENSE)):
-            confirm(candidates(searched, low, high, needed, known))
+        confirm(candidates(searched, 0, NEAREST, needed, known))
+        confirm(candidates(searched, NEAREST, DENSE, needed, known))
         dense = write_table(dense, "dense")
         if not dense.limit(1).count():
             break
@@ -307,7 +305,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, width: int, needed: int
 
         ids = dense.select(F.explode("reps").alias("rep")).distinct()
         members = write_table(_texts_of(docs, ids, classes).mapInArrow(sign, "rep long, signature binary").dropDuplicates(), "deep-signed")
-    return links
+    return known
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, needed: int = NEEDED) -> DataFrame:
@@ -320,15 +318,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, needed: int = NEEDED) -
     columns are ignored. Ids are integers.
     """
     docs = columns_of(docs, "doc_id", "text")
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = spread(docs.withColumn("doc_id", F.col("doc_id").cast("long")))
     sets = write_table(signed(docs, width), "signed")
     named = sets.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
     classes = write_table(named.groupBy("set_key").agg(F.min(F.struct("doc_id", "signature")).alias("r")).select("set_key", F.col("r.doc_id").alias("rep"), "r.signature"), "classes")
-    links = confirmed_links(docs, classes, width, needed)
     # rows of a repeated id tie their classes together
     repeats = named.select("doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
     same = named.select("doc_id", "set_key").join(repeats, "doc_id", "left_semi").join(classes.select("set_key", "rep"), "set_key").where("doc_id <> rep")
-    found = components(links.union(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))).withColumnRenamed("node", "rep")
+    found = linked(docs, classes, same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), width, needed).withColumnRenamed("node", "rep")
     by_class = classes.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("linked"))
     joined = sets.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(by_class, "set_key", "left")
     component = F.coalesce("linked", "doc_id")

@@ -106,7 +106,7 @@ def test_half_shared_documents_stay_apart(documents, spark):
     classes = near_dedup.signed(docs, 4).select(F.col("doc_id").alias("rep"), "signature")
     regions, dense = near_dedup.regions_of(near_dedup.runs(near_dedup.entries(classes, near_dedup.LEVELS[0]), near_dedup.DENSE), near_dedup.DENSE)
     assert regions.count() > 0 and dense.count() == 0
-    assert near_dedup.candidates(regions, 0, near_dedup.DENSE, 80, None).count() < 500
+    assert near_dedup.candidates(regions, 0, near_dedup.DENSE, 80, components(spark.createDataFrame([], "a long, b long"))).count() < 500
 
 
 @pytest.mark.parametrize("most", [1024, 7])
