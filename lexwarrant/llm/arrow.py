@@ -9,8 +9,22 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def columns_of(docs: DataFrame, *names: str) -> DataFrame:
-    """``docs`` cut down to the named columns, whatever else it carries."""
-    return docs.select(*[docs[n] for n in names])
+    """``docs`` cut down to the named columns, whatever else it carries, names that differ in case only included."""
+    if len({c.lower() for c in docs.columns}) < len(docs.columns):
+        docs = docs.toDF(*[c if c in names else f"_other_{i}" for i, c in enumerate(docs.columns)])
+    return docs.select(*names)
+
+
+def told_apart(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns renamed that differ from ``names`` or from each other in case only, and the
+    names to give back with ``toDF`` at the end."""
+    taken, out = {n.lower() for n in names}, []
+    for i, c in enumerate(docs.columns):
+        if c not in names and c.lower() in taken:
+            c = f"_other_{i}"
+        taken.add(c.lower())
+        out.append(c)
+    return docs.toDF(*out), docs.columns
 
 
 def spread(docs: DataFrame) -> DataFrame:

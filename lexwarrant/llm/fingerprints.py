@@ -19,15 +19,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .arrow import slices, type_of
+from ..storage import write_table
+from .arrow import columns_of, slices, texts, type_of
 
 PRIMES = (np.uint64((1 << 31) - 1), np.uint64((1 << 31) - 19))
 BASES = (1_000_003, 1_618_033)
 SPAN = 16
 SKETCH = 64
-#: Rows of a block of the sort by id, on average, and the most blocks.
-BLOCK_ROWS = 2_000
-MOST_BLOCKS = 65_536
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -131,65 +129,31 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float(2 * j / (1 + j))
 
 
-def _block_of(column: F.Column, cuts: list) -> F.Column:
-    """The number of cuts at or below the value, looked for in two steps; nulls are in block 0."""
-    if not cuts:
-        return F.lit(0)
-    wide = 256
-    groups = [cuts[i : i + wide] for i in range(0, len(cuts), wide)]
-    below = lambda values: F.size(F.filter(values, lambda x: x <= column))
-    if len(groups) == 1:
-        found = below(F.array(*map(F.lit, cuts)))
-    else:
-        first = below(F.array(*[F.lit(g[0]) for g in groups]))
-        found = F.when(first > 0, (first - 1) * wide + below(F.element_at(F.array(*[F.array(*map(F.lit, g)) for g in groups]), first))).otherwise(0)
-    return F.when(column.isNull(), F.lit(0)).otherwise(found)
+_OPEN = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("side", T.IntegerType()), T.StructField("text", T.StringType())])
 
 
-def with_next(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """block, role, doc_id, text: rows in blocks of neighbouring ids, each followed by its successor.
-
-    Role 1 marks the first row of the next block (after the last block: of the first), which a block
-    needs for its own last row. What the driver holds is one cut and one id per block, at most
-    ``MOST_BLOCKS``. Text is shuffled once.
-    """
-    ids = docs.select("doc_id")
-    rows = ids.count()
-    blocks = max(1, min(MOST_BLOCKS, rows // block_rows))
-    cuts = []
-    if blocks > 1:
-        cuts = sorted(set(ids.select(F.col("doc_id").cast("double").alias("x")).approxQuantile("x", [k / blocks for k in range(1, blocks)], 0.25 / blocks)))
-        cuts = [int(c) for c in cuts]
-    placed = docs.select(_block_of(docs["doc_id"], cuts).alias("block"), docs["doc_id"], docs["text"])
-    tops = sorted(placed.groupBy("block").agg(F.max("doc_id").alias("top")).collect(), key=lambda r: -r["block"])
-    # the first row of each block also goes to the block before it in descending order
-    edges = [(r["block"], r["top"], tops[i - 1]["block"]) for i, r in enumerate(tops)]
-    schema = T.StructType([T.StructField("_b", T.IntegerType()), T.StructField("_top", type_of(docs, "doc_id")), T.StructField("_to", T.IntegerType())])
-    edge = F.broadcast(docs.sparkSession.createDataFrame(edges, schema))
-    joined = placed.join(edge, placed["block"] == edge["_b"])
-    own = F.struct(F.col("block"), F.lit(0).alias("role"))
-    sent = F.struct(F.col("_to").alias("block"), F.lit(1).alias("role"))
-    places = F.when(F.col("doc_id").eqNullSafe(F.col("_top")), F.array(own, sent)).otherwise(F.array(own))
-    return joined.select(F.explode(places).alias("p"), "doc_id", "text").select("p.block", "p.role", "doc_id", "text")
-
-
-def fingerprint_documents(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likenesses.
 
     Edited: the last floor(n / 2) code points replaced by the first as many, or all, of the next
     document's, in descending order of doc_id, the first document following the last. Rows with equal
-    ids are ordered by text; null ids come last. A null text is an empty one; an empty table gives an
-    empty result; a single document follows itself; further columns are ignored. common_next is the
-    longest common prefix of the text and the next one.
+    ids are ordered by text; null ids come last; ids may be of any type that has an order. A null text
+    is an empty one; an empty table gives an empty result; a single document follows itself; further
+    columns are ignored. common_next is the longest common prefix of the text and the next one.
+
+    Texts are shuffled once, into ranges of ids. A range gives its first and last text along, and a
+    second, small step joins the last row of each range with the first of the next: two rows a range.
     """
-    schema = T.StructType([
+    fields = [
         T.StructField("doc_id", type_of(docs, "doc_id")),
         T.StructField("n_chars", T.LongType()),
         *(T.StructField(n, T.StringType()) for n in ("edited_sha256", "fingerprint", "edited_fingerprint")),
         T.StructField("near_edited", T.DoubleType()),
         T.StructField("near_next", T.DoubleType()),
         T.StructField("common_next", T.LongType()),
-    ])
+    ]
+    schema = T.StructType([*fields, *_OPEN])
+    arrow_types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
 
     def one(doc_id, text, own, own_sketch, after, nxt, nxt_sketch):
         n = len(text)
@@ -203,41 +167,52 @@ def fingerprint_documents(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> Data
             likeness(own_sketch, edited_sketch), likeness(own_sketch, nxt_sketch), own.common_extension(0, nxt, 0),
         )
 
-    def rows(batches) -> Iterator[tuple]:
-        held, tail_done = None, False  # held: (block, doc_id, text, prefix hashes, sketch)
+    def measured(text):
+        hashes = PrefixHashes.of(text)
+        return text, hashes, hashes.sketch()
+
+    def batch_of(rows, id_type):
+        first, *rest = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(first, id_type), *(pa.array(c, t) for c, t in zip(rest, arrow_types))], names=schema.names)
+
+    def of_range(batches) -> Iterator[pa.RecordBatch]:
+        """Rows whose next is in the same range; then the first (side 0) and the last row (side 1) with their texts."""
+        from pyspark import TaskContext
+
+        part, held, id_type = TaskContext.get().partitionId(), None, None
+        none = (None,) * 7
         for batch in slices(batches, 256):
-            for block, role, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("block", "role", "doc_id", "text"))):
-                if held and held[0] == block:
-                    if role and tail_done:
-                        continue
-                elif role:
+            rows, id_type = [], batch.schema.field("doc_id").type
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+                now = measured(text)
+                rows.append((*one(*held, *now), None, None, None) if held else (doc_id, *none, part, 0, text))
+                held = (doc_id, *now)
+            if rows:
+                yield batch_of(rows, id_type)
+        if held:
+            yield batch_of([(held[0], *none, part, 1, held[1])], id_type)
+
+    def between(batches) -> Iterator[pa.RecordBatch]:
+        """Last rows with the first row of the next range, in order; the last of all with the first of all."""
+        begin = held = id_type = None
+        for batch in slices(batches, 16):
+            rows, id_type = [], batch.schema.field("doc_id").type
+            for doc_id, side, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "side", "text"))):
+                now = measured(text or "")
+                if side:
+                    held = (doc_id, *now)
                     continue
-                text = text or ""
-                hashes = PrefixHashes.of(text)
-                sketch = hashes.sketch()
-                if held and held[0] == block:
-                    yield one(*held[1:], text, hashes, sketch)
-                if role:
-                    tail_done = True
-                else:
-                    held, tail_done = (block, doc_id, text, hashes, sketch), False
-
-    def batches_out(batches):
-        pending = []
-        for row in rows(batches):
-            pending.append(row)
-            if len(pending) == 512:
-                yield _batch(pending)
-                pending = []
-        if pending:
-            yield _batch(pending)
-
-    arrow_types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
-
-    def _batch(pending):
-        first, *rest = zip(*pending)
-        return pa.RecordBatch.from_arrays([pa.array(first), *(pa.array(c, t) for c, t in zip(rest, arrow_types))], names=schema.names)
-
-    dealt = with_next(docs, block_rows)
-    sorted_rows = dealt.repartition("block").sortWithinPartitions(F.col("block"), F.col("role"), F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first())
-    return sorted_rows.mapInArrow(batches_out, schema)
+                begin = begin or now
+                if held:
+                    rows.append((*one(*held, *now), None, None, None))
+            if rows:
+                yield batch_of(rows, id_type)
+        if held:
+            yield batch_of([(*one(*held, *begin), None, None, None)], id_type)
+
+    rows = columns_of(docs, "doc_id", "text")
+    order = F.col("doc_id").desc_nulls_last()
+    made = write_table(rows.repartitionByRange(order).sortWithinPartitions(order, F.col("text").asc_nulls_first()).mapInArrow(of_range, schema), "fingerprints")
+    ends = made.where("part IS NOT NULL").coalesce(1).sortWithinPartitions("part", "side")
+    names = [f.name for f in fields]
+    return made.where("part IS NULL").select(*names).union(ends.mapInArrow(between, schema).select(*names))

@@ -5,7 +5,9 @@ word is the sum, over all ways to cut it into pieces, of the product of the piec
 forward pass over the word gives it. Expectation maximisation on word counts of labelled texts learns
 the probabilities. A text's score per language is the sum over its words.
 
-Words are runs of letters, lower-cased, with the vocabulary's word mark before them.
+Words are runs of letters, lower-cased, with the vocabulary's word mark before them. A run of more than
+``LONGEST_WORD`` letters, as scripts without spaces have, is several words of that length and its rest,
+so that a word's table stays small and can be met again; no letter is left out.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .arrow import columns_of, held_out, slices, texts, type_of
+from .arrow import columns_of, held_out, slices, spread, texts, told_apart, type_of
 from .vocabularies import PIECE_BPE, Cache, vocab_path
 
 #: Labelled documents learned from, per language, about; and the longest of them, in characters.
@@ -31,8 +33,10 @@ SMOOTHING = 0.05
 #: Probability of a character outside the vocabulary.
 OTHER = 1e-7
 UNDETERMINED = "und"
+#: Letters of one word at most; longer runs are cut.
+LONGEST_WORD = 64
 _BAR = "▁"
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
 _BASE = np.uint64(0x100000001B3)
 
 
@@ -160,12 +164,11 @@ def fit(counts: list[tuple[str, str, int]], vocab_dir: str | None = None, rounds
     vocabulary = pieces(vocab_dir)
     languages = sorted({c[0] for c in counts})
     column = {l: i for i, l in enumerate(languages)}
-    words = sorted({c[1] for c in counts if len(c[1]) < 48})
+    words = sorted({c[1] for c in counts})
     row = {w: i for i, w in enumerate(words)}
     weight = np.zeros((len(words), len(languages)))
     for language, word, n in counts:
-        if word in row:
-            weight[row[word], column[language]] += n
+        weight[row[word], column[language]] += n
     size = len(vocabulary.names)
     probability = np.full((size, len(languages)), 1.0)
     probability *= np.array([0.02 ** min(3, 1 / len(n)) for n in vocabulary.names])[:, None]
@@ -211,12 +214,16 @@ def sample_counts(labelled: DataFrame, per_language: int = SAMPLE_DOCUMENTS, cha
     """(language, word, count) of about ``per_language`` documents of each language, chosen by a hash;
     of a longer one the first ``chars`` letters.
 
-    Bounded by per_language * chars letters a language, which is what the driver may come to hold.
+    Bounded by per_language * chars letters a language, which is what the driver may come to hold. Rows
+    are drawn as they are read: the driver knows how many each language has, so no text is shuffled.
     """
-    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("text", F.substring("text", 1, chars))
-    sizes = labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not sizes:
+        return []
+    share = F.element_at(F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], float(per_language) / r["n"])]), F.col("lang"))
     draw = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = usable.join(sizes, "lang").where(draw < F.lit(float(per_language)) / F.col("n"))
+    chosen = known.where(draw < share).withColumn("text", F.substring("text", 1, chars))
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
     def count(batches):
@@ -323,26 +330,32 @@ def predict_languages(docs: DataFrame, model: Model | None = None, vocab_dir: st
             found = scorer.predict(texts(batch))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=schema.names)
 
-    return docs.select(docs["doc_id"], docs["text"]).withColumn("held_out", held_out()).mapInArrow(predict, schema)
+    return spread(columns_of(docs, "doc_id", "text")).withColumn("held_out", held_out()).mapInArrow(predict, schema)
 
 
-def with_known_language(docs: DataFrame, least_score: float, model: Model | None = None, vocab_dir: str | None = None) -> DataFrame:
-    """The rows of ``docs`` whose text has a language of at least this score, all columns kept.
+def with_known_language(docs: DataFrame, least_score: float, wanted: frozenset[str] | None = None, model: Model | None = None, vocab_dir: str | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text has a language of at least this score, with it in ``lang``.
 
-    The rows themselves pass through the scorer, so rows that share an id are judged one by one. Where
-    no language was learned (no labelled text at all) no text is rejected but those without letters.
+    With ``wanted``, only texts of these languages go on. The rows themselves pass through the scorer,
+    so rows that share an id are judged one by one; ``lang`` becomes the language found, which fills in
+    nulls and mends wrong labels, and further columns are kept. Where no language was learned (no
+    labelled text at all) no text is rejected but those without letters, and ``lang`` stays.
     """
     model = model or learn(docs, vocab_dir)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs, names = told_apart(docs, "text", "lang")
+    at = docs.columns.index("lang")
 
     def keep(batches):
         scorer = scorer_of(shared.value, vocab_dir)
         for batch in slices(batches):
             rows = texts(batch)
             if shared.value.languages:
-                good = [language != UNDETERMINED and score >= least_score for language, score in scorer.predict(rows)]
+                found = scorer.predict(rows)
+                good = [language != UNDETERMINED and score >= least_score and (wanted is None or language in wanted) for language, score in found]
+                batch = batch.set_column(at, batch.schema.field(at), pa.array([language for language, _ in found], batch.schema.field(at).type))
             else:
                 good = [has_letters(words_of(t)) for t in rows]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return spread(docs).mapInArrow(keep, docs.schema).toDF(*names)

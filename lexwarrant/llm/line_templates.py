@@ -1,17 +1,20 @@
 """Lines that recur across documents as instances of one template.
 
-A line's path through a log-template tree begins with its number of tokens and its leading tokens; then
-come the other tokens. Tokens with a digit are variable fields. Apart from the path with all other
-tokens kept, a line of ``LEAST_PARTED`` tokens or more has one path for each quarter of them, in which
-that quarter is a variable field as well. Lines that share a path are instances of one template, so the
-leaves are plain keys: they are counted by partial sums and no leaf's lines are ever brought together.
-
-A template recurs if its lines stand in enough documents that are otherwise different, which is a fixed
-number of classes of near copies: a copied document's own lines are not a template, however many copies
-there are. A text has a MinHash signature of one value a bin (an empty bin takes that of the next one
-filled); texts that share a band of ``ROWS`` values are tied to the band's least text if at least
-``ALIKE`` of all values agree, and what is tied together is a class. A passage that many documents share
-ties them only where it is so much of each that they are near copies of each other.
+The template tree has a fixed depth: a line goes to the leaf of its number of tokens and its leading
+token, tokens with a digit being variable fields. In a leaf a line is its ``PARTS`` stretches (single
+tokens, if it has no more), and a stretch that many of the leaf's lines have at that place is a constant,
+others are variable. A template is a set of constants that covers enough of a line (``needed_tokens``);
+fields need no cover.
+Which constants of a line belong together isn't known before counting, so a line has one path for each
+run of them in the order of their frequency: constants of one template are about equally frequent.
+Leaves are never gathered: counts of stretches and of paths are partial sums over all lines.
+
+A template recurs if its lines stand in enough documents that are otherwise different: ``LEAST_DOCUMENTS``
+classes of near copies, and two for lines of ``LONG`` plain tokens or more. A copied document's own lines are
+not a template, however many copies there are. A text has a MinHash signature of one value a bin (an
+empty bin takes that of the next one filled); texts that share a band of ``ROWS`` values are tied to the
+band's least text if at least ``ALIKE`` of all values agree, and what is tied together is a class. A
+passage that many documents share ties them only where it is so much of each that they are near copies.
 """
 
 from __future__ import annotations
@@ -22,22 +25,25 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..storage import write_table
-from .arrow import columns_of, free_names, slices, texts
+from .arrow import columns_of, free_names, slices, spread, texts, told_apart
 from .components import components
 from .shingles import mixed
 from .vocabularies import Cache
 
-LEADING = 3
 #: Fewer tokens than this are no template.
 LEAST_TOKENS = 3
-#: From this length on a quarter of the tokens after the leading ones may vary.
-LEAST_PARTED = 12
-PARTS = 4
-#: Documents, different as a whole, in which a template must stand.
+#: Stretches of a line, at most.
+PARTS = 8
+#: From the first length on one token may vary, from the second this share of them.
+ONE_VARIES, SHARE_VARIES, SHARE = 6, 12, 0.35
+#: Documents, different as a whole, in which a template must stand; and those for lines of ``LONG`` plain tokens.
 LEAST_DOCUMENTS = 4
+LONG, LEAST_LONG = 50, 2
+#: Frequent stretches up to this many are broadcast; more are joined by shuffle.
+BROADCAST_PARTS = 1_000_000
 WIDTH = 5
 #: Values of a signature, and of one band of it.
 BINS = 128
@@ -87,11 +93,13 @@ def signatures_of(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def paths_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(line, path) of every path of every line.
+def parts_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(line, plain tokens, number of stretches) of the lines long enough; and (stretches, plain tokens of
+    each) of all these lines in a row.
 
-    A stretch of a line hashes to the sum of its tokens' hashes mixed with their places in the line, so
-    leaving a stretch out is a subtraction from the line's sum. A token with a digit is a variable field.
+    A stretch hashes to the sum of its tokens' hashes mixed with their places in the line, together with
+    its leaf and its own place. A token with a digit is a variable field, others are plain; stretches
+    and lines of nothing but fields are left out.
     """
     hashes = np.where(hashes & _ONE, _FIELD, hashes)
     starts = np.cumsum(counts) - counts
@@ -100,39 +108,44 @@ def paths_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     fields = np.concatenate([np.zeros(1, np.int64), np.cumsum(hashes == _FIELD)])
     usable = np.nonzero((counts >= LEAST_TOKENS) & (fields[starts + counts] - fields[starts] < counts))[0]
     n, first = counts[usable], starts[usable]
-    total = sums[first + n] - sums[first]
-    lines, found = [usable], [mixed(total + n.astype(np.uint64) * np.uint64(8) * _STEP)]
-    parted = n >= LEAST_PARTED
-    n, first, total, rest = n[parted], first[parted] + LEADING, total[parted], n[parted] - LEADING
-    for part in range(PARTS):
-        stretch = sums[first + rest * (part + 1) // PARTS] - sums[first + rest * part // PARTS]
-        lines.append(usable[parted])
-        found.append(mixed(total - stretch + (n.astype(np.uint64) * np.uint64(8) + np.uint64(part + 1)) * _STEP))
-    return np.concatenate(lines), np.concatenate(found).view(np.int64)
+    leaf = mixed(hashes[first] * _STEP + n.astype(np.uint64)) if len(first) else np.zeros(0, np.uint64)
+    parts = np.minimum(n, PARTS)
+    line = np.repeat(np.arange(len(usable)), parts)
+    i = np.arange(len(line)) - np.repeat(np.cumsum(parts) - parts, parts)
+    begin, end = first[line] + n[line] * i // parts[line], first[line] + n[line] * (i + 1) // parts[line]
+    found = mixed(leaf[line] + (sums[end] - sums[begin]) * _STEP + i.astype(np.uint64)).view(np.int64)
+    plain = end - begin - (fields[end] - fields[begin])
+    kept = plain > 0
+    return usable, n - (fields[first + n] - fields[first]), np.bincount(line[kept], minlength=len(usable)), found[kept], plain[kept]
 
 
 _ROWS = T.StructType([
-    *(T.StructField(n, t) for n, t in (("text_key", T.LongType()), ("line", T.IntegerType()), ("path", T.LongType()))),
+    *(T.StructField(n, t) for n, t in (("text_key", T.LongType()), ("line", T.IntegerType()), ("tokens", T.IntegerType()), ("plain", T.IntegerType()))),
+    T.StructField("parts", T.ArrayType(T.LongType())),
+    T.StructField("weights", T.ArrayType(T.IntegerType())),
     T.StructField("signature", T.BinaryType()),
     T.StructField("bands", T.ArrayType(T.LongType())),
 ])
 
 
-def line_paths(docs: DataFrame) -> DataFrame:
-    """text_key, line and path of every path of every line; and one row a text with its signature and bands instead."""
+def line_parts(docs: DataFrame) -> DataFrame:
+    """text_key, line, tokens, plain tokens, parts and their plain tokens of every line; and one row a text
+    with its signature and bands instead."""
 
     def cut(batches):
         for batch in slices(batches, 256):
             hashes, counts, lines = line_tokens(texts(batch))
             owner = np.repeat(np.arange(len(lines)), lines)
             sizes = np.bincount(owner, counts, len(lines)).astype(np.int64)
-            line, path = paths_of(hashes, counts)
+            line, plain, k, parts, weights = parts_of(hashes, counts)
             own = owner[line]
             number = line - (np.cumsum(lines) - lines)[own]
             keys = batch.column("text_key").to_numpy(zero_copy_only=False)
+            ends = pa.array(np.append(0, np.cumsum(k)).astype(np.int32))
+            listed = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (parts, weights.astype(np.int32))]
             none = [pa.nulls(len(own), f) for f in (pa.binary(), pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[own], pa.int64()), pa.array(number.astype(np.int32)), pa.array(path), *none], names=_ROWS.names)
-            rows = np.unique(own)  # a text without a path has no part in this
+            yield pa.RecordBatch.from_arrays([pa.array(keys[own], pa.int64()), pa.array(number.astype(np.int32)), pa.array(counts[line].astype(np.int32)), pa.array(plain.astype(np.int32)), *listed, *none], names=_ROWS.names)
+            rows = np.unique(own)  # a text without such a line has no part in this
             if len(rows):
                 found = signatures_of(hashes, sizes)
                 values = np.array([found[i] for i in rows]).reshape(-1, BINS // ROWS, ROWS)
@@ -141,10 +154,10 @@ def line_paths(docs: DataFrame) -> DataFrame:
                     band = mixed(band * _STEP + values[:, :, i])
                 # 16 bits of each value tell others apart well enough
                 said = values.reshape(len(rows), BINS).astype(np.uint16)
-                none = [pa.nulls(len(rows), f) for f in (pa.int32(), pa.int64())]
+                none = [pa.nulls(len(rows), f) for f in (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays([pa.array(keys[rows], pa.int64()), *none, pa.array([x.tobytes() for x in said], pa.binary()), pa.array(list(band.view(np.int64)), pa.list_(pa.int64()))], names=_ROWS.names)
 
-    return docs.select(F.xxhash64(docs["text"]).alias("text_key"), docs["text"]).mapInArrow(cut, _ROWS)
+    return spread(docs).select(F.xxhash64("text").alias("text_key"), "text").mapInArrow(cut, _ROWS)
 
 
 def copy_links(signed: DataFrame) -> DataFrame:
@@ -163,15 +176,48 @@ def copy_links(signed: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(alike, "a long, b long")
 
 
+def needed_tokens(n: Column, plain: Column) -> Column:
+    """Plain tokens that constants must cover in a line of ``n`` tokens, ``plain`` of them no fields."""
+    vary = F.when(n >= SHARE_VARIES, F.floor(n * SHARE)).when(n >= ONE_VARIES, 1).otherwise(0)
+    return F.greatest(plain - vary, F.ceil(plain / 2)).cast("int")
+
+
+def line_paths(lines: DataFrame, least: int) -> DataFrame:
+    """path, text_key, line and ``least`` (the documents that make the path a recurring template)."""
+    wanted = F.when(F.col("plain") >= LONG, F.lit(min(least, LEAST_LONG))).otherwise(F.lit(least))
+    counted = lines.select(F.explode("parts").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("times"))
+    frequent = write_table(counted.where(F.col("times") >= min(least, LEAST_LONG)), "frequent-parts")
+    if frequent.limit(BROADCAST_PARTS + 1).count() <= BROADCAST_PARTS:
+        frequent = F.broadcast(frequent)
+    placed = lines.select("text_key", "line", "tokens", "plain", F.posexplode(F.arrays_zip("parts", "weights")).alias("at", "of"))
+    placed = placed.select("text_key", "line", "tokens", "plain", "at", F.col("of.parts").alias("part"), F.col("of.weights").alias("weight"))
+    constants = placed.join(frequent, "part").where(F.col("times") >= wanted)
+    # a set, since copies of a text have the same rows; at most PARTS of them
+    listed = F.array_sort(F.collect_set(F.struct((-F.col("times")).alias("rare"), "at", "part", "weight")))
+    kept = constants.groupBy("text_key", "line", "tokens", "plain").agg(listed.alias("p"))
+    kept = kept.withColumn("weights", F.col("p.weight")).withColumn("need", needed_tokens(F.col("tokens"), F.col("plain")))
+    covered = lambda x: F.aggregate(x, F.lit(0), lambda total, w: total + w)
+    kept = kept.where(covered(F.col("weights")) >= F.col("need"))
+    m = F.size("p")
+
+    def run(i: Column, j: Column) -> Column:
+        return F.when(covered(F.slice("weights", i, j - i + 1)) >= F.col("need"), F.xxhash64(F.array_sort(F.transform(F.slice("p", i, j - i + 1), lambda x: x["part"]))))
+
+    paths = F.flatten(F.transform(F.sequence(F.lit(1), m), lambda i: F.transform(F.sequence(i, m), lambda j: run(i, j))))
+    return kept.select("text_key", "line", wanted.alias("least"), F.explode(F.array_distinct(F.filter(paths, lambda x: x.isNotNull()))).alias("path"))
+
+
 def recurring_lines(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """text_key and ``drop``: the sorted numbers of the lines of a text that are instances of a recurring template."""
-    cut = write_table(line_paths(docs), "line-paths")
-    rows = cut.where("path IS NOT NULL").select("path", "text_key", "line")
-    classes = components(copy_links(cut.where("signature IS NOT NULL").select("text_key", "signature", "bands"))).withColumnRenamed("node", "text_key")
+    cut = write_table(line_parts(docs), "line-parts")
+    rows = write_table(line_paths(cut.where("parts IS NOT NULL").select("text_key", "line", "tokens", "plain", "parts", "weights"), least), "line-paths")
     # at least so many texts first, which needs no classes
-    several = rows.select("path", "text_key").distinct().groupBy("path").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= least).select("path")
-    held = write_table(rows.join(several, "path", "left_semi").join(classes, "text_key", "left").select("path", "text_key", "line", F.coalesce("component", "text_key").alias("class")), "held-paths")
-    chosen = held.select("path", "class").distinct().groupBy("path").agg(F.count(F.lit(1)).alias("classes")).where(F.col("classes") >= least).select("path")
+    enough = lambda what: F.count(F.lit(1)).alias(what)
+    several = rows.select("path", "text_key", "least").distinct().groupBy("path").agg(enough("texts"), F.max("least").alias("least")).where("texts >= least").select("path")
+    held = write_table(rows.join(several, "path", "left_semi"), "held-paths")
+    classes = components(copy_links(cut.where("signature IS NOT NULL").select("text_key", "signature", "bands"))).withColumnRenamed("node", "text_key")
+    classed = held.join(classes, "text_key", "left").withColumn("class", F.coalesce("component", "text_key"))
+    chosen = classed.select("path", "class", "least").distinct().groupBy("path").agg(enough("classes"), F.max("least").alias("least")).where("classes >= least").select("path")
     lines = held.join(chosen, "path", "left_semi").select("text_key", "line").distinct()
     return lines.groupBy("text_key").agg(F.array_sort(F.collect_list("line")).alias("drop"))
 
@@ -184,21 +230,31 @@ def without_templates(docs: DataFrame, least: int = LEAST_DOCUMENTS, counts: tup
     own; an empty table gives an empty result; further columns are kept. ``counts`` names the columns
     for a text's lines and those dropped, which ``docs`` must not have.
     """
+    docs, names = told_apart(docs, "text")
     key, other, drop = free_names(docs, "text_key", "dropped_key", "drop")
-    gone = recurring_lines(docs, least).select(F.col("text_key").alias(other), F.col("drop").alias(drop))
-    joined = docs.withColumn(key, F.xxhash64(docs["text"])).join(gone, F.col(key) == F.col(other), "left")
+    gone = recurring_lines(docs.select("text"), least).select(F.col("text_key").alias(other), F.col("drop").alias(drop))
+    joined = docs.withColumn(key, F.xxhash64("text")).join(gone, F.col(key) == F.col(other), "left")
     lines = F.split(F.col("text"), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col(drop), i)), "\n")
+    # what stands between one dropped line and the next
+    ends = F.concat(F.array(F.lit(-1)), F.col(drop), F.array(F.size(lines)))
+    between = lambda k: F.slice(lines, F.get(ends, k - 1) + 2, F.get(ends, k) - F.get(ends, k - 1) - 1)
+    kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(1), F.size(ends) - 1), between)), "\n")
     cleaned = F.when(F.col(drop).isNull(), F.col("text")).otherwise(kept)
-    return joined.select(
+    rows = joined.select(
         *[cleaned.alias(c) if c == "text" else F.col(c) for c in docs.columns],
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(counts[0]),
         F.greatest(F.coalesce(F.size(drop), F.lit(0)), F.lit(0)).cast("long").alias(counts[1]),
     )
+    return rows.toDF(*names, *counts)
 
 
 def line_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_dropped, n_chars left and the digest of the text left, per document."""
+    """doc_id, n_lines, n_dropped, n_chars left and the digest of the text left, per document.
+
+    A null text counts as empty: no lines if null, one if empty, none dropped, the digest of the empty
+    string. Null and repeated ids are rows of their own, and equal texts have equal values; an empty table
+    gives an empty result; further columns are ignored. Texts of any length are read whole.
+    """
     cleaned = without_templates(columns_of(docs, "doc_id", "text"), counts=("n_lines", "n_dropped"))
     text = F.coalesce("text", F.lit(""))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
@@ -207,10 +263,11 @@ def line_report(docs: DataFrame) -> DataFrame:
 def cleaned_documents(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """``docs`` without recurring lines and without the documents that were nothing else; n_chars, where
     there is one, follows the text."""
+    docs, names = told_apart(docs, "text", "n_chars")
     total, dropped = free_names(docs, "lines", "dropped")
     cleaned = without_templates(docs, least, (total, dropped))
     empty = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) == 0
     rows = cleaned.where(~((F.col(dropped) > 0) & empty))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col(dropped) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    return rows.select(*docs.columns).toDF(*names)

@@ -20,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..storage import fresh_path, write_table
-from .arrow import columns_of, slices, texts, type_of
+from .arrow import columns_of, slices, spread, texts
 
 UNIT = 576
 FILL = b"\xff"
@@ -116,27 +116,41 @@ class ShardWriter:
             self._out = None
 
 
-_INDEX = [("n_bytes", T.LongType()), ("digest", T.StringType()), ("shard", T.StringType()), ("offset", T.LongType()), ("length", T.LongType())]
+#: Digests that several rows share, up to which they are broadcast; more are joined by shuffle.
+BROADCAST_DIGESTS = 500_000
+
+
+def digest_of_payload(text: Column) -> Column:
+    """sha256 of a text's payload, as ``payload_of`` makes it."""
+    raw = F.coalesce(text, F.lit("")).cast("binary")
+    filled = F.greatest(F.lit(1), F.ceil(F.octet_length(raw) / UNIT)).cast("int") * UNIT
+    return F.sha2(F.concat(raw, F.unhex(F.repeat(F.lit("FF"), filled - F.octet_length(raw)))), 256)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it is small enough."""
+    return F.broadcast(df) if df.limit(BROADCAST_DIGESTS + 1).count() <= BROADCAST_DIGESTS else df
 
 
 def store(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """doc_id, n_bytes, digest, shard, offset and length; the shards are written as rows are made.
+    """doc_id, digest, n_bytes, shard, offset and length of every row of ``docs`` (doc_id, digest, text);
+    shards are written as rows are made.
 
     Write the result before reading shards, so that each row comes from a task that ended.
     """
-    schema = T.StructType([T.StructField("doc_id", type_of(docs, "doc_id")), *(T.StructField(n, t) for n, t in _INDEX)])
+    fields = [T.StructField(n, T.StringType() if n in ("digest", "shard") else T.LongType()) for n in ("digest", "n_bytes", "shard", "offset", "length")]
+    schema = T.StructType([docs.schema["doc_id"], *fields])
+    kinds = [pa.string() if f.name in ("digest", "shard") else pa.int64() for f in fields]
 
     def write(batches) -> Iterator[pa.RecordBatch]:
         writer, held = ShardWriter(folder, shard_bytes), []
         for batch in slices(batches, 256):
             rows = []
-            for text in texts(batch):
-                payload = payload_of(text)
-                digest = hashlib.sha256(payload).hexdigest()
-                place = writer.place(digest) or writer.add(digest, encode_image(payload))
-                rows.append((len(text.encode("utf-8", "surrogatepass")), digest, *place))
-            columns = list(zip(*rows))
-            held.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.string() if n in ("digest", "shard") else pa.int64()) for (n, _), c in zip(_INDEX, columns))], names=schema.names))
+            for digest, text in zip(batch.column("digest").to_pylist(), texts(batch)):
+                place = writer.place(digest) or writer.add(digest, encode_image(payload_of(text)))
+                rows.append((digest, len(text.encode("utf-8", "surrogatepass")), *place))
+            if rows:
+                held.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names=schema.names))
             if writer.full:
                 writer.close()
                 yield from held
@@ -144,7 +158,7 @@ def store(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES) -> DataF
         writer.close()
         yield from held
 
-    return columns_of(docs, "doc_id", "text").mapInArrow(write, schema)
+    return docs.select("doc_id", "digest", "text").mapInArrow(write, schema)
 
 
 class ShardReader:
@@ -176,14 +190,13 @@ def with_metadata(index: DataFrame, folder: str) -> DataFrame:
 
 
 def with_features(index: DataFrame, folder: str) -> DataFrame:
-    """doc_id, sizes, digests and the feature of every row's payload, read back by its range."""
+    """``index`` with sizes, digests and the feature of every payload, read back by its range."""
     schema = T.StructType([
-        index.schema["doc_id"],
-        *(T.StructField(n, t) for n, t in (
-            ("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()),
-            ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType()), ("width", T.IntegerType()), ("height", T.IntegerType()),
-        )),
+        *index.schema,
+        *(T.StructField(n, T.StringType() if n in ("payload_sha256", "media_sha256", "feature") else T.LongType()) for n in
+          ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")),
     ])
+    kinds = [pa.string() if n in ("payload_sha256", "media_sha256", "feature") else pa.int64() for n in schema.names[-6:]]
 
     def measure(batches):
         reader = ShardReader(folder)
@@ -196,18 +209,41 @@ def with_features(index: DataFrame, folder: str) -> DataFrame:
                 if found != digest:
                     raise ValueError(f"member {digest} of {shard} holds {found}")
                 rows.append((len(payload), found, zlib.crc32(payload[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), feature_of(payload)))
-            columns = [pa.array(c, pa.string() if isinstance(c[0], str) else pa.int64()) for c in zip(*rows)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns, batch.column("width"), batch.column("height")], names=schema.names)
+            if rows:
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names=schema.names)
 
     return index.mapInArrow(measure, schema)
 
 
-def media_columns(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+_COLUMNS = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "shard", "offset", "length")
+
+
+def media_columns(docs: DataFrame, folder: str | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Store every text as an image, fill in metadata by header reads, and compute features of what is read back.
 
+    A payload is stored once, whatever task its copies are in: digests that several rows have are known
+    before anything is written, the row with the least id stores, and the others are given its place and
+    values. Only ids and digests are shuffled, never texts, unless more than ``BROADCAST_DIGESTS``
+    payloads have copies. shard, offset and length name the place in ``folder``, which stays; left
+    out, it is a folder of the shared one that goes when the application ends.
+
     A null or empty text is one unit of fill bytes. Null and repeated ids are rows of their own; equal
-    texts get equal values; an empty table gives an empty result; further columns are ignored.
+    texts get equal values (rows of one id and one text may be stored more than once, and name one
+    place); an empty table gives an empty result; further columns are ignored.
     """
-    folder = fresh_path(docs.sparkSession, "media")
-    index = write_table(store(docs, folder, shard_bytes), "media-index")
-    return with_features(with_metadata(index, folder), folder)
+    folder = folder or fresh_path(docs.sparkSession, "media")
+    rows = spread(columns_of(docs, "doc_id", "text")).withColumn("digest", digest_of_payload(F.col("text")))
+    digests = write_table(rows.select("doc_id", "digest"), "media-digests")
+    copied = digests.groupBy("digest").agg(F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("digest").alias("copied"), "owner")
+    copied = write_table(copied, "media-copied")
+    marked = rows.join(_small(copied), F.col("digest") == F.col("copied"), "left")
+    owns = F.col("copied").isNull() | F.col("doc_id").eqNullSafe(F.col("owner"))
+    index = write_table(store(marked.where(owns), folder, shard_bytes), "media-index")
+    # rows that agree in id and text have all been given; the first place holds
+    twice = index.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("shard", "offset", "length", "n_bytes", "doc_id")).alias("first")).where("n > 1").select("digest", "first.*")
+    twice = write_table(twice, "media-twice").select(*index.columns)
+    single = index.join(_small(twice.select("digest")), "digest", "left_anti").select(*index.columns).union(twice)
+    found = with_features(with_metadata(single, folder), folder)
+    alike = digests.join(_small(copied), F.col("digest") == F.col("copied")).select(F.col("digest").alias("_digest"), F.col("doc_id").alias("_id"))
+    given = found.join(_small(write_table(alike, "media-alike")), F.col("digest") == F.col("_digest"), "left")
+    return given.select(F.when(F.col("_digest").isNull(), F.col("doc_id")).otherwise(F.col("_id")).alias("doc_id"), *_COLUMNS)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..storage import write_table
-from .arrow import free_names
+from .arrow import columns_of, free_names, told_apart
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -40,7 +40,8 @@ def _draw(*parts: Column) -> Column:
 
 
 def sized(docs: DataFrame, *keep: Column) -> DataFrame:
-    return docs.select(docs["doc_id"], docs["source"], *keep, F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    docs = columns_of(docs, "doc_id", "source", "text")
+    return docs.select("doc_id", "source", *keep, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -149,7 +150,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     Rows that agree in id, source and text share their copies: the copies of such a group together
     are what ``copies`` gives its rows, dealt to one row of the group.
     """
-    text_key = F.xxhash64(docs["text"])
+    docs, names = told_apart(docs, "doc_id", "source", "text")
+    text_key = F.xxhash64("text")
     found = copies(docs, weights, cap, seed, chunk, keep=(("text_key", text_key),))
     wanted = found.groupBy("doc_id", "source", "text_key").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     n, rows, key, of_id, of_source, of_text, copy = free_names(docs, "copies", "rows", "key", "of_id", "of_source", "of_text", "copy")
@@ -159,4 +161,4 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     joined = keyed.join(wanted, same)
     single = joined.where(F.col(rows) == 1)
     repeated = joined.where(F.col(rows) > 1).dropDuplicates([of_id, of_source, of_text])
-    return single.unionByName(repeated).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
+    return single.unionByName(repeated).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns).toDF(*names)

@@ -8,11 +8,10 @@ region, by distance in the order: the next ``NEAREST`` in the first round, the w
 sketches (two bits of each of 128 values) agree well enough. Candidates are confirmed on full sets, and
 only confirmed links make components.
 
-Depth adapts by region. A region of more than ``DENSE`` members is not searched; its members go to the
-next level of ``LEVELS``, where prefixes are longer and trees more, so that what is only somewhat alike
-comes apart while a pair at the threshold still meets. What is dense at the last level too is searched
-in runs of ``DENSE`` in sorted order, and then, where it isn't one component, by all pairs of blocks,
-which loses nothing.
+Depth adapts by region. Of a region of more than ``DENSE`` members only neighbours are looked at. If it
+isn't one component after that, its members go to the next level of ``LEVELS``, where prefixes are
+longer and trees more, so that what is only somewhat alike comes apart while a pair at the threshold
+still meets. What is dense at the last level too is compared by all pairs of blocks, which loses nothing.
 
 Two sets at the threshold of 0.8 miss each other in all trees of the first level with probability
 (1 - 0.8 ** 4) ** 32 = 5e-8; the sketch fails them with 2e-6; a pair that only meets in dense regions
@@ -31,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import write_table
-from .arrow import columns_of, free_names, slices, spread, texts
+from .arrow import columns_of, free_names, slices, spread, texts, told_apart
 from .components import components
 from .shingles import mixed, shingle_set, signature
 
@@ -39,8 +38,9 @@ WIDTH = 5
 NEEDED = 80
 #: Members of the largest region that is searched whole.
 DENSE = 1024
-#: Distances in sorted order that the first round looks at; the second takes the whole region.
-NEAREST = 3
+#: Trees of the first round, about, and the distance in sorted order that the second looks at.
+FEW = 4
+NEAREST = 2
 #: Values of the sketch, two bits each, and how many deviations below the expected a pair may agree.
 SKETCH = 128
 _DEVIATIONS = 5.0
@@ -213,18 +213,22 @@ def candidates(regions: DataFrame, low: int, high: int, needed: int, known: Data
     return rows.mapInArrow(look, "a long, b long").where("a < b").distinct()
 
 
-def dense_candidates(dense: DataFrame, needed: int, known: DataFrame) -> DataFrame:
-    """(a, b): the same for all pairs of a large region's members, in pairs of blocks of ``DENSE``.
+def mixed_regions(dense: DataFrame, known: DataFrame) -> DataFrame:
+    """prefix of the large regions whose members are not all of one component."""
+    members = dense.select("prefix", F.explode("reps").alias("rep")).join(known.withColumnRenamed("node", "rep"), "rep", "left")
+    component = F.coalesce("component", "rep")
+    return members.groupBy("prefix").agg(F.min(component).alias("x"), F.max(component).alias("y")).where("x <> y").select("prefix")
 
-    Only regions that aren't one component yet are looked at.
-    """
+
+def dense_candidates(dense: DataFrame, needed: int, known: DataFrame) -> DataFrame:
+    """(a, b): the same for all pairs of a large region's members, in pairs of blocks of ``DENSE``."""
     most, names = _most_apart(needed), ["rep", "component", *_S]
     place = F.posexplode("reps").alias("at", "rep")
     sketch = [F.get("sketch", F.col("at") * 4 + i).alias(s) for i, s in enumerate(_S)]
     members = dense.select("prefix", "sketch", place).select("prefix", "rep", *sketch).join(known.withColumnRenamed("node", "rep"), "rep", "left")
     members = write_table(members.withColumn("component", F.coalesce("component", "rep")), "dense-members")
-    several = members.groupBy("prefix").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / DENSE).cast("int").alias("blocks")).where("x <> y").select("prefix", "blocks")
-    placed = members.join(several, "prefix").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    sizes = members.groupBy("prefix").agg(F.ceil(F.count(F.lit(1)) / DENSE).cast("int").alias("blocks"))
+    placed = members.join(sizes, "prefix").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.select("prefix", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", *names)
 
@@ -285,12 +289,18 @@ def linked(docs: DataFrame, classes: DataFrame, same: DataFrame, width: int, nee
     for k, level in enumerate(LEVELS):
         last = k == len(LEVELS) - 1
         regions, dense = regions_of(write_table(runs(entries(members, level), DENSE), "runs"), DENSE)
-        searched = write_table(regions.union(dense) if last else regions, "regions")
-        confirm(candidates(searched, 0, NEAREST, needed, known))
-        confirm(candidates(searched, NEAREST, DENSE, needed, known))
-        dense = write_table(dense, "dense")
+        regions, dense = write_table(regions, "regions"), write_table(dense, "dense")
+        both = regions.union(dense)
+        # a family of near copies is one component after the first round, and has no more candidates
+        confirm(candidates(both.where(F.pmod("prefix", F.lit(level.trees // FEW)) == 0), 0, 1, needed, known))
+        confirm(candidates(both, 0, NEAREST, needed, known))
+        confirm(candidates(regions, NEAREST, DENSE, needed, known))
         if not dense.limit(1).count():
             break
+        mixed_ones = write_table(mixed_regions(dense, known), "mixed")
+        if not mixed_ones.limit(1).count():
+            break
+        dense = dense.join(mixed_ones, "prefix", "left_semi")
         if last:
             confirm(dense_candidates(dense, needed, known))
             break
@@ -334,6 +344,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, needed: int = NEEDED) -
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, needed: int = NEEDED) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group the document with the least id stays."""
+    docs, names = told_apart(docs, "doc_id", "text")
     (name,) = free_names(docs, "gone")
     gone = near_duplicates(docs, width, needed).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col(name), "left_anti")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti").toDF(*names)

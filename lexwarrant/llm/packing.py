@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import write_table
-from .arrow import columns_of, slices, texts, type_of
+from .arrow import columns_of, slices, spread, texts, type_of
 from .vocabularies import word_bpe
 
 CAPACITY = 2048
@@ -190,7 +190,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocab_dir: str | Non
                 names=schema.names,
             )
 
-    return columns_of(docs, "doc_id", "text").mapInArrow(cut, schema)
+    return spread(columns_of(docs, "doc_id", "text")).mapInArrow(cut, schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:

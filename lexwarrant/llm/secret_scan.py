@@ -11,11 +11,13 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from .arrow import columns_of, slices, texts, type_of
+from .arrow import columns_of, slices, spread, texts, type_of
 from .vocabularies import BYTE_RANKS, vocab_path
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -30,6 +32,8 @@ _SHORTEST = 16
 _RUN = re.compile(rf"[A-Za-z0-9_+/=.-]{{{_SHORTEST},}}")
 #: At most so many characters per token; words and identifiers have more.
 CHARS_PER_TOKEN = 2.0
+#: Characters that are encoded at once, as encoding takes longer than in proportion; a longer run is several such parts.
+_AT_ONCE = 2_048
 _DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _DIGEST = re.compile(r"(?:sha\d+[-_=.:]?|md5[-_=.:]?)?([0-9a-fA-F]+)\Z")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
@@ -47,7 +51,7 @@ class TokenEfficiency:
         self._encode = tiktoken.Encoding("ranks", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def chars_per_token(self, run: str) -> float:
-        return len(run) / len(self._encode(run))
+        return len(run) / sum(len(self._encode(run[i : i + _AT_ONCE])) for i in range(0, len(run), _AT_ONCE))
 
     def random(self, run: str) -> bool:
         if len(run) < _SHORTEST or not any(c.isalpha() for c in run):
@@ -75,12 +79,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], scan: TokenEfficiency) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of inefficient runs that no span of ``taken`` overlaps."""
+    """(start, kind, end) of inefficient runs that no span of ``taken`` (in order) overlaps."""
+    starts = [s for s, _, _ in taken]
+    furthest = list(accumulate((e for _, _, e in taken), max))  # spans of different kinds may overlap
     found = []
     for m in _RUN.finditer(text):
         run = m[0].rstrip(".-=")
         start, end = m.start(), m.start() + len(run)
-        if scan.random(run) and not any(s < end and start < e for s, _, e in taken):
+        before = bisect_left(starts, end)  # these begin before the run ends
+        if not (before and furthest[before - 1] > start) and scan.random(run):
             found.append((start, 3, end))
     return found
 
@@ -118,4 +125,4 @@ def scan_documents(docs: DataFrame, vocab_dir: str | None = None) -> DataFrame:
             n = [pa.array([c[i] for c in counts], pa.int64()) for i in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *n[:3], pa.array(digests, pa.string()), pa.array(joined, pa.string()), n[3]], names=schema.names)
 
-    return columns_of(docs, "doc_id", "text").mapInArrow(scan, schema)
+    return spread(columns_of(docs, "doc_id", "text")).mapInArrow(scan, schema)

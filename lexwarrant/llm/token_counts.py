@@ -19,7 +19,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from .arrow import columns_of, slices, texts, type_of
+from .arrow import columns_of, slices, spread, texts, type_of
 from .vocabularies import PIECE_BPE, Cache, vocab_path
 
 LIMIT = 4096
@@ -160,7 +160,7 @@ def count_tokens(docs: DataFrame, limit: int = LIMIT, vocab_dir: str | None = No
                 names=schema.names,
             )
 
-    return columns_of(docs, "doc_id", "text").mapInArrow(count, schema)
+    return spread(columns_of(docs, "doc_id", "text")).mapInArrow(count, schema)
 
 
 def prefix_tables(docs: DataFrame, vocab_dir: str | None = None) -> DataFrame:

@@ -1,12 +1,14 @@
-"""Toxicity by compression distance between dictionaries of ordinary and of toxic text.
-
-Two zstandard dictionaries share a part trained on ordinary windows; the second also holds toxic
-passages: words that toxic documents use in many different surroundings and ordinary ones don't (a word
-counts once for each word it follows, so copies of a document don't count again). A window of a text is
-compressed with both. Where the toxic dictionary saves bytes, the window's words are compressed one by
-one between two stretches that both dictionaries know, which gives for each word the bytes it saves and
-the bytes it still costs. A logistic model of a document's best savings, fitted on labelled documents
-that the dictionaries were not made from, turns them into a probability.
+"""Toxicity by compression distance between trained dictionaries of ordinary and of toxic text.
+
+One zstandard dictionary is trained on windows of ordinary documents. The other is trained on what
+windows of toxic documents hold beyond that: words that the ordinary dictionary can't compress and that
+stand in more different surroundings in toxic documents than ordinary ones let expect (a word counts
+once for each word it follows, so copies of a document don't count again). A window of a text is
+compressed with the ordinary dictionary alone and with both; the bytes saved are the distance. Where
+a window saves some, its words are compressed one by one between two stretches that both sides know,
+which gives for each word the bytes it saves and the bytes it still costs. A logistic model of a
+document's best savings, fitted on labelled documents that the dictionaries weren't trained on, turns
+them into a probability.
 """
 
 from __future__ import annotations
@@ -21,23 +23,24 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import write_table
-from .arrow import columns_of, held_out, slices, texts, type_of
+from .arrow import columns_of, held_out, slices, spread, texts, type_of
 from .vocabularies import Cache
 
 #: Labelled documents of either class the dictionaries are made from, and those for calibration, at most about.
 SAMPLE_DOCUMENTS = 6_000
 CALIBRATION_DOCUMENTS = 4_000
+#: Characters of a document the dictionaries are trained on.
 SAMPLE_CHARS = 20_000
-#: Ordinary windows a dictionary is trained on, about, and its size.
+#: Ordinary windows a dictionary is trained on, about, and the largest size of either dictionary.
 SAMPLE_WINDOWS = 20_000
 DICTIONARY_BYTES = 65_536
-#: Toxic words in the dictionary, at most.
-TOXIC_WORDS = 4_096
 WINDOW_WORDS = 8
 #: Bytes a window must save to be looked at word by word.
 WINDOW_SAVES = 2
-#: How far the use of a word in toxic documents must exceed the expected, in deviations and as a ratio.
-LEAST_Z, LEAST_RATIO, LEAST_CONTEXTS = 5.0, 8.0, 3
+#: Bytes a word must cost under the ordinary dictionary to be unknown to it.
+UNKNOWN = 3
+#: How far the use of an unknown word in toxic documents must exceed the expected, in deviations and as a ratio.
+LEAST_Z, LEAST_RATIO, LEAST_CONTEXTS = 4.0, 8.0, 3
 THRESHOLD = 0.3
 _MARK = b"\x01"
 _STRIP = b".,!?;:\"'()[]"
@@ -89,6 +92,11 @@ class Scorer:
         self._base = int(self._ordinary.lengths(empty)[0]), int(self._toxic.lengths(empty)[0])
         self._seen: Cache = Cache(None)
 
+    def unknown(self, words: list[bytes]) -> list[bool]:
+        """Whether each word costs ``UNKNOWN`` bytes or more under the ordinary dictionary."""
+        framed = [self._before + _MARK + b" " + w + b" " + _MARK + self._after for w in words]
+        return (self._ordinary.lengths(framed) - self._base[0] >= UNKNOWN).tolist()
+
     def _gains(self, words: list[bytes]) -> np.ndarray:
         """For each word: bytes saved, less twice the bytes it still costs."""
         self._seen.trim()
@@ -99,18 +107,24 @@ class Scorer:
         return np.fromiter(map(self._seen.__getitem__, words), float, len(words))
 
     def features(self, text: str) -> np.ndarray:
-        """Best and second best gain, number of good ones, and windows, as numbers of like size."""
+        """Best and second best word gain, number of good ones, windows, and what the best windows save, as
+        numbers of like size."""
         parts = windows_of(text)
-        best, second, good = 0.0, 0.0, 0
+        best, second, good, top, next_ones = 0.0, 0.0, 0, 0, 0
         if parts and self.model.toxic:
             framed = [p + self._after for p in parts]
             saved = self._ordinary.lengths(framed) - self._toxic.lengths(framed)
+            order = np.sort(np.maximum(saved, 0))[::-1]
+            top, next_ones = int(order[0]), int(order[1:4].sum())
             words = [w.strip(_STRIP) for i in np.nonzero(saved >= WINDOW_SAVES)[0] for w in parts[i].split()]
             if words:
                 gains = np.maximum(self._gains(words), 0)
-                top = np.sort(gains)[-2:]
-                best, second, good = float(top[-1]), float(top[0]) if len(top) > 1 else 0.0, int((gains >= 3).sum())
-        return np.array([1.0, min(best, 8) / 4, min(second, 8) / 4, np.log1p(good), np.log1p(len(parts)) / 4, np.log1p(good) / np.log1p(len(parts) + 1)])
+                high = np.sort(gains)[-2:]
+                best, second, good = float(high[-1]), float(high[0]) if len(high) > 1 else 0.0, int((gains >= 3).sum())
+        return np.array([
+            1.0, min(best, 8) / 4, min(second, 8) / 4, np.log1p(good), np.log1p(len(parts)) / 4, np.log1p(good) / np.log1p(len(parts) + 1),
+            min(top, 12) / 6, min(next_ones, 24) / 12,
+        ])
 
     def probability(self, features: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(features @ np.array(self.model.weights), -30, 30))))
@@ -136,53 +150,110 @@ def _sampled(rows: DataFrame, name: str, most: int) -> DataFrame:
     return rows.where(draw < share)
 
 
-def toxic_words(sample: DataFrame) -> list[str]:
-    """Words that toxic documents use in more surroundings than ordinary ones let expect, the strongest last."""
-    words = F.filter(F.transform(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), lambda w: F.regexp_replace(w, r"""^[.,!?;:"'()\[\]]+|[.,!?;:"'()\[\]]+$""", "")), lambda w: F.length(w) > 0)
-    listed = sample.select("toxic", words.alias("w"))
-    pairs = listed.select("toxic", F.explode(F.arrays_zip(F.concat(F.array(F.lit("")), "w").alias("before"), F.col("w").alias("word"))).alias("p")).where(F.col("p.word").isNotNull())
-    contexts = pairs.select("toxic", "p.before", "p.word").distinct()
-    used = contexts.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("c1"), F.count_if(F.col("toxic") == 0).alias("c0"))
-    sizes = {r["toxic"]: r["n"] for r in listed.groupBy("toxic").agg(F.sum(F.size("w")).alias("n")).collect()}
-    if not sizes.get(1) or not sizes.get(0):
-        return []
-    expected = (F.col("c0") + 0.5) * (sizes[1] / sizes[0])
-    z = (F.col("c1") - expected) / F.sqrt(expected + 1)
-    strong = used.withColumn("z", z).where((F.col("z") >= LEAST_Z) & (F.col("c1") >= LEAST_CONTEXTS) & (F.col("c1") >= LEAST_RATIO * expected) & (F.length("word") >= 3))
-    return [r["word"] for r in strong.orderBy(F.col("z").desc(), "word").limit(TOXIC_WORDS).collect()][::-1]
+def words_of(text: str) -> list[bytes]:
+    return [w.strip(_STRIP) for w in text.lower().encode("utf-8", "surrogatepass").split()]
+
+
+def _trained(samples: list[bytes]) -> bytes:
+    """A dictionary of the samples; too few to train on are one as they are."""
+    if len(samples) < 100:
+        return b"".join(samples)
+    return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 4 + 256), samples, k=64, d=6).as_bytes()
 
 
 def _ordinary_dictionary(sample: DataFrame) -> bytes:
+    """Trained on windows of ordinary documents, drawn by a hash."""
     rows = sample.where("toxic = 0")
-    schema = T.StructType([T.StructField("window", T.BinaryType())])
     share = SAMPLE_WINDOWS / max(1, rows.agg(F.sum(F.length("text"))).first()[0] or 0) * 6 * WINDOW_WORDS
 
     def draw(batches):
         import zlib
 
         for batch in batches:
-            found = [w for t in texts(batch) for i, w in enumerate(windows_of(t)) if zlib.crc32(b"%d:" % i + w) < share * (1 << 32)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["window"])
-
-    found = [bytes(r["window"]) for r in rows.select("text").mapInArrow(draw, schema).orderBy("window").collect()]
-    if len(found) < 100:
-        return b" ".join(found)
-    return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, found)) // 4 + 256), found, k=64, d=6).as_bytes()
+            found = {w for t in texts(batch) for i, w in enumerate(windows_of(t)) if zlib.crc32(b"%d:" % i + w) < share * (1 << 32)}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.binary())], names=["window"])
+
+    return _trained(sorted({bytes(r["window"]) for r in rows.select("text").mapInArrow(draw, "window binary").collect()}))
+
+
+def unknown_words(sample: DataFrame, ordinary: bytes) -> list[bytes]:
+    """Words unknown to the ordinary dictionary that toxic documents use in more surroundings than
+    ordinary ones let expect. They come from a bounded sample, so they are few."""
+    none = Model(ordinary, b"")
+
+    def look(batches):
+        scorer = scorer_of(none)
+        for batch in slices(batches, 64):
+            found = set()
+            for toxic, text in zip(batch.column("toxic").to_pylist(), texts(batch)):
+                words = words_of(text)
+                distinct = [w for w in set(words) if len(w) >= 3]
+                strange = {w for w, u in zip(distinct, scorer.unknown(distinct)) if u}
+                found |= {(toxic, before, w) for before, w in zip([b"", *words], words) if w in strange}
+            columns = list(zip(*found)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["toxic", "before", "word"])
+
+    contexts = sample.select("toxic", "text").mapInArrow(look, "toxic int, before binary, word binary").distinct()
+    used = contexts.groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("c1"), F.count_if(F.col("toxic") == 0).alias("c0"))
+    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.sum(F.length("text")).alias("n")).collect()}
+    if not sizes.get(1) or not sizes.get(0):
+        return []
+    expected = (F.col("c0") + 0.5) * (sizes[1] / sizes[0])
+    strong = used.where((F.col("c1") - expected >= LEAST_Z * F.sqrt(expected + 1)) & (F.col("c1") >= LEAST_CONTEXTS) & (F.col("c1") >= LEAST_RATIO * expected))
+    return sorted(bytes(r["word"]) for r in strong.select("word").collect())
+
+
+def _toxic_dictionary(sample: DataFrame, ordinary: bytes) -> bytes:
+    """Trained on the stretches of toxic windows that are made of such words, marked off at both ends."""
+    held = frozenset(unknown_words(sample, ordinary))
+    if not held:
+        return b""
+
+    def stretches(batches):
+        for batch in slices(batches, 256):
+            found = []
+            for text in texts(batch):
+                for part in windows_of(text):
+                    run: list[bytes] = []
+                    for w in [*(x.strip(_STRIP) for x in part.split()), b""]:
+                        if w in held:
+                            run.append(w)
+                        elif run:
+                            found.append(_MARK + b" " + (b" " + _MARK + b" ").join(run) + b" " + _MARK)
+                            run = []
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["stretch"])
+
+    found = sample.where("toxic = 1").select("text").mapInArrow(stretches, "stretch binary").groupBy("stretch").agg(F.count(F.lit(1)).alias("n")).collect()
+    times = {bytes(r["stretch"]): int(r["n"]) for r in found}
+    # a stretch that copies repeat counts less than one that many documents use
+    trained = _trained([s for s in sorted(times) for _ in range(1 + times[s].bit_length())])
+    # training chooses segments that may begin or end inside a stretch; those it has cut follow whole, the
+    # most used last, as far as the dictionary's size allows
+    whole, room = [], DICTIONARY_BYTES - len(trained)
+    for s in sorted(times, key=lambda s: (-times[s], s)):
+        if s not in trained and len(s) <= room:
+            whole.append(s)
+            room -= len(s)
+    return trained + b"".join(reversed(whole))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Dictionaries and calibration from labelled documents that are not held out; two thirds make the
-    dictionaries, one third the calibration. Labels other than 0 and 1 are left out."""
-    known = labels.select(labels["doc_id"], labels["toxic"].cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = columns_of(docs, "doc_id", "text").where(~held_out()).where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
+    dictionaries, one third the calibration. Labels other than 0 and 1 are left out.
+
+    The ids drawn are bounded by the sample sizes, so they are broadcast and no text is shuffled.
+    """
+    docs = columns_of(docs, "doc_id", "text")
+    labels = columns_of(labels, "doc_id", "toxic")
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = docs.where(~held_out()).where(F.col("text").isNotNull())
     third = F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 4) % 3
-    both = known.join(docs.select("doc_id").where(~held_out()), "doc_id", "left_semi").withColumn("third", third)
+    both = write_table(known.join(docs.select("doc_id").where(~held_out()), "doc_id", "left_semi").withColumn("third", third), "labelled")
     chosen = _sampled(both.where("third <> 0"), "dictionary", SAMPLE_DOCUMENTS).unionByName(_sampled(both.where("third = 0"), "calibration", CALIBRATION_DOCUMENTS))
-    sample = write_table(rows.join(chosen, "doc_id"), "toxic-sample")
-    training = sample.where("third <> 0")
-    passages = toxic_words(training)
-    toxic = _MARK + b"".join(b" " + w.encode("utf-8", "surrogatepass") + b" " + _MARK for w in passages) if passages else b""
-    model = Model(_ordinary_dictionary(training), toxic)
+    sample = write_table(rows.join(F.broadcast(chosen), "doc_id"), "toxic-sample")
+    training = sample.where("third <> 0").withColumn("text", F.substring("text", 1, SAMPLE_CHARS))
+    ordinary = _ordinary_dictionary(training)
+    model = Model(ordinary, _toxic_dictionary(training, ordinary))
     size = len(Scorer(model).features(""))
     schema = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
 
@@ -192,9 +263,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
             found = [scorer.features(t).tolist() for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.float64()))], names=schema.names)
 
-    measured = sample.where("third = 0").select("toxic", "text").mapInArrow(measure, schema).orderBy("toxic", "x").toArrow()
-    y = np.array(measured.column("toxic").to_pylist(), float)
-    x = np.array(measured.column("x").to_pylist(), float).reshape(len(y), size)
+    measured = sorted((r["toxic"], r["x"]) for r in sample.where("third = 0").select("toxic", "text").mapInArrow(measure, schema).collect())
+    y = np.array([t for t, _ in measured], float)
+    x = np.array([v for _, v in measured], float).reshape(len(y), size)
     if len(y):
         # the classes count as often as they do among labelled documents, not in the sample
         true = {r["toxic"]: r["n"] for r in both.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -202,7 +273,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         if 0 < y.sum() < len(y) and true.get(0) and true.get(1):
             weights[0] += np.log(true[1] / true[0]) - np.log(y.sum() / (len(y) - y.sum()))
     else:
-        weights = np.array([-4.0, 2.0, 1.0, 1.0, 0.0, 0.0])
+        weights = np.array([-4.0, 2.0, 1.0, 1.0, 0.0, 0.0, 0.5, 0.5])
     model.weights = tuple(weights.tolist())
     return model
 
@@ -241,4 +312,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, model: Model | None = No
             found = [scorer.probability(scorer.features(t)) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(found, pa.float64()), pa.array([int(p >= THRESHOLD) for p in found], pa.int32())], names=schema.names)
 
-    return docs.select(docs["doc_id"], docs["text"]).withColumn("held_out", held_out()).mapInArrow(score, schema)
+    return spread(columns_of(docs, "doc_id", "text")).withColumn("held_out", held_out()).mapInArrow(score, schema)

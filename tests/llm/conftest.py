@@ -21,13 +21,15 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = ("copies", "rows", "key", "drop", "dropped", "lines", "text_key", "held_out", "block", "role", "rep", "zone", "size", "target", "score", "component_id", "kept", "piece", "lot", "chunk", "gone", "label", "share")
 
 
-@pytest.fixture(params=["plain", "clashing", "empty"])
+@pytest.fixture(params=["plain", "clashing", "cases", "empty"])
 def odd(request, spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(ODD if request.param != "empty" else [], SCHEMA)
     if request.param == "clashing":
         df = df.select("*", *[F.lit(f"x{i}").alias(c) for i, c in enumerate(CLASHING)])
+    if request.param == "cases":  # names that differ from the operators' columns in case only
+        df = df.toDF("doc_id", "text", "lang", "source", "n_chars").withColumns({f"x{i}": F.lit("x") for i in range(5)}).toDF("doc_id", "text", "lang", "source", "n_chars", "TEXT", "Doc_Id", "LANG", "Source", "N_chars")
     df.rows = ODD if request.param != "empty" else []
     return df
 

@@ -1,10 +1,13 @@
 import hashlib
 import random
 import re
+import string
 import tarfile
+import time
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexwarrant.llm import fingerprints as P, media as M, secret_scan as S
 
@@ -37,9 +40,15 @@ def test_span_hashes_and_extensions():
     assert P.PrefixHashes.of("").fingerprint(P.PrefixHashes.of("").sketch()) == "0.0000000000000000."
 
 
-@pytest.mark.parametrize("block_rows", [2000, 20])
-def test_fingerprints(sample, block_rows):
-    got = {r["doc_id"]: r for r in P.fingerprint_documents(sample, block_rows).collect()}
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_fingerprints(spark, sample, monkeypatch, ranges):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    try:
+        got = {r["doc_id"]: r for r in P.fingerprint_documents(sample).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     ids = sorted(sample.texts, reverse=True)
     assert set(got) == set(ids)
     of = {}
@@ -59,7 +68,7 @@ def test_fingerprints(sample, block_rows):
 
 
 def test_fingerprints_of_odd_rows(odd):
-    got = P.fingerprint_documents(odd, 2).collect()
+    got = P.fingerprint_documents(odd).collect()
     assert len(got) == len(odd.rows)
     rows = sorted(odd.rows, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] is not None, r[1] or "")))
     expected = []
@@ -112,6 +121,51 @@ def test_kinds(text, kinds):
     assert [S.KINDS[k] for _, k, _ in sorted(base + more)] == kinds
 
 
+def plain_random(text, base, encode):
+    """Random runs by the rule as it is stated, character by character."""
+    chars, found, i = set(string.ascii_letters + string.digits + "_+/=.-"), [], 0
+    while i < len(text):
+        j = i
+        while j < len(text) and text[j] in chars:
+            j += 1
+        run = text[i:j]
+        while run and run[-1] in ".-=":
+            run = run[:-1]
+        if j - i >= 16 and len(run) >= 16 and any(c.isalpha() for c in run) and not any(s < i + len(run) and i < e for s, _, e in base):
+            bare = run
+            for before in ("sha1", "sha224", "sha256", "sha384", "sha512", "md5"):
+                if run.startswith(before):
+                    bare = run[len(before) :].lstrip("-_=.:")
+            digest = all(c in string.hexdigits for c in bare) and len(bare) in (32, 40, 56, 64, 96, 128)
+            groups = run.split("-")
+            uuid = [len(g) for g in groups] == [8, 4, 4, 4, 12] and all(c in string.hexdigits for g in groups for c in g)
+            parts = [p for p in re.split(r"[-_./=+]", run)]
+            one = lambda p: not p or p.isdigit() or (p.isalpha() and (p.isupper() or p[1:].islower() or (len(p) == 1)))
+            identifier = len(parts) > 1 and all(map(one, parts))
+            if not (digest or uuid or identifier) and len(run) <= 2 * len(encode(run)):
+                found.append((i, 3, i + len(run)))
+        i = max(j, i + 1)
+    return found
+
+
+def test_random_spans_by_brute_force(sample):
+    scan = S.token_efficiency()
+    rnd = random.Random(6)
+    made = ["".join(rnd.choice(string.ascii_letters + string.digits + "-_./=+ ") for _ in range(400)) for _ in range(100)]
+    made += ["sha256-" + "ab12" * 16, "x" * 40 + " Sun_light-2020.html/Index_page", "550e8400-e29b-41d4-a716-446655440000 q" * 3]
+    for text in [*sample.texts.values(), *made]:
+        base = S.base_spans(text)
+        assert S.random_spans(text, base, scan) == plain_random(text, base, scan._encode)
+
+
+@pytest.mark.parametrize("text", ["=" * 300_000, "a" * 300_000, "0123456789abcdef" * 18_750, "kQ" * 150_000, "secret" + " " * 300_000, "token=abcdefghijklmnop " * 13_000])
+def test_long_runs_take_little_time(text):
+    began = time.time()
+    base = S.base_spans(text)
+    S.random_spans(text, base, S.token_efficiency())
+    assert time.time() - began < 3
+
+
 def test_secrets_of_odd_rows(odd):
     got = S.scan_documents(odd).collect()
     assert len(got) == len(odd.rows)
@@ -140,10 +194,35 @@ def test_media_of_odd_rows(odd):
     check_media(M.media_columns(odd).collect(), [r[:2] for r in odd.rows])
 
 
+def test_one_copy_a_digest_over_all_tasks(documents, tmp_path):
+    """The feature by plain arithmetic, too, and every place readable in the folder that stays."""
+    rows = [(i, f"text {i % 5} " * 60, "", "", 1) for i in range(40)] + [(3, "text 3 " * 60, "", "", 1), (None, "text 4 " * 60, "", "", 1), (None, "null " * 200, "", "", 1), (None, "null " * 200, "", "", 1)]
+    got = M.media_columns(documents(rows).repartition(4), f"file://{tmp_path}/kept").collect()
+    check_media(got, [r[:2] for r in rows])
+    places, members = {}, 0
+    for r in got:
+        assert places.setdefault(r["payload_sha256"], (r["shard"], r["offset"], r["length"])) == (r["shard"], r["offset"], r["length"])
+        with open(tmp_path / "kept" / r["shard"], "rb") as f:
+            f.seek(r["offset"])
+            payload = M.decode_image(f.read(r["length"]))
+        assert hashlib.sha256(payload).hexdigest() == r["payload_sha256"]
+        k = len(payload) // 64
+        means = [sum(payload[j * k : j * k + k]) / k for j in range(64)]
+        mean = sum(payload) / len(payload)
+        bits = "".join(str(int(m > sum(means) / 64)) for m in means)
+        deviation = (sum((x - mean) ** 2 for x in payload) / len(payload)) ** 0.5
+        assert r["feature"] == f"{int(bits, 2):016x}:{mean:.4f}:{deviation:.4f}"
+    for shard in (tmp_path / "kept").glob("*.tar"):
+        with tarfile.open(shard) as tar:
+            members += len(tar.getnames())
+    assert members - len(places) <= 2  # rows of one id and text, and of null ids, may be stored each
+
+
 def test_shards_are_tar_files_addressed_by_content(spark, documents, tmp_path):
     rows = [(i, f"text {i % 3}" * 40, "", "", 1) for i in range(9)]
     folder = f"file://{tmp_path}/shards"
-    index = M.store(documents(rows).coalesce(1), folder)
+    docs = documents(rows).withColumn("digest", M.digest_of_payload(F.col("text")))
+    index = M.store(docs.coalesce(1), folder)
     found = index.collect()
     assert len({(r["digest"], r["offset"]) for r in found}) == 3
     with tarfile.open(next((tmp_path / "shards").glob("*.tar"))) as tar:
