@@ -3,8 +3,8 @@
 The template tree has a fixed depth: a line goes to the leaf of its number of tokens and its leading
 token, tokens with a digit being variable fields. In a leaf a line is its ``PARTS`` stretches (single
 tokens, if it has no more), and a stretch that many of the leaf's lines have at that place is a constant,
-others are variable. A template is a set of constants that covers enough of a line (``needed_tokens``);
-fields need no cover.
+others are variable. A template is a set of constants that make up enough of a line (``needed_parts``);
+fields don't count.
 Which constants of a line belong together isn't known before counting, so a line has one path for each
 run of them in the order of their frequency: constants of one template are about equally frequent.
 Leaves are never gathered: counts of stretches and of paths are partial sums over all lines.
@@ -37,22 +37,23 @@ from .vocabularies import Cache
 LEAST_TOKENS = 3
 #: Stretches of a line, at most.
 PARTS = 8
-#: From the first length on one token may vary, from the second this share of them.
-ONE_VARIES, SHARE_VARIES, SHARE = 6, 12, 0.35
+#: From the first length on one stretch may vary, from the second so many.
+ONE_VARIES, SOME_VARY, VARYING = 6, 12, 3
 #: Documents, different as a whole, in which a template must stand; and those for lines of ``LONG`` plain tokens.
 LEAST_DOCUMENTS = 4
 LONG, LEAST_LONG = 50, 2
-#: Frequent stretches up to this many are broadcast; more are joined by shuffle.
-BROADCAST_PARTS = 1_000_000
+#: Frequent pairs of stretches up to this many are broadcast; more are joined by shuffle.
+BROADCAST_PAIRS = 1_000_000
 WIDTH = 5
 #: Values of a signature, and of one band of it.
 BINS = 128
 ROWS = 4
 #: Share of equal values from which on two texts are copies.
-ALIKE = 0.6
+ALIKE = 0.5
 _FIELD = np.uint64(0x5EED)
 _ONE = np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_PLACES = mixed(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
 _digit = re.compile(rb"[0-9]").search
 #: The last bit of a token's hash says whether it has a digit.
 _token_hashes = Cache(lambda token: xxhash.xxh3_64_intdigest(token) & ~1 | bool(_digit(token)))
@@ -63,7 +64,7 @@ def line_tokens(rows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     A token is lower-cased.
     """
-    cut = [text.encode("utf-8", "surrogatepass").lower().split(b"\n") for text in rows]
+    cut = [text.lower().encode("utf-8", "surrogatepass").split(b"\n") for text in rows]
     lines = [line.split() for text in cut for line in text]
     counts = np.fromiter(map(len, lines), np.int64, len(lines))
     hashes = np.fromiter(map(_token_hashes.__getitem__, chain.from_iterable(lines)), np.uint64, int(counts.sum()))
@@ -71,31 +72,28 @@ def line_tokens(rows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, counts, np.fromiter(map(len, cut), np.int64, len(cut))
 
 
-def _shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    h = np.full(max(0, len(hashes) - k + 1), k, np.uint64)
-    for i in range(k):
-        h = mixed(h * _STEP + hashes[i : len(hashes) - k + 1 + i])
-    return h
-
-
-def signatures_of(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+def signatures_of(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """For each text, given its number of tokens, ``BINS`` values: the least hash of its shingles in each bin."""
-    out, at = [], 0
+    padded = np.concatenate([hashes, np.zeros(WIDTH, np.uint64)])
+    shingles = mixed(sum(padded[i : i + len(hashes) + 1] * _PLACES[i] for i in range(WIDTH)))
     bins = np.arange(BINS + 1, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)
-    for n in sizes.tolist():
-        h = np.sort(_shingle_hashes(hashes[at : at + n], min(WIDTH, n))) if n else np.zeros(1, np.uint64)
+    order, out, at = np.arange(BINS), np.empty((len(sizes), BINS), np.uint64), 0
+    for row, n in enumerate(sizes.tolist()):
+        # a text shorter than a shingle is one, with what follows left out
+        if n >= WIDTH:
+            h = np.sort(shingles[at : at + n - WIDTH + 1])
+        else:
+            h = mixed(np.array([sum(int(x) * int(p) for x, p in zip(hashes[at : at + n], _PLACES)) + n & (1 << 64) - 1], np.uint64))
         at += n
-        first = np.searchsorted(h, bins[:BINS])
-        filled = np.nonzero(np.diff(np.append(first, len(h))))[0]
-        to = filled[np.searchsorted(filled, np.arange(BINS)) % len(filled)]
-        away = ((to - np.arange(BINS)) % BINS).astype(np.uint64)
-        out.append(mixed(h[first[to]] + away * _STEP))
-    return out
+        first = np.searchsorted(h, bins)
+        filled = np.nonzero(np.diff(first[:BINS], append=len(h)))[0]
+        to = filled[np.searchsorted(filled, order) % len(filled)]
+        out[row] = h[first[to]] + ((to - order) % BINS).astype(np.uint64) * _STEP
+    return mixed(out)
 
 
 def parts_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(line, plain tokens, number of stretches) of the lines long enough; and (stretches, plain tokens of
-    each) of all these lines in a row.
+    """(line, plain tokens, number of stretches) of the lines long enough, and stretches of all these in a row.
 
     A stretch hashes to the sum of its tokens' hashes mixed with their places in the line, together with
     its leaf and its own place. A token with a digit is a variable field, others are plain; stretches
@@ -114,47 +112,44 @@ def parts_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
     i = np.arange(len(line)) - np.repeat(np.cumsum(parts) - parts, parts)
     begin, end = first[line] + n[line] * i // parts[line], first[line] + n[line] * (i + 1) // parts[line]
     found = mixed(leaf[line] + (sums[end] - sums[begin]) * _STEP + i.astype(np.uint64)).view(np.int64)
-    plain = end - begin - (fields[end] - fields[begin])
-    kept = plain > 0
-    return usable, n - (fields[first + n] - fields[first]), np.bincount(line[kept], minlength=len(usable)), found[kept], plain[kept]
+    kept = fields[end] - fields[begin] < end - begin
+    return usable, n - (fields[first + n] - fields[first]), np.bincount(line[kept], minlength=len(usable)), found[kept]
 
 
 _ROWS = T.StructType([
     *(T.StructField(n, t) for n, t in (("text_key", T.LongType()), ("line", T.IntegerType()), ("tokens", T.IntegerType()), ("plain", T.IntegerType()))),
     T.StructField("parts", T.ArrayType(T.LongType())),
-    T.StructField("weights", T.ArrayType(T.IntegerType())),
     T.StructField("signature", T.BinaryType()),
     T.StructField("bands", T.ArrayType(T.LongType())),
 ])
 
 
 def line_parts(docs: DataFrame) -> DataFrame:
-    """text_key, line, tokens, plain tokens, parts and their plain tokens of every line; and one row a text
-    with its signature and bands instead."""
+    """text_key, line, tokens, plain tokens and parts of every line; and one row a text with its signature and
+    bands instead."""
 
     def cut(batches):
         for batch in slices(batches, 256):
             hashes, counts, lines = line_tokens(texts(batch))
             owner = np.repeat(np.arange(len(lines)), lines)
             sizes = np.bincount(owner, counts, len(lines)).astype(np.int64)
-            line, plain, k, parts, weights = parts_of(hashes, counts)
+            line, plain, k, parts = parts_of(hashes, counts)
             own = owner[line]
             number = line - (np.cumsum(lines) - lines)[own]
             keys = batch.column("text_key").to_numpy(zero_copy_only=False)
-            ends = pa.array(np.append(0, np.cumsum(k)).astype(np.int32))
-            listed = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (parts, weights.astype(np.int32))]
+            listed = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(k)).astype(np.int32)), pa.array(parts))
             none = [pa.nulls(len(own), f) for f in (pa.binary(), pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[own], pa.int64()), pa.array(number.astype(np.int32)), pa.array(counts[line].astype(np.int32)), pa.array(plain.astype(np.int32)), *listed, *none], names=_ROWS.names)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[own], pa.int64()), pa.array(number.astype(np.int32)), pa.array(counts[line].astype(np.int32)), pa.array(plain.astype(np.int32)), listed, *none], names=_ROWS.names)
             rows = np.unique(own)  # a text without such a line has no part in this
             if len(rows):
                 found = signatures_of(hashes, sizes)
-                values = np.array([found[i] for i in rows]).reshape(-1, BINS // ROWS, ROWS)
+                values = found[rows].reshape(-1, BINS // ROWS, ROWS)
                 band = np.tile(np.arange(BINS // ROWS, dtype=np.uint64), (len(rows), 1))
                 for i in range(ROWS):
                     band = mixed(band * _STEP + values[:, :, i])
                 # 16 bits of each value tell others apart well enough
                 said = values.reshape(len(rows), BINS).astype(np.uint16)
-                none = [pa.nulls(len(rows), f) for f in (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))]
+                none = [pa.nulls(len(rows), f) for f in (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays([pa.array(keys[rows], pa.int64()), *none, pa.array([x.tobytes() for x in said], pa.binary()), pa.array(list(band.view(np.int64)), pa.list_(pa.int64()))], names=_ROWS.names)
 
     return spread(docs).select(F.xxhash64("text").alias("text_key"), "text").mapInArrow(cut, _ROWS)
@@ -176,41 +171,46 @@ def copy_links(signed: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(alike, "a long, b long")
 
 
-def needed_tokens(n: Column, plain: Column) -> Column:
-    """Plain tokens that constants must cover in a line of ``n`` tokens, ``plain`` of them no fields."""
-    vary = F.when(n >= SHARE_VARIES, F.floor(n * SHARE)).when(n >= ONE_VARIES, 1).otherwise(0)
-    return F.greatest(plain - vary, F.ceil(plain / 2)).cast("int")
+def needed_parts(tokens: Column, parts: Column) -> Column:
+    """Stretches of a line that constants must be: more than half in any case."""
+    vary = F.when(tokens >= SOME_VARY, VARYING).when(tokens >= ONE_VARIES, 1).otherwise(0)
+    return F.greatest(parts - vary, F.floor(parts / 2) + 1).cast("int")
 
 
 def line_paths(lines: DataFrame, least: int) -> DataFrame:
-    """path, text_key, line and ``least`` (the documents that make the path a recurring template)."""
+    """path, text_key, line and ``least`` (the documents that make the path a recurring template).
+
+    More than half of a recurring line's stretches are constants, so among its stretches in pairs there is a
+    pair of two (or the odd one at the end). Lines without a frequent pair go before stretches are
+    counted one by one; every instance of a recurring template has the same frequent pair and stays.
+    """
     wanted = F.when(F.col("plain") >= LONG, F.lit(min(least, LEAST_LONG))).otherwise(F.lit(least))
-    counted = lines.select(F.explode("parts").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("times"))
-    frequent = write_table(counted.where(F.col("times") >= min(least, LEAST_LONG)), "frequent-parts")
-    if frequent.limit(BROADCAST_PARTS + 1).count() <= BROADCAST_PARTS:
+    part = lambda i: F.get("parts", F.lit(i))
+    pairs = F.explode(F.array(*[part(i).bitwiseXOR(F.coalesce(part(i + 1), F.lit(0).cast("long"))) for i in range(0, PARTS, 2)]))
+    paired = lines.select(pairs.alias("pair")).where("pair IS NOT NULL").groupBy("pair").agg(F.count(F.lit(1)).alias("times"))
+    frequent = write_table(paired.where(F.col("times") >= min(least, LEAST_LONG)), "frequent-pairs")
+    if frequent.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS:
         frequent = F.broadcast(frequent)
-    placed = lines.select("text_key", "line", "tokens", "plain", F.posexplode(F.arrays_zip("parts", "weights")).alias("at", "of"))
-    placed = placed.select("text_key", "line", "tokens", "plain", "at", F.col("of.parts").alias("part"), F.col("of.weights").alias("weight"))
-    constants = placed.join(frequent, "part").where(F.col("times") >= wanted)
-    # a set, since copies of a text have the same rows; at most PARTS of them
-    listed = F.array_sort(F.collect_set(F.struct((-F.col("times")).alias("rare"), "at", "part", "weight")))
-    kept = constants.groupBy("text_key", "line", "tokens", "plain").agg(listed.alias("p"))
-    kept = kept.withColumn("weights", F.col("p.weight")).withColumn("need", needed_tokens(F.col("tokens"), F.col("plain")))
-    covered = lambda x: F.aggregate(x, F.lit(0), lambda total, w: total + w)
-    kept = kept.where(covered(F.col("weights")) >= F.col("need"))
-    m = F.size("p")
-
-    def run(i: Column, j: Column) -> Column:
-        return F.when(covered(F.slice("weights", i, j - i + 1)) >= F.col("need"), F.xxhash64(F.array_sort(F.transform(F.slice("p", i, j - i + 1), lambda x: x["part"]))))
-
-    paths = F.flatten(F.transform(F.sequence(F.lit(1), m), lambda i: F.transform(F.sequence(i, m), lambda j: run(i, j))))
-    return kept.select("text_key", "line", wanted.alias("least"), F.explode(F.array_distinct(F.filter(paths, lambda x: x.isNotNull()))).alias("path"))
+    marked = lines.select("text_key", "line", "tokens", "plain", "parts", pairs.alias("pair")).join(frequent, "pair").where(F.col("times") >= wanted)
+    # copies of a text have the same rows
+    likely = write_table(marked.groupBy("text_key", "line").agg(F.first("tokens").alias("tokens"), F.first("plain").alias("plain"), F.first("parts").alias("parts")), "likely-lines")
+    placed = likely.select("text_key", "line", "tokens", "plain", F.size("parts").alias("k"), F.posexplode("parts").alias("at", "part"))
+    times = placed.groupBy("part").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= min(least, LEAST_LONG))
+    constants = placed.join(times, "part").where(F.col("times") >= wanted)
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("times")).alias("rare"), "at", "part")))  # PARTS at most
+    kept = constants.groupBy("text_key", "line", "tokens", "plain", "k").agg(listed.alias("p")).withColumn("need", needed_parts(F.col("tokens"), F.col("k")))
+    kept = kept.where(F.size("p") >= F.col("need"))
+    m, need = F.size("p"), F.col("need")
+    path = lambda i, n: F.xxhash64(F.array_sort(F.transform(F.slice("p", i, n), lambda x: x["part"])))
+    lengths = F.sequence(need, m)
+    paths = F.flatten(F.transform(lengths, lambda n: F.transform(F.sequence(F.lit(1), m - n + 1), lambda i: path(i, n))))
+    return kept.select("text_key", "line", wanted.alias("least"), F.explode(F.array_distinct(paths)).alias("path"))
 
 
 def recurring_lines(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """text_key and ``drop``: the sorted numbers of the lines of a text that are instances of a recurring template."""
     cut = write_table(line_parts(docs), "line-parts")
-    rows = write_table(line_paths(cut.where("parts IS NOT NULL").select("text_key", "line", "tokens", "plain", "parts", "weights"), least), "line-paths")
+    rows = write_table(line_paths(cut.where("parts IS NOT NULL").select("text_key", "line", "tokens", "plain", "parts"), least), "line-paths")
     # at least so many texts first, which needs no classes
     enough = lambda what: F.count(F.lit(1)).alias(what)
     several = rows.select("path", "text_key", "least").distinct().groupBy("path").agg(enough("texts"), F.max("least").alias("least")).where("texts >= least").select("path")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -167,13 +168,12 @@ def _ordinary_dictionary(sample: DataFrame) -> bytes:
     share = SAMPLE_WINDOWS / max(1, rows.agg(F.sum(F.length("text"))).first()[0] or 0) * 6 * WINDOW_WORDS
 
     def draw(batches):
-        import zlib
-
         for batch in batches:
             found = {w for t in texts(batch) for i, w in enumerate(windows_of(t)) if zlib.crc32(b"%d:" % i + w) < share * (1 << 32)}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.binary())], names=["window"])
 
-    return _trained(sorted({bytes(r["window"]) for r in rows.select("text").mapInArrow(draw, "window binary").collect()}))
+    found = {bytes(r["window"]) for r in rows.select("text").mapInArrow(draw, "window binary").collect()}
+    return _trained(sorted(found, key=lambda w: (zlib.crc32(w), w)))  # training wants samples in no order
 
 
 def unknown_words(sample: DataFrame, ordinary: bytes) -> list[bytes]:

@@ -94,3 +94,71 @@ def test_odd_rows(odd):
 def test_main_path_is_native(sample):
     plan = mixing.mix(sample)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def folded(rows, level, chunks, last, settled):
+    """One level by plain loops: the documents that remain of each chunk."""
+    from hashlib import md5
+
+    number = lambda *parts: int(md5(":".join(map(str, parts)).encode()).hexdigest()[:12], 16) / 2**48
+    groups = {}
+    for r in rows:
+        key = (mixing.SEED, level, r["doc_id"], r["size"])
+        r = {**r, "u": number(*key)}
+        groups.setdefault(int(number("chunk", *key) * chunks), []).append(r)
+    left = []
+    for chunk in groups.values():
+        chunk.sort(key=lambda r: (r["u"], r["doc_id"]))
+        a = dict(chunk[0])
+        for b in map(dict, chunk[1:]):
+            sa, sb = float(a["size"]), float(b["size"])
+            up, down = min(1 - a["p"], b["p"] * sb / sa), min(a["p"], (1 - b["p"]) * sb / sa)
+            rise = a["u"] * (up + down) < down
+            if up == 1 - a["p"] if rise else down == a["p"]:
+                b["p"] = max(0.0, min(1.0, b["p"] - up * sa / sb if rise else b["p"] + down * sa / sb))
+                settled[a["doc_id"]] = 1 if rise else 0
+                a = b
+            else:
+                a["p"] = max(0.0, min(1.0, a["p"] + up if rise else a["p"] - down))
+                a["u"] = b["u"]
+                settled[b["doc_id"]] = 0 if rise else 1
+        if last:
+            settled[a["doc_id"]] = int(a["p"] >= 0.5)
+        else:
+            left.append(a)
+    return left
+
+
+@pytest.mark.parametrize("chunk", [4, 9])
+def test_the_tree_by_brute_force(spark, chunk):
+    """Chunks far smaller than a source, so that there are levels of the tree, document by document."""
+    import math
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r["doc_id"]: r for r in mixing.mix(df, chunk=chunk).collect()}
+    sources = {r["doc_id"]: r["source"] for r in df.collect()}
+    by_source = {}
+    for i, r in got.items():
+        share = r["target"] / r["source_size"]
+        whole = math.floor(share)
+        by_source.setdefault(sources[i], []).append({"doc_id": i, "size": r["size"], "whole": whole, "p": share - whole})
+    assert max(map(len, by_source.values())) > chunk
+    rest = {s: [r for r in rows if r["size"] > 0 and r["p"] > 1e-12] for s, rows in by_source.items()}
+    # the first level counts all documents of a source, later ones those that are left
+    counts = {s: len(rows) for s, rows in by_source.items()}
+    settled, level, held = {}, 0, max(counts.values())
+    while True:
+        last = held <= chunk
+        for s, rows in rest.items():
+            left = folded(rows, level, 1 if last else max(1, math.ceil(counts[s] / chunk)), last, settled) if rows else []
+            settled.update({r["doc_id"]: int(r["p"]) for r in left if r["p"] in (0, 1)})
+            rest[s] = [r for r in left if 0 < r["p"] < 1]
+        if last:
+            break
+        counts = {s: len(rows) for s, rows in rest.items()}
+        held, level = max(counts.values()), level + 1
+    assert level >= 1
+    for rows in by_source.values():
+        for r in rows:
+            copies = 1 if not r["size"] else r["whole"] + settled.get(r["doc_id"], 0)
+            assert got[r["doc_id"]]["taken"] == copies * r["size"], r

@@ -198,7 +198,7 @@ def brute_templates(texts, least=4):
     from collections import Counter
 
     texts = [t or "" for t in texts]
-    stretches, lines = Counter(), {}
+    stretches, pairs, lines = Counter(), Counter(), {}
     for t in texts:
         for i, line in enumerate(t.split("\n")):
             words = ["<*>" if re.search("[0-9]", w) else w for w in WORD.findall(line.lower())]
@@ -208,16 +208,19 @@ def brute_templates(texts, least=4):
             k = min(8, n)
             cut = [(n, words[0], p, tuple(words[n * p // k : n * (p + 1) // k])) for p in range(k)]
             cut = [c for c in cut if set(c[3]) != {"<*>"}]
-            stretches.update(cut)
+            pairs.update(frozenset(cut[p : p + 2]) for p in range(0, len(cut), 2))
             lines[t, i] = (n, sum(w != "<*>" for w in words), cut)
+    lines = {k: x for k, x in lines.items() if any(pairs[frozenset(x[2][p : p + 2])] >= (2 if x[1] >= 50 else least) for p in range(0, len(x[2]), 2))}
+    for _, _, cut in lines.values():
+        stretches.update(cut)
     documents, instances = {}, {}
     for (t, i), (n, plain, cut) in lines.items():
         needs = 2 if plain >= 50 else least
         constant = sorted((-stretches[c], c[2], c) for c in cut if stretches[c] >= needs)
-        covers = max(plain - (int(n * 0.35) if n >= 12 else 1 if n >= 6 else 0), (plain + 1) // 2)
+        needed = max(len(cut) - (3 if n >= 12 else 1 if n >= 6 else 0), len(cut) // 2 + 1)
         for a in range(len(constant)):
             for b in range(a + 1, len(constant) + 1):
-                if sum(w != "<*>" for _, _, c in constant[a:b] for w in c[3]) >= covers:
+                if b - a >= needed:
                     path = frozenset(c for _, _, c in constant[a:b])
                     documents.setdefault(path, set()).add(t)
                     instances.setdefault((t, i), set()).add((path, needs))
@@ -233,7 +236,7 @@ def brute_templates(texts, least=4):
 
     for a, b in combinations(range(len(used)), 2):
         small, large = sorted((len(sets[a]), len(sets[b])))
-        if small >= 0.6 * large and len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b]):
+        if small >= 0.5 * large and len(sets[a] & sets[b]) >= 0.5 * len(sets[a] | sets[b]):
             parent[root(a)] = root(b)
     of = {t: root(i) for i, t in enumerate(used)}
     classes = {path: len({of.get(t, t) for t in d}) for path, d in documents.items()}
