@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import re
-import unicodedata
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
-#: A word: a letter, then letters, marks and apostrophes. Fixed by the counting rule.
+# Fixed values of the counting rule: what a word is (a letter, then letters, marks and apostrophes), the
+# folded characters a token must have to count, which define every denominator, and what counts as space
+# in HTML and wikitext (Java's own class lacks the last ones).
 TOKEN = r"\p{L}[\p{L}\p{M}'’]*"
-#: Folded characters a token must have to count; it defines every denominator.
 SHORTEST = 3
-#: What counts as space in HTML and wikitext; Java's own class lacks the last three.
 SPACE = r"[ \t\r\n\f\x0b\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
 
@@ -22,14 +19,18 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
-@F.pandas_udf(T.StringType())
-def _nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+def _normalised(method: str, text: Column) -> Column:
+    """A form of Unicode by the library that Spark itself carries; no Python."""
+    return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit(method), text, F.lit(False))
 
 
 def nfc(text: Column) -> Column:
-    """Composed form. Spark has no built-in; the UDF is only called where a combining mark stands."""
-    return F.when(text.rlike(r"\p{M}"), _nfc(text)).otherwise(text)
+    """Composed form. A text of Latin letters and signs before U+0300 alone is in it already."""
+    return F.when(text.rlike(r"[^\x00-\x{2FF}]"), _normalised("compose", text)).otherwise(text)
+
+
+def nfd(text: Column) -> Column:
+    return F.when(text.rlike(r"[^\x00-\x7F]"), _normalised("decompose", text)).otherwise(text)
 
 
 def upper_ss(word: Column) -> Column:
@@ -37,74 +38,65 @@ def upper_ss(word: Column) -> Column:
     return F.upper(F.replace(word, F.lit("ß"), F.lit("ss")))
 
 
-def _udf(fold: Callable[[str], str]) -> Callable[[Column], Column]:
-    run = F.pandas_udf(lambda s: s.map(lambda x: None if x is None else fold(x)), T.StringType())
-    return lambda word: run(word)
+def _bare(word: Column) -> Column:
+    return F.regexp_replace(nfd(word), r"\p{M}+", "")
 
 
-def _unmarked(word: str, keep: frozenset[str] = frozenset()) -> str:
+def _unmarked(word: Column, keep: str = "") -> Column:
     """Upper case without marks, except on letters that are letters of their own."""
-    out = []
-    for c in unicodedata.normalize("NFC", word).replace("ß", "ss").upper():
-        if c in keep:
-            out.append(c)
-        else:
-            out += [x for x in unicodedata.normalize("NFD", c) if not unicodedata.combining(x)]
-    return "".join(out)
-
+    aside = "".join(chr(0xE000 + i) for i in range(len(keep)))  # private characters, which have no other form
+    held = F.translate(upper_ss(nfc(word)), keep, aside) if keep else upper_ss(nfc(word))
+    bare = _bare(held)
+    return F.translate(bare, aside, keep) if keep else bare
 
-def _turkish(word: str) -> str:
-    return unicodedata.normalize("NFC", word).replace("i", "İ").replace("ı", "I").upper()
 
-
-def _korean(word: str) -> str:
+def _korean(word: Column) -> Column:
     """Compatibility jamo; a compound final is its two letters."""
     leads, vowels = "ㄱㄲㄴㄷㄸㄹㅁㅂㅃㅅㅆㅇㅈㅉㅊㅋㅌㅍㅎ", "ㅏㅐㅑㅒㅓㅔㅕㅖㅗㅘㅙㅚㅛㅜㅝㅞㅟㅠㅡㅢㅣ"
-    finals = ["", "ㄱ", "ㄲ", "ㄱㅅ", "ㄴ", "ㄴㅈ", "ㄴㅎ", "ㄷ", "ㄹ", "ㄹㄱ", "ㄹㅁ", "ㄹㅂ", "ㄹㅅ", "ㄹㅌ", "ㄹㅍ", "ㄹㅎ", "ㅁ", "ㅂ", "ㅂㅅ", "ㅅ", "ㅆ", "ㅇ", "ㅈ", "ㅊ", "ㅋ", "ㅌ", "ㅍ", "ㅎ"]
-    out = []
-    for c in unicodedata.normalize("NFC", word):
-        n = ord(c) - 0xAC00
-        out.append(leads[n // 588] + vowels[n % 588 // 28] + finals[n % 28] if 0 <= n < 11172 else c)
-    return "".join(out)
-
+    finals = ["ㄱ", "ㄲ", "ㄱㅅ", "ㄴ", "ㄴㅈ", "ㄴㅎ", "ㄷ", "ㄹ", "ㄹㄱ", "ㄹㅁ", "ㄹㅂ", "ㄹㅅ", "ㄹㅌ", "ㄹㅍ", "ㄹㅎ", "ㅁ", "ㅂ", "ㅂㅅ", "ㅅ", "ㅆ", "ㅇ", "ㅈ", "ㅊ", "ㅋ", "ㅌ", "ㅍ", "ㅎ"]
+    word = nfd(nfc(word))
+    for i, final in enumerate(finals):
+        if len(final) > 1:
+            word = F.replace(word, F.lit(chr(0x11A8 + i)), F.lit(final))
+    single = [(chr(0x11A8 + i), f) for i, f in enumerate(finals) if len(f) == 1]
+    parts = [(chr(0x1100 + i), c) for i, c in enumerate(leads)] + [(chr(0x1161 + i), c) for i, c in enumerate(vowels)] + single
+    return F.translate(word, "".join(a for a, _ in parts), "".join(b for _, b in parts))
 
-_SMALL = str.maketrans("ぁぃぅぇぉっゃゅょゎゕゖ", "あいうえおつやゆよわかけ")
 
-
-def _japanese(word: str) -> str:
+def _japanese(word: Column) -> Column:
     """Hiragana without voicing or small size; the long mark stays."""
-    out = []
-    for c in unicodedata.normalize("NFC", word):
-        if "ァ" <= c <= "ヶ":
-            c = chr(ord(c) - 0x60)
-        out.append(unicodedata.normalize("NFD", c)[0].translate(_SMALL))
-    return "".join(out)
-
+    katakana = "".join(map(chr, range(ord("ァ"), ord("ヶ") + 1)))
+    plain = F.regexp_replace(nfd(F.translate(nfc(word), katakana, "".join(chr(ord(c) - 0x60) for c in katakana))), "[\u3099\u309a]", "")
+    return F.translate(plain, "ぁぃぅぇぉっゃゅょゎゕゖ", "あいうえおつやゆよわかけ")
 
-_FINALS = str.maketrans("ךםןףץ", "כמנפצ")
 
 #: Folds by language tag. What isn't here folds by ``upper_ss``.
 FOLDS: dict[str, Callable[[Column], Column]] = {
-    "tr": _udf(_turkish),
-    "el": _udf(lambda w: _unmarked(w.replace("ς", "σ"))),
-    "ka": lambda word: F.lower(word),
-    "ko": _udf(_korean),
-    "ja": _udf(_japanese),
-    "he": _udf(lambda w: "".join(c for c in unicodedata.normalize("NFD", w) if not unicodedata.combining(c)).translate(_FINALS)),
-    "ru": _udf(lambda w: _unmarked(w.replace("ё", "е").replace("Ё", "Е"), frozenset("Й"))),
-    "et": _udf(lambda w: _unmarked(w, frozenset("ÄÖÜÕŠŽ"))),
-    "fi": _udf(lambda w: _unmarked(w, frozenset("ÄÖÅ"))),
-    "vi": _udf(lambda w: unicodedata.normalize("NFC", w).upper().replace(" ", "")),
+    "tr": lambda w: F.upper(F.translate(nfc(w), "iı", "İI")),
+    "el": lambda w: _unmarked(F.translate(w, "ς", "σ")),
+    "ka": F.lower,
+    "ko": _korean,
+    "ja": _japanese,
+    "he": lambda w: F.translate(_bare(w), "ךםןףץ", "כמנפצ"),
+    "ru": lambda w: _unmarked(F.translate(nfc(w), "ёЁ", "еЕ"), "Й"),
+    "et": lambda w: _unmarked(w, "ÄÖÜÕŠŽ"),
+    "fi": lambda w: _unmarked(w, "ÄÖÅ"),
+    "vi": lambda w: F.replace(F.upper(nfc(w)), F.lit(" "), F.lit("")),
 }
 
 
 def fold(word: Column, language: str = "de") -> Column:
+    """The key of a word; of several words too, line by line."""
     return FOLDS.get(language, upper_ss)(word)
 
 
 def keys(text: Column, language: str = "de") -> Column:
-    """One folded key per word of a text: an array, in order, keys that are too short left out."""
-    return F.filter(F.transform(tokens(nfc(text)), lambda w: upper_ss(w)), lambda k: F.length(k) >= SHORTEST)
+    """One folded key per word of a text: an array, in order, keys that are too short left out.
+
+    All words of a text are folded in one go, a line each, so that a fold is a few calls a text.
+    """
+    folded = F.split(fold(F.array_join(tokens(nfc(text)), "\n"), language), "\n")
+    return F.filter(folded, lambda k: F.length(k) >= SHORTEST)
 
 
 def strip_wikitext(text: Column) -> Column:
@@ -124,15 +116,13 @@ def strip_wikitext(text: Column) -> Column:
     return text
 
 
-@F.pandas_udf(T.StringType())
-def _numeric_entities(s: pd.Series) -> pd.Series:
-    def one(m: re.Match) -> str:
-        n = int(m[1])
-        if n > 0x10FFFF:
-            raise ValueError(f"no code point {n}")
-        return chr(n)
-
-    return s.map(lambda x: None if x is None else re.sub(r"&#([0-9]+);", one, x))
+def _numeric_entities(text: Column) -> Column:
+    """``&#233;`` and the like as their characters; a number beyond Unicode is an error."""
+    between = F.split(text, "&#[0-9]+;", -1)
+    numbers = F.transform(F.regexp_extract_all(text, F.lit("&#([0-9]+);"), F.lit(1)), lambda n: n.cast("decimal(38,0)"))
+    known = lambda n: F.when((n <= 0x10FFFF), n.cast("long")).otherwise(F.raise_error(F.concat(F.lit("no code point "), n.cast("string"))).cast("long"))
+    letters = F.transform(numbers, lambda n: F.decode(F.unhex(F.lpad(F.hex(known(n)), 8, "0")), "UTF-32"))
+    return F.array_join(F.zip_with(between, F.concat(letters, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
 
 
 def readable_text(html: Column) -> Column:

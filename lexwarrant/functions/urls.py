@@ -18,10 +18,19 @@ SUFFIXES = (
     "or.id", "go.id",
 )
 
+# Fixed values too: what is a link in a page, a sitemap or a feed.
+ANCHOR = r"""(?i)<a\b[^>]*\bhref=["']([^"'#]+)["']"""
+LOCATION = r"<loc>\s*([^<\s]+)\s*</loc>"
+FEED_TEXT, FEED_HREF = r"<link>\s*([^<\s]+)\s*</link>", r'<link\b[^>]*\bhref="([^"]+)"'
+
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)"
 
 
+#: What fetchers call themselves, and robots rules address.
+AGENT = "word-evidence"
+
+
 def domain_of(url: Column) -> Column:
     """The registrable domain; what isn't an address is returned whole, in lower case."""
     host = F.regexp_extract(url, _HOST, 1)
@@ -44,7 +53,7 @@ def allowed(url: Column, disallowed: Column) -> Column:
     return F.coalesce(path.isNotNull() & ~F.exists(disallowed, lambda p: F.startswith(path, p)), F.lit(False))
 
 
-def disallowed_paths(robots: Column, agent: str = "word-evidence") -> Column:
+def disallowed_paths(robots: Column, agent: str = AGENT) -> Column:
     """Paths forbidden to everyone or to ``agent``, in order.
 
     Each User-agent line decides anew whether what follows applies, so in a group of several the last
@@ -69,7 +78,7 @@ def disallowed_paths(robots: Column, agent: str = "word-evidence") -> Column:
 
 
 def sitemap_links(xml: Column) -> Column:
-    return F.regexp_extract_all(xml, F.lit(r"<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))
+    return F.regexp_extract_all(xml, F.lit(LOCATION), F.lit(1))
 
 
 def is_sitemap_index(xml: Column) -> Column:
@@ -78,8 +87,8 @@ def is_sitemap_index(xml: Column) -> Column:
 
 def feed_links(xml: Column) -> Column:
     """Links of a feed: element text first, then href attributes, each once."""
-    rss = F.regexp_extract_all(xml, F.lit(r"<link>\s*([^<\s]+)\s*</link>"), F.lit(1))
-    atom = F.regexp_extract_all(xml, F.lit(r'<link\b[^>]*\bhref="([^"]+)"'), F.lit(1))
+    rss = F.regexp_extract_all(xml, F.lit(FEED_TEXT), F.lit(1))
+    atom = F.regexp_extract_all(xml, F.lit(FEED_HREF), F.lit(1))
     return F.array_distinct(F.concat(rss, atom))
 
 
@@ -105,5 +114,5 @@ def _joined(hrefs: pd.Series, base: pd.Series) -> pd.Series:
 
 def page_links(html: Column, base: Column) -> Column:
     """Absolute links of a page, each once, in order. An href with a fragment is no match; a query stays."""
-    found = F.regexp_extract_all(html, F.lit(r"""(?i)<a\b[^>]*\bhref=["']([^"'#]+)["']"""), F.lit(1))
+    found = F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1))
     return _joined(F.filter(found, lambda h: ~h.rlike("(?i)^(?:mailto|javascript|tel):")), base)

@@ -67,6 +67,11 @@ def cache_totals(claimed: DataFrame) -> DataFrame:
     return claimed.agg(F.coalesce(F.sum(F.when(~loose, F.col("bytes"))), F.lit(0)).alias("claimed"), F.coalesce(F.sum(F.when(loose, F.col("bytes"))), F.lit(0)).alias("loose"))
 
 
+def strict_exit(claimed: DataFrame, strict: bool = True) -> int:
+    """1 if ``strict`` and a file is claimed by nobody, else 0."""
+    return int(strict and not claimed.where(F.size("languages") == 0).isEmpty())
+
+
 def exclusively(claimed: DataFrame, language: str) -> DataFrame:
     """Files that this language alone claims."""
     return claimed.where(F.col("languages") == F.array(F.lit(language))).select("file", "bytes")

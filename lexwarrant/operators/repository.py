@@ -2,21 +2,71 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
+import os
+import subprocess
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.registry import sources_table
-from ..sources import evidence_files as E, readers
+from ..functions.urls import domain_of
+from ..sources import evidence_files as E, readers, web
+from ..storage import write_table
+from ..streaming import incremental
 from . import build as B, checks, curve, reports, rule
 
 LIST, DROPS, STATUS, COLLECTIONS = "words.txt", "dropped.tsv", "status.json", "COLLECTIONS.md"
+RUNNING, HARVEST = "harvest.running", "harvest"
+
+
+class HarvestRunning(RuntimeError):
+    """A harvest still writes what a build would read."""
+
+
+def _alive(process: int) -> bool:
+    try:
+        os.kill(process, 0)
+    except ProcessLookupError:
+        return False
+    except PermissionError:
+        return True
+    return True
+
+
+def refuse_running_harvest(root: str | Path) -> None:
+    """Raises while the harvest that left its mark in a folder is alive; the mark of a dead one doesn't count."""
+    mark = Path(root) / RUNNING
+    if mark.exists() and (said := mark.read_text("utf-8").strip()).isdigit() and _alive(int(said)):
+        raise HarvestRunning(f"process {said} is harvesting into {root}")
+
+
+@contextlib.contextmanager
+def harvesting(root: str | Path):
+    """Marks a folder as being harvested into; only one harvest at a time."""
+    refuse_running_harvest(root)
+    mark = Path(root) / RUNNING
+    mark.parent.mkdir(parents=True, exist_ok=True)
+    mark.write_text(str(os.getpid()), "utf-8")
+    try:
+        yield
+    finally:
+        mark.unlink(missing_ok=True)
+
+
+def uncommitted(root: str | Path) -> list[str]:
+    """What stands in the way of calling a folder's repository clean; nothing where there is no repository."""
+    run = lambda *a: subprocess.run(["git", "-C", str(root), *a], capture_output=True, text=True)
+    if run("rev-parse", "--is-inside-work-tree").stdout.strip() != "true":
+        return []
+    return [f"not committed: {line[3:]}" for line in run("status", "--porcelain", "--", ".").stdout.splitlines()]
 
 
 def save(root: str | Path, language: str, built_on: str, built: B.Built, candidates: DataFrame, cut: int, written: DataFrame | None = None, most: int = E.SHARD_BYTES) -> None:
     """Write evidence, word list and drop list of one build. These are one language's words."""
     root = Path(root)
+    refuse_running_harvest(root)
     root.mkdir(parents=True, exist_ok=True)
     found = E.evidence_from(language, built_on, B.evidence(candidates, built.attestations), built.totals.select("source", "tokens"))
     E.write_evidence(root, found, most)
@@ -79,9 +129,31 @@ def roll_up(spark: SparkSession, roots: list[str | Path], known: list[dict] = ()
     return reports.roll_up(live, spark.createDataFrame([{k: row.get(k) for k in live.columns} for row in known], reports.STATUS))
 
 
+def verify(spark: SparkSession, root: str | Path, words: int, get, seed: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(checked, proofs) of the citations of some of a folder's shipped words, drawn by a seed."""
+    _, attested, _, sources = load(spark, root)
+    drawn = checks.sample_words(shipped(spark, root), words, seed)
+    checked, _ = checks.prove(attested.join(drawn, "word", "left_semi"), sources, get)
+    checked = write_table(checked, "checked")
+    return checked, checks.proofs(checked)
+
+
+def harvest(spark: SparkSession, root: str | Path, domains: list[str], candidates: DataFrame, get, limit: int = web.MOST_PAGES, delay: float = web.DELAY) -> int:
+    """Read sites into a folder's harvest and give the number of pages added; those held already aren't read again."""
+    path = str(Path(root).absolute() / HARVEST)
+    with harvesting(root):
+        found = web.discover(spark.createDataFrame([(d,) for d in domains], "domain string"), get, limit, delay)
+        fresh = write_table(incremental.new_pages(found, spark.read.parquet(path)) if Path(path).exists() else found.dropDuplicates(["url"]), "fresh-pages")
+        read = write_table(web.fetched(fresh.select("domain", "pos", "url"), get, delay).where("body IS NOT NULL").withColumnRenamed("body", "html"), "harvest")
+        pages = web.admissible(read).withColumn("domain", domain_of(F.col("url"))).select("url", "domain", "text")
+        incremental.append_harvest(pages, candidates, path)
+        return pages.count()
+
+
 def may_retire(spark: SparkSession, root: str | Path, declared: list[str]) -> list[str]:
     """What bars the collections of a language from being let go; nothing if nothing does."""
     bars = [] if (Path(root) / COLLECTIONS).exists() else [f"{COLLECTIONS} is missing"]
+    bars += uncommitted(root)
     totals = E.totals_frame(spark, E.read_evidence(root))
     if totals.isEmpty():
         bars.append("no totals are recorded")

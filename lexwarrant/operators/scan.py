@@ -28,16 +28,21 @@ class Scan:
     hits: DataFrame
 
 
-def word_counts(docs: DataFrame, fold: Column | None = None) -> DataFrame:
+def _keys(fold: Column | str) -> Column:
+    return keys(F.col("text"), fold) if isinstance(fold, str) else fold
+
+
+def word_counts(docs: DataFrame, fold: Column | str = "de") -> DataFrame:
     """(source, seq, locator, word, n): how often each long enough word stands in each document.
 
-    ``fold`` is an expression of ``text`` that gives the array of its keys.
+    ``fold`` is a language, whose words fold in its own way, or an expression of ``text`` that gives the
+    array of its keys.
     """
-    words = docs.select("source", "seq", "locator", F.explode(keys(F.col("text")) if fold is None else fold).alias("word"))
+    words = docs.select("source", "seq", "locator", F.explode(_keys(fold)).alias("word"))
     return words.groupBy("source", "seq", "locator", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def counted(docs: DataFrame, candidates: DataFrame, fold: Column | None = None) -> DataFrame:
+def counted(docs: DataFrame, candidates: DataFrame, fold: Column | str = "de") -> DataFrame:
     """(source, seq, locator, word, n) for candidates; a document's other words are one row with a null word.
 
     The text is read once for all that a scan gives. Small candidate lists are joined with the words as
@@ -46,7 +51,7 @@ def counted(docs: DataFrame, candidates: DataFrame, fold: Column | None = None)
     known = candidates.select("word").distinct()
     document = ["source", "seq", "locator"]
     if known.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
-        words = docs.select(*document, F.explode(keys(F.col("text")) if fold is None else fold).alias("token"))
+        words = docs.select(*document, F.explode(_keys(fold)).alias("token"))
         marked = words.join(F.broadcast(known), F.col("token") == F.col("word"), "left")
         return marked.groupBy(*document, "word").agg(F.count(F.lit(1)).alias("n"))
     marked = word_counts(docs, fold).withColumnRenamed("word", "token").join(known, F.col("token") == F.col("word"), "left")
@@ -84,7 +89,7 @@ def totals_of(counts: DataFrame, sources: DataFrame) -> DataFrame:
     return sources.select("source").distinct().join(found, "source", "left").select("source", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
 
 
-def scan(docs: DataFrame, candidates: DataFrame, floor: float = 0.0, sources: DataFrame | None = None, fold: Column | None = None) -> Scan:
+def scan(docs: DataFrame, candidates: DataFrame, floor: float = 0.0, sources: DataFrame | None = None, fold: Column | str = "de") -> Scan:
     """Count candidates in documents. ``sources`` lists sources that must have a total even if empty.
 
     The counts are written to the shared folder, and totals, hits and locators are read from there.
@@ -96,7 +101,7 @@ def scan(docs: DataFrame, candidates: DataFrame, floor: float = 0.0, sources: Da
     return Scan(totals, summed.join(sample_locators(hits), ["source", "word"]))
 
 
-def scan_by_domain(pages: DataFrame, candidates: DataFrame, fold: Column | None = None) -> Scan:
+def scan_by_domain(pages: DataFrame, candidates: DataFrame, fold: Column | str = "de") -> Scan:
     """Pages (seq, locator = address, text) grouped by registrable domain, one source ``web:`` each."""
     return scan(pages.withColumn("source", F.concat(F.lit("web:"), domain_of(F.col("locator")))), candidates, fold=fold)
 
@@ -121,13 +126,13 @@ def take(docs: DataFrame, count: int) -> DataFrame:
     return docs.orderBy("seq").limit(count)
 
 
-def weeded(docs: DataFrame, candidates: DataFrame, floor: float = 0.35, chars: int = 400_000) -> DataFrame:
+def weeded(docs: DataFrame, candidates: DataFrame, floor: float = 0.35, chars: int = 400_000, fold: Column | str = "de") -> DataFrame:
     """(source, seq, locator, share) of documents to remove from a collection.
 
     Unlike ``legible``, this judges the first ``chars`` characters only, as a book's opening tells its
     language, and a document without a single word has share 0.
     """
     opened = docs.withColumn("text", F.substring("text", 1, chars))
-    shares = known_share(counted(opened, candidates)).select("source", "seq", (F.col("known") / F.col("tokens")).alias("share"))
+    shares = known_share(counted(opened, candidates, fold)).select("source", "seq", (F.col("known") / F.col("tokens")).alias("share"))
     judged = docs.select("source", "seq", "locator").join(shares, ["source", "seq"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
     return judged.where(F.col("share") < floor)

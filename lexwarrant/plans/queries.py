@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.registry import expand_locator, year_column
-from ..functions.text import SHORTEST, fold, readable_text, strip_wikitext
-from ..functions.urls import SUFFIXES, allowed, disallowed_paths, domain_of, page_links
+from ..functions.text import SHORTEST, fold, nfd, readable_text, strip_wikitext
+from ..functions.urls import SUFFIXES, allowed, disallowed_paths, domain_of, feed_links, page_links, sitemap_links
 from ..operators import build as B, checks as C, curve as K, reports as R, rule, scan as S
-from ..sources import readers as X
+from ..sources import evidence_files as E, readers as X, web
+from ..storage import fresh_path
 from . import corpus
 from .corpus import table
 
@@ -472,15 +473,15 @@ def leipzig_join(spark, d):
     return X.leipzig_sentences(sentences, X.leipzig_locators(links, urls), "lz:x").select("seq", "locator", "text")
 
 
-_VERSE = f"""SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS n, 'C' || lpad(CAST(conv_id % 2 AS VARCHAR), 2, '0') AS book, turn // 3 AS ch, {_FLAT} AS text FROM conversations WHERE conv_id < 40"""
+_VERSE = f"""SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS n, 'C' || lpad(CAST(conv_id % 2 AS VARCHAR), 2, '0') AS book, turn // 3 AS ch, {_FLAT} AS text FROM conversations"""
 
 
 @query(f"""SELECT locator, string_agg(text, ' ' ORDER BY n) AS text FROM (
   SELECT *, sum(b) OVER (ORDER BY n) AS run FROM (SELECT n, text, book || lpad(CAST(ch AS VARCHAR), 2, '0') AS locator,
     CASE WHEN book || lpad(CAST(ch AS VARCHAR), 2, '0') = lag(book || lpad(CAST(ch AS VARCHAR), 2, '0')) OVER (ORDER BY n) THEN 0 ELSE 1 END AS b FROM ({_VERSE}))) GROUP BY run, locator""", pre=False)
 def verse_chapters(spark, d):
-    """Turns of some conversations as verses; chapters come again, and make documents of their own."""
-    c = table(spark, d, "conversations").where("conv_id < 40")
+    """Turns of all conversations as verses; chapters come again, and make documents of their own."""
+    c = table(spark, d, "conversations")
     book = F.concat(F.lit("C"), F.lpad((F.col("conv_id") % 2).cast("string"), 2, "0"))
     line = F.concat(book, F.lit(" "), F.floor(F.col("turn") / 3).cast("string"), F.lit(":"), (F.col("turn") + 1).cast("string"), F.lit(" "), _flat())
     rows = c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("at"), line.alias("line"))
@@ -499,10 +500,21 @@ def gutenberg_body(spark, d):
     return table(spark, d, "documents").select("doc_id", body(wrapped).alias("text"))
 
 
-@query("""SELECT CAST(doc_id AS VARCHAR) AS locator, text FROM documents WHERE doc_id % 5 <> 0 AND NOT regexp_matches(text, '[<>{\\[&=]|https?://')""", pre=False)
+def _prose_sql(column: str) -> str:
+    """Prose of wikitext, step by step."""
+    steps = (
+        ("<ref[^>]*>.*?</ref>", " ", "gs"), ("<[^>]+>", " ", "g"), ("\\{\\{.*?\\}\\}", " ", "gs"), ("\\{\\|.*?\\|\\}", " ", "gs"),
+        ("\\[\\[(?:[^|\\]]*\\|)?([^\\]]*)\\]\\]", "\\1", "g"), ("(?m)^={2,}[^\\n\\r\\x{2028}\\x{2029}]*$", " ", "g"), ("&[a-z]+;", " ", "g"), (f"https?://{_SPACE.replace('[', '[^', 1)}+", " ", "g"),
+    )
+    for pattern, by, how in steps:
+        column = f"regexp_replace({column}, '{pattern}', '{by}', '{how}')"
+    return column
+
+
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS locator, {_prose_sql('text')} AS text FROM documents WHERE doc_id % 5 <> 0", pre=False)
 def wiki_pages(spark, d):
-    """Documents without markup as dump pages; every fifth is no article."""
-    docs = table(spark, d, "documents").where(~F.col("text").rlike(r"[<>{\[&=]|https?://"))
+    """Documents as dump pages, with a template, a reference and a heading around their text; every fifth is no article."""
+    docs = table(spark, d, "documents")
     page = F.concat(
         F.lit("<page><title>t</title><ns>"), F.when(F.col("doc_id") % 5 == 0, "1").otherwise("0"), F.lit("</ns><id>"), F.col("doc_id").cast("string"),
         F.lit("</id><revision><id>99</id><text bytes='1'>"), "text", F.lit("</text></revision>"),
@@ -510,16 +522,26 @@ def wiki_pages(spark, d):
     return X.wiki_pages(docs.select(F.col("doc_id").alias("n"), page.alias("page")), "wiki:xx").select("locator", "text")
 
 
+_MARKED = """'{{Box|a={b}\n}} [[Haus|Häuser]] und [[Wort]] <ref name=x>weg\nweg</ref> &nbsp;&ouml; {| t\n|} https://x.org/a?b c\n== Kopf ==\n' || text || '\n=== Fuß ==='"""
+
+
+@query(f"SELECT doc_id, {_prose_sql('m')} AS text FROM (SELECT doc_id, {_MARKED.replace(chr(92) + 'n', chr(39) + ' || chr(10) || ' + chr(39))} AS m FROM documents)", pre=False)
+def wikitext_of_documents(spark, d):
+    """Every kind of markup before and after each text."""
+    marked = F.concat(F.lit("{{Box|a={b}\n}} [[Haus|Häuser]] und [[Wort]] <ref name=x>weg\nweg</ref> &nbsp;&ouml; {| t\n|} https://x.org/a?b c\n== Kopf ==\n"), "text", F.lit("\n=== Fuß ==="))
+    return table(spark, d, "documents").select("doc_id", strip_wikitext(marked).alias("text"))
+
+
 @query("SELECT page_id AS n, url FROM pages WHERE url <> '' AND html <> ''", pre=False)
 def crawl_rows(spark, d):
     p = table(spark, d, "pages")
     empty = p.select(F.col("page_id").alias("n"), F.lit("").alias("url"), F.col("html").alias("text")).union(p.select("page_id", "url", F.lit(None).cast("string")))
-    rows = empty.union(p.select("page_id", "url", "html"))
+    rows = empty.union(p.select("page_id", "url", "html")).withColumnRenamed("n", "seq")
     cited = X.crawl_rows(rows).select(F.col("locator").alias("url"))
     return p.select(F.col("page_id").alias("n"), "url").join(cited.distinct(), "url").select("n", "url")
 
 
-@query()
+@query(f"SELECT page_id, {_prose_sql('html')} AS text FROM pages", pre=False)
 def wikitext_prose(spark, d):
     """Pages' markup through the wikitext stripper."""
     return table(spark, d, "pages").select("page_id", strip_wikitext(F.col("html")).alias("text"))
@@ -528,14 +550,13 @@ def wikitext_prose(spark, d):
 # Verification, dumps, retirement
 
 _CITES = """SELECT word, source, family, CAST(doc_id AS VARCHAR) AS locator, doc_id, as_of, CASE WHEN kind = 'url' THEN CAST(doc_id AS VARCHAR) ELSE replace(template, '{id}', CAST(doc_id AS VARCHAR)) END AS url FROM (
-  SELECT source, word, doc_id, row_number() OVER (PARTITION BY source, word ORDER BY doc_id) AS r FROM dw WHERE word IN (SELECT word FROM cand)) JOIN src USING (source) WHERE r <= 2 AND doc_id % 7 < 5"""
+  SELECT source, word, doc_id, row_number() OVER (PARTITION BY source, word ORDER BY doc_id) AS r FROM dw WHERE word IN (SELECT word FROM cand)) JOIN src USING (source) WHERE r <= 2"""
 
 
 def _checked(spark, d) -> DataFrame:
     """Some pages are live, some only archived, some hold another text, some are gone; by the document's number."""
     known = corpus.sources(spark, d)
-    hits = _scan(spark, d).hits.withColumn("locators", F.filter("locators", lambda x: x.cast("long") % 7 < 5))
-    cited = C.citations(hits, known)
+    cited = C.citations(_scan(spark, d).hits, known)
     docs = corpus.documents(spark, d).join(known.select(F.col("id").alias("source"), "locator_kind", "template"), "source")
     url, kind = expand_locator(F.col("locator_kind"), F.col("template"), F.col("locator")), F.col("seq") % 7
     own = docs.where(kind == 0).select(url.alias("url"), "text")
@@ -599,6 +620,126 @@ def roll_up(spark, d):
     return R.roll_up(counted, known)
 
 
+# Scan in other forms and languages, order of documents, evidence as files
+
+
+@query("""SELECT source, tokens + (SELECT count(*) FROM documents x WHERE x.source = totals.source) AS tokens FROM totals""")
+def decomposed_totals(spark, d):
+    """Texts in decomposed form, each with a Korean word of three syllables and one of two, which is too short."""
+    docs = corpus.documents(spark, d).withColumn("text", nfd(F.concat("text", F.lit(" 한국어 각각"))))
+    return S.scan(docs, corpus.candidates(spark, d)).totals
+
+
+@query("SELECT word, n FROM (SELECT source, word, n FROM hits WHERE source = 'src1')")
+def decomposed_hits(spark, d):
+    docs = corpus.documents(spark, d).withColumn("text", nfd(F.col("text")))
+    return S.scan(docs, corpus.candidates(spark, d)).hits.where("source = 'src1'").select("word", F.col("count").alias("n"))
+
+
+@query(f"""SELECT word, CAST(count(*) AS BIGINT) AS n FROM (SELECT replace(replace(upper(translate(t, 'iı', 'İI')), 'ß', 'SS'), 'ẞ', 'SS') AS word FROM (
+  SELECT unnest(regexp_extract_all(text, {_WORD})) AS t FROM documents)) WHERE length(word) >= {SHORTEST} GROUP BY 1""", pre=False)
+def turkish_words(spark, d):
+    """All words by the Turkish fold, through the scan's own counting."""
+    return S.word_counts(corpus.documents(spark, d), "tr").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+@query("""SELECT word, string_agg('https://x.org/' || doc_id, ',' ORDER BY doc_id) AS locators FROM (
+  SELECT word, doc_id, row_number() OVER (PARTITION BY word ORDER BY doc_id) AS r FROM dw WHERE word IN (SELECT word FROM cand)) WHERE r <= 2 GROUP BY 1""")
+def crawl_sample_locators(spark, d):
+    """Documents as crawl files: the first two places of a word follow the order of files and of their rows."""
+    path = fresh_path(spark, "crawl")
+    rows = table(spark, d, "documents").select("doc_id", "text", F.concat(F.lit("https://x.org/"), F.col("doc_id").cast("string")).alias("url"))
+    rows.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").drop("doc_id").write.parquet(path)
+    found = S.scan(X.crawl_documents(spark, path), corpus.candidates(spark, d)).hits
+    return found.select("word", F.array_join("locators", ",").alias("locators"))
+
+
+@query("""SELECT word, source, n AS count, loc AS locators FROM (
+  SELECT source, word, any_value(n) AS n, string_agg(CAST(doc_id AS VARCHAR), ' ' ORDER BY doc_id) AS loc FROM (
+    SELECT dw.source, dw.word, hits.n, doc_id, row_number() OVER (PARTITION BY dw.source, dw.word ORDER BY doc_id) AS r FROM dw JOIN hits ON hits.source = dw.source AND hits.word = dw.word) WHERE r <= 2 GROUP BY ALL)""")
+def evidence_round_trip(spark, d):
+    """Evidence written as shards with digests, read and verified, and back in a frame; a file's words are a driver's list."""
+    import tempfile
+
+    found = _scan(spark, d)
+    with tempfile.TemporaryDirectory() as root:
+        paths = E.write_evidence(root, E.evidence_from("xx", "2020-01-01", S.evidence_of(found.hits), found.totals), most=20_000)
+        for p in paths:
+            E.parse_evidence(p.read_text("utf-8"), verify=True)
+        back = E.read_evidence(root)
+    return E.attestation_frame(spark, back).select("word", "source", "count", F.array_join("locators", " ").alias("locators"))
+
+
+@query("SELECT source, tokens FROM totals")
+def evidence_totals_round_trip(spark, d):
+    found = _scan(spark, d)
+    text = E.format_evidence(E.evidence_from("xx", "2020-01-01", S.evidence_of(found.hits.limit(0)), found.totals))
+    return E.totals_frame(spark, E.parse_evidence(text, verify=True))
+
+
+@query("""SELECT source, CASE WHEN CAST(substr(source, 4) AS INT) < 12 THEN tokens * 2 ELSE tokens END AS tokens FROM totals""")
+def merged_totals(spark, d):
+    """Two scans of overlapping sources: the later total counts."""
+    scan, n = _scan(spark, d), corpus.number(F.col("source"))
+    twice = S.Scan(scan.totals.where(n < 12).withColumn("tokens", F.col("tokens") * 2), scan.hits.where(n < 12))
+    return S.merge(scan, twice)[0]
+
+
+@query("""SELECT word, CAST(count(*) AS BIGINT) AS sources, CAST(sum(n) AS BIGINT) AS count FROM hits GROUP BY 1""")
+def merged_evidence(spark, d):
+    """Two scans of other sources each: a word's attestations come together, sorted by source."""
+    scan, n = _scan(spark, d), corpus.number(F.col("source"))
+    halves = [S.Scan(scan.totals.where(c), scan.hits.where(c)) for c in (n < 12, n >= 12)]
+    rows = S.merge(*halves)[1]
+    total = F.aggregate("attestations", F.lit(0).cast("long"), lambda s, a: s + a["count"])
+    in_order = F.transform("attestations", lambda a: a["source"]) == F.array_sort(F.transform("attestations", lambda a: a["source"]))
+    return rows.where(in_order).select("word", F.size("attestations").cast("long").alias("sources"), total.alias("count"))
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS locator, round(share, 6) AS share FROM (SELECT d.doc_id, coalesce(k / t, 0) AS share FROM documents d LEFT JOIN (
+  SELECT doc_id, sum(n) AS t, coalesce(sum(n) FILTER (word IN (SELECT word FROM cand)), 0) AS k FROM dw GROUP BY 1) x ON x.doc_id = d.doc_id) WHERE share < 0.35""")
+def weeded_documents(spark, d):
+    return S.weeded(corpus.documents(spark, d), corpus.candidates(spark, d)).select("locator", F.round("share", 6).alias("share"))
+
+
+@query(f"SELECT page_id, text FROM (SELECT page_id, html, {_readable_sql('html')} AS text FROM pages) WHERE regexp_matches(html, '<[a-zA-Z!/][^>]*>') AND length(text) >= {web.SHORTEST_PAGE}", pre=False)
+def admissible_pages(spark, d):
+    return web.admissible(table(spark, d, "pages")).select("page_id", "text")
+
+
+_PATH_SQL = "coalesce(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)', 1), ''), '/')"
+
+
+@query(rf"""SELECT page_id, starts_with({_PATH_SQL}, '/p1/') OR {_PATH_SQL} = '/p1' AS inside, regexp_matches(url, '^https?://') AND NOT regexp_matches(url, '(?i)\.(?:xml|jpe?g|png|gif|svg|webp|avif|ico|mp4|mp3|pdf|zip|css|m?js|json|woff2?|ttf|eot)(?:\?|$)') AS own FROM pages WHERE {_DOMAIN} <> ''""", pre=False)
+def section_and_own_pages(spark, d):
+    """Which pages lie in a section, and which are pages of their own site rather than files."""
+    url = F.col("url")
+    own = web.own_page(url)
+    rows = table(spark, d, "pages").withColumns({"own": domain_of(url), "section": F.lit(""), "closed": F.array().cast("array<string>")})
+    return rows.where(domain_of(url) != F.lower(url)).select("page_id", web.in_section(url, F.lit("/p1")).alias("inside"), own.alias("own"))
+
+
+@query(r"""SELECT page_id, url || ' ' || url || '/b' AS maps, 'https://f/' || page_id || ' ' || url AS feed FROM pages WHERE NOT regexp_matches(url, '[<"\s]') AND url <> ''""", pre=False)
+def map_and_feed_links(spark, d):
+    """Links of a sitemap and a feed made of each page's address."""
+    url = F.col("url")
+    maps = sitemap_links(F.concat(F.lit("<urlset><url><loc>\n "), url, F.lit(" </loc></url><loc>"), url, F.lit("/b</loc></urlset>")))
+    feed = feed_links(F.concat(F.lit('<link rel="x" href="'), url, F.lit('"/><link> https://f/'), F.col("page_id").cast("string"), F.lit("</link><link></link>")))
+    rows = table(spark, d, "pages").where(~url.rlike(r'[<"\s]') & (url != ""))
+    return rows.select("page_id", F.array_join(maps, " ").alias("maps"), F.array_join(feed, " ").alias("feed"))
+
+
+@query(f"""SELECT u.url, string_agg(repeat(word || ' ', CAST(n AS INT)), '' ORDER BY word) AS words FROM dw JOIN ({_HARVEST}) u ON u.doc_id = dw.doc_id WHERE word IN (SELECT word FROM cand) GROUP BY 1""")
+def harvested_page_words(spark, d):
+    """Pages of a harvest log: each word as often as the log counts it."""
+    counts = S.counted(corpus.documents(spark, d), corpus.candidates(spark, d)).where("word is not null")
+    pairs = F.array_join(F.array_sort(F.collect_list(F.concat("word", F.lit(":"), F.col("n").cast("string")))), " ")
+    url = F.concat(F.lit("https://"), "source", F.lit(".example.org/p"), "locator")
+    lines = counts.groupBy("source", "seq", "locator").agg(pairs.alias("pairs")).select(F.col("seq").alias("n"), F.concat(url, F.lit("\t"), "pairs").alias("line"))
+    pages = X.harvested_pages(lines)
+    return pages.select("url", F.concat(F.array_join(F.array_sort(F.split("text", " ")), " "), F.lit(" ")).alias("words"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, (f, _) in REGISTRY.items()}
 

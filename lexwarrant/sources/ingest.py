@@ -14,7 +14,7 @@ from pathlib import Path
 from urllib.parse import quote
 
 from ..functions.registry import FIXED
-from .web import AGENT
+from ..functions.urls import AGENT
 
 Get = Callable[[str], str | None]
 TEXT_FORMAT = "DjVuTXT"
@@ -143,3 +143,23 @@ def remote_status(tag: str, fetch: Callable[[str], tuple[int, str]], address: st
     found = json.loads(body)
     ships = {True: "yes", False: "held"}.get(found.get("ships"), found.get("ships"))
     return found | {"language": tag, "published": True, "built": True, "ships": ships if ships in ("yes", "held") else "pending"}
+
+
+def published_languages(fetch: Callable[[str], tuple[int, str]], address: str, prefix: str) -> list[str]:
+    """Tags of the languages an organisation has published: names of its repositories that begin with
+    ``prefix``. ``address`` takes a page number; pages are asked for until one is empty."""
+    tags, page = [], 1
+    while True:
+        code, body = fetch(address.replace("{page}", str(page)))
+        if code != 200:
+            raise Unreachable(f"the listing answered {code}")
+        rows = json.loads(body)
+        if not rows:
+            return sorted(tags)
+        tags += [r["name"][len(prefix) :] for r in rows if r["name"].startswith(prefix) and not r.get("archived")]
+        page += 1
+
+
+def published_statuses(fetch: Callable[[str], tuple[int, str]], listing: str, address: str, prefix: str) -> list[dict]:
+    """The published status of every language the organisation lists."""
+    return [remote_status(tag, fetch, address) for tag in published_languages(fetch, listing, prefix)]

@@ -6,13 +6,19 @@ a format whose lines depend on each other is cut into records by its separator i
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.text import gutenberg_body, strip_wikitext
 
+#: Line numbers of one block, in which the runs of verses are numbered by one task.
+LINES_A_BLOCK = 1 << 16
+#: Files whose names and ranks are broadcast; more are joined by shuffle.
+BROADCAST_FILES = 500_000
 DOCUMENT = "source string, seq long, locator string, text string"
 
 
@@ -50,13 +56,29 @@ def wiki_documents(spark: SparkSession, path: str, source: str) -> DataFrame:
     return wiki_pages(pages.select(F.monotonically_increasing_id().alias("n"), F.col("value").alias("page")), source)
 
 
+def file_ranks(files: DataFrame) -> DataFrame:
+    """(file, rank) of the files of a frame by name, from the list the driver holds of them anyway."""
+    plain = lambda f: re.sub("^([a-z0-9]+):/+", r"\1:/", f)
+    found = sorted(set(map(plain, files.inputFiles())), key=lambda f: (unquote(f.rsplit("/", 1)[-1]), f))
+    ranks = files.sparkSession.createDataFrame([(f, k) for k, f in enumerate(found)], "file string, rank long")
+    return F.broadcast(ranks) if len(found) <= BROADCAST_FILES else ranks
+
+
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``seq``: the order of files by name, and of rows within a file.
+
+    Only numbers are added, nothing is sorted: ``at`` is a row's place in its file ``file``.
+    """
+    named = rows.withColumn("file", F.regexp_replace("file", "^([a-z0-9]+):/+", "$1:/"))
+    return named.join(file_ranks(rows), "file").withColumn("seq", F.shiftleft(F.col("rank"), 40) + F.col("at")).drop("rank", "file", "at")
+
+
 def file_documents(spark: SparkSession, path: str, source: str, body: Callable[[Column], Column] = lambda t: t, locator: Column | None = None) -> DataFrame:
     """One document per file of a directory, ordered by name; the locator is the name without its ending."""
     name = F.col("_metadata.file_name")
     found = locator if locator is not None else F.regexp_replace(name, r"\.[^.]*$", "")
-    rows = spark.read.text(path, wholetext=True).select(name.alias("name"), found.alias("locator"), body(F.col("value")).alias("text"))
-    # few bytes a file are sorted, not the texts: the name is hashed into an order that never changes
-    return rows.select(F.lit(source).alias("source"), F.xxhash64("name").alias("seq"), "locator", "text")
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.lit(0).alias("at"), found.alias("locator"), body(F.col("value")).alias("text"))
+    return in_file_order(rows).select(F.lit(source).alias("source"), "seq", "locator", "text")
 
 
 def gutenberg_documents(spark: SparkSession, path: str, shortest: int = 2_000) -> DataFrame:
@@ -88,23 +110,33 @@ def leipzig_sentences(sentences: DataFrame, locators: DataFrame, source: str) ->
 
 
 def crawl_rows(rows: DataFrame, source: str = "fw2") -> DataFrame:
-    """Rows (text, url) with neither missing nor empty."""
+    """Rows (seq, text, url) with neither text nor address missing or empty, in the order they came."""
     good = rows.where((F.coalesce("url", F.lit("")) != "") & (F.coalesce("text", F.lit("")) != ""))
-    return good.select(F.lit(source).alias("source"), F.xxhash64("url", "text").alias("seq"), F.col("url").alias("locator"), "text")
+    return good.select(F.lit(source).alias("source"), "seq", F.col("url").alias("locator"), "text")
 
 
 def crawl_documents(spark: SparkSession, path: str, source: str = "fw2") -> DataFrame:
-    """Crawl Parquet; two columns are read."""
-    return crawl_rows(spark.read.parquet(path).select("text", "url"), source)
+    """Crawl Parquet; two columns are read, and the places of rows in their files."""
+    rows = spark.read.parquet(path).select("text", "url", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    return crawl_rows(in_file_order(rows), source)
 
 
 def verses_by_chapter(lines: DataFrame, source: str) -> DataFrame:
     """Verse lines ``GEN 1:1 text`` to a document per run of one chapter. A chapter that comes again is another document."""
     pattern = r"^([A-Z0-9]{3}) (\d+):(\d+) (.*)$"
-    rows = lines.where(F.col("line").rlike(pattern)).select("n", F.concat(F.regexp_extract("line", pattern, 1), F.lpad(F.regexp_extract("line", pattern, 2), 2, "0")).alias("chapter"), F.regexp_extract("line", pattern, 4).alias("verse"))
-    order = W.orderBy("n")  # one file of verses: some tens of thousands of lines
-    begins = (F.col("chapter") != F.lag("chapter", 1, "").over(order)).cast("int")
-    runs = rows.withColumn("begins", begins).withColumn("run", F.sum("begins").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    rows = lines.where(F.col("line").rlike(pattern)).select(
+        "n", F.floor(F.col("n") / LINES_A_BLOCK).alias("block"),
+        F.concat(F.regexp_extract("line", pattern, 1), F.lpad(F.regexp_extract("line", pattern, 2), 2, "0")).alias("chapter"), F.regexp_extract("line", pattern, 4).alias("verse"),
+    )
+    # a run is numbered within its block of lines, and blocks are numbered by a table of one row each
+    order = W.partitionBy("block").orderBy("n")
+    begins = F.coalesce(F.col("chapter") != F.lag("chapter").over(order), F.lit(False)).cast("long")
+    marked = rows.withColumn("begins", begins).withColumn("local", F.sum("begins").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    blocks = marked.groupBy("block").agg(F.min_by("chapter", "n").alias("first"), F.max_by("chapter", "n").alias("last"), F.sum("begins").alias("inside"))
+    along = W.orderBy("block")
+    new = (F.coalesce(F.col("first") != F.lag("last").over(along), F.lit(True))).cast("long")
+    offsets = blocks.withColumn("new", new).withColumn("offset", F.sum(F.col("new")).over(along) + F.coalesce(F.sum("inside").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    runs = marked.join(offsets.select("block", "offset"), "block").withColumn("run", F.col("offset") + F.col("local"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "verse"))), lambda x: x["verse"]), " ")
     return runs.groupBy("run", "chapter").agg(joined.alias("text")).select(F.lit(source).alias("source"), F.col("run").cast("long").alias("seq"), F.col("chapter").alias("locator"), "text")
 

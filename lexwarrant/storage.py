@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (local tests), one of our own."""
+    """The folder of ``spark.checkpoint.dir``. Where it is unset, a local master gets a folder of its own;
+    on a cluster that is an error, since executors couldn't reach it."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = held.get() if held.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
         found = "file://" + tempfile.mkdtemp(prefix="lexwarrant-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

@@ -80,6 +80,42 @@ def test_books(spark, tmp_path):
     assert [r["locator"] for r in R.archive_documents(spark, str(tmp_path), manifest, 100).collect()] == ["pg10/file.txt"]
 
 
+def test_documents_follow_file_names_and_rows(spark, tmp_path):
+    """Book files by name, crawl rows by file and place; ``take`` and sample locators follow."""
+    from lexwarrant.operators import scan as S
+
+    for name in ("c.txt", "a b.txt", "ä.txt", "b.txt"):
+        (tmp_path / name).write_text("Haus " * 500)
+    docs = R.file_documents(spark, str(tmp_path), "s")
+    assert [r["locator"] for r in S.take(docs, 4).collect()] == ["a b", "b", "c", "ä"]
+    cands = spark.createDataFrame([("HAUS",)], "word string")
+    assert list(S.scan(docs, cands).hits.first()["locators"]) == ["a b", "b"]
+    folder = tmp_path / "crawl"
+    for k in (2, 0, 1):
+        rows = [("Haus", f"u{k}-{i}") for i in (3, 1, 2)]
+        spark.createDataFrame(rows, "text string, url string").coalesce(1).write.parquet(str(tmp_path / f"part{k}"))
+        folder.mkdir(exist_ok=True)
+        next((tmp_path / f"part{k}").glob("*.parquet")).rename(folder / f"{k}.parquet")
+    crawled = R.crawl_documents(spark, str(folder))
+    assert [r["locator"] for r in S.take(crawled, 5).collect()] == ["u0-3", "u0-1", "u0-2", "u1-3", "u1-1"]
+
+
+def test_verse_runs_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(R, "LINES_A_BLOCK", 4)
+    names = ["GEN 1", "GEN 1", "GEN 2", "EXO 1"]
+    import random
+
+    rnd = random.Random(3)
+    chapters = [rnd.choice(names) for _ in range(60)]
+    docs = R.verses_by_chapter(lines(spark, *[f"{c}:{i} v{i}" for i, c in enumerate(chapters, 1)]), "s")
+    expected = []
+    for i, c in enumerate(chapters, 1):
+        if i == 1 or chapters[i - 2] != c:
+            expected.append((c[:3] + "0" + c[4:], []))
+        expected[-1][1].append(f"v{i}")
+    assert pairs(docs) == [(c, " ".join(v)) for c, v in expected]
+
+
 def test_leipzig(spark):
     links = lines(spark, "1\t10", "2\t11", "999\t12", "3\t10", "bad")
     urls = lines(spark, "1\tkleinezeitung.at/old", "1\tkleinezeitung.at/a", "2\theise.de/b", "3\torf.at/c")

@@ -76,3 +76,48 @@ def test_remote_status():
     assert I.remote_status("fr", answers.get, address)["built"] is False
     with pytest.raises(I.Unreachable):
         I.remote_status("ru", answers.get, address)
+
+
+def test_a_build_is_refused_while_a_harvest_runs(spark, folder):
+    with P.harvesting(folder):
+        with pytest.raises(P.HarvestRunning):
+            P.refuse_running_harvest(folder)
+    P.refuse_running_harvest(folder)
+    (folder / P.RUNNING).write_text("999999999")
+    P.refuse_running_harvest(folder)
+
+
+def test_a_repository_must_be_clean(spark, folder):
+    import subprocess
+
+    P.save_status(spark, folder)
+    git = lambda *a: subprocess.run(["git", "-C", str(folder), "-c", "user.name=x", "-c", "user.email=x@x", *a], check=True, capture_output=True)
+    git("init", "-q")
+    assert [b for b in P.may_retire(spark, folder, SOURCES) if b.startswith("not committed")]
+    git("add", "-A")
+    git("commit", "-qm", "all")
+    assert P.may_retire(spark, folder, SOURCES) == []
+
+
+def test_verify_and_harvest(spark, folder, tmp_path):
+    from lexwarrant.functions.registry import FIXED
+
+    checked, proofs = P.verify(spark, folder, 1, lambda url: "Haus und Schade")
+    assert [r["holds"] for r in proofs.collect()] == [True] and checked.count() > 0
+    page = "<p>" + "Haus " * 60 + "</p>"
+    pages = {"https://x.de/sitemap.xml": "<loc>https://x.de/1</loc><loc>https://x.de/2</loc>", "https://x.de/1": page, "https://x.de/2": "<p>kurz</p>"}
+    cands = P.candidates(spark, tmp_path / "words.in")
+    assert P.harvest(spark, folder, ["x.de"], cands, pages.get, delay=0) == 1
+    assert P.harvest(spark, folder, ["x.de"], cands, (pages | {"https://x.de/2": page}).get, delay=0) == 1
+    rows = spark.read.parquet(str(folder / P.HARVEST)).collect()
+    assert sorted((r["url"], [tuple(w) for w in r["words"]]) for r in rows) == [("https://x.de/1", [("HAUS", 60)]), ("https://x.de/2", [("HAUS", 60)])]
+    assert FIXED and not (folder / P.RUNNING).exists()
+
+
+def test_strict_and_listing(spark):
+    claimed = reports.cache_claims(spark.createDataFrame([("a", 1), ("b", 2)], "file string, bytes long"), spark.createDataFrame([("a", "de")], "file string, language string"))
+    assert (reports.strict_exit(claimed), reports.strict_exit(claimed, False), reports.strict_exit(claimed.where("file = 'a'"))) == (1, 0, 0)
+    pages = {"https://h/1": (200, '[{"name": "words-fr"}, {"name": "other"}]'), "https://h/2": (200, '[{"name": "words-de"}]'), "https://h/3": (200, "[]")}
+    assert I.published_languages(pages.get, "https://h/{page}", "words-") == ["de", "fr"]
+    with pytest.raises(I.Unreachable):
+        I.published_languages(lambda url: (500, ""), "https://h/{page}", "words-")

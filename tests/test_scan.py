@@ -75,6 +75,26 @@ def test_folds(spark, language, word, expected):
     assert spark.createDataFrame([(word,)], "w string").select(fold(F.col("w"), language)).first()[0] == expected
 
 
+@pytest.mark.parametrize(
+    "language, word, expected",
+    [("de", "Stra\u00dfe", "STRASSE"), ("tr", "istanbul", "İSTANBUL"), ("ko", "\u1103\u1161\u11b0가나", "ㄷㅏㄹㄱㄱㅏㄴㅏ"), ("ja", "カ\u3099ッコウ", "かつこう"), ("ru", "еще\u0308 мой", "ЕЩЕ"), ("fi", "a\u030Angstro\u0308m", "ÅNGSTRÖM"), ("de", "\u212bngstrom", "ÅNGSTROM")],
+)
+def test_keys_fold_by_language(spark, language, word, expected):
+    """Composed and decomposed words alike; a scan takes the language."""
+    import unicodedata
+
+    for form in ("NFC", "NFD"):
+        df = spark.createDataFrame([("s", 1, "1", unicodedata.normalize(form, word))], "source string, seq long, locator string, text string")
+        assert df.select(keys(F.col("text"), language)).first()[0][0] == expected
+        assert S.scan(df, spark.createDataFrame([(expected,)], "word string"), fold=language).hits.first()["count"] == 1
+
+
+def test_no_python_in_a_scan(spark):
+    df = spark.createDataFrame([("s", 1, "1", "Haus")], "source string, seq long, locator string, text string")
+    plan = S.word_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_keys_and_nfc(spark):
     df = spark.createDataFrame([("l'été d’un no 3x a'b'c",), (None,)], "t string")
     assert df.select(keys(F.col("t"))).first()[0] == ["L'ÉTÉ", "D’UN", "A'B'C"]

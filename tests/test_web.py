@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,14 +21,14 @@ def one(spark, f, *values):
     ],
 )
 def test_domains(spark, url, domain):
-    assert one(spark, U.domain_of, url) == domain == W.registrable(url)
+    assert one(spark, U.domain_of, url) == domain
 
 
 ROBOTS = "User-agent: Googlebot\nDisallow: /google\n\nUser-agent: *\nDisallow: /admin # private\nAllow: /admin/ok\nDisallow: \nDISALLOW:/search\nno colon\n"
 
 
 def test_robots(spark):
-    assert one(spark, U.disallowed_paths, ROBOTS) == ["/admin", "/search"] == W._disallowed(ROBOTS)
+    assert one(spark, U.disallowed_paths, ROBOTS) == ["/admin", "/search"]
     assert one(spark, U.disallowed_paths, "User-agent: *\nUser-agent: other\nDisallow: /x") == []
     assert one(spark, U.disallowed_paths, "") == []
     rules = F.array(F.lit("/admin"), F.lit("/search"))
@@ -43,33 +45,32 @@ def test_links(spark):
     assert one(spark, U.page_links, html, "https://x.de/dir/page") == ["https://x.de/a?p=2", "https://x.de/dir/b", "https://other.org/"]
 
 
-def site(pages):
-    asked = []
+def found(spark, pages, domain="x.de", **more):
+    """Addresses of one site in order, its closed paths, and what was asked for."""
+    log = tempfile.mktemp()
 
     def get(url):
-        asked.append(url)
+        with open(log, "a") as f:
+            f.write(url + "\n")
         return pages.get(url)
 
-    return get, asked
-
-
-def found(pages, domain="x.de", **more):
-    get, asked = site(pages)
-    return W.discover(domain, get, delay=0, **more), asked
+    rows = W.discover(spark.createDataFrame([(domain,)], "domain string"), get, delay=0, **more).orderBy("pos").collect()
+    assert [r["pos"] for r in rows] == list(range(len(rows)))
+    return [r["url"] for r in rows], [list(r["closed"]) for r in rows[:1]], open(log).read().split()
 
 
-def test_discovery():
-    s, _ = found({"https://x.de/robots.txt": "Sitemap: https://x.de/map.xml\nUser-agent: *\nDisallow: /no", "https://x.de/map.xml": "<loc>https://x.de/1</loc><loc>https://x.de/no/2</loc><loc>https://other.org/3</loc><loc>https://x.de/a.css?v=1</loc><loc>https://www.x.de/4</loc><loc>https://x.de/1</loc>"})
-    assert s.urls == ["https://x.de/1", "https://www.x.de/4"] and s.disallowed == ["/no"]
+def test_discovery(spark):
+    urls, closed, _ = found(spark, {"https://x.de/robots.txt": "Sitemap: https://x.de/map.xml\nUser-agent: *\nDisallow: /no", "https://x.de/map.xml": "<loc>https://x.de/1</loc><loc>https://x.de/no/2</loc><loc>https://other.org/3</loc><loc>https://x.de/a.css?v=1</loc><loc>https://www.x.de/4</loc><loc>https://x.de/1</loc>"})
+    assert urls == ["https://x.de/1", "https://www.x.de/4"] and closed == [["/no"]]
     index = {"https://x.de/sitemap.xml": "<sitemapindex >" + "".join(f"<loc>https://x.de/s{i}</loc>" for i in range(9)) + "</sitemapindex>"} | {f"https://x.de/s{i}": f"<loc>https://x.de/p{i}</loc>" for i in range(9)}
-    assert found(index)[0].urls == [f"https://x.de/p{i}" for i in range(5)]
-    assert found(index, limit=2)[0].urls == ["https://x.de/p0", "https://x.de/p1"]
-    assert found({"https://x.de/rss": "<link>https://x.de/r</link>"})[0].urls == ["https://x.de/r"]
-    s, asked = found({"https://x.de/": '<link rel="stylesheet" href="/s.css"><a href="/front">f</a>'})
-    assert s.urls == ["https://x.de/front"] and len(asked) == 11
-    s, _ = found({"https://x.de/robots.txt": "Sitemap: https://x.de/en/map.xml\nSitemap: https://x.de/de/map.xml", "https://x.de/en/map.xml": "<loc>https://x.de/de/wrong</loc>", "https://x.de/de/map.xml": "<loc>https://x.de/de/a</loc><loc>https://x.de/den</loc>"}, "x.de/de/")
-    assert s.urls == ["https://x.de/de/a"]
-    assert found({})[0].urls == []
+    assert found(spark, index)[0] == [f"https://x.de/p{i}" for i in range(5)]
+    assert found(spark, index, limit=2)[0] == ["https://x.de/p0", "https://x.de/p1"]
+    assert found(spark, {"https://x.de/rss": "<link>https://x.de/r</link>"})[0] == ["https://x.de/r"]
+    urls, _, asked = found(spark, {"https://x.de/": '<link rel="stylesheet" href="/s.css"><a href="/front">f</a>'})
+    assert urls == ["https://x.de/front"] and len(asked) == 11 and asked[0].endswith("robots.txt") and asked[-1] == "https://x.de/"
+    urls, *_ = found(spark, {"https://x.de/robots.txt": "Sitemap: https://x.de/en/map.xml\nSitemap: https://x.de/de/map.xml", "https://x.de/en/map.xml": "<loc>https://x.de/de/wrong</loc>", "https://x.de/de/map.xml": "<loc>https://x.de/de/a</loc><loc>https://x.de/den</loc>"}, "x.de/de/")
+    assert urls == ["https://x.de/de/a"]
+    assert found(spark, {})[0] == []
 
 
 def test_harvest(spark):
