@@ -73,9 +73,14 @@ def in_file_order(rows: DataFrame) -> DataFrame:
     return named.join(file_ranks(rows), "file").withColumn("seq", F.shiftleft(F.col("rank"), 40) + F.col("at")).drop("rank", "file", "at")
 
 
+def decoded_name() -> Column:
+    """The name of a row's file, which the reader gives percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def file_documents(spark: SparkSession, path: str, source: str, body: Callable[[Column], Column] = lambda t: t, locator: Column | None = None) -> DataFrame:
     """One document per file of a directory, ordered by name; the locator is the name without its ending."""
-    name = F.col("_metadata.file_name")
+    name = decoded_name()
     found = locator if locator is not None else F.regexp_replace(name, r"\.[^.]*$", "")
     rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.lit(0).alias("at"), found.alias("locator"), body(F.col("value")).alias("text"))
     return in_file_order(rows).select(F.lit(source).alias("source"), "seq", "locator", "text")
