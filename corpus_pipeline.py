@@ -13,11 +13,14 @@ from lexwarrant.storage import write_table
 
 #: Below this a text's language is too uncertain; half means that another is as likely.
 LEAST_LANGUAGE_SCORE = 0.5
+#: Languages that go on; None lets all of them through.
+WANTED_LANGUAGES: frozenset[str] | None = None
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known go on; those without letters or without a clear language don't."""
-    return language_id.with_known_language(docs, LEAST_LANGUAGE_SCORE)
+    """Documents whose language is known go on, with the language found as their ``lang``; those without
+    letters or without a clear language don't."""
+    return language_id.with_known_language(docs, LEAST_LANGUAGE_SCORE, WANTED_LANGUAGES)
 
 
 def drop_templates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
