@@ -14,8 +14,8 @@ longer and trees more, so that what is only somewhat alike comes apart while a p
 still meets. What is dense at the last level too is compared by all pairs of blocks, which loses nothing.
 
 Two sets at the threshold of 0.8 miss each other in all trees of the first level with probability
-(1 - 0.8 ** 4) ** 32 = 5e-8; the sketch fails them with 2e-6; a pair that only meets in dense regions
-misses all trees of the second level with 4e-6 and of the third with 2e-6 (trees there share values, which
+(1 - 0.8 ** 4) ** 32 = 5e-8; the sketch fails them with 3e-6; a pair that only meets in dense regions
+misses all trees of the second level with 9e-6 and of the third with 7e-6 (trees there share values, which
 these figures allow for).
 """
 
