@@ -187,8 +187,8 @@ def line_paths(lines: DataFrame, least: int) -> DataFrame:
     wanted = F.when(F.col("plain") >= LONG, F.lit(min(least, LEAST_LONG))).otherwise(F.lit(least))
     part = lambda i: F.get("parts", F.lit(i))
     pairs = F.explode(F.array(*[part(i).bitwiseXOR(F.coalesce(part(i + 1), F.lit(0).cast("long"))) for i in range(0, PARTS, 2)]))
-    paired = lines.select(pairs.alias("pair")).where("pair IS NOT NULL").groupBy("pair").agg(F.count(F.lit(1)).alias("times"))
-    frequent = write_table(paired.where(F.col("times") >= min(least, LEAST_LONG)), "frequent-pairs")
+    paired = lines.select(wanted.alias("wanted"), pairs.alias("pair")).where("pair IS NOT NULL").groupBy("pair").agg(F.count(F.lit(1)).alias("times"), F.min("wanted").alias("wanted"))
+    frequent = write_table(paired.where("times >= wanted").select("pair", "times"), "frequent-pairs")
     if frequent.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS:
         frequent = F.broadcast(frequent)
     marked = lines.select("text_key", "line", "tokens", "plain", "parts", pairs.alias("pair")).join(frequent, "pair").where(F.col("times") >= wanted)
@@ -231,18 +231,23 @@ def without_templates(docs: DataFrame, least: int = LEAST_DOCUMENTS, counts: tup
     for a text's lines and those dropped, which ``docs`` must not have.
     """
     docs, names = told_apart(docs, "text")
-    key, other, drop = free_names(docs, "text_key", "dropped_key", "drop")
+    key, other, drop, cut, bounds = free_names(docs, "text_key", "dropped_key", "drop", "cut", "bounds")
     gone = recurring_lines(docs.select("text"), least).select(F.col("text_key").alias(other), F.col("drop").alias(drop))
     joined = docs.withColumn(key, F.xxhash64("text")).join(gone, F.col(key) == F.col(other), "left")
-    lines = F.split(F.col("text"), "\n", -1)
+    # a column, so that a text is cut once, and only where lines go
+    joined = joined.withColumn(cut, F.when(F.col(drop).isNotNull(), F.split(F.col("text"), "\n", -1)))
+    lines = F.col(cut)
     # what stands between one dropped line and the next
     ends = F.concat(F.array(F.lit(-1)), F.col(drop), F.array(F.size(lines)))
-    between = lambda k: F.slice(lines, F.get(ends, k - 1) + 2, F.get(ends, k) - F.get(ends, k - 1) - 1)
-    kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(1), F.size(ends) - 1), between)), "\n")
+    joined = joined.withColumn(bounds, F.when(F.col(drop).isNotNull(), ends))
+    at = lambda k: F.get(F.col(bounds), k)
+    between = lambda k: F.slice(lines, at(k - 1) + 2, at(k) - at(k - 1) - 1)
+    kept = F.array_join(F.flatten(F.transform(F.sequence(F.lit(1), F.size(bounds) - 1), between)), "\n")
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     cleaned = F.when(F.col(drop).isNull(), F.col("text")).otherwise(kept)
     rows = joined.select(
         *[cleaned.alias(c) if c == "text" else F.col(c) for c in docs.columns],
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(counts[0]),
+        F.coalesce(n_lines, F.lit(0)).cast("long").alias(counts[0]),
         F.greatest(F.coalesce(F.size(drop), F.lit(0)), F.lit(0)).cast("long").alias(counts[1]),
     )
     return rows.toDF(*names, *counts)
