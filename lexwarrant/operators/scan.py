@@ -32,13 +32,22 @@ def _keys(fold: Column | str) -> Column:
     return keys(F.col("text"), fold) if isinstance(fold, str) else fold
 
 
+def spread(docs: DataFrame) -> DataFrame:
+    """``docs`` in at least as many partitions as there are cores; a table of many splits stays as it is.
+
+    A small file is one split, which one core alone would cut into words.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() * 2 <= cores else docs
+
+
 def word_counts(docs: DataFrame, fold: Column | str = "de") -> DataFrame:
     """(source, seq, locator, word, n): how often each long enough word stands in each document.
 
     ``fold`` is a language, whose words fold in its own way, or an expression of ``text`` that gives the
     array of its keys.
     """
-    words = docs.select("source", "seq", "locator", F.explode(_keys(fold)).alias("word"))
+    words = spread(docs).select("source", "seq", "locator", F.explode(_keys(fold)).alias("word"))
     return words.groupBy("source", "seq", "locator", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -51,7 +60,7 @@ def counted(docs: DataFrame, candidates: DataFrame, fold: Column | str = "de") -
     known = candidates.select("word").distinct()
     document = ["source", "seq", "locator"]
     if known.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
-        words = docs.select(*document, F.explode(_keys(fold)).alias("token"))
+        words = spread(docs).select(*document, F.explode(_keys(fold)).alias("token"))
         marked = words.join(F.broadcast(known), F.col("token") == F.col("word"), "left")
         return marked.groupBy(*document, "word").agg(F.count(F.lit(1)).alias("n"))
     marked = word_counts(docs, fold).withColumnRenamed("word", "token").join(known, F.col("token") == F.col("word"), "left")
@@ -89,16 +98,20 @@ def totals_of(counts: DataFrame, sources: DataFrame) -> DataFrame:
     return sources.select("source").distinct().join(found, "source", "left").select("source", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
 
 
+def scan_of(counts: DataFrame, sources: DataFrame, floor: float = 0.0) -> Scan:
+    """Totals, hits and locators from a written table of counts (as ``counted`` gives them)."""
+    good = legible(counts, floor)
+    hits = good.where(F.col("word").isNotNull())
+    summed = hits.groupBy("source", "word").agg(F.sum("n").alias("count"))
+    return Scan(totals_of(good, sources), summed.join(sample_locators(hits), ["source", "word"]))
+
+
 def scan(docs: DataFrame, candidates: DataFrame, floor: float = 0.0, sources: DataFrame | None = None, fold: Column | str = "de") -> Scan:
     """Count candidates in documents. ``sources`` lists sources that must have a total even if empty.
 
     The counts are written to the shared folder, and totals, hits and locators are read from there.
     """
-    counts = legible(write_table(counted(docs, candidates, fold), "counts"), floor)
-    totals = totals_of(counts, docs if sources is None else sources)
-    hits = counts.where(F.col("word").isNotNull())
-    summed = hits.groupBy("source", "word").agg(F.sum("n").alias("count"))
-    return Scan(totals, summed.join(sample_locators(hits), ["source", "word"]))
+    return scan_of(write_table(counted(docs, candidates, fold), "counts"), docs if sources is None else sources, floor)
 
 
 def scan_by_domain(pages: DataFrame, candidates: DataFrame, fold: Column | str = "de") -> Scan:

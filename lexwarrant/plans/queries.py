@@ -11,7 +11,7 @@ from ..functions.text import SHORTEST, fold, nfd, readable_text, strip_wikitext
 from ..functions.urls import SUFFIXES, allowed, disallowed_paths, domain_of, feed_links, page_links, sitemap_links
 from ..operators import build as B, checks as C, curve as K, reports as R, rule, scan as S
 from ..sources import evidence_files as E, readers as X, web
-from ..storage import fresh_path
+from ..storage import fresh_path, state_of, write_table
 from . import corpus
 from .corpus import table
 
@@ -59,8 +59,19 @@ def query(sql: str | None = None, pre: bool = True):
     return register
 
 
+_counted: dict[tuple, DataFrame] = {}
+
+
+def _counts(spark, d) -> DataFrame:
+    """The counts of candidates per document, written once a session and used by every query of these tables."""
+    key = (spark.sparkContext.applicationId, d, state_of(spark, f"{d}/documents.parquet"), state_of(spark, f"{d}/benchmark.parquet"))
+    if key not in _counted:
+        _counted[key] = write_table(S.counted(corpus.documents(spark, d), corpus.candidates(spark, d)), "counts")
+    return _counted[key]
+
+
 def _scan(spark, d, floor=0.0) -> S.Scan:
-    return S.scan(corpus.documents(spark, d), corpus.candidates(spark, d), floor)
+    return S.scan_of(_counts(spark, d), corpus.documents(spark, d), floor)
 
 
 def _built(spark, d) -> B.Built:
@@ -95,8 +106,7 @@ def hits_semi_join(spark, d):
 
 @query("""SELECT doc_id, CAST(sum(n) AS BIGINT) AS tokens, CAST(coalesce(sum(n) FILTER (word IN (SELECT word FROM cand)), 0) AS BIGINT) AS known FROM dw GROUP BY 1""")
 def known_share_by_doc(spark, d):
-    counts = S.counted(corpus.documents(spark, d), corpus.candidates(spark, d))
-    return S.known_share(counts).select(F.col("seq").alias("doc_id"), "tokens", F.col("known").cast("long").alias("known"))
+    return S.known_share(_counts(spark, d)).select(F.col("seq").alias("doc_id"), "tokens", F.col("known").cast("long").alias("known"))
 
 
 @query(f"""SELECT s.source, CAST(coalesce(sum(t), 0) AS BIGINT) AS tokens FROM (SELECT DISTINCT source FROM documents) s LEFT JOIN (
@@ -303,7 +313,7 @@ _HARVEST = "SELECT doc_id, source, 'https://' || source || '.example.org/p' || d
 @query(f"""SELECT u.url, word, CAST(n AS BIGINT) AS times FROM dw JOIN ({_HARVEST}) u ON u.doc_id = dw.doc_id WHERE word IN (SELECT word FROM cand)""")
 def harvest_log_parse(spark, d):
     """Candidate counts written as harvest log lines, and read back."""
-    counts = S.counted(corpus.documents(spark, d), corpus.candidates(spark, d)).where("word is not null")
+    counts = _counts(spark, d).where("word is not null")
     pairs = F.array_join(F.collect_list(F.concat("word", F.lit(":"), F.col("n").cast("string"))), " ")
     url = F.concat(F.lit("https://"), "source", F.lit(".example.org/p"), "locator")
     lines = counts.groupBy("source", "seq", "locator").agg(pairs.alias("pairs")).select(F.col("seq").alias("n"), F.concat(url, F.lit("\t"), "pairs", F.lit(" BAD:0 NEG:-1 NOCOUNT")).alias("line"))
@@ -732,7 +742,7 @@ def map_and_feed_links(spark, d):
 @query(f"""SELECT u.url, string_agg(repeat(word || ' ', CAST(n AS INT)), '' ORDER BY word) AS words FROM dw JOIN ({_HARVEST}) u ON u.doc_id = dw.doc_id WHERE word IN (SELECT word FROM cand) GROUP BY 1""")
 def harvested_page_words(spark, d):
     """Pages of a harvest log: each word as often as the log counts it."""
-    counts = S.counted(corpus.documents(spark, d), corpus.candidates(spark, d)).where("word is not null")
+    counts = _counts(spark, d).where("word is not null")
     pairs = F.array_join(F.array_sort(F.collect_list(F.concat("word", F.lit(":"), F.col("n").cast("string")))), " ")
     url = F.concat(F.lit("https://"), "source", F.lit(".example.org/p"), "locator")
     lines = counts.groupBy("source", "seq", "locator").agg(pairs.alias("pairs")).select(F.col("seq").alias("n"), F.concat(url, F.lit("\t"), "pairs").alias("line"))

@@ -42,3 +42,10 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def state_of(spark: SparkSession, path: str) -> tuple:
+    """(name, length, time of change) of the files of a table, by which a change of it is noticed."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files.listStatus(where)))
