@@ -46,12 +46,27 @@ def test_run_is_the_stages(spark):
     assert rows and all(r["length"] <= 2048 for r in rows)
 
 
+def test_the_language_stage_labels_and_selects(spark, documents, monkeypatch):
+    german, english = "der hund und die katze sind nicht in das haus gegangen", "the dog and the cat have not gone into the house"
+    rows = [(i, german if i % 2 else english, "de" if i % 2 else "en", "s", 1) for i in range(40)]
+    rows += [(100, german, None, "s", 1), (101, german, "en", "s", 1), (102, "1234 ...", "en", "s", 1)]
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify(spark, documents(rows), "").collect()}
+    assert set(got) == {r[0] for r in rows} - {102} and got[100] == got[101] == "de" and got[0] == "en"
+    monkeypatch.setattr(corpus_pipeline, "WANTED_LANGUAGES", frozenset({"de"}))
+    assert set(corpus_pipeline.identify(spark, documents(rows), "").select("lang").distinct().toPandas()["lang"]) == {"de"}
+
+
 def test_odd_rows_pass_all_stages(spark, odd):
     docs = odd
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = write_table(stage(spark, docs, ""), "stage")
-        assert docs.columns == odd.columns
-    rows = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    # tables whose names differ in case only can be written and read only so
+    spark.conf.set("spark.sql.caseSensitive", "true" if "TEXT" in odd.columns else "false")
+    try:
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = write_table(stage(spark, docs, ""), "stage")
+            assert docs.columns == odd.columns
+        rows = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
     assert bool(rows) == bool(odd.rows)
 
 
