@@ -8,6 +8,11 @@ region, by distance in the order: the next ``NEAREST`` in the first round, the w
 sketches (two bits of each of 128 values) agree well enough. Candidates are confirmed on full sets, and
 only confirmed links make components.
 
+A family of edited copies can have as many candidates as pairs, few of which are links. A region gives at
+most as many candidates as it has members (or ``PAIRS``); where there are more, it gives a tree of them
+instead, and what such trees connect is a crowd. Each crowd is compared whole on full sets, in pairs of
+blocks, of which only links come out, and its pairs are no candidates any more.
+
 Depth adapts by region. Of a region of more than ``DENSE`` members only neighbours are looked at. If it
 isn't one component after that, its members go to the next level of ``LEVELS``, where prefixes are
 longer and trees more, so that what is only somewhat alike comes apart while a pair at the threshold
@@ -41,6 +46,10 @@ DENSE = 1024
 #: Trees of the first round, about, and the distance in sorted order that the second looks at.
 FEW = 4
 NEAREST = 2
+#: Candidates that a region of any size may give as pairs.
+PAIRS = 64
+#: Members of a block of a crowd while it has no more than ``BLOCKS``, and beyond; shingles of a block.
+SMALL_BLOCK, BLOCKS, LARGE_BLOCK, BLOCK_SHINGLES = 128, 24, 1024, 2_000_000
 #: Values of the sketch, two bits each, and how many deviations below the expected a pair may agree.
 SKETCH = 128
 _DEVIATIONS = 5.0
@@ -185,67 +194,116 @@ def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=-1)
 
 
-def candidates(regions: DataFrame, low: int, high: int, needed: int, known: DataFrame) -> DataFrame:
-    """(a, b): members of a region at distances above ``low`` up to ``high`` in its order whose sketches
-    agree and which ``known`` (node, component) doesn't have in one component."""
+def _forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs (i, j) of ``n`` rows that a search in breadth takes: they connect what all of them do."""
+    near = np.zeros((n, n), bool)
+    near[i, j] = near[j, i] = True
+    new, out = np.ones(n, bool), []
+    for root in range(n):
+        if not new[root]:
+            continue
+        new[root], queue = False, [root]
+        for at in queue:
+            found = np.nonzero(near[at] & new)[0]
+            new[found] = False
+            out.append(np.stack([np.full(len(found), at), found]))
+            queue.extend(found.tolist())
+    return tuple(np.concatenate(out, axis=1))
+
+
+def _pairs(reps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """a, b, crowded: the pairs (i, j) of ``reps``, or a tree of them if they are more than the members."""
+    crowded = len(i) > max(PAIRS, len(reps))
+    if crowded:
+        i, j = _forest(i, j, len(reps))
+    x, y = reps[i], reps[j]
+    return np.stack([np.minimum(x, y), np.maximum(x, y), np.full(len(x), crowded, np.int64)], axis=1)
+
+
+def _batch_of(found: list[np.ndarray]) -> list[pa.Array]:
+    rows = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *found]), axis=0)
+    return [pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2] == 1)]
+
+
+_CANDIDATES = "a long, b long, crowded boolean"
+
+
+def _placed(members: DataFrame, known: DataFrame, settled: DataFrame | None) -> DataFrame:
+    """``members`` (rep) with their component and crowd; alone, both are the member itself."""
+    members = members.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    if settled is None:
+        return members.withColumn("crowd", F.col("rep"))
+    return members.join(settled.withColumnRenamed("node", "rep"), "rep", "left").withColumn("crowd", F.coalesce("crowd", "rep"))
+
+
+def _ends(*names: str) -> tuple[list, str]:
+    """The least and the greatest of each column, and the condition that they differ in all of them."""
+    return [f(c).alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max)], " and ".join(f"min_{c} <> max_{c}" for c in names)
+
+
+def candidates(regions: DataFrame, low: int, high: int, needed: int, known: DataFrame, settled: DataFrame | None = None) -> DataFrame:
+    """(a, b, crowded): members of a region at distances above ``low`` up to ``high`` in its order whose
+    sketches agree and which ``known`` (node, component) doesn't have in one component, nor ``settled``
+    (node, crowd) in one crowd. Of a region with more of them than members, a tree of them, as crowded."""
     most = _most_apart(needed)
     regions = regions.where(F.size("reps") > low + 1)
     keyed = regions.withColumn("first", F.element_at("reps", 1)).withColumn("last", F.element_at("reps", -1))
-    members = keyed.select("prefix", "first", "last", F.posexplode("reps").alias("at", "rep")).join(known.withColumnRenamed("node", "rep"), "rep", "left")
-    members = members.withColumn("component", F.coalesce("component", "rep"))
-    several = members.groupBy("prefix", "first", "last").agg(F.array_sort(F.collect_list(F.struct("at", "component"))).alias("c"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rows = keyed.join(several, ["prefix", "first", "last"]).select("reps", "sketch", F.col("c.component").alias("held")).where(F.size("held") == F.size("reps"))
+    members = _placed(keyed.select("prefix", "first", "last", F.posexplode("reps").alias("at", "rep")), known, settled)
+    ends, apart = _ends("component", "crowd")
+    several = members.groupBy("prefix", "first", "last").agg(F.array_sort(F.collect_list(F.struct("at", "component", "crowd"))).alias("c"), *ends).where(apart)
+    rows = keyed.join(several, ["prefix", "first", "last"]).select("reps", "sketch", F.col("c.component").alias("held"), F.col("c.crowd").alias("crowd")).where(F.size("held") == F.size("reps"))
 
     def look(batches):
         for batch in batches:
             found: list[np.ndarray] = []
             for k in range(batch.num_rows):
-                reps, held, sketch = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in ("reps", "held", "sketch"))
-                sketch = sketch.view(np.uint64).reshape(-1, 4)
+                reps, held, crowd, sketch = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in ("reps", "held", "crowd", "sketch"))
+                sketch, here = sketch.view(np.uint64).reshape(-1, 4), []
                 for d in range(low + 1, min(high, len(reps) - 1) + 1):
-                    near = np.nonzero((_apart(sketch[:-d], sketch[d:]) <= most) & (held[:-d] != held[d:]))[0]
+                    near = np.nonzero((held[:-d] != held[d:]) & (crowd[:-d] != crowd[d:]) & (_apart(sketch[:-d], sketch[d:]) <= most))[0]
                     if len(near):
-                        found.append(np.stack([reps[near], reps[near + d]]))
-            pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-            pairs = np.unique(np.stack([pairs.min(axis=0), pairs.max(axis=0)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, i].copy()) for i in range(2)], names=["a", "b"])
+                        here.append(np.stack([near, near + d]))
+                if here:
+                    found.append(_pairs(reps, *np.concatenate(here, axis=1)))
+            yield pa.RecordBatch.from_arrays(_batch_of(found), names=["a", "b", "crowded"])
+
+    return rows.mapInArrow(look, _CANDIDATES).where("a < b").distinct()
+
 
-    return rows.mapInArrow(look, "a long, b long").where("a < b").distinct()
+def mixed_regions(dense: DataFrame, known: DataFrame, settled: DataFrame | None = None) -> DataFrame:
+    """prefix of the large regions whose members are not all of one component or of one crowd."""
+    ends, apart = _ends("component", "crowd")
+    return _placed(dense.select("prefix", F.explode("reps").alias("rep")), known, settled).groupBy("prefix").agg(*ends).where(apart).select("prefix")
 
 
-def mixed_regions(dense: DataFrame, known: DataFrame) -> DataFrame:
-    """prefix of the large regions whose members are not all of one component."""
-    members = dense.select("prefix", F.explode("reps").alias("rep")).join(known.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep")
-    return members.groupBy("prefix").agg(F.min(component).alias("x"), F.max(component).alias("y")).where("x <> y").select("prefix")
+def _in_block_pairs(placed: DataFrame, group: str, names: list[str]) -> DataFrame:
+    """``placed`` (group, blocks and ``names``) once for each pair of blocks of a group, as group, low, high, own."""
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return pairs.select(group, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", *names)
 
 
-def dense_candidates(dense: DataFrame, needed: int, known: DataFrame) -> DataFrame:
-    """(a, b): the same for all pairs of a large region's members, in pairs of blocks of ``DENSE``."""
-    most, names = _most_apart(needed), ["rep", "component", *_S]
+def dense_candidates(dense: DataFrame, needed: int, known: DataFrame, settled: DataFrame | None = None) -> DataFrame:
+    """(a, b, crowded): the same for all pairs of a large region's members, in pairs of blocks of ``DENSE``."""
+    most, names = _most_apart(needed), ["rep", "component", "crowd", *_S]
     place = F.posexplode("reps").alias("at", "rep")
     sketch = [F.get("sketch", F.col("at") * 4 + i).alias(s) for i, s in enumerate(_S)]
-    members = dense.select("prefix", "sketch", place).select("prefix", "rep", *sketch).join(known.withColumnRenamed("node", "rep"), "rep", "left")
-    members = write_table(members.withColumn("component", F.coalesce("component", "rep")), "dense-members")
+    members = write_table(_placed(dense.select("prefix", "sketch", place).select("prefix", "rep", *sketch), known, settled), "dense-members")
     sizes = members.groupBy("prefix").agg(F.ceil(F.count(F.lit(1)) / DENSE).cast("int").alias("blocks"))
-    placed = members.join(sizes, "prefix").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.select("prefix", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", *names)
 
     def look(table: pa.Table) -> pa.Table:
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         rows = np.stack([table.column(n).to_numpy() for n in names], axis=1)
-        own, found = table.column("own").to_numpy(), [np.zeros((0, 2), np.int64)]
-        left, right = rows[own == low], rows[own == high]
-        sketches = right[:, 2:].copy().view(np.uint64)
-        for rep, component, *s in left:
-            near = (_apart(np.array(s, np.int64).view(np.uint64), sketches) <= most) & (right[:, 1] != component)
-            near &= (right[:, 0] > rep) if low == high else True
-            found.append(np.stack([np.full(near.sum(), rep), right[near, 0]], axis=1))
-        out = np.concatenate(found)
-        return pa.table({"a": out.min(axis=1), "b": out.max(axis=1)} if len(out) else {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        own, found = table.column("own").to_numpy(), [np.zeros((2, 0), np.int64)]
+        left, right = np.nonzero(own == low)[0], np.nonzero(own == high)[0]
+        sketches = rows[:, 3:].copy().view(np.uint64)
+        for i in left:
+            near = (_apart(sketches[i], sketches[right]) <= most) & (rows[right, 1] != rows[i, 1]) & (rows[right, 2] != rows[i, 2])
+            near &= (right > i) if low == high else True
+            found.append(np.stack([np.full(near.sum(), i), right[near]]))
+        return pa.table(_batch_of([_pairs(rows[:, 0], *np.concatenate(found, axis=1))]), names=["a", "b", "crowded"])
 
-    return pairs.groupBy("prefix", "low", "high").applyInArrow(look, "a long, b long").where("a < b").distinct()
+    return _in_block_pairs(members.join(sizes, "prefix"), "prefix", names).groupBy("prefix", "low", "high").applyInArrow(look, _CANDIDATES).where("a < b").distinct()
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame, classes: DataFrame) -> DataFrame:
@@ -254,9 +312,8 @@ def _texts_of(docs: DataFrame, ids: DataFrame, classes: DataFrame) -> DataFrame:
     return columns_of(docs, "doc_id", "text").withColumnRenamed("doc_id", "rep").join(wanted, "rep")
 
 
-def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, needed: int) -> DataFrame:
-    """The pairs with 100 * intersection >= ``needed`` * union on full shingle sets."""
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+def _sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """rep and shingles of the representatives in ``ids`` (rep), as a table."""
 
     def build(batches):
         for batch in slices(batches):
@@ -264,7 +321,12 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
             held = [_set_key(s) == key for s, key in zip(sets, batch.column("set_key").to_pylist())]  # another row may carry the same id
             yield pa.RecordBatch.from_arrays([batch.column("rep").filter(pa.array(held)), pa.array([s.view(np.int64) for s, h in zip(sets, held) if h], pa.list_(pa.int64()))], names=["rep", "shingles"])
 
-    sets = write_table(_texts_of(docs, ids, classes).mapInArrow(build, "rep long, shingles array<long>").dropDuplicates(["rep", "shingles"]), "sets")
+    return write_table(_texts_of(docs, ids, classes).mapInArrow(build, "rep long, shingles array<long>").dropDuplicates(["rep", "shingles"]), "sets")
+
+
+def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, needed: int) -> DataFrame:
+    """The pairs with 100 * intersection >= ``needed`` * union on full shingle sets."""
+    sets = _sets(docs, pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), classes, width)
     of_a, of_b = (sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "ab")
     n, m = F.size("of_a"), F.size("of_b")
     both = pairs.join(of_a, "a").join(of_b, "b").where((100 * n >= needed * m) & (100 * m >= needed * n))
@@ -272,18 +334,78 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     return both.select("a", "b", n.alias("n"), m.alias("m"), common.alias("c")).where(100 * F.col("c") >= needed * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b").distinct()
 
 
+def _parities(sets: list[np.ndarray]) -> np.ndarray:
+    """Rows of bits, each the parity of the shingles that fall on it. Two rows differ in no more bits than
+    their sets do in shingles, and in hardly fewer, as there are eight bits or more to a shingle."""
+    width = min(18, max(10, (8 * max(map(len, sets)) - 1).bit_length()))
+    places = ((s.view(np.uint64) >> np.uint64(64 - width)).astype(np.int64) for s in sets)
+    return np.stack([np.packbits((np.bincount(p, minlength=1 << width) & 1).astype(bool)).view(np.uint64) for p in places])
+
+
+def _links_between(left: list[int], right: list[int], sets: list[np.ndarray], component: np.ndarray, crowd: np.ndarray, needed: int) -> list[tuple[int, int]]:
+    """Links of rows ``left`` to rows ``right`` (after them, if these are the same) that join components
+    which neither ``component`` nor an earlier link has joined, without pairs of one ``crowd``."""
+    roots, at = np.unique(component, return_inverse=True)
+    at, right = at.copy(), np.asarray(right)
+    sizes, bits = np.array([len(s) for s in sets]), _parities(sets)
+    same, of_right, found = np.array_equal(left, right), bits[right], []
+    for i in left:
+        both = sizes[i] + sizes[right]
+        differ = np.bitwise_count(bits[i] ^ of_right).sum(axis=1, dtype=np.int64)
+        near = (differ * (100 + needed) <= both * (100 - needed)) & (at[right] != at[i]) & (crowd[right] != crowd[i])
+        for j in right[near & (right > i) if same else near].tolist():
+            if at[i] == at[j]:
+                continue
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * common >= needed * (sizes[i] + sizes[j] - common):
+                found.append((i, j))
+                at[at == at[j]] = at[i]
+    return found
+
+
+def compared(docs: DataFrame, classes: DataFrame, crowds: DataFrame, known: DataFrame, settled: DataFrame | None, width: int, needed: int) -> DataFrame:
+    """(a, b): links on full shingle sets between members of a crowd (node, crowd), by all its pairs that
+    ``known`` doesn't have in one component nor ``settled`` in one crowd, as many as join its components."""
+    names = ["rep", "component", "crowd", "shingles"]
+    sets = _sets(docs, crowds.select(F.col("node").alias("rep")), classes, width)
+    placed = _placed(sets, known, settled).join(crowds.select(F.col("node").alias("rep"), F.col("crowd").alias("now")), "rep")
+    ends, apart = _ends("component", "crowd")
+    n = F.count(F.lit(1))
+    blocks = F.greatest(F.least(F.ceil(n / SMALL_BLOCK), F.lit(BLOCKS)), F.ceil(n / LARGE_BLOCK), F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES))
+    sizes = placed.groupBy("now").agg(blocks.cast("int").alias("blocks"), *ends).where(apart).select("now", "blocks")
+
+    def look(table: pa.Table) -> pa.Table:
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        own, rep, component, crowd = (table.column(c).to_numpy() for c in ("own", "rep", "component", "crowd"))
+        lists = table.column("shingles").combine_chunks()
+        values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        sets = [values[s:e] for s, e in zip(ends[:-1], ends[1:])]
+        found = _links_between(*(np.nonzero(own == x)[0].tolist() for x in (low, high)), sets, component, crowd, needed)
+        i, j = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table([pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"])
+
+    return _in_block_pairs(placed.join(sizes, "now"), "now", names).groupBy("now", "low", "high").applyInArrow(look, "a long, b long").distinct()
+
+
 def linked(docs: DataFrame, classes: DataFrame, same: DataFrame, width: int, needed: int) -> DataFrame:
     """node, component over all links the forest finds between classes (rep, set_key, signature), and those
     of ``same`` (a, b)."""
     links = write_table(same, "same")
-    known = components(links)
+    known, trees, settled = components(links), None, None
 
     def confirm(pairs: DataFrame) -> None:
-        nonlocal links, known
+        nonlocal links, known, trees, settled
         pairs = write_table(pairs, "candidates")
-        if pairs.limit(1).count():
-            links = links.union(write_table(confirmed(docs, classes, pairs, width, needed), "near-links"))
+        few, many = pairs.where("not crowded").select("a", "b"), pairs.where("crowded").select("a", "b")
+        if few.limit(1).count():
+            links = links.union(write_table(confirmed(docs, classes, few, width, needed), "near-links"))
             known = components(links)
+        if many.limit(1).count():
+            trees = many if trees is None else trees.union(many)
+            crowds = components(trees).withColumnRenamed("component", "crowd")
+            grown = crowds.join(many.select(F.col("a").alias("node")), "node", "left_semi").select("crowd").distinct()
+            links = links.union(write_table(compared(docs, classes, crowds.join(grown, "crowd", "left_semi"), known, settled, width, needed), "near-links"))
+            known, settled = components(links), crowds
 
     members = classes
     for k, level in enumerate(LEVELS):
@@ -292,17 +414,17 @@ def linked(docs: DataFrame, classes: DataFrame, same: DataFrame, width: int, nee
         regions, dense = write_table(regions, "regions"), write_table(dense, "dense")
         both = regions.union(dense)
         # a family of near copies is one component after the first round, and has no more candidates
-        confirm(candidates(both.where(F.pmod("prefix", F.lit(level.trees // FEW)) == 0), 0, 1, needed, known))
-        confirm(candidates(both, 0, NEAREST, needed, known))
-        confirm(candidates(regions, NEAREST, DENSE, needed, known))
+        confirm(candidates(both.where(F.pmod("prefix", F.lit(level.trees // FEW)) == 0), 0, 1, needed, known, settled))
+        confirm(candidates(both, 0, NEAREST, needed, known, settled))
+        confirm(candidates(both, NEAREST, DENSE, needed, known, settled))
         if not dense.limit(1).count():
             break
-        mixed_ones = write_table(mixed_regions(dense, known), "mixed")
+        mixed_ones = write_table(mixed_regions(dense, known, settled), "mixed")
         if not mixed_ones.limit(1).count():
             break
         dense = dense.join(mixed_ones, "prefix", "left_semi")
         if last:
-            confirm(dense_candidates(dense, needed, known))
+            confirm(dense_candidates(dense, needed, known, settled))
             break
         values = LEVELS[k + 1].values
 

@@ -109,6 +109,29 @@ def test_half_shared_documents_stay_apart(documents, spark):
     assert near_dedup.candidates(regions, 0, near_dedup.DENSE, 80, components(spark.createDataFrame([], "a long, b long"))).count() < 500
 
 
+@pytest.mark.parametrize("dense", [1024, 100])
+def test_a_family_of_loose_copies_gives_no_rows_for_all_its_pairs(documents, monkeypatch, dense):
+    """300 edited copies of one text, most of them alike at 0.6 to 0.78: pairs that sketches can't tell from links."""
+    monkeypatch.setattr(near_dedup, "DENSE", dense)
+    rnd, texts, made = random.Random(11), {}, {}
+    base = [f"w{k}" for k in range(150)]
+    for i in range(300):
+        w = list(base)
+        for _ in range(rnd.choice([1, 2, 3, 3, 4, 4, 5])):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(10**6)}"
+        texts[i] = " ".join(w)
+    write = near_dedup.write_table
+
+    def counted(df, name):
+        out = write(df, name)
+        made.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "write_table", counted)
+    check(documents([(i, t, "en", "s", len(t)) for i, t in texts.items()]), texts, 4)
+    assert max(made["candidates"]) <= 32 * 300 < 300 * 299 / 4
+
+
 @pytest.mark.parametrize("most", [1024, 7])
 def test_runs_are_the_regions(spark, most):
     """Runs put together again are the groups of equal prefixes, however ranges cut them."""
