@@ -50,3 +50,15 @@ settled AS (SELECT done AS doc_id, done_p AS p FROM fold WHERE done IS NOT NULL
 SELECT d.doc_id, d.size, d.source_size, d.target, CAST(d.size * c AS BIGINT) AS taken, CAST(c AS BIGINT) AS copies FROM (
   SELECT d.*, CASE WHEN d.size = 0 THEN 1 ELSE whole + CASE WHEN s.p >= 0.5 THEN 1 ELSE 0 END END AS c FROM d LEFT JOIN settled s ON s.doc_id = d.doc_id) d
 """
+
+#: Units as lists, cut and put together by name.
+FILL_IN_MIDDLE = r"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+h AS (SELECT doc_id, text, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS UBIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS UBIGINT) AS h2, CAST('0x' || substr(h, 17, 8) AS UBIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS UBIGINT) AS h4 FROM u),
+f AS (SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+  CAST(least(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS a, CAST(greatest(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS b FROM h),
+p AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""

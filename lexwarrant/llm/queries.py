@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language_id, line_templates, media, mixing, near_dedup, oracles, packing, secret_scan, token_counts, toxicity
+from . import fim, fingerprints, language_id, line_templates, media, mixing, near_dedup, oracles, packing, secret_scan, token_counts, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,9 +53,14 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(documents(spark, sf_dir))
+
+
 QUERIES = (
     op1_pack, op2_token_counts, op3_line_templates, op4_toxicity, op5_language,
     op6_near_duplicates, op7_fingerprints, op8_secrets, op9_media, op10_mix,
+    op13_fill_in_middle,
 )
 
 
@@ -64,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_near_duplicates": oracles.NEAR_DUPLICATES, "op10_mix": oracles.MIX}
+    return {"op6_near_duplicates": oracles.NEAR_DUPLICATES, "op10_mix": oracles.MIX, "op13_fill_in_middle": oracles.FILL_IN_MIDDLE}
