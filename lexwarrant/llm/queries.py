@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fim, fingerprints, language_id, line_templates, media, mixing, near_dedup, oracles, packing, secret_scan, token_counts, toxicity
+from . import fim, fingerprints, language_id, line_templates, media, mixing, near_dedup, oracles, packing, secret_scan, token_counts, toxicity, whitening
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(documents(spark, sf_dir))
 
@@ -60,7 +64,7 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_pack, op2_token_counts, op3_line_templates, op4_toxicity, op5_language,
     op6_near_duplicates, op7_fingerprints, op8_secrets, op9_media, op10_mix,
-    op13_fill_in_middle,
+    op12_whiten, op13_fill_in_middle,
 )
 
 
