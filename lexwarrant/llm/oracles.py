@@ -5,18 +5,20 @@ from __future__ import annotations
 from . import mixing
 
 #: Pairs by a join on shingles, components by closure. Fit for the sizes the comparison runs at.
-NEAR_DUPLICATES = r"""
+_COMPONENTS = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM words, LATERAL (SELECT unnest(range(1, greatest(len(w) - 2, 2))) AS i) WHERE len(w) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
 links AS (
   SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL)
-  JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+  JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= @needed * (nx.n + ny.n - c)),
 reach AS (SELECT x, x AS r FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.r)
-SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id, coalesce(c.component_id, d.doc_id) = d.doc_id AS kept
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id@more
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT x, min(r) AS component_id FROM reach GROUP BY 1) c ON c.x = d.doc_id
 """
+NEAR_DUPLICATES = _COMPONENTS.replace("@needed", "80").replace("@more", ", coalesce(c.component_id, d.doc_id) = d.doc_id AS kept")
+JACCARD_JOIN = _COMPONENTS.replace("@needed", "85").replace("@more", "")
 
 #: One level of the reduction tree, which is all there is while no source has more documents than a chunk.
 MIX = rf"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fim, fingerprints, language_id, line_templates, media, mixing, near_dedup, oracles, packing, secret_scan, token_counts, toxicity, whitening
+from . import fim, fingerprints, jaccard_join, language_id, line_templates, media, mixing, near_dedup, oracles, packing, secret_scan, token_counts, toxicity, whitening
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(documents(spark, sf_dir))
+
+
 def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -64,7 +68,7 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_pack, op2_token_counts, op3_line_templates, op4_toxicity, op5_language,
     op6_near_duplicates, op7_fingerprints, op8_secrets, op9_media, op10_mix,
-    op12_whiten, op13_fill_in_middle,
+    op11_jaccard_join, op12_whiten, op13_fill_in_middle,
 )
 
 
@@ -73,4 +77,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_near_duplicates": oracles.NEAR_DUPLICATES, "op10_mix": oracles.MIX, "op13_fill_in_middle": oracles.FILL_IN_MIDDLE}
+    return {"op6_near_duplicates": oracles.NEAR_DUPLICATES, "op10_mix": oracles.MIX, "op11_jaccard_join": oracles.JACCARD_JOIN, "op13_fill_in_middle": oracles.FILL_IN_MIDDLE}
