@@ -1,20 +1,21 @@
 """Exact self-join of documents by the Jaccard similarity of their shingle sets.
 
-Documents with equal sets are one class with one representative. All shingles have one order, rare ones
-first. Two sets at the threshold share one of the first few of each in that order, so rows (shingle, size,
-representative) of these, sorted over the whole cluster, bring every pair that can link side by side.
-What shares a shingle is looked at by size and place, which bound the overlap from above:
-
-- where few share it, each pair that passes is a candidate by itself;
-- where many do, those near in size are tied together, and what such ties connect is a crowd. Crowds are
-  compared in tiles: bands of sizes as wide as the threshold, so that links never skip a band, and blocks
-  within a band. First each tile in itself, then pairs of tiles of what isn't one component by then.
-
-Either way each set has a bitmap, one bit a hash value, set where an odd number of its shingles fall, as wide
-as its size asks for. Bits in which two differ come from shingles that only one set has, so their count bounds
-the overlap from above; what passes is confirmed by intersecting the sorted arrays of both whole sets. No
-bound ever fails a link, and nothing is sampled but the order: which shingles count as common is taken from
-``SAMPLE`` documents, and any order gives the same links.
+All shingles have one order, rare ones first. Two sets at the threshold share one of the first few of each
+in that order, so rows (shingle, size, place, document) of these, sorted over the whole cluster, bring every
+pair that can link side by side; copies of one set collapse there. What shares a shingle is compared by
+sizes and places, which bound the overlap from above. Where few share one, the pairs that pass are candidates
+by themselves; where many do, they are tied together, and what ties connect is a team.
+
+Each set has a bitmap, one bit a hash value, set where an odd number of its shingles fall, as wide as its size
+asks for. Bits in which two bitmaps differ come from shingles that only one set has, so their count bounds the
+overlap from above. Teams are compared by bitmaps in tiles: whole where they are small, else in bands of sizes
+as wide as the threshold, so that links never skip a band, and in blocks within a band. What passes is
+confirmed by intersecting the sorted arrays of both whole sets. Where more pairs of a tile pass than it could
+need, as in a large family of copies, it gives a tree of them instead, and what such trees connect is compared
+in tiles of whole sets, each tile in itself, then pairs of tiles of what isn't one component by then.
+
+No bound ever fails a link, and nothing is sampled but the order: which shingles count as common is taken
+from ``SAMPLE`` documents, and any order gives the same links.
 """
 
 from __future__ import annotations
@@ -26,19 +27,23 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..storage import write_table
 from .arrow import columns_of, slices, spread, texts
 from .components import components
-from .near_dedup import _set_key, _sets
+from .near_dedup import _forest, _set_key, _sets
 from .shingles import shingle_set
 
 WIDTH = 4
 NEEDED = 85
 #: Documents, about, by which common shingles are known; shingles of this many of them are, and at most so many.
-SAMPLE, COMMON, MOST_COMMON = 8_192, 8, 100_000
-#: Representatives that share a shingle and are paired by themselves; more make a crowd.
-FEW = 8
+SAMPLE, COMMON, MOST_COMMON = 16_384, 2, 500_000
+#: Documents that share a shingle and are paired by themselves, and those that are tied by bounds.
+FEW, MANY = 64, 512
 #: Members and shingles of a tile, about.
 TILE, TILE_SHINGLES = 512, 2_000_000
+#: Pairs for each member that a tile may give by themselves, and the least number that any may.
+SPARSE, LEAST = 4, 64
 #: Bits of a bitmap for each shingle of its set, and the widest one.
 BITS, WIDEST = 4, 1 << 18
+#: Bytes of bitmaps, about, whose tiles one call compares, and 64-bit words compared at once.
+BUCKET, AT_ONCE = 4 << 20, 1 << 20
 
 
 def looked_at(n: int, needed: int) -> int:
@@ -119,41 +124,52 @@ def signed(docs: DataFrame, width: int, needed: int, common: np.ndarray) -> Data
     return columns_of(docs, "doc_id", "text").mapInArrow(sign, schema)
 
 
-_MET = "kind string, shingle long, a long, b long"
+def met(members: DataFrame, needed: int) -> DataFrame:
+    """(kind, shingle, a, b) of documents that share one of their first shingles.
 
-
-def met(classes: DataFrame, needed: int) -> DataFrame:
-    """(kind, shingle, a, b) of representatives that share one of their first shingles.
-
-    ``pair``: a candidate by size and place. ``tie``: neighbours by size among more than ``FEW`` that share
-    one. ``edge``: a member of a run of equal shingles that a range of the order may have cut.
+    ``pair``: what sizes and places let link, where up to ``FEW`` share one. ``tie``: a tree of that where up to
+    ``MANY`` do; beyond, neighbours by size. ``edge``: an end of a run of equal shingles that a range of the
+    order may have cut.
     """
-    rows = classes.select("rep", F.col("n_shingles").alias("n"), F.posexplode("first").alias("at", "shingle")).select("shingle", "n", "rep", F.col("at").cast("long").alias("at"))
-    ordered = rows.repartitionByRange("shingle", "n", "rep").sortWithinPartitions("shingle", "n", "rep")
+    place = F.shiftleft(F.col("n_shingles"), 32) + F.col("at")
+    rows = members.select("n_shingles", F.xxhash64("set_key").alias("key"), F.col("doc_id").alias("rep"), F.posexplode("first").alias("at", "shingle")).select("shingle", place.alias("place"), "key", "rep")
+    order = ["shingle", "place", "key", "rep"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def look(rows: np.ndarray, begins: bool, ends: bool) -> pa.RecordBatch:
         """``begins``, ``ends``: the first or the last run may be part of a longer one."""
-        shingle, n, rep, at = rows
+        fresh = np.append(True, (rows[:3, 1:] != rows[:3, :-1]).any(axis=0))  # copies of one set have one place
+        shingle, place, _, rep = rows[:, fresh]
         starts = np.append(0, np.nonzero(np.diff(shingle))[0] + 1)
         lengths = np.diff(np.append(starts, len(shingle)))
         cut = np.zeros(len(starts), bool)
         cut[0] |= begins
         cut[-1] |= ends
-        many = np.repeat((lengths > FEW) | cut, lengths)
-        out: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]] = []
-        for d in range(1, FEW):
-            i = np.nonzero((shingle[:-d] == shingle[d:]) & ~many[:-d])[0]
-            j = i + d
-            # after the first shingle that two share, each can share no more than what it has left
-            most = np.minimum(n[i] - at[i], n[j] - at[j])
-            i, j = (x[(100 * n[i] >= needed * n[j]) & can_link(n[i] + n[j] - 2 * most, n[i], n[j], needed)] for x in (i, j))
-            out.append(("pair", shingle[i], np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])))
-        i = np.nonzero((shingle[:-1] == shingle[1:]) & many[:-1] & (100 * n[:-1] >= needed * n[1:]))[0]
-        out.append(("tie", shingle[i], rep[i], rep[i + 1]))
-        ends_of = np.unique([x for s, k in zip(starts[cut], lengths[cut]) for x in (s, s + k - 1)]).astype(int)
-        out.append(("edge", shingle[ends_of], rep[ends_of], rep[ends_of]))
-        kinds = pa.array([k for k, *_ in out]).take(pa.array(np.repeat(np.arange(len(out)), [len(x[1]) for x in out])))
-        return pa.RecordBatch.from_arrays([kinds, *(pa.array(np.concatenate([x[c] for x in out])) for c in (1, 2, 3))], names=["kind", "shingle", "a", "b"])
+        whole = (lengths <= FEW) & ~cut
+        few, most = np.repeat(whole, lengths), int(lengths[whole].max(initial=0))
+        out: list[tuple[str, np.ndarray, np.ndarray]] = []
+        at = np.nonzero(few)[0]
+        for d in range(1, most):
+            at = at[(at + d < len(shingle))]
+            at = at[shingle[at] == shingle[at + d]]
+            good = at[in_bounds(place[at], place[at + d], needed)]
+            out.append(("pair", good, good + d))
+        for k in np.nonzero(~whole)[0]:
+            run = np.arange(starts[k], starts[k] + lengths[k])
+            if lengths[k] <= MANY and not cut[k]:
+                i, j = np.triu_indices(len(run), 1)
+                good = in_bounds(place[run[i]], place[run[j]], needed)
+                i, j = _forest(i[good], j[good], len(run))
+            else:  # what two can link lies between them by size
+                n = place[run] >> 32
+                i = np.nonzero(100 * n[:-1] >= needed * n[1:])[0]
+                j = i + 1
+            out.append(("tie", run[i], run[j]))
+        at = np.unique([x for s, k in zip(starts[cut], lengths[cut]) for x in (s, s + k - 1)]).astype(int)
+        out.append(("edge", at, at))
+        kinds = pa.array([k for k, *_ in out]).take(pa.array(np.repeat(np.arange(len(out)), [len(i) for _, i, _ in out])))
+        i, j = (np.concatenate([x[c] for x in out]) for c in (1, 2))
+        return pa.RecordBatch.from_arrays([kinds, pa.array(shingle[i]), pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["kind", "shingle", "a", "b"])
 
     def walk(batches):
         held, begins = np.zeros((4, 0), np.int64), True
@@ -171,7 +187,14 @@ def met(classes: DataFrame, needed: int) -> DataFrame:
         if held.shape[1]:
             yield look(held, begins, True)
 
-    return ordered.mapInArrow(walk, _MET)
+    return ordered.mapInArrow(walk, "kind string, shingle long, a long, b long")
+
+
+def in_bounds(x: np.ndarray, y: np.ndarray, needed: int) -> np.ndarray:
+    """Whether sets with these places of their first shared shingle can link: each shares no more than it has left."""
+    n, m = x >> 32, y >> 32
+    most = np.minimum(n - (x & 0xFFFFFFFF), m - (y & 0xFFFFFFFF))
+    return can_link(n + m - 2 * most, n, m, needed)
 
 
 def _bands(n: str, needed: int) -> F.Column:
@@ -179,13 +202,67 @@ def _bands(n: str, needed: int) -> F.Column:
     return F.floor(F.log(F.col(n).cast("double")) / F.lit(np.log(100 / needed) * (1 + 1e-9))).cast("int")
 
 
-def within_bounds(pairs: DataFrame, classes: DataFrame, needed: int) -> DataFrame:
-    """The pairs (a, b) that their bitmaps leave possible."""
-    of = lambda x: classes.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("bitmap").alias(f"bits_{x}"))
+def placed(rows: DataFrame, needed: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with band and block, tiles): ``rows`` (team, rep, n, ...) put into the tiles (team, band, block)."""
+    n, shingles = F.count(F.lit(1)), F.sum("n")
+    teams = rows.groupBy("team").agg(((n > TILE) | (shingles > TILE_SHINGLES)).alias("large"))
+    banded = rows.join(teams, "team").withColumn("band", F.when(F.col("large"), _bands("n", needed)).otherwise(0)).drop("large")
+    blocks = banded.groupBy("team", "band").agg(F.greatest(F.ceil(n / TILE), F.ceil(shingles / TILE_SHINGLES)).cast("int").alias("blocks"))
+    out = banded.join(blocks, ["team", "band"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).drop("blocks")
+    return out, blocks.select("team", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+
+
+def _unit(rows: DataFrame) -> DataFrame:
+    keys = ["team", "band", "block", "to_band", "to_block"]
+    return rows.withColumn("unit", F.xxhash64(*keys)).drop(*keys)
+
+
+def inside(rows: DataFrame) -> DataFrame:
+    """Rows of tiles, each with the unit in which its tile meets itself."""
+    return _unit(rows.withColumns({"to_band": F.col("band"), "to_block": F.col("block"), "own": F.lit(True)}))
+
+
+def across(rows: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Rows of tiles once for every other tile of their team whose sizes can link; ``own`` tells the sides."""
+    there = tiles.withColumnsRenamed({"band": "to_band", "block": "to_block"})
+    met_by = lambda step: rows.join(there.withColumn("band", F.col("to_band") - step), ["team", "band"])
+    same = met_by(0).where("block <> to_block")
+    same = same.withColumns({"block": F.least("block", "to_block"), "to_block": F.greatest("block", "to_block"), "own": F.col("block") < F.col("to_block")})
+    up = met_by(1).withColumn("own", F.lit(True))
+    down = met_by(-1).withColumns({"band": F.col("to_band"), "block": F.col("to_block"), "to_band": F.col("band"), "to_block": F.col("block"), "own": F.lit(False)})
+    return _unit(same.unionByName(up).unionByName(down))
+
+
+def tile_pairs(own: np.ndarray, place: np.ndarray, maps: list[np.ndarray], needed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of the two sides of a tile pair, or of one tile, that bounds leave possible."""
+    size = min(map(len, maps))
+    bits = np.stack([folded(m, size) for m in maps])
+    left, right = np.nonzero(own)[0], np.nonzero(~own)[0]
+    alone = not len(right)
+    if alone:
+        right = left
+    n, out = place >> 32, [np.zeros((2, 0), np.int64)]
+    step = max(1, AT_ONCE // (size * max(1, len(right))))
+    for at in range(0, len(left), step):
+        i, j = np.meshgrid(left[at : at + step], right, indexing="ij")
+        i, j = i.reshape(-1), j.reshape(-1)
+        good = in_bounds(place[i], place[j], needed)
+        if alone:
+            good &= i < j
+        i, j = i[good], j[good]
+        differ = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+        good = can_link(differ, n[i], n[j], needed)
+        out.append(np.stack([i[good], j[good]]))
+    return tuple(np.concatenate(out, axis=1))
+
+
+def within_bounds(pairs: DataFrame, members: DataFrame, needed: int) -> DataFrame:
+    """The pairs (a, b) that bitmaps of the documents (rep, n, bitmap) leave possible."""
+    of = lambda x: members.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("bitmap").alias(f"bits_{x}"))
     both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
 
     def bound(batches):
-        for batch in slices(batches, 4096):
+        for batch in slices(batches, 1024):
             n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
             differ = np.zeros(len(n), np.int64)
             for k, maps in enumerate(zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())):
@@ -195,7 +272,40 @@ def within_bounds(pairs: DataFrame, classes: DataFrame, needed: int) -> DataFram
             good = pa.array(can_link(differ, n, m, needed))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(good) for c in ("a", "b")], names=["a", "b"])
 
-    return both.mapInArrow(bound, "a long, b long")
+    return both.mapInArrow(bound, "a long, b long").distinct()
+
+
+_PAIRS = "a long, b long, crowded boolean"
+
+
+def team_pairs(teams: DataFrame, members: DataFrame, needed: int) -> DataFrame:
+    """(a, b, crowded) within teams (node, team): pairs that bitmaps of the documents (rep, n, bitmap) leave possible;
+    of a tile with more of them than ``SPARSE`` a member a tree of them, as crowded."""
+    rows, tiles = placed(teams.withColumnRenamed("node", "rep").join(members, "rep"), needed)
+    rows, tiles = write_table(rows, "team-rows"), write_table(tiles, "team-tiles")
+    names = ["unit", "own", "rep", "n", "bitmap"]
+    dealt = inside(rows).select(*names).union(across(rows, tiles).select(*names))
+    buckets = max(1, rows.agg(F.sum(F.length("bitmap") + 64)).first()[0] // BUCKET) if not rows.isEmpty() else 1
+
+    def compare(table: pa.Table) -> pa.Table:
+        unit, own, rep, n = (table.column(c).to_numpy() for c in ("unit", "own", "rep", "n"))
+        maps = [np.frombuffer(m, np.uint64) for m in table.column("bitmap").to_pylist()]
+        order = np.argsort(unit, kind="stable")
+        out = [np.zeros((3, 0), np.int64)]
+        for rows in np.split(order, np.nonzero(np.diff(unit[order]))[0] + 1):
+            if len(rows) < 2 or not own[rows].any():
+                continue
+            i, j = tile_pairs(own[rows], n[rows] << 32, [maps[k] for k in rows], needed)
+            crowded = len(i) > max(LEAST, SPARSE * len(rows))
+            if crowded:
+                i, j = _forest(i, j, len(rows))
+            x, y = rep[rows[i]], rep[rows[j]]
+            out.append(np.stack([np.minimum(x, y), np.maximum(x, y), np.full(len(x), crowded)]))
+        a, b, crowded = np.unique(np.concatenate(out, axis=1), axis=1)
+        return pa.table([pa.array(a), pa.array(b), pa.array(crowded == 1)], names=["a", "b", "crowded"])
+
+    bucketed = dealt.withColumn("bucket", F.pmod("unit", F.lit(buckets)))
+    return bucketed.select("bucket", *names).groupBy("bucket").applyInArrow(compare, _PAIRS).where("a < b").distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, needed: int) -> DataFrame:
@@ -232,13 +342,10 @@ def tile_links(left: list[int], right: list[int], sets: list[np.ndarray], compon
     return out
 
 
-def crowd_links(crowds: DataFrame, classes: DataFrame, sets: DataFrame, links: DataFrame, needed: int) -> DataFrame:
+def crowd_links(crowds: DataFrame, sets: DataFrame, links: DataFrame, needed: int) -> DataFrame:
     """(a, b): links within crowds (node, crowd), as many as join components beside ``links`` (a, b)."""
-    sized = crowds.withColumnRenamed("node", "rep").join(classes.select("rep", "n_shingles"), "rep").withColumn("band", _bands("n_shingles", needed))
-    n, shingles = F.count(F.lit(1)), F.sum("n_shingles")
-    bands = write_table(sized.groupBy("crowd", "band").agg(F.greatest(F.ceil(n / TILE), F.ceil(shingles / TILE_SHINGLES)).cast("int").alias("blocks"), n.alias("members")), "bands")
-    placed = sized.join(bands, ["crowd", "band"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    tiles = write_table(placed.join(sets, "rep").select("rep", "crowd", "band", "block", "blocks", "members", "shingles"), "tiles")
+    rows, tiles = placed(crowds.select(F.col("crowd").alias("team"), F.col("node").alias("rep")).join(sets, "rep").withColumn("n", F.size("shingles").cast("long")), needed)
+    rows, tiles = write_table(rows, "crowd-rows"), write_table(tiles, "crowd-tiles")
 
     def compare(table: pa.Table) -> pa.Table:
         own, rep, component = (table.column(c).to_numpy() for c in ("own", "rep", "component"))
@@ -250,45 +357,41 @@ def crowd_links(crowds: DataFrame, classes: DataFrame, sets: DataFrame, links: D
         i, j = np.array(found, np.int64).reshape(-1, 2).T
         return pa.table([pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"])
 
-    def compared(rows: DataFrame) -> DataFrame:
-        keys = ["crowd", "band", "block", "to_band", "to_block"]
-        return rows.select(*keys, "own", "rep", "component", "shingles").groupBy(*keys).applyInArrow(compare, "a long, b long")
+    def compared(dealt: DataFrame) -> DataFrame:
+        return write_table(dealt.select("unit", "own", "rep", "component", "shingles").groupBy("unit").applyInArrow(compare, "a long, b long"), "crowd-links")
 
     def with_component(rows: DataFrame, known: DataFrame) -> DataFrame:
         return rows.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
-    alone = with_component(tiles.where("members > 1"), components(links)).withColumns({"to_band": F.col("band"), "to_block": F.col("block"), "own": F.lit(True)})
-    inside = write_table(compared(alone), "tile-links")
+    within = compared(inside(with_component(rows, components(links))))
     # of a crowd that is one component by now nothing is left to compare, nor where there is no other tile
-    known = components(links.union(inside))
-    held = with_component(tiles.select("rep", "crowd", "band", "block"), known).groupBy("crowd")
-    several = held.agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count_distinct("band", "block").alias("tiles")).where("low <> high and tiles > 1").select("crowd")
+    known = components(links.union(within))
+    held = with_component(rows.select("rep", "team", "band", "block"), known).groupBy("team")
+    several = held.agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count_distinct("band", "block").alias("tiles")).where("low <> high and tiles > 1").select("team")
     several = write_table(several, "open-crowds")
-    rows = with_component(tiles.join(several, "crowd", "left_semi"), known)
-    there = bands.join(several, "crowd", "left_semi").select("crowd", F.col("band").alias("to_band"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to_block"))
-    # each row once for every other tile of its band and of the bands beside it
-    met_by = lambda step: rows.join(there.withColumn("band", F.col("to_band") - step), ["crowd", "band"])
-    same = met_by(0).where("block <> to_block")
-    same = same.withColumns({"block": F.least("block", "to_block"), "to_block": F.greatest("block", "to_block"), "own": F.col("block") < F.col("to_block")})
-    up = met_by(1).withColumn("own", F.lit(True))
-    down = met_by(-1).withColumns({"band": F.col("to_band"), "block": F.col("to_block"), "to_band": F.col("band"), "to_block": F.col("block"), "own": F.lit(False)})
-    columns = ["crowd", "band", "block", "to_band", "to_block", "own", "rep", "component", "shingles"]
-    across = same.select(*columns).union(up.select(*columns)).union(down.select(*columns))
-    return inside.union(write_table(compared(across), "tile-links")).distinct()
+    if several.isEmpty():
+        return within
+    left = with_component(rows.join(several, "team", "left_semi"), known)
+    return within.union(compared(across(left, tiles.join(several, "team", "left_semi")))).distinct()
 
 
-def joined_components(docs: DataFrame, classes: DataFrame, same: DataFrame, width: int, needed: int) -> DataFrame:
-    """node, component over all links between classes (rep, n_shingles, set_key, first, bitmap), and those of ``same`` (a, b)."""
-    found = write_table(met(classes, needed), "met")
-    ties = found.where("kind = 'tie'").select("a", "b")
+def joined_components(docs: DataFrame, members: DataFrame, same: DataFrame, width: int, needed: int) -> DataFrame:
+    """node, component over all links between documents (doc_id, n_shingles, set_key, first, bitmap), and those of ``same`` (a, b)."""
+    found = write_table(met(members, needed), "met")
+    # rows may repeat an id, with the same text or with another
+    known = members.dropDuplicates(["doc_id", "set_key"]).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bitmap")
     edges = found.where("kind = 'edge'")
     ends = edges.groupBy("shingle").agg(F.min("a").alias("b")).join(edges.select("shingle", "a"), "shingle").select("a", "b")  # a few rows a range
-    crowds = components(ties.union(ends)).withColumnRenamed("component", "crowd")
-    pairs = write_table(within_bounds(found.where("kind = 'pair'").select("a", "b").distinct(), classes, needed), "bounded")
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(crowds.select("node")).distinct()
-    sets = _sets(docs, ids, classes, width)
-    links = same.union(write_table(confirmed(pairs, sets, needed), "links"))
-    return components(links.union(crowd_links(crowds, classes, sets, links, needed)))
+    teams = components(found.where("kind = 'tie'").select("a", "b").union(ends)).withColumnRenamed("component", "team")
+    alone = within_bounds(found.where("kind = 'pair' and a < b").select("a", "b").distinct(), known, needed)
+    pairs = write_table(alone.withColumn("crowded", F.lit(False)).union(team_pairs(teams, known, needed)), "bounded")
+    few, many = pairs.where("not crowded").select("a", "b").distinct(), pairs.where("crowded").select("a", "b")
+    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    sets = _sets(docs, ids, members.select(F.col("doc_id").alias("rep"), "set_key"), width)
+    links = same.union(write_table(confirmed(few, sets, needed), "links"))
+    if many.isEmpty():
+        return components(links)
+    return components(links.union(crowd_links(components(many).withColumnRenamed("component", "crowd"), sets, links, needed)))
 
 
 def jaccard_join(docs: DataFrame, width: int = WIDTH, needed: int = NEEDED) -> DataFrame:
@@ -298,20 +401,16 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, needed: int = NEEDED) -> D
     empty set and is linked with nothing; fewer words than ``width`` are one shingle. A row with a null id
     can't be named by others: it is linked with nothing and its component is null. Rows that repeat an id
     count as one document for links and come out each. Texts are taken whole, however long, a task holding
-    a batch of them or a tile's sets. Ties (equal sets) are one class, so copies cost a row each. An empty
-    table gives an empty result; further columns are ignored. Ids are integers.
+    a batch of them or a tile's sets. Ties (equal sets) are joined by their sets' keys, so copies cost their
+    rows once. An empty table gives an empty result; further columns are ignored. Ids are integers.
     """
     docs = columns_of(docs, "doc_id", "text")
     docs = spread(docs.withColumn("doc_id", F.col("doc_id").cast("long")))
     sets = write_table(signed(docs, width, needed, common_shingles(docs, width)), "signed")
-    named = sets.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
-    least = named.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "first", "bitmap")).alias("r"))
-    classes = write_table(least.select("set_key", F.col("r.doc_id").alias("rep"), "r.n_shingles", "r.first", "r.bitmap"), "classes")
-    # rows of a repeated id tie their classes together
-    repeats = named.select("doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    same = named.select("doc_id", "set_key").join(repeats, "doc_id", "left_semi").join(classes.select("set_key", "rep"), "set_key").where("doc_id <> rep")
-    same = write_table(same.select(F.least("doc_id", "rep").alias("a"), F.greatest("doc_id", "rep").alias("b")), "same")
-    found = joined_components(docs, classes, same, width, needed).withColumnRenamed("node", "rep")
-    by_class = classes.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("linked"))
-    keyed = sets.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
-    return keyed.join(by_class, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("linked", "doc_id").alias("component_id"))
+    members = sets.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
+    classes = write_table(members.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
+    # a document is tied to the least one of its class; where classes have one document each there is nothing to write
+    same = write_table(members.select("doc_id", "set_key").join(classes, "set_key").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")), "same")
+    found = joined_components(docs, members, same, width, needed).withColumnRenamed("node", "doc_id")
+    joined = sets.select("doc_id", "n_shingles", "set_key").join(found, "doc_id", "left")
+    return joined.select("doc_id", "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.coalesce("component", "doc_id")).alias("component_id"))

@@ -72,10 +72,13 @@ def mixed_rows():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("few,tile,parts", [(8, 512, 4), (2, 16, 7), (1000, 512, 3), (2, 4, 1)])
-def test_all_ways_give_the_links_of_all_pairs(documents, mixed_rows, monkeypatch, spark, few, tile, parts):
-    """Few and many that share a shingle, whole and many tiles, ranges that cut runs."""
+@pytest.mark.parametrize("few,many,sparse,tile,parts", [(64, 512, 4, 512, 4), (4, 20, 0, 16, 7), (8, 8, 1000, 12, 3), (1, 1000, 0, 4, 1)])
+def test_all_ways_give_the_links_of_all_pairs(documents, mixed_rows, monkeypatch, spark, few, many, sparse, tile, parts):
+    """Pairs and crowds, whole and many tiles, ranges that cut runs."""
     monkeypatch.setattr(J, "FEW", few)
+    monkeypatch.setattr(J, "MANY", many)
+    monkeypatch.setattr(J, "SPARSE", sparse)
+    monkeypatch.setattr(J, "LEAST", 16 * sparse)
     monkeypatch.setattr(J, "TILE", tile)
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
