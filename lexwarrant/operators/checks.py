@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.registry import archive_url, expand_locator
 from ..functions.text import keys
+from ..storage import write_table
 from .rule import MINIMUM
+from .scan import maybe_in
 
 #: Words named in a failure before the rest is counted.
 REPORTED = 5
@@ -59,29 +61,51 @@ def citations(attestations: DataFrame, sources: DataFrame) -> DataFrame:
     return rows.select("word", "source", F.coalesce("_family", "source").alias("family"), "locator", "as_of", F.when(F.col("_id").isNotNull(), expand_locator(F.col("locator_kind"), F.col("template"), F.col("locator"))).alias("url"))
 
 
+def _pair(url: str, word: str) -> Column:
+    return F.concat_ws("\n", url, word)  # neither holds a line end
+
+
+def seen_on(pages: DataFrame, asked: DataFrame, fold: Callable[[Column], Column] = keys) -> DataFrame:
+    """(url, word): which of the pairs ``asked`` (url, word) pages(url, text) bear out.
+
+    A page's words are tested against a filter of what is asked where they are read; what passes is shuffled
+    as pairs and joined exactly.
+    """
+    pairs = write_table(asked.select(_pair("url", "word").alias("word")).distinct(), "asked")
+    words = pages.select(F.col("url").alias("_url"), F.explode(F.array_distinct(fold(F.col("text")))).alias("_word")).select(_pair("_url", "_word").alias("token"))
+    passed = maybe_in(words, pairs).where(F.col("word").isNotNull()).select("word").distinct()
+    found = F.split(F.col("word"), "\n")
+    return passed.join(pairs, "word", "left_semi").select(found[0].alias("url"), found[1].alias("word"))
+
+
 def outcomes(cited: DataFrame, pages: DataFrame, fold: Callable[[Column], Column] = keys) -> DataFrame:
     """(word, source, family, locator, url, outcome) from what pages(url, text) could be read.
 
     A source that says when it looked is checked against the archive of that year first, the live page
-    second, and can't be called absent; any other is checked live first, then in the archive.
+    second, and can't be called absent; any other is checked live first, then in the archive. A citation meets
+    the addresses that were read, and pairs of address and word that were seen, never a page's words.
     """
     copy = archive_url(F.col("url"), F.col("as_of"))
     first = F.when(F.col("as_of").isNotNull(), copy).otherwise(F.col("url"))
     second = F.when(F.col("as_of").isNotNull(), F.col("url")).otherwise(copy)
     rows = cited.withColumn("_first", first).withColumn("_second", second)
-    read = pages.where(F.col("text").isNotNull()).select(F.col("url").alias("_u"), fold(F.col("text")).alias("_k"))
-    a = read.select(F.col("_u").alias("_u1"), F.col("_k").alias("_k1"))
-    b = read.select(F.col("_u").alias("_u2"), F.col("_k").alias("_k2"))
-    joined = rows.join(a, F.col("_first") == F.col("_u1"), "left").join(b, F.col("_second") == F.col("_u2"), "left")
-    on_first, on_second = F.array_contains("_k1", F.col("word")), F.array_contains("_k2", F.col("word"))
+    held = pages.where(F.col("text").isNotNull())
+    asked = rows.select(F.explode(F.array("_first", "_second")).alias("url"), "word").where(F.col("url").isNotNull())
+    read, seen = held.select("url").distinct(), write_table(seen_on(held, asked, fold), "seen")
+    for k in ("first", "second"):
+        was_read = read.select(F.col("url").alias(f"_{k}"), F.lit(True).alias(f"_read_{k}"))
+        on_page = seen.select(F.col("url").alias(f"_{k}"), "word", F.lit(True).alias(f"_on_{k}"))
+        rows = rows.join(was_read, f"_{k}", "left").join(on_page, [f"_{k}", "word"], "left")
+    is_true = lambda name: F.coalesce(F.col(name), F.lit(False))
     dated = F.col("as_of").isNotNull()
+    missing = F.when(dated, "unreachable").otherwise("absent")
     outcome = (
         F.when(F.col("url").isNull(), "unresolvable")
-        .when(F.col("_k1").isNotNull(), F.when(on_first, F.when(dated, "archived").otherwise("found")).otherwise(F.when(dated, "unreachable").otherwise("absent")))
-        .when(F.col("_k2").isNotNull(), F.when(on_second, F.when(dated, "found").otherwise("archived")).otherwise(F.when(dated, "unreachable").otherwise("absent")))
+        .when(is_true("_read_first"), F.when(is_true("_on_first"), F.when(dated, "archived").otherwise("found")).otherwise(missing))
+        .when(is_true("_read_second"), F.when(is_true("_on_second"), F.when(dated, "found").otherwise("archived")).otherwise(missing))
         .otherwise("unreachable")
     )
-    return joined.select("word", "source", "family", "locator", F.coalesce("url", F.lit("")).alias("url"), outcome.alias("outcome"))
+    return rows.select("word", "source", "family", "locator", F.coalesce("url", F.lit("")).alias("url"), outcome.alias("outcome"))
 
 
 def proofs(checked: DataFrame, minimum: int = MINIMUM) -> DataFrame:

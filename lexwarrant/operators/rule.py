@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import nfc
+from ..storage import write_table
 
 #: Independent families a word needs.
 MINIMUM = 3
@@ -48,9 +49,37 @@ def collated(word: str | Column) -> Column:
     return F.collate(F.col(word) if isinstance(word, str) else word, "UNICODE")
 
 
+def numbered(rows: DataFrame, order: list[Column | str], name: str) -> DataFrame:
+    """``rows`` with ``name``: each row's place, from 1, in the order of all.
+
+    Rows are dealt into ranges of the order, sorted and written; a range's rows are numbered where they lie, from
+    what the ranges before it hold. The driver gets one count a range. Rows equal in ``order`` get places of their
+    own, in any order, which doesn't change once they are given.
+    """
+    spark = rows.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    held = write_table(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    # the number's upper part is the range, the lower one the row's place within it
+    part, before = F.shiftright("_at", 33), 0
+    begins = []
+    for r in sorted(held.groupBy(part.alias("part")).count().collect(), key=lambda r: r["part"]):  # a row a range
+        begins.append((r["part"], before + 1))
+        before += r["count"]
+    starts = spark.createDataFrame(begins, "_part long, _begin long")
+    local = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return held.join(F.broadcast(starts), part == F.col("_part")).withColumn(name, F.col("_begin") + local).select(*rows.columns, name)
+
+
 def ranked(rated: DataFrame) -> DataFrame:
-    """``rated`` with rank by rate, best first, then by word."""
-    return rated.withColumn("rank", F.row_number().over(W.orderBy(F.col("rate").desc(), collated("word"), "word")))
+    """``rated`` with rank by rate, best first, then by word in dictionary order."""
+    return numbered(rated, [F.col("rate").desc(), collated("word"), "word"], "rank")
+
+
+def with_places(rated: DataFrame) -> DataFrame:
+    """``rated`` with place: one more than the words of a better rate, so that ties share one."""
+    first = numbered(rated.select("rate"), [F.col("rate").desc()], "place").groupBy("rate").agg(F.min("place").alias("place"))
+    return rated.join(first, "rate").select(*rated.columns, "place")
 
 
 def trusted_characters(spellings: DataFrame, tiles: list[str], at_least: int = TRUSTED_WORDS) -> DataFrame:

@@ -18,6 +18,8 @@ from ..storage import write_table
 SAMPLES = 2
 #: Candidate lists up to this many words are broadcast; larger ones are joined by shuffle.
 BROADCAST_WORDS = 2_000_000
+#: Bits of a filter for each word of a larger list, and 64-bit blocks of the largest filter that is broadcast.
+FILTER_BITS, FILTER_BLOCKS = 16, 1 << 24
 
 
 @dataclass
@@ -51,20 +53,54 @@ def word_counts(docs: DataFrame, fold: Column | str = "de") -> DataFrame:
     return words.groupBy("source", "seq", "locator", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def counted(docs: DataFrame, candidates: DataFrame, fold: Column | str = "de") -> DataFrame:
+def _marks(word: str) -> tuple[Column, Column]:
+    """The block of a word by one hash, and four bits of it by another."""
+    bits = [F.expr(f"shiftleft(1L, cast(shiftright(xxhash64(1, {word}), {6 * i}) & 63 AS int))") for i in range(4)]
+    return F.xxhash64(word), bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+
+
+def word_filter(words: DataFrame, blocks: int) -> DataFrame:
+    """(block, held): a Bloom filter of words (word), its bits in blocks of 64; each word's four lie in one block."""
+    block, bits = _marks("word")
+    return words.select(F.pmod(block, F.lit(blocks)).alias("block"), bits.alias("bits")).groupBy("block").agg(F.bit_or("bits").alias("held"))
+
+
+def in_filter(tokens: DataFrame, held: DataFrame, blocks: int) -> DataFrame:
+    """``tokens`` (token, ...) with word: the token, if the filter may hold it; nothing is shuffled."""
+    block, bits = _marks("token")
+    marked = tokens.withColumns({"_block": F.pmod(block, F.lit(blocks)), "_bits": bits}).join(F.broadcast(held), F.col("_block") == F.col("block"), "left")
+    maybe = F.col("held").bitwiseAND(F.col("_bits")) == F.col("_bits")
+    return marked.withColumn("word", F.when(maybe, F.col("token"))).drop("_block", "_bits", "block", "held")
+
+
+def maybe_in(tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """``tokens`` (token, ...) with word: the token if it may be one of ``words`` (word, distinct), null if it can't be.
+
+    Of words beyond the largest filter, all may be.
+    """
+    blocks = 1 << max(0, words.count() * FILTER_BITS // 64 - 1).bit_length()
+    return in_filter(tokens, word_filter(words, blocks), blocks) if blocks <= FILTER_BLOCKS else tokens.withColumn("word", F.col("token"))
+
+
+def counted(docs: DataFrame, candidates: DataFrame, fold: Column | str = "de", broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """(source, seq, locator, word, n) for candidates; a document's other words are one row with a null word.
 
     The text is read once for all that a scan gives. Small candidate lists are joined with the words as
-    they are read; with a large one, words are first counted per document.
+    they are read. Of a larger list a Bloom filter is broadcast, sized by the number of words; only what
+    passes it is shuffled, to be joined exactly. Beyond the largest filter all words are, counted per document.
     """
     known = candidates.select("word").distinct()
     document = ["source", "seq", "locator"]
-    if known.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
-        words = spread(docs).select(*document, F.explode(_keys(fold)).alias("token"))
+    words = spread(docs).select(*document, F.explode(_keys(fold)).alias("token"))
+    if known.limit(broadcast_words + 1).count() <= broadcast_words:
         marked = words.join(F.broadcast(known), F.col("token") == F.col("word"), "left")
         return marked.groupBy(*document, "word").agg(F.count(F.lit(1)).alias("n"))
-    marked = word_counts(docs, fold).withColumnRenamed("word", "token").join(known, F.col("token") == F.col("word"), "left")
-    return marked.groupBy(*document, "word").agg(F.sum("n").alias("n"))
+    passed = maybe_in(words, known)
+    # rows without a word, one a document, stay out of the join, where all would meet
+    counts = write_table(passed.groupBy(*document, F.col("word").alias("token")).agg(F.count(F.lit(1)).alias("n")), "passed")
+    exact = counts.where("token is not null").join(known, F.col("token") == F.col("word"), "left").select(*document, "word", "n")
+    rest = counts.where("token is null").select(*document, F.lit(None).cast("string").alias("word"), "n")
+    return exact.union(rest).groupBy(*document, "word").agg(F.sum("n").alias("n"))
 
 
 def known_share(counts: DataFrame) -> DataFrame:

@@ -158,13 +158,7 @@ def rate(spark, d):
 @query("SELECT word, families, round(rate, 6) AS rate, CAST(rank() OVER (ORDER BY round(rate, 6) DESC) AS BIGINT) AS place FROM rate")
 def ranked_words(spark, d):
     """The flagship: documents to kept words with families, rate and place (ties share one)."""
-    rated = _rated(spark, d)
-    better = rated.groupBy("rate").agg(F.count(F.lit(1)).alias("n"))
-    from pyspark.sql import Window as W
-
-    # words of equal rate share a place, so it follows from the counts by rate alone
-    places = better.withColumn("place", F.coalesce(F.sum("n").over(W.orderBy(F.col("rate").desc()).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + 1)
-    return rated.join(places.select("rate", "place"), "rate").select("word", "families", "rate", "place")
+    return rule.with_places(_rated(spark, d)).select("word", "families", "rate", "place")
 
 
 @query(f"""SELECT f.word, f.families, f.word || chr(9) || f.families || chr(9) || coalesce(string_agg(source, ',' ORDER BY source), '') || chr(9) || coalesce(string_agg(CAST(n AS VARCHAR), ',' ORDER BY source), '') AS line
@@ -210,9 +204,10 @@ def reuse_recorded(spark, d):
 
 @query("SELECT source, tokens FROM totals WHERE CAST(substr(source, 4) AS INT) >= 10")
 def reused_totals(spark, d):
+    """Sources below 10 are scanned now; what a build takes over from the record is the rest."""
     scan, fresh = _scan(spark, d), corpus.number(F.col("source")) < 10
-    rest = scan.totals.join(scan.totals.where(fresh).select("source"), "source", "left_anti")
-    return rest
+    now = S.Scan(scan.totals.where(fresh), scan.hits.where(fresh))
+    return B.build(corpus.candidates(spark, d), now, corpus.sources(spark, d), scan).reused
 
 
 @query("""SELECT rate.word, CASE WHEN f.written IS NOT NULL THEN rate.word || chr(9) || f.written ELSE rate.word END AS line
@@ -443,11 +438,8 @@ def knee(spark, d):
   (SELECT word, list(DISTINCT CAST(substr(family, 2) AS INT)) AS fs FROM att GROUP BY 1) x, LATERAL (SELECT len(list_filter(fs, lambda f: f < m)) AS k) GROUP BY m""")
 def saturation_fixed_order(spark, d):
     """Families in the order of their names: words kept with the first one, two, and so on."""
-    pairs = _attested(spark, d).select("word", F.substring("family", 2, 9).cast("int").alias("f")).distinct()
-    # a word is kept from its third family on
-    enough = pairs.groupBy("word").agg(F.collect_list("f").alias("fs")).where(F.size("fs") >= MINIMUM).select(F.element_at(F.array_sort("fs"), MINIMUM).alias("at"))
-    steps = enough.sparkSession.range(1, 8).select(F.col("id").cast("int").alias("families"))
-    return steps.join(F.broadcast(enough.groupBy("at").agg(F.count(F.lit(1)).alias("n"))), F.col("at") < F.col("families"), "left").groupBy("families").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("kept"))
+    order = spark.range(1, 8).select(F.concat(F.lit("f"), (F.col("id") - 1).cast("string")).alias("family"), F.col("id").alias("place"))
+    return K.kept_in_order(_attested(spark, d), order)
 
 
 # Readers, over rows made from the tables
@@ -640,10 +632,10 @@ def decomposed_totals(spark, d):
     return S.scan(docs, corpus.candidates(spark, d)).totals
 
 
-@query("SELECT word, n FROM (SELECT source, word, n FROM hits WHERE source = 'src1')")
+@query("SELECT source, word, n FROM hits")
 def decomposed_hits(spark, d):
     docs = corpus.documents(spark, d).withColumn("text", nfd(F.col("text")))
-    return S.scan(docs, corpus.candidates(spark, d)).hits.where("source = 'src1'").select("word", F.col("count").alias("n"))
+    return S.scan(docs, corpus.candidates(spark, d)).hits.select("source", "word", F.col("count").alias("n"))
 
 
 @query(f"""SELECT word, CAST(count(*) AS BIGINT) AS n FROM (SELECT replace(replace(upper(translate(t, 'iı', 'İI')), 'ß', 'SS'), 'ẞ', 'SS') AS word FROM (
@@ -756,3 +748,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, (_, sql) in REGISTRY.items() if sql}
+
+
+from . import further  # noqa: E402, F401  registers its own
