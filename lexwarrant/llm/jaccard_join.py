@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..storage import write_table
 from .arrow import columns_of, slices, spread, texts
 from .components import components
-from .near_dedup import _forest, _set_key, _sets
+from .sets import forest, set_key, sets_of
 from .shingles import shingle_set
 
 WIDTH = 4
@@ -116,7 +116,7 @@ def signed(docs: DataFrame, width: int, needed: int, common: np.ndarray) -> Data
         for batch in slices(batches):
             sets = [shingle_set(text, width) for text in texts(batch)]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array([_set_key(s) if len(s) else None for s in sets], pa.binary()),
+                batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([first_shingles(s, held.value, needed).view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 pa.array([bitmap(s, bitmap_bits(len(s))).tobytes() if len(s) else None for s in sets], pa.binary()),
             ], names=schema.names)
@@ -159,7 +159,7 @@ def met(members: DataFrame, needed: int) -> DataFrame:
             if lengths[k] <= MANY and not cut[k]:
                 i, j = np.triu_indices(len(run), 1)
                 good = in_bounds(place[run[i]], place[run[j]], needed)
-                i, j = _forest(i[good], j[good], len(run))
+                i, j = forest(i[good], j[good], len(run))
             else:  # what two can link lies between them by size
                 n = place[run] >> 32
                 i = np.nonzero(100 * n[:-1] >= needed * n[1:])[0]
@@ -298,7 +298,7 @@ def team_pairs(teams: DataFrame, members: DataFrame, needed: int) -> DataFrame:
             i, j = tile_pairs(own[rows], n[rows] << 32, [maps[k] for k in rows], needed)
             crowded = len(i) > max(LEAST, SPARSE * len(rows))
             if crowded:
-                i, j = _forest(i, j, len(rows))
+                i, j = forest(i, j, len(rows))
             x, y = rep[rows[i]], rep[rows[j]]
             out.append(np.stack([np.minimum(x, y), np.maximum(x, y), np.full(len(x), crowded)]))
         a, b, crowded = np.unique(np.concatenate(out, axis=1), axis=1)
@@ -387,7 +387,7 @@ def joined_components(docs: DataFrame, members: DataFrame, same: DataFrame, widt
     pairs = write_table(alone.withColumn("crowded", F.lit(False)).union(team_pairs(teams, known, needed)), "bounded")
     few, many = pairs.where("not crowded").select("a", "b").distinct(), pairs.where("crowded").select("a", "b")
     ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    sets = _sets(docs, ids, members.select(F.col("doc_id").alias("rep"), "set_key"), width)
+    sets = sets_of(docs, ids, members.select(F.col("doc_id").alias("rep"), "set_key"), width)
     links = same.union(write_table(confirmed(few, sets, needed), "links"))
     if many.isEmpty():
         return components(links)

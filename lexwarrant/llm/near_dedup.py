@@ -3,20 +3,18 @@
 Documents with equal shingle sets are one class with one representative. A tree of the forest is one
 order of signature values; all representatives are sorted by it over the whole cluster (ranges of
 tree, prefix and further values), so those with a long common prefix stand side by side. A run of equal
-prefixes of a level's depth is a region. Candidates of a representative are its neighbours within the
-region, by distance in the order: the next ``NEAREST`` in the first round, the whole region in the second. A pair is a candidate only if the two aren't in one component yet and their
-sketches (two bits of each of 128 values) agree well enough. Candidates are confirmed on full sets, and
-only confirmed links make components.
+prefixes of a level's depth is a region. Candidates are the pairs of a region whose sketches (two bits of each
+of 128 values) agree well enough.
 
-A family of edited copies can have as many candidates as pairs, few of which are links. A region gives at
-most as many candidates as it has members (or ``PAIRS``); where there are more, it gives a tree of them
-instead, and what such trees connect is a crowd. Each crowd is compared whole on full sets, in pairs of
-blocks, of which only links come out, and its pairs are no candidates any more.
+Depth adapts by region. In one of more than ``DENSE`` members only those are compared that have longer
+prefixes in common, as much longer as it takes until few enough do. If such a region isn't one
+component after that, its members go to the next level of ``LEVELS``, where prefixes are longer and trees more,
+so that what is only somewhat alike comes apart while a pair at the threshold still meets. What is dense at
+the last level too is compared whole by bitmaps of the sets, which loses nothing.
 
-Depth adapts by region. Of a region of more than ``DENSE`` members only neighbours are looked at. If it
-isn't one component after that, its members go to the next level of ``LEVELS``, where prefixes are
-longer and trees more, so that what is only somewhat alike comes apart while a pair at the threshold
-still meets. What is dense at the last level too is compared by all pairs of blocks, which loses nothing.
+A region with more candidates than members, as of a family of edited copies, gives a tree of them instead, and
+what such trees connect is a crowd. Pairs are confirmed on full sets, and crowds compared whole on full sets in
+tiles (see ``jaccard_join``), of which only links come out. Only links make components.
 
 Two sets at the threshold of 0.8 miss each other in all trees of the first level with probability
 (1 - 0.8 ** 4) ** 32 = 5e-8; the sketch fails them with 3e-6; a pair that only meets in dense regions
@@ -31,30 +29,31 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..storage import write_table
+from . import jaccard_join as J
 from .arrow import columns_of, free_names, slices, spread, texts, told_apart
 from .components import components
+from .sets import forest, set_key, sets_of, texts_of
 from .shingles import mixed, shingle_set, signature
 
 WIDTH = 5
 NEEDED = 80
-#: Members of the largest region that is searched whole.
+#: Members of the largest region that is compared at its own depth.
 DENSE = 1024
-#: Trees of the first round, about, and the distance in sorted order that the second looks at.
-FEW = 4
-NEAREST = 2
 #: Candidates that a region of any size may give as pairs.
-PAIRS = 64
-#: Members of a block of a crowd while it has no more than ``BLOCKS``, and beyond; shingles of a block.
-SMALL_BLOCK, BLOCKS, LARGE_BLOCK, BLOCK_SHINGLES = 128, 24, 1024, 2_000_000
+PAIRS = 16
 #: Values of the sketch, two bits each, and how many deviations below the expected a pair may agree.
 SKETCH = 128
+#: Signature values that order a region beyond its prefix, two to a number.
+DEEPER = 8
 _DEVIATIONS = 5.0
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _S = ("s0", "s1", "s2", "s3")
+_T = tuple(f"t{i}" for i in range(DEEPER // 2))
+#: Members of a region whose pairs are all looked at by distance; it is at most as many as ``PAIRS`` lets through.
+_SMALL = 6
 
 
 @dataclass(frozen=True)
@@ -70,15 +69,11 @@ LEVELS = (Level(32, 4, 128), Level(96, 8, 256), Level(256, 12, 512))
 
 @lru_cache(maxsize=8)
 def _order(level: Level) -> np.ndarray:
-    """Which values each tree reads: its prefix, then two more that order what shares the prefix."""
+    """Which values each tree reads: its prefix, then those that order what shares the prefix."""
     if level.trees * level.depth == level.values:
-        return (np.arange(level.trees)[:, None] * level.depth + np.arange(level.depth + 2)) % level.values
+        return (np.arange(level.trees)[:, None] * level.depth + np.arange(level.depth + DEEPER)) % level.values
     draw = np.random.default_rng(level.trees)
-    return np.array([draw.permutation(level.values)[: level.depth + 2] for _ in range(level.trees)])
-
-
-def _set_key(shingles: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(shingles.tobytes())
+    return np.array([draw.permutation(level.values)[: level.depth + DEEPER] for _ in range(level.trees)])
 
 
 def signed(docs: DataFrame, width: int) -> DataFrame:
@@ -89,7 +84,7 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
     def sign(batches):
         for batch in slices(batches):
             sets = [shingle_set(text, width) for text in texts(batch)]
-            keys = [_set_key(s) if len(s) else None for s in sets]
+            keys = [set_key(s) if len(s) else None for s in sets]
             values_of = [signature(s, values).tobytes() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array(keys, pa.binary()), pa.array(values_of, pa.binary())], names=schema.names)
 
@@ -97,8 +92,8 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
 
 
 def entries(members: DataFrame, level: Level) -> DataFrame:
-    """prefix, tail, rep and the sketch: one row a tree of every member (rep, signature)."""
-    names = ("prefix", "tail", "rep", *_S)
+    """prefix, further values, rep and the sketch: one row a tree of every member (rep, signature)."""
+    names = ("prefix", *_T, "rep", *_S)
     order = _order(level)
 
     def deal(batches):
@@ -111,77 +106,17 @@ def entries(members: DataFrame, level: Level) -> DataFrame:
             prefix = np.broadcast_to(np.arange(level.trees, dtype=np.uint64) + np.uint64(level.trees << 16), (n, level.trees))
             for i in range(level.depth):
                 prefix = mixed(prefix * _STEP + read[:, :, i])
-            tail = (read[:, :, -2] << np.uint64(31)) | (read[:, :, -1] >> np.uint64(1))
+            further = (read[:, :, level.depth :: 2] << np.uint64(32)) | read[:, :, level.depth + 1 :: 2]
             bits = (table[:, :SKETCH] & 3).astype(np.uint64).reshape(n, 4, SKETCH // 4) << (2 * np.arange(SKETCH // 4, dtype=np.uint64))
             sketch = np.bitwise_or.reduce(bits, axis=2).view(np.int64)
             reps = batch.column("rep").to_numpy(zero_copy_only=False)
+            flat = lambda x: pa.array(x.reshape(-1).view(np.int64))
             each = lambda x: pa.array(np.repeat(x, level.trees))
-            yield pa.RecordBatch.from_arrays([pa.array(prefix.reshape(-1).view(np.int64)), pa.array(tail.reshape(-1).view(np.int64)), each(reps), *(each(sketch[:, i]) for i in range(4))], names=names)
+            yield pa.RecordBatch.from_arrays([flat(prefix), *(flat(further[:, :, i].copy()) for i in range(len(_T))), each(reps), *(each(sketch[:, i]) for i in range(4))], names=names)
 
     return members.select("rep", "signature").mapInArrow(deal, ", ".join(f"{n} long" for n in names))
 
 
-def runs(found: DataFrame, most: int) -> DataFrame:
-    """prefix, edge, first (the order of its first member), reps and sketch: the runs of equal prefixes
-    in the global order, in pieces of at most ``most`` members.
-
-    ``edge`` marks pieces that may not be a whole region: those at an end of a range, and parts of
-    longer runs. A lone member inside a range has no neighbour and is left out.
-    """
-    schema = "prefix long, edge boolean, first struct<tail: long, rep: long>, reps array<long>, sketch array<long>"
-    ordered = found.repartitionByRange("prefix", "tail", "rep").sortWithinPartitions("prefix", "tail", "rep")
-    place = pa.struct([("tail", pa.int64()), ("rep", pa.int64())])
-
-    def pieces(rows: np.ndarray, begins: bool, ends: bool) -> pa.RecordBatch | None:
-        """Pieces of sorted rows; whether they begin and end where the range does."""
-        at = np.nonzero(np.diff(rows[:, 0]))[0] + 1
-        starts, stops = np.append(0, at), np.append(at, len(rows))
-        out = []
-        for k, (s, e) in enumerate(zip(starts.tolist(), stops.tolist())):
-            edge = (begins and k == 0) or (ends and k == len(starts) - 1) or e - s > most
-            if edge or e - s > 1:
-                out += [(edge, rows[i : min(e, i + most)]) for i in range(s, e, most)]
-        if not out:
-            return None
-        parts = [p for _, p in out]
-        size = np.append(0, np.cumsum([len(p) for p in parts])).astype(np.int32)
-        reps = pa.ListArray.from_arrays(pa.array(size), pa.array(np.concatenate([p[:, 2] for p in parts])))
-        sketch = pa.ListArray.from_arrays(pa.array(size * 4), pa.array(np.concatenate([p[:, 3:].reshape(-1) for p in parts])))
-        first = [{"tail": int(p[0, 1]), "rep": int(p[0, 2])} for p in parts]
-        return pa.RecordBatch.from_arrays([pa.array([int(p[0, 0]) for p in parts], pa.int64()), pa.array([x for x, _ in out]), pa.array(first, place), reps, sketch], names=["prefix", "edge", "first", "reps", "sketch"])
-
-    def cut(batches):
-        held, begins = np.zeros((0, 3 + len(_S)), np.int64), True
-        for batch in batches:
-            rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
-            held = np.concatenate([held, rows])
-            if not len(held):
-                continue
-            last = int(np.searchsorted(held[:, 0], held[-1, 0]))  # where the last run begins, which may go on
-            long = len(held) - last > most  # of a long run whole pieces can go at once; they are edges in any case
-            go = last + (len(held) - last - 1) // most * most if long else last
-            if go:
-                if made := pieces(held[:go], begins, long):
-                    yield made
-                held, begins = held[go:], long  # what is left of a long run is an edge too
-        if len(held) and (made := pieces(held, begins, True)):
-            yield made
-
-    return ordered.mapInArrow(cut, schema)
-
-
-def regions_of(cut: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """(regions, dense): regions of 2 to ``most`` members, with those that ranges have cut put together
-    again; and the pieces of larger ones."""
-    edges = cut.where("edge")
-    sizes = edges.groupBy("prefix").agg(F.sum(F.size("reps")).alias("members"))
-    sized = edges.join(sizes, "prefix")
-    listed = F.array_sort(F.collect_list(F.struct("first", "reps", "sketch")))
-    mended = sized.where((F.col("members") > 1) & (F.col("members") <= most)).groupBy("prefix").agg(listed.alias("p"))
-    whole = mended.select("prefix", F.flatten(F.col("p.reps")).alias("reps"), F.flatten(F.col("p.sketch")).alias("sketch"))
-    return cut.where(~F.col("edge")).select("prefix", "reps", "sketch").union(whole), sized.where(F.col("members") > most).select("prefix", "reps", "sketch")
-
-
 def _most_apart(needed: int) -> int:
     """Sketch values in which two sets at the threshold may differ."""
     agree = needed / 100 + (1 - needed / 100) / 4
@@ -194,250 +129,193 @@ def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=-1)
 
 
-def _forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Those of the pairs (i, j) of ``n`` rows that a search in breadth takes: they connect what all of them do."""
-    near = np.zeros((n, n), bool)
-    near[i, j] = near[j, i] = True
-    new, out = np.ones(n, bool), []
-    for root in range(n):
-        if not new[root]:
+def region_pairs(reps: np.ndarray, further: np.ndarray, sketch: np.ndarray, most: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(kind, a, b) of a region in its order: candidates, or a tree of them if they are more than the members.
+
+    A region of more than ``DENSE`` members is looked at where longer prefixes are common: ``further`` has the
+    values by which it is sorted on.
+    """
+    out, parts = [], [(0, len(reps), 0)]
+    while parts:
+        start, stop, depth = parts.pop()
+        if stop - start < 2:
             continue
-        new[root], queue = False, [root]
-        for at in queue:
-            found = np.nonzero(near[at] & new)[0]
-            new[found] = False
-            out.append(np.stack([np.full(len(found), at), found]))
-            queue.extend(found.tolist())
-    return tuple(np.concatenate(out, axis=1))
+        if stop - start > DENSE:
+            if depth < further.shape[1]:
+                at = start + 1 + np.nonzero(np.diff(further[start:stop, depth]))[0]
+                parts += [(int(s), int(e), depth + 1) for s, e in zip(np.append(start, at), np.append(at, stop))]
+                continue
+            i = np.arange(start, stop - 1)
+            j = i + 1
+        else:
+            i, j = (x + start for x in np.triu_indices(stop - start, 1))
+        good = _apart(sketch[i], sketch[j]) <= most
+        i, j = i[good], j[good]
+        crowded = len(i) > max(PAIRS, stop - start)
+        if crowded:
+            i, j = (x + start for x in forest(i - start, j - start, stop - start))
+        out.append(("tie" if crowded else "pair", reps[i], reps[j]))
+    return out
+
+
+_LOOKED = "kind string, prefix long, a long, b long, " + ", ".join(f"{s} long" for s in _S)
 
 
-def _pairs(reps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """a, b, crowded: the pairs (i, j) of ``reps``, or a tree of them if they are more than the members."""
-    crowded = len(i) > max(PAIRS, len(reps))
-    if crowded:
-        i, j = _forest(i, j, len(reps))
-    x, y = reps[i], reps[j]
-    return np.stack([np.minimum(x, y), np.maximum(x, y), np.full(len(x), crowded, np.int64)], axis=1)
+def _looked(found: list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Rows of (kind, prefix, a, b, sketch); ``pair`` and ``tie`` have no sketch."""
+    kinds = pa.array([k for k, *_ in found], pa.string()).take(pa.array(np.repeat(np.arange(len(found)), [len(x[2]) for x in found])))
+    prefix, a, b = (np.concatenate([np.zeros(0, np.int64), *(x[c] for x in found)]) for c in (1, 2, 3))
+    sketch = np.concatenate([np.zeros((0, 4), np.int64), *(x[4] for x in found)])
+    return pa.RecordBatch.from_arrays([kinds, pa.array(prefix), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), *(pa.array(sketch[:, i].copy()) for i in range(4))], names=["kind", "prefix", "a", "b", *_S])
 
 
-def _batch_of(found: list[np.ndarray]) -> list[pa.Array]:
-    rows = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *found]), axis=0)
-    return [pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2] == 1)]
+def looked_through(rows: DataFrame, needed: int) -> DataFrame:
+    """(kind, prefix, a, b, sketch) of all regions of a level's ``entries``.
 
+    ``pair`` and ``tie`` are candidates, ``dense`` members of large regions, ``edge`` members, with their
+    sketches, of regions that a range of the order may have cut.
+    """
+    most, order = _most_apart(needed), ["prefix", *_T, "rep"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    first_s = 2 + len(_T)
+
+    def look(rows: np.ndarray, begins: bool, ends: bool) -> pa.RecordBatch:
+        prefix, reps, sketch = rows[:, 0], rows[:, first_s - 1], rows[:, first_s:].copy().view(np.uint64)
+        starts = np.append(0, np.nonzero(np.diff(prefix))[0] + 1)
+        lengths = np.diff(np.append(starts, len(prefix)))
+        cut = np.zeros(len(starts), bool)
+        cut[0] |= begins
+        cut[-1] |= ends
+        none = np.zeros((0, 4), np.int64)
+        out = []
+        small = np.repeat((lengths <= _SMALL) & ~cut, lengths)
+        at = np.nonzero(small)[0]
+        for d in range(1, _SMALL):
+            at = at[at + d < len(prefix)]
+            at = at[prefix[at] == prefix[at + d]]
+            good = at[_apart(sketch[at], sketch[at + d]) <= most]
+            out.append(("pair", prefix[good], reps[good], reps[good + d], none))
+        for k in np.nonzero((lengths > _SMALL) | cut)[0]:
+            here = slice(starts[k], starts[k] + lengths[k])
+            if cut[k]:
+                out.append(("edge", prefix[here], reps[here], reps[here], sketch[here].view(np.int64)))
+                continue
+            out += [(kind, np.full(len(a), prefix[starts[k]]), a, b, none) for kind, a, b in region_pairs(reps[here], rows[here, 1 : 1 + len(_T)], sketch[here], most)]
+            if lengths[k] > DENSE:
+                out.append(("dense", prefix[here], reps[here], reps[here], none))
+        # what has no sketch to carry gets an empty one
+        return _looked([(k, p, a, b, s if len(s) == len(a) else np.zeros((len(a), 4), np.int64)) for k, p, a, b, s in out])
+
+    def walk(batches):
+        held, begins = np.zeros((0, first_s + 4), np.int64), True
+        for batch in batches:
+            held = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)])
+            if not len(held):
+                continue
+            last = int(np.searchsorted(held[:, 0], held[-1, 0]))  # where the last region begins, which may go on
+            if last:
+                yield look(held[:last], begins, False)
+                held, begins = held[last:], False
+            if len(held) > 1 << 16:  # a long region goes in parts
+                yield look(held, True, True)
+                held, begins = held[:0], True
+        if len(held):
+            yield look(held, begins, True)
+
+    return ordered.mapInArrow(walk, _LOOKED)
+
+
+def candidates(looked: DataFrame, needed: int) -> tuple[DataFrame, DataFrame]:
+    """((kind, a, b), (prefix, rep)): candidates of all regions, those of cut ones put together again; and members
+    of dense ones."""
+    most = _most_apart(needed)
+    edges = looked.where("kind = 'edge'")
+    sizes = edges.groupBy("prefix").agg(F.count(F.lit(1)).alias("members"))
+    sized = edges.join(sizes, "prefix")
 
-_CANDIDATES = "a long, b long, crowded boolean"
+    def compare(table: pa.Table) -> pa.Table:
+        sketch = np.stack([table.column(s).to_numpy() for s in _S], axis=1).view(np.uint64)
+        # the order beyond the prefix isn't needed at this depth
+        found = [(kind, a, a, b, np.zeros((len(a), 4), np.int64)) for kind, a, b in region_pairs(table.column("a").to_numpy(), np.zeros((len(sketch), 0), np.int64), sketch, most)]
+        return pa.Table.from_batches([_looked(found)]).select(["kind", "a", "b"])
 
+    mended = sized.where((F.col("members") > 1) & (F.col("members") <= DENSE)).select("prefix", "a", *_S).groupBy("prefix").applyInArrow(compare, "kind string, a long, b long")
+    found = looked.where("kind IN ('pair', 'tie')").select("kind", "a", "b").union(mended).where("a < b").distinct()
+    dense = looked.where("kind = 'dense'").select("prefix", F.col("a").alias("rep")).union(sized.where(F.col("members") > DENSE).select("prefix", F.col("a").alias("rep")))
+    return found, dense
 
-def _placed(members: DataFrame, known: DataFrame, settled: DataFrame | None) -> DataFrame:
-    """``members`` (rep) with their component and crowd; alone, both are the member itself."""
-    members = members.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    if settled is None:
-        return members.withColumn("crowd", F.col("rep"))
-    return members.join(settled.withColumnRenamed("node", "rep"), "rep", "left").withColumn("crowd", F.coalesce("crowd", "rep"))
 
+def _mixed(dense: DataFrame, known: DataFrame, settled: DataFrame | None) -> DataFrame:
+    """Members (prefix, rep) of the dense regions that aren't one component of ``known``, nor within one crowd of
+    ``settled``, which has been compared whole."""
+    placed = dense.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    apart = "min(component) <> max(component)"
+    if settled is not None:
+        placed = placed.join(settled.withColumnRenamed("node", "rep"), "rep", "left").withColumn("crowd", F.coalesce("crowd", "rep"))
+        apart += " and min(crowd) <> max(crowd)"
+    several = placed.groupBy("prefix").agg(F.expr(apart).alias("apart")).where("apart").select("prefix")
+    return dense.join(several, "prefix", "left_semi")
 
-def _ends(*names: str) -> tuple[list, str]:
-    """The least and the greatest of each column, and the condition that they differ in all of them."""
-    return [f(c).alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max)], " and ".join(f"min_{c} <> max_{c}" for c in names)
 
+def _signed_deeper(docs: DataFrame, ids: DataFrame, classes: DataFrame, width: int, values: int) -> DataFrame:
+    """rep, n, signature of ``values`` and bitmap of the representatives in ``ids`` (rep)."""
 
-def candidates(regions: DataFrame, low: int, high: int, needed: int, known: DataFrame, settled: DataFrame | None = None) -> DataFrame:
-    """(a, b, crowded): members of a region at distances above ``low`` up to ``high`` in its order whose
-    sketches agree and which ``known`` (node, component) doesn't have in one component, nor ``settled``
-    (node, crowd) in one crowd. Of a region with more of them than members, a tree of them, as crowded."""
-    most = _most_apart(needed)
-    regions = regions.where(F.size("reps") > low + 1)
-    keyed = regions.withColumn("first", F.element_at("reps", 1)).withColumn("last", F.element_at("reps", -1))
-    members = _placed(keyed.select("prefix", "first", "last", F.posexplode("reps").alias("at", "rep")), known, settled)
-    ends, apart = _ends("component", "crowd")
-    several = members.groupBy("prefix", "first", "last").agg(F.array_sort(F.collect_list(F.struct("at", "component", "crowd"))).alias("c"), *ends).where(apart)
-    rows = keyed.join(several, ["prefix", "first", "last"]).select("reps", "sketch", F.col("c.component").alias("held"), F.col("c.crowd").alias("crowd")).where(F.size("held") == F.size("reps"))
-
-    def look(batches):
-        for batch in batches:
-            found: list[np.ndarray] = []
-            for k in range(batch.num_rows):
-                reps, held, crowd, sketch = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in ("reps", "held", "crowd", "sketch"))
-                sketch, here = sketch.view(np.uint64).reshape(-1, 4), []
-                for d in range(low + 1, min(high, len(reps) - 1) + 1):
-                    near = np.nonzero((held[:-d] != held[d:]) & (crowd[:-d] != crowd[d:]) & (_apart(sketch[:-d], sketch[d:]) <= most))[0]
-                    if len(near):
-                        here.append(np.stack([near, near + d]))
-                if here:
-                    found.append(_pairs(reps, *np.concatenate(here, axis=1)))
-            yield pa.RecordBatch.from_arrays(_batch_of(found), names=["a", "b", "crowded"])
-
-    return rows.mapInArrow(look, _CANDIDATES).where("a < b").distinct()
-
-
-def mixed_regions(dense: DataFrame, known: DataFrame, settled: DataFrame | None = None) -> DataFrame:
-    """prefix of the large regions whose members are not all of one component or of one crowd."""
-    ends, apart = _ends("component", "crowd")
-    return _placed(dense.select("prefix", F.explode("reps").alias("rep")), known, settled).groupBy("prefix").agg(*ends).where(apart).select("prefix")
-
-
-def _in_block_pairs(placed: DataFrame, group: str, names: list[str]) -> DataFrame:
-    """``placed`` (group, blocks and ``names``) once for each pair of blocks of a group, as group, low, high, own."""
-    placed = placed.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return pairs.select(group, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", *names)
-
-
-def dense_candidates(dense: DataFrame, needed: int, known: DataFrame, settled: DataFrame | None = None) -> DataFrame:
-    """(a, b, crowded): the same for all pairs of a large region's members, in pairs of blocks of ``DENSE``."""
-    most, names = _most_apart(needed), ["rep", "component", "crowd", *_S]
-    place = F.posexplode("reps").alias("at", "rep")
-    sketch = [F.get("sketch", F.col("at") * 4 + i).alias(s) for i, s in enumerate(_S)]
-    members = write_table(_placed(dense.select("prefix", "sketch", place).select("prefix", "rep", *sketch), known, settled), "dense-members")
-    sizes = members.groupBy("prefix").agg(F.ceil(F.count(F.lit(1)) / DENSE).cast("int").alias("blocks"))
-
-    def look(table: pa.Table) -> pa.Table:
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        rows = np.stack([table.column(n).to_numpy() for n in names], axis=1)
-        own, found = table.column("own").to_numpy(), [np.zeros((2, 0), np.int64)]
-        left, right = np.nonzero(own == low)[0], np.nonzero(own == high)[0]
-        sketches = rows[:, 3:].copy().view(np.uint64)
-        for i in left:
-            near = (_apart(sketches[i], sketches[right]) <= most) & (rows[right, 1] != rows[i, 1]) & (rows[right, 2] != rows[i, 2])
-            near &= (right > i) if low == high else True
-            found.append(np.stack([np.full(near.sum(), i), right[near]]))
-        return pa.table(_batch_of([_pairs(rows[:, 0], *np.concatenate(found, axis=1))]), names=["a", "b", "crowded"])
-
-    return _in_block_pairs(members.join(sizes, "prefix"), "prefix", names).groupBy("prefix", "low", "high").applyInArrow(look, _CANDIDATES).where("a < b").distinct()
-
-
-def _texts_of(docs: DataFrame, ids: DataFrame, classes: DataFrame) -> DataFrame:
-    """rep, set_key and text of the representatives in ``ids`` (rep)."""
-    wanted = classes.select("rep", "set_key").join(ids, "rep", "left_semi")
-    return columns_of(docs, "doc_id", "text").withColumnRenamed("doc_id", "rep").join(wanted, "rep")
-
-
-def _sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """rep and shingles of the representatives in ``ids`` (rep), as a table."""
-
-    def build(batches):
+    def sign(batches):
         for batch in slices(batches):
             sets = [shingle_set(text, width) for text in texts(batch)]
-            held = [_set_key(s) == key for s, key in zip(sets, batch.column("set_key").to_pylist())]  # another row may carry the same id
-            yield pa.RecordBatch.from_arrays([batch.column("rep").filter(pa.array(held)), pa.array([s.view(np.int64) for s, h in zip(sets, held) if h], pa.list_(pa.int64()))], names=["rep", "shingles"])
-
-    return write_table(_texts_of(docs, ids, classes).mapInArrow(build, "rep long, shingles array<long>").dropDuplicates(["rep", "shingles"]), "sets")
-
-
-def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, needed: int) -> DataFrame:
-    """The pairs with 100 * intersection >= ``needed`` * union on full shingle sets."""
-    sets = _sets(docs, pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), classes, width)
-    of_a, of_b = (sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "ab")
-    n, m = F.size("of_a"), F.size("of_b")
-    both = pairs.join(of_a, "a").join(of_b, "b").where((100 * n >= needed * m) & (100 * m >= needed * n))
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    return both.select("a", "b", n.alias("n"), m.alias("m"), common.alias("c")).where(100 * F.col("c") >= needed * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b").distinct()
-
-
-def _parities(sets: list[np.ndarray]) -> np.ndarray:
-    """Rows of bits, each the parity of the shingles that fall on it. Two rows differ in no more bits than
-    their sets do in shingles, and in hardly fewer, as there are eight bits or more to a shingle."""
-    width = min(18, max(10, (8 * max(map(len, sets)) - 1).bit_length()))
-    places = ((s.view(np.uint64) >> np.uint64(64 - width)).astype(np.int64) for s in sets)
-    return np.stack([np.packbits((np.bincount(p, minlength=1 << width) & 1).astype(bool)).view(np.uint64) for p in places])
-
-
-def _links_between(left: list[int], right: list[int], sets: list[np.ndarray], component: np.ndarray, crowd: np.ndarray, needed: int) -> list[tuple[int, int]]:
-    """Links of rows ``left`` to rows ``right`` (after them, if these are the same) that join components
-    which neither ``component`` nor an earlier link has joined, without pairs of one ``crowd``."""
-    roots, at = np.unique(component, return_inverse=True)
-    at, right = at.copy(), np.asarray(right)
-    sizes, bits = np.array([len(s) for s in sets]), _parities(sets)
-    same, of_right, found = np.array_equal(left, right), bits[right], []
-    for i in left:
-        both = sizes[i] + sizes[right]
-        differ = np.bitwise_count(bits[i] ^ of_right).sum(axis=1, dtype=np.int64)
-        near = (differ * (100 + needed) <= both * (100 - needed)) & (at[right] != at[i]) & (crowd[right] != crowd[i])
-        for j in right[near & (right > i) if same else near].tolist():
-            if at[i] == at[j]:
-                continue
-            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * common >= needed * (sizes[i] + sizes[j] - common):
-                found.append((i, j))
-                at[at == at[j]] = at[i]
-    return found
-
-
-def compared(docs: DataFrame, classes: DataFrame, crowds: DataFrame, known: DataFrame, settled: DataFrame | None, width: int, needed: int) -> DataFrame:
-    """(a, b): links on full shingle sets between members of a crowd (node, crowd), by all its pairs that
-    ``known`` doesn't have in one component nor ``settled`` in one crowd, as many as join its components."""
-    names = ["rep", "component", "crowd", "shingles"]
-    sets = _sets(docs, crowds.select(F.col("node").alias("rep")), classes, width)
-    placed = _placed(sets, known, settled).join(crowds.select(F.col("node").alias("rep"), F.col("crowd").alias("now")), "rep")
-    ends, apart = _ends("component", "crowd")
-    n = F.count(F.lit(1))
-    blocks = F.greatest(F.least(F.ceil(n / SMALL_BLOCK), F.lit(BLOCKS)), F.ceil(n / LARGE_BLOCK), F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES))
-    sizes = placed.groupBy("now").agg(blocks.cast("int").alias("blocks"), *ends).where(apart).select("now", "blocks")
-
-    def look(table: pa.Table) -> pa.Table:
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        own, rep, component, crowd = (table.column(c).to_numpy() for c in ("own", "rep", "component", "crowd"))
-        lists = table.column("shingles").combine_chunks()
-        values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-        sets = [values[s:e] for s, e in zip(ends[:-1], ends[1:])]
-        found = _links_between(*(np.nonzero(own == x)[0].tolist() for x in (low, high)), sets, component, crowd, needed)
-        i, j = np.array(found, np.int64).reshape(-1, 2).T
-        return pa.table([pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"])
-
-    return _in_block_pairs(placed.join(sizes, "now"), "now", names).groupBy("now", "low", "high").applyInArrow(look, "a long, b long").distinct()
+            held = [set_key(s) == key for s, key in zip(sets, batch.column("set_key").to_pylist())]  # another row may carry the same id
+            sets = [s for s, h in zip(sets, held) if h]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("rep").filter(pa.array(held, pa.bool_())), pa.array(list(map(len, sets)), pa.int64()), pa.array([signature(s, values).tobytes() for s in sets], pa.binary()),
+                pa.array([J.bitmap(s, J.bitmap_bits(len(s))).tobytes() for s in sets], pa.binary()),
+            ], names=["rep", "n", "signature", "bitmap"])
+
+    return write_table(texts_of(docs, ids, classes).mapInArrow(sign, "rep long, n long, signature binary, bitmap binary").dropDuplicates(["rep", "signature"]), "deep-signed")
 
 
 def linked(docs: DataFrame, classes: DataFrame, same: DataFrame, width: int, needed: int) -> DataFrame:
     """node, component over all links the forest finds between classes (rep, set_key, signature), and those
     of ``same`` (a, b)."""
-    links = write_table(same, "same")
-    known, trees, settled = components(links), None, None
-
-    def confirm(pairs: DataFrame) -> None:
-        nonlocal links, known, trees, settled
-        pairs = write_table(pairs, "candidates")
-        few, many = pairs.where("not crowded").select("a", "b"), pairs.where("crowded").select("a", "b")
-        if few.limit(1).count():
-            links = links.union(write_table(confirmed(docs, classes, few, width, needed), "near-links"))
-            known = components(links)
-        if many.limit(1).count():
+    links, trees, settled = write_table(same, "same"), None, None
+
+    def confirm(found: DataFrame) -> None:
+        """``links`` with those among candidates (kind, a, b)."""
+        nonlocal links, trees, settled
+        if settled is not None:  # what a crowd has been compared for needs no second look
+            of = lambda x: settled.select(F.col("node").alias(x), F.col("crowd").alias(f"of_{x}"))
+            found = found.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce(F.col("of_a") != F.col("of_b"), F.lit(True))).select("kind", "a", "b")
+        found = write_table(found, "candidates")
+        few, many = found.where("kind = 'pair'").select("a", "b"), found.where("kind = 'tie'").select("a", "b")
+        ids = few.select(F.col("a").alias("rep")).union(few.select("b"))
+        crowds = None
+        if not many.isEmpty():
             trees = many if trees is None else trees.union(many)
-            crowds = components(trees).withColumnRenamed("component", "crowd")
-            grown = crowds.join(many.select(F.col("a").alias("node")), "node", "left_semi").select("crowd").distinct()
-            links = links.union(write_table(compared(docs, classes, crowds.join(grown, "crowd", "left_semi"), known, settled, width, needed), "near-links"))
-            known, settled = components(links), crowds
+            settled = components(trees).withColumnRenamed("component", "crowd")
+            grown = settled.join(many.select(F.col("a").alias("node")), "node", "left_semi").select("crowd").distinct()
+            crowds = settled.join(grown, "crowd", "left_semi")
+            ids = ids.union(crowds.select("node"))
+        sets = sets_of(docs, ids.distinct(), classes, width)
+        links = links.union(write_table(J.confirmed(few, sets, needed), "near-links"))
+        if crowds is not None:
+            links = links.union(J.crowd_links(crowds, sets, links, needed))
 
     members = classes
     for k, level in enumerate(LEVELS):
-        last = k == len(LEVELS) - 1
-        regions, dense = regions_of(write_table(runs(entries(members, level), DENSE), "runs"), DENSE)
-        regions, dense = write_table(regions, "regions"), write_table(dense, "dense")
-        both = regions.union(dense)
-        # a family of near copies is one component after the first round, and has no more candidates
-        confirm(candidates(both.where(F.pmod("prefix", F.lit(level.trees // FEW)) == 0), 0, 1, needed, known, settled))
-        confirm(candidates(both, 0, NEAREST, needed, known, settled))
-        confirm(candidates(both, NEAREST, DENSE, needed, known, settled))
-        if not dense.limit(1).count():
+        found, dense = candidates(write_table(looked_through(entries(members, level), needed), "looked"), needed)
+        confirm(found)
+        dense = write_table(dense.distinct(), "dense")
+        if dense.isEmpty():
             break
-        mixed_ones = write_table(mixed_regions(dense, known, settled), "mixed")
-        if not mixed_ones.limit(1).count():
+        mixed_ones = write_table(_mixed(dense, components(links), settled), "mixed")
+        if mixed_ones.isEmpty():
             break
-        dense = dense.join(mixed_ones, "prefix", "left_semi")
+        last = k == len(LEVELS) - 1
+        members = _signed_deeper(docs, mixed_ones.select("rep").distinct(), classes, width, LEVELS[min(k + 1, len(LEVELS) - 1)].values)
         if last:
-            confirm(dense_candidates(dense, needed, known, settled))
-            break
-        values = LEVELS[k + 1].values
-
-        def sign(batches, values=values):
-            for batch in slices(batches):
-                sets = [shingle_set(text, width) for text in texts(batch)]
-                held = pa.array([_set_key(s) == key for s, key in zip(sets, batch.column("set_key").to_pylist())])
-                found = [signature(s, values).tobytes() for s, h in zip(sets, held.to_pylist()) if h]
-                yield pa.RecordBatch.from_arrays([batch.column("rep").filter(held), pa.array(found, pa.binary())], names=["rep", "signature"])
-
-        ids = dense.select(F.explode("reps").alias("rep")).distinct()
-        members = write_table(_texts_of(docs, ids, classes).mapInArrow(sign, "rep long, signature binary").dropDuplicates(), "deep-signed")
-    return known
+            ends = mixed_ones.groupBy("prefix").agg(F.min("rep").alias("a")).join(mixed_ones, "prefix").select("a", F.col("rep").alias("b"))
+            pairs = J.team_pairs(components(ends).withColumnRenamed("component", "team"), members, needed)
+            confirm(pairs.select(F.when(F.col("crowded"), "tie").otherwise("pair").alias("kind"), "a", "b"))
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, needed: int = NEEDED) -> DataFrame:

@@ -104,9 +104,8 @@ def test_half_shared_documents_stay_apart(documents, spark):
     got = near_dedup.near_duplicates(docs, 4)
     assert got.where("component_id <> doc_id").count() == 0 and got.count() == 2000
     classes = near_dedup.signed(docs, 4).select(F.col("doc_id").alias("rep"), "signature")
-    regions, dense = near_dedup.regions_of(near_dedup.runs(near_dedup.entries(classes, near_dedup.LEVELS[0]), near_dedup.DENSE), near_dedup.DENSE)
-    assert regions.count() > 0 and dense.count() == 0
-    assert near_dedup.candidates(regions, 0, near_dedup.DENSE, 80, components(spark.createDataFrame([], "a long, b long"))).count() < 500
+    found, dense = near_dedup.candidates(near_dedup.looked_through(near_dedup.entries(classes, near_dedup.LEVELS[0]), 80), 80)
+    assert found.count() < 500 and dense.count() == 0
 
 
 @pytest.mark.parametrize("dense", [1024, 100])
@@ -132,26 +131,39 @@ def test_a_family_of_loose_copies_gives_no_rows_for_all_its_pairs(documents, mon
     assert max(made["candidates"]) <= 32 * 300 < 300 * 299 / 4
 
 
-@pytest.mark.parametrize("most", [1024, 7])
-def test_runs_are_the_regions(spark, most):
-    """Runs put together again are the groups of equal prefixes, however ranges cut them."""
+@pytest.mark.parametrize("most", [1024, 30, 7])
+def test_regions_however_ranges_cut_them(spark, monkeypatch, most):
+    """Members alike by their sketches: candidates connect the groups of equal prefixes, or what has longer ones in
+    common where groups are dense, and nothing else; members of dense groups are told."""
+    monkeypatch.setattr(near_dedup, "DENSE", most)
     rnd = random.Random(1)
-    rows = [(rnd.choice([1, 2, 3, rnd.randrange(400)]), rnd.randrange(99), i, i, i, i, i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "prefix long, tail long, rep long, s0 long, s1 long, s2 long, s3 long").repartition(5)
+    names = ["prefix", *near_dedup._T, "rep", *near_dedup._S]
+    rows = [(rnd.choice([1, 2, 3, rnd.randrange(400)]), *(rnd.randrange(3) for _ in near_dedup._T), i, 5, 5, 5, 5) for i in range(3000)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names)).repartition(5)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
     try:
-        regions, dense = near_dedup.regions_of(near_dedup.runs(df, most), most)
-        got = {r["prefix"]: list(r["reps"]) for r in regions.collect()}
-        left = [r for r in dense.collect()]
+        found, dense = near_dedup.candidates(near_dedup.looked_through(df, 80), 80)
+        pairs, told = [(r["a"], r["b"]) for r in found.collect()], {(r["prefix"], r["rep"]) for r in dense.collect()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     groups = {}
-    for p, t, i, *_ in sorted(rows):
-        groups.setdefault(p, []).append(i)
-    assert got == {p: g for p, g in groups.items() if 2 <= len(g) <= most}
-    for p in {r["prefix"] for r in left} | {p for p, g in groups.items() if len(g) > most}:
-        assert sorted(i for r in left if r["prefix"] == p for i in r["reps"]) == sorted(groups[p]) and len(groups[p]) > most
-    assert all(list(r["sketch"]) == [i for i in r["reps"] for _ in range(4)] and len(r["reps"]) <= most for r in left)
+    for row in rows:
+        groups.setdefault(row[0], []).append(row)
+    assert told == {(p, r[-5]) for p, g in groups.items() if len(g) > most for r in g}
+    of = {r[-5]: r[0] for r in rows}
+    assert all(of[a] == of[b] for a, b in pairs) and len(pairs) <= len(rows) + near_dedup.PAIRS * len(groups)
+    root = {i: i for i in of}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    for group in groups.values():
+        if len(group) <= most:
+            assert len({find(r[-5]) for r in group}) == 1
 
 
 def test_components_of_a_long_chain(spark, monkeypatch):

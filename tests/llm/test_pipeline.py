@@ -71,5 +71,5 @@ def test_odd_rows_pass_all_stages(spark, odd):
 
 
 def test_queries_are_registered():
-    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 14))
     assert zlib.crc32(b"4") >= 0 and set(queries.oracle_sql()) <= set(queries.queries())
