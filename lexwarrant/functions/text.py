@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
@@ -70,7 +71,26 @@ def _japanese(word: Column) -> Column:
     return F.translate(plain, "ぁぃぅぇぉっゃゅょゎゕゖ", "あいうえおつやゆよわかけ")
 
 
-#: Folds by language tag. What isn't here folds by ``upper_ss``.
+#: Letters of their own, by language: of what decomposes to a letter and marks, these keep their marks. Letters that
+#: don't decompose (as in Danish, Icelandic, Polish or Serbian) are kept in any case. Where all marks go, there are none.
+LETTERS: dict[str, str] = {
+    "af": "", "ar": "أإآؤئ", "arz": "أإآؤئ", "bg": "Й", "ca": "Ç", "cs": "ÁČĎÉĚÍŇÓŘŠŤÚŮÝŽ", "cy": "", "da": "Å", "de": "ÄÖÜ", "el": "", "en": "", "es": "Ñ", "et": "ÄÖÜÕŠŽ",
+    "eu": "Ñ", "fa": "آ", "fi": "ÄÖÅ", "fr": "", "ga": "ÁÉÍÓÚ", "gl": "Ñ", "he": "", "hr": "ČĆŠŽ", "hu": "ÁÉÍÓÖŐÚÜŰ", "hy": "", "id": "", "is": "ÁÉÍÓÖÚÝ",
+    "it": "", "la": "", "lt": "ĄČĘĖĮŠŲŪŽ", "lv": "ĀČĒĢĪĶĻŅŠŪŽ", "mk": "ЃЌ", "ms": "", "nl": "", "no": "Å", "pcm": "", "pl": "ĄĆĘŃÓŚŹŻ", "pt": "Ç", "pt-BR": "Ç",
+    "ro": "ĂÂÎȘȚ", "ru": "Й", "sk": "ÁÄČĎÉÍĹĽŇÓÔŔŠŤÚÝŽ", "sl": "ČŠŽ", "sr": "", "sv": "ÅÄÖ", "sw": "", "tl": "Ñ", "uk": "ЇЙ",
+}
+
+
+def alphabet_fold(letters: str) -> Callable[[Column], Column]:
+    """The fold of an alphabet: composed, in upper case, without marks but on ``letters``, which are given in upper case.
+
+    A mark on a letter that isn't of the alphabet goes, and the letter stays.
+    """
+    marked = "".join(c for c in letters if unicodedata.normalize("NFD", c) != c)
+    return lambda word: _unmarked(word, marked)
+
+
+#: Folds that an alphabet alone doesn't tell, by language tag. What is neither here nor in ``LETTERS`` folds by ``upper_ss``.
 FOLDS: dict[str, Callable[[Column], Column]] = {
     "tr": lambda w: F.upper(F.translate(nfc(w), "iı", "İI")),
     "el": lambda w: _unmarked(F.translate(w, "ς", "σ")),
@@ -78,19 +98,25 @@ FOLDS: dict[str, Callable[[Column], Column]] = {
     "ko": _korean,
     "ja": _japanese,
     "he": lambda w: F.translate(_bare(w), "ךםןףץ", "כמנפצ"),
-    "ru": lambda w: _unmarked(F.translate(nfc(w), "ёЁ", "еЕ"), "Й"),
-    "et": lambda w: _unmarked(w, "ÄÖÜÕŠŽ"),
-    "fi": lambda w: _unmarked(w, "ÄÖÅ"),
+    "ru": lambda w: _unmarked(F.translate(nfc(w), "ёЁ", "еЕ"), LETTERS["ru"]),
+    # Romanian letters with a comma below are also written with a cedilla
+    "ro": lambda w: _unmarked(F.translate(nfc(w), "şţŞŢ", "șțȘȚ"), LETTERS["ro"]),
     "vi": lambda w: F.replace(F.upper(nfc(w)), F.lit(" "), F.lit("")),
 }
 
 
-def fold(word: Column, language: str = "de") -> Column:
+#: The tag of no language: sharp s and upper case, marks stay.
+PLAIN = "und"
+
+
+def fold(word: Column, language: str = PLAIN) -> Column:
     """The key of a word; of several words too, line by line."""
-    return FOLDS.get(language, upper_ss)(word)
+    if language in FOLDS:
+        return FOLDS[language](word)
+    return alphabet_fold(LETTERS[language])(word) if language in LETTERS else upper_ss(word)
 
 
-def keys(text: Column, language: str = "de") -> Column:
+def keys(text: Column, language: str = PLAIN) -> Column:
     """One folded key per word of a text: an array, in order, keys that are too short left out.
 
     All words of a text are folded in one go, a line each, so that a fold is a few calls a text.

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.text import keys
+from ..functions.text import PLAIN, keys
 from ..functions.urls import domain_of
 from ..storage import write_table
 
@@ -43,7 +43,7 @@ def spread(docs: DataFrame) -> DataFrame:
     return docs.repartition(cores) if docs.rdd.getNumPartitions() * 2 <= cores else docs
 
 
-def word_counts(docs: DataFrame, fold: Column | str = "de") -> DataFrame:
+def word_counts(docs: DataFrame, fold: Column | str = PLAIN) -> DataFrame:
     """(source, seq, locator, word, n): how often each long enough word stands in each document.
 
     ``fold`` is a language, whose words fold in its own way, or an expression of ``text`` that gives the
@@ -82,7 +82,7 @@ def maybe_in(tokens: DataFrame, words: DataFrame) -> DataFrame:
     return in_filter(tokens, word_filter(words, blocks), blocks) if blocks <= FILTER_BLOCKS else tokens.withColumn("word", F.col("token"))
 
 
-def counted(docs: DataFrame, candidates: DataFrame, fold: Column | str = "de", broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+def counted(docs: DataFrame, candidates: DataFrame, fold: Column | str = PLAIN, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """(source, seq, locator, word, n) for candidates; a document's other words are one row with a null word.
 
     The text is read once for all that a scan gives. Small candidate lists are joined with the words as
@@ -142,7 +142,7 @@ def scan_of(counts: DataFrame, sources: DataFrame, floor: float = 0.0) -> Scan:
     return Scan(totals_of(good, sources), summed.join(sample_locators(hits), ["source", "word"]))
 
 
-def scan(docs: DataFrame, candidates: DataFrame, floor: float = 0.0, sources: DataFrame | None = None, fold: Column | str = "de") -> Scan:
+def scan(docs: DataFrame, candidates: DataFrame, floor: float = 0.0, sources: DataFrame | None = None, fold: Column | str = PLAIN) -> Scan:
     """Count candidates in documents. ``sources`` lists sources that must have a total even if empty.
 
     The counts are written to the shared folder, and totals, hits and locators are read from there.
@@ -150,7 +150,7 @@ def scan(docs: DataFrame, candidates: DataFrame, floor: float = 0.0, sources: Da
     return scan_of(write_table(counted(docs, candidates, fold), "counts"), docs if sources is None else sources, floor)
 
 
-def scan_by_domain(pages: DataFrame, candidates: DataFrame, fold: Column | str = "de") -> Scan:
+def scan_by_domain(pages: DataFrame, candidates: DataFrame, fold: Column | str = PLAIN) -> Scan:
     """Pages (seq, locator = address, text) grouped by registrable domain, one source ``web:`` each."""
     return scan(pages.withColumn("source", F.concat(F.lit("web:"), domain_of(F.col("locator")))), candidates, fold=fold)
 
@@ -175,7 +175,7 @@ def take(docs: DataFrame, count: int) -> DataFrame:
     return docs.orderBy("seq").limit(count)
 
 
-def weeded(docs: DataFrame, candidates: DataFrame, floor: float = 0.35, chars: int = 400_000, fold: Column | str = "de") -> DataFrame:
+def weeded(docs: DataFrame, candidates: DataFrame, floor: float = 0.35, chars: int = 400_000, fold: Column | str = PLAIN) -> DataFrame:
     """(source, seq, locator, share) of documents to remove from a collection.
 
     Unlike ``legible``, this judges the first ``chars`` characters only, as a book's opening tells its

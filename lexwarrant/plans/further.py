@@ -6,13 +6,15 @@ import sys
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.text import FOLDS, LETTERS, fold, nfd
+from ..functions.urls import page_links
 from ..operators import curve as K, rule, scan as S
 from ..sources import formats, readings
 from ..storage import fresh_path
 from ..streaming import evidence as V, incremental as I
 from . import corpus
 from .corpus import table
-from .queries import _FLAT, _HARVEST, _PRE, _VERSE, MINIMUM, _attested, _counts, _flat, query
+from .queries import _FLAT, _HARVEST, _ORIGIN, _PRE, _VERSE, MINIMUM, _attested, _counts, _flat, query
 
 # Texts read by a child process
 
@@ -168,3 +170,48 @@ def saturation_of_many(spark, d):
 def kept_by_some_families(spark, d):
     kept = K.kept_by_families(_attested(spark, d), ["f0", "f2", "f3", "f5"])
     return spark.createDataFrame([(kept,)], "kept long")
+
+
+# References
+
+_PAGE = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)', 1)"
+_FOLDER = f"CASE WHEN {_PAGE} = '' THEN '/' ELSE regexp_extract({_PAGE}, '^.*/', 0) END"
+_ABOVE = f"CASE WHEN {_FOLDER} = '/' THEN '/' ELSE regexp_replace({_FOLDER}, '[^/]*/$', '') END"
+_FORMS = ("q.html", "./q", "../q", "../../../../../../../top", "?a=b", "//Other.ORG:443", "a/./b/../c/..", "https://E.org", "HTTP://x.org:80/ü p?q=é", "/%41/../%2e/z", "http://[", "mailto:a@b.c", "/in#side")
+
+
+@query(f"""SELECT page_id, url || ' > ' || array_to_string([o || f || 'q.html', o || f || 'q', o || u || 'q', o || '/top', o || CASE WHEN p = '' THEN '/' ELSE p END || '?a=b',
+    CASE WHEN starts_with(url, 'https') THEN 'https://other.org/' ELSE 'http://other.org:443/' END, o || f || 'a/', 'https://e.org/', 'http://x.org/%C3%BC%20p?q=%C3%A9', o || '/z'], ' ') AS links
+  FROM (SELECT page_id, url, {_ORIGIN} AS o, {_PAGE} AS p, {_FOLDER} AS f, {_ABOVE} AS u FROM pages)""", pre=False)
+def resolved_links(spark, d):
+    """Every kind of reference against the address of every page; what can't be read or has a fragment is left out."""
+    html = "".join(f'<a class="x" href="{f}">y</a>' for f in _FORMS)
+    return table(spark, d, "pages").select("page_id", F.concat("url", F.lit(" > "), F.array_join(page_links(F.lit(html), F.col("url")), " ")).alias("links"))
+
+
+# Folds
+
+#: Languages whose fold an alphabet tells.
+_ALPHABETS = {tag: letters for tag, letters in LETTERS.items() if tag not in FOLDS}
+_SIGNS = "".join(sorted(set("".join(_ALPHABETS.values()))))
+_ASIDE = "".join(chr(0xE000 + i) for i in range(len(_SIGNS)))
+
+
+def _kept_sql(letters: str) -> str:
+    return f"'{letters}', '{''.join(_ASIDE[_SIGNS.index(c)] for c in letters)}'"
+
+
+@query("""SELECT language, substr(key, 1, 1) AS letter, CAST(sum(words) AS BIGINT) AS words, CAST(count(*) AS BIGINT) AS keys, CAST(sum(CAST('0x' || substr(md5(key), 1, 8) AS UBIGINT)) AS BIGINT) AS sum FROM (
+  SELECT language, key, count(*) AS words FROM (
+    SELECT language, translate(strip_accents(translate(upper(replace(word, 'ß', 'ss')), letters, aside)), aside, letters) AS key FROM (
+      SELECT DISTINCT t AS word FROM (SELECT unnest(regexp_extract_all(text, '\\p{L}[\\p{L}\\p{M}''’]*')) AS t FROM documents)), (VALUES """
++ ", ".join(f"('{tag}', {_kept_sql(letters)})" for tag, letters in _ALPHABETS.items())
++ ") a(language, letters, aside)) GROUP BY ALL) GROUP BY ALL", pre=False)
+def folded_words(spark, d):
+    """All words, from their decomposed form, by the fold of every alphabet: words and keys by first letter, and the
+    sum of the keys' digests, which tells whether they are the same."""
+    words = table(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}[\p{L}\p{M}'’]*"), F.lit(0))).alias("word")).distinct().select(nfd(F.col("word")).alias("word"))
+    each = F.array(*(F.struct(F.lit(tag).alias("language"), fold(F.col("word"), tag).alias("key")) for tag in _ALPHABETS))
+    keys = words.select(F.explode(each).alias("x")).groupBy("x.language", "x.key").agg(F.count(F.lit(1)).alias("words"))
+    digest = F.conv(F.substring(F.md5(F.col("key").cast("binary")), 1, 8), 16, 10).cast("long")
+    return keys.groupBy("language", F.substring("key", 1, 1).alias("letter")).agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("keys"), F.sum(digest).alias("sum"))

