@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import FOLDS, LETTERS, fold, nfd
 from ..functions.urls import page_links
-from ..operators import curve as K, rule, scan as S
+from ..operators import curve as K, evidence_store as T, rule, scan as S
 from ..sources import formats, readings
 from ..storage import fresh_path
 from ..streaming import evidence as V, incremental as I
 from . import corpus
 from .corpus import table
-from .queries import _FLAT, _HARVEST, _ORIGIN, _PRE, _VERSE, MINIMUM, _attested, _counts, _flat, query
+from .queries import _FLAT, _HARVEST, _ORIGIN, _PRE, _VERSE, MINIMUM, _attested, _counts, _flat, _scan, query
 
 # Texts read by a child process
 
@@ -215,3 +215,76 @@ def folded_words(spark, d):
     keys = words.select(F.explode(each).alias("x")).groupBy("x.language", "x.key").agg(F.count(F.lit(1)).alias("words"))
     digest = F.conv(F.substring(F.md5(F.col("key").cast("binary")), 1, 8), 16, 10).cast("long")
     return keys.groupBy("language", F.substring("key", 1, 1).alias("letter")).agg(F.sum("words").alias("words"), F.count(F.lit(1)).alias("keys"), F.sum(digest).alias("sum"))
+
+
+# Evidence as files
+
+_BUILT, _MOST = "2020-01-01", 20_000
+
+
+def _stored(spark, d) -> tuple[str, DataFrame]:
+    """(folder, shards) of the evidence, written in shards of twenty kilobytes."""
+    found, folder = _scan(spark, d), fresh_path(spark, "evidence")
+    return folder, T.write_evidence(folder, "xx", _BUILT, S.evidence_of(found.hits), found.totals, _MOST)
+
+
+@query("""SELECT word, source, n AS count, loc AS locators FROM (
+  SELECT source, word, any_value(n) AS n, string_agg(CAST(doc_id AS VARCHAR), ' ' ORDER BY doc_id) AS loc FROM (
+    SELECT dw.source, dw.word, hits.n, doc_id, row_number() OVER (PARTITION BY dw.source, dw.word ORDER BY doc_id) AS r FROM dw JOIN hits ON hits.source = dw.source AND hits.word = dw.word) WHERE r <= 2 GROUP BY ALL)""")
+def evidence_round_trip(spark, d):
+    """Evidence written as shards by tasks, read back, checked with its digests, and taken apart again."""
+    return T.read_evidence(spark, _stored(spark, d)[0], verify=True).attestations.select("word", "source", "count", F.array_join("locators", " ").alias("locators"))
+
+
+@query("SELECT source, tokens FROM totals")
+def evidence_totals_round_trip(spark, d):
+    return T.read_evidence(spark, _stored(spark, d)[0]).totals
+
+
+_LINES = """el AS (SELECT word, strlen(word || chr(9) || string_agg(source, ',' ORDER BY source) || chr(9) || string_agg(CAST(n AS VARCHAR), ',' ORDER BY source) || chr(9) || string_agg(loc, ' ' ORDER BY source)) + 1 AS bytes,
+    count(*) AS sources, list(source) AS names, row_number() OVER (ORDER BY word) AS i FROM (
+  SELECT source, word, any_value(n) AS n, string_agg(source || ':' || doc_id, ' ' ORDER BY doc_id) AS loc FROM (
+    SELECT dw.source, dw.word, hits.n, doc_id, row_number() OVER (PARTITION BY dw.source, dw.word ORDER BY doc_id) AS r FROM dw JOIN hits ON hits.source = dw.source AND hits.word = dw.word) WHERE r <= 2 GROUP BY ALL) GROUP BY word)"""
+
+
+@query(_PRE.replace("WITH", "WITH RECURSIVE", 1).rstrip() + f""", {_LINES},
+a AS (SELECT strlen('#lexwarrant/attestations/2 language=xx words=0 sources=0 built={_BUILT} digest=0123456789abcdef') + 1 + strlen('#tokens ' || string_agg(source || '=' || tokens, ' ' ORDER BY source)) + 1 AS around FROM totals),
+cost AS (SELECT i, bytes, around - 1 + len(CAST(sources AS VARCHAR)) + bytes AS cost FROM el, a),
+g AS (SELECT CAST(1 AS BIGINT) AS i, 0 AS shard, CAST(cost AS HUGEINT) AS held FROM cost WHERE i = 1
+  UNION ALL SELECT c.i, CASE WHEN held + cost > {_MOST} THEN shard + 1 ELSE shard END, CASE WHEN held + cost > {_MOST} THEN cost ELSE held + cost END FROM g JOIN cost c ON c.i = g.i + 1)
+SELECT shard, words, sources, CAST(around - 2 + len(CAST(words AS VARCHAR)) + len(CAST(sources AS VARCHAR)) + body AS BIGINT) AS bytes FROM (
+  SELECT CAST(shard AS INT) AS shard, CAST(count(*) AS BIGINT) AS words, CAST(len(list_distinct(flatten(list(names)))) AS BIGINT) AS sources, sum(bytes) AS body FROM g JOIN el ON el.i = g.i GROUP BY 1), a""", pre=False)
+def evidence_shards(spark, d):
+    """How many words, sources and bytes each shard has; cut between words, in order."""
+    return _stored(spark, d)[1].select("shard", "words", "sources", "bytes")
+
+
+@query("""SELECT 'p' || length(word) % 3 AS file, CASE length(word) % 5 WHEN 0 THEN 'a line has 2 columns' WHEN 1 THEN word || ': 2 sources and 1 counts' WHEN 2 THEN word || ': no count: ' || n || 'x' ELSE word || ': belongs to no source: other:1' END AS problem
+    FROM (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM hits GROUP BY 1) WHERE length(word) % 5 < 4
+  UNION ALL SELECT 'p' || k, 'the header says 0 words, the file has ' || (SELECT count(DISTINCT word) FROM hits WHERE length(word) % 3 = k) FROM range(3) t(k) WHERE k < 2
+  UNION ALL SELECT 'p2', 'not an evidence file' UNION ALL SELECT 'p1', 'a token total is malformed: src-'""")
+def evidence_problems(spark, d):
+    """Lines of every kind that can't be read, among good ones, in three files."""
+    words, n = _scan(spark, d).hits.groupBy("word").agg(F.sum("count").cast("string").alias("n")), F.length("word")
+    tab = lambda *x: F.concat_ws("\t", *(F.lit(c) if c in ("s", "s,t", "s:1", "other:1") else F.col(c) for c in x))
+    line = F.when(n % 5 == 0, tab("word", "s")).when(n % 5 == 1, tab("word", "s,t", "n", "s:1")).when(n % 5 == 2, F.concat_ws("\t", "word", F.lit("s"), F.concat("n", F.lit("x")))).when(n % 5 == 3, tab("word", "s", "n", "other:1")).otherwise(tab("word", "s", "n", "s:1"))
+    head = "#any/attestations/2 language=xx words=0 sources=1 built=x digest=0"
+    heads = spark.createDataFrame([("p0", head), ("p1", head), ("p1", "#tokens src1=5 src-")], "file string, line string")
+    return T.problems(words.select(F.concat(F.lit("p"), (n % 3).cast("string")).alias("file"), line.alias("line")).union(heads))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN source || ':1' WHEN doc_id % 3 = 0 THEN NULL ELSE source END AS owner FROM documents", pre=False)
+def locator_owners(spark, d):
+    """The source of a locator among two ids of which one begins the other; of every third document's locator neither does."""
+    docs, kind = table(spark, d, "documents"), F.col("doc_id") % 3
+    cite = F.concat(F.when(kind == 0, F.lit("x")).otherwise(F.lit("")), "source", F.lit(":"), kind.cast("string"), F.lit(":"), F.col("doc_id").cast("string"))
+    return docs.select("doc_id", T.owner_of(cite, F.array(F.col("source"), F.concat("source", F.lit(":1")))).alias("owner"))
+
+
+@query("""SELECT doc_id AS id, printf('%08x%08x', plain, placed) AS digest FROM (SELECT doc_id,
+    list_reduce(list_prepend(CAST(2166136261 AS BIGINT), u), lambda a, b: (xor(a, b) * 16777619) % 4294967296) AS plain,
+    list_reduce(list_prepend(CAST(16777619 AS BIGINT), p), lambda a, b: CAST((CAST(xor(a, b) AS HUGEINT) * 2246822507) % 4294967296 AS BIGINT)) AS placed FROM (
+  SELECT doc_id, u, list_transform(u, lambda x, i: x + i - 1) AS p FROM (SELECT doc_id, list_transform(string_split(text, ''), lambda c: CAST(unicode(c) AS BIGINT)) AS u FROM documents)))""", pre=False)
+def text_digests(spark, d):
+    """The digest of a file's body, of every document's text."""
+    return T.digests(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"))

@@ -10,7 +10,7 @@ from ..functions.registry import expand_locator, year_column
 from ..functions.text import SHORTEST, fold, nfd, readable_text, strip_wikitext
 from ..functions.urls import SUFFIXES, allowed, disallowed_paths, domain_of, feed_links, page_links, sitemap_links
 from ..operators import build as B, checks as C, curve as K, reports as R, rule, scan as S
-from ..sources import evidence_files as E, readers as X, web
+from ..sources import readers as X, web
 from ..storage import fresh_path, state_of, write_table
 from . import corpus
 from .corpus import table
@@ -595,15 +595,23 @@ def verification_tally(spark, d):
     return C.tally(_checked(spark, d))
 
 
-_DUMPS = """(VALUES ('dewiki.xml.bz2', 10, 10, NULL), ('frwikisource.xml.bz2', 9, 10, NULL), ('zh-yuewiki.xml.bz2', 5, NULL, NULL), ('notes.txt', 5, 5, NULL),
-  ('a.parquet', 7, 7, 'https://x.org/y/a.parquet'), ('deu.tsv', 40, 12, 'https://x.org/deu.tsv.bz2')) t(name, have, expect, origin)"""
+_NAMES = """CASE p_partkey % 6 WHEN 0 THEN chr(97 + CAST(p_size % 26 AS INT)) || 'ewiki.xml.bz2' WHEN 1 THEN 'fr-' || chr(97 + CAST(p_size % 26 AS INT)) || 'wikisource.xml.bz2' WHEN 2 THEN 'notes' || p_partkey || '.txt'
+  WHEN 3 THEN 'a' || p_partkey || '.parquet' WHEN 4 THEN 'deu' || p_partkey || '.tsv' ELSE 'Dewiki.xml.bz2' END"""
+_DUMPS = f"""(SELECT p_partkey, name, p_size AS have, CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 7 < 5 THEN p_size ELSE p_size + 1 END AS expect,
+    CASE p_partkey % 6 WHEN 3 THEN 'https://x.org/y/' || name WHEN 4 THEN 'https://x.org/' || name || '.bz2' END AS origin FROM (SELECT *, {_NAMES} AS name FROM part))"""
 
 
-@query(f"""SELECT name, CASE WHEN url IS NULL OR NOT suffix(url, regexp_extract(name, '\\..*$')) THEN 'not a dump' WHEN expect IS NULL THEN 'unknown' WHEN have = expect THEN 'ok' ELSE 'truncated' END AS verdict FROM (
+@query(f"""SELECT p_partkey, name, CASE WHEN url IS NULL OR NOT suffix(url, regexp_extract(name, '\\..*$')) THEN 'not a dump' WHEN expect IS NULL THEN 'unknown' WHEN have = expect THEN 'ok' ELSE 'truncated' END AS verdict FROM (
   SELECT *, coalesce(origin, CASE WHEN regexp_matches(name, '^[a-z-]+(wikisource|wiki)\\.xml\\.bz2$') THEN 'https://dumps.wikimedia.org/' || regexp_extract(name, '^([a-z-]+)\\.', 1) || '/latest/' || regexp_extract(name, '^([a-z-]+)\\.', 1) || '-latest-pages-articles.xml.bz2' END) AS url FROM {_DUMPS})""", pre=False)
 def dump_verdicts(spark, d):
-    rows = [("dewiki.xml.bz2", 10, 10, None), ("frwikisource.xml.bz2", 9, 10, None), ("zh-yuewiki.xml.bz2", 5, None, None), ("notes.txt", 5, 5, None), ("a.parquet", 7, 7, "https://x.org/y/a.parquet"), ("deu.tsv", 40, 12, "https://x.org/deu.tsv.bz2")]
-    return C.dump_verdicts(spark.createDataFrame(rows, "name string, have long, expect long, from string")).select("name", "verdict")
+    """Parts as files of dumps, packed files, unpacked ones and others, of which servers tell the right size, another or none."""
+    key, letter = F.col("p_partkey"), F.expr("chr(97 + p_size % 26)")
+    names = [F.concat(letter, F.lit("ewiki.xml.bz2")), F.concat(F.lit("fr-"), letter, F.lit("wikisource.xml.bz2")), F.concat(F.lit("notes"), key.cast("string"), F.lit(".txt")), F.concat(F.lit("a"), key.cast("string"), F.lit(".parquet")), F.concat(F.lit("deu"), key.cast("string"), F.lit(".tsv")), F.lit("Dewiki.xml.bz2")]
+    name = F.element_at(F.array(*names), (key % 6 + 1).cast("int"))
+    origin = F.when(key % 6 == 3, F.concat(F.lit("https://x.org/y/"), "name")).when(key % 6 == 4, F.concat(F.lit("https://x.org/"), "name", F.lit(".bz2")))
+    expect = F.when(key % 7 == 0, F.lit(None)).when(key % 7 < 5, F.col("p_size")).otherwise(F.col("p_size") + 1)
+    files = table(spark, d, "part").withColumn("name", name).select("p_partkey", "name", F.col("p_size").alias("have"), expect.alias("expect"), origin.alias("from"))
+    return C.dump_verdicts(files).select("p_partkey", "name", "verdict")
 
 
 @query("SELECT source FROM totals WHERE source IN ('src1', 'src2')")
@@ -664,29 +672,6 @@ def crawl_sample_locators(spark, d):
     return found.select("word", F.array_join("locators", ",").alias("locators"))
 
 
-@query("""SELECT word, source, n AS count, loc AS locators FROM (
-  SELECT source, word, any_value(n) AS n, string_agg(CAST(doc_id AS VARCHAR), ' ' ORDER BY doc_id) AS loc FROM (
-    SELECT dw.source, dw.word, hits.n, doc_id, row_number() OVER (PARTITION BY dw.source, dw.word ORDER BY doc_id) AS r FROM dw JOIN hits ON hits.source = dw.source AND hits.word = dw.word) WHERE r <= 2 GROUP BY ALL)""")
-def evidence_round_trip(spark, d):
-    """Evidence written as shards with digests, read and verified, and back in a frame; a file's words are a driver's list."""
-    import tempfile
-
-    found = _scan(spark, d)
-    with tempfile.TemporaryDirectory() as root:
-        paths = E.write_evidence(root, E.evidence_from("xx", "2020-01-01", S.evidence_of(found.hits), found.totals), most=20_000)
-        for p in paths:
-            E.parse_evidence(p.read_text("utf-8"), verify=True)
-        back = E.read_evidence(root)
-    return E.attestation_frame(spark, back).select("word", "source", "count", F.array_join("locators", " ").alias("locators"))
-
-
-@query("SELECT source, tokens FROM totals")
-def evidence_totals_round_trip(spark, d):
-    found = _scan(spark, d)
-    text = E.format_evidence(E.evidence_from("xx", "2020-01-01", S.evidence_of(found.hits.limit(0)), found.totals))
-    return E.totals_frame(spark, E.parse_evidence(text, verify=True))
-
-
 @query("""SELECT source, CASE WHEN CAST(substr(source, 4) AS INT) < 12 THEN tokens * 2 ELSE tokens END AS tokens FROM totals""")
 def merged_totals(spark, d):
     """Two scans of overlapping sources: the later total counts."""
