@@ -56,6 +56,11 @@ def validate_id(source: str) -> str:
     return source
 
 
+def valid_id(source: Column) -> Column:
+    """Whether the evidence format can hold an id: not empty, without what separates fields."""
+    return F.coalesce((source != "") & ~source.rlike("[\t, ]"), F.lit(False))
+
+
 def source_for(source: str) -> Source:
     """The source of an id, or LookupError."""
     if source in FIXED:

@@ -163,6 +163,13 @@ def readable_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(html, rf"{SPACE}+", " "))
 
 
+def escaped(text: Column) -> Column:
+    """``text`` as it may stand in markup."""
+    for sign, by in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(sign), F.lit(by))
+    return text
+
+
 def gutenberg_body(text: Column) -> Column:
     """A book without the licence around it; no start line, no text."""
     start = r"(?m)^\*\*\*+ ?START OF (?:THE|THIS) PROJECT GUTENBERG EBOOK[^\n\r\u2028\u2029]*$"

@@ -30,10 +30,14 @@ class EmptyScan(ValueError):
     """A source that has a record was scanned and gave nothing."""
 
 
+def empty_scans(fresh: DataFrame, recorded: DataFrame) -> DataFrame:
+    """(source): scans without a token that would replace a record with some."""
+    return fresh.where("tokens = 0").join(recorded.where("tokens > 0"), "source", "left_semi").select("source")
+
+
 def refuse_empty_scans(fresh: DataFrame, recorded: DataFrame) -> None:
-    """Raises if a scan without a token would replace a record with some."""
-    was = recorded.select("source", F.col("tokens").alias("had")).where("had > 0")
-    bad = [r["source"] for r in fresh.where("tokens = 0").join(was, "source", "left_semi").orderBy("source").collect()]  # sources are few
+    """Raises if there are ``empty_scans``."""
+    bad = [r["source"] for r in empty_scans(fresh, recorded).orderBy("source").collect()]  # sources are few
     if bad:
         raise EmptyScan(f"scanned without a single word, though recorded before: {', '.join(bad)}")
 
@@ -86,15 +90,20 @@ def word_list_lines(kept: DataFrame, written: DataFrame | None = None) -> DataFr
     return ranked.join(forms, "word", "left").select("rank", F.when(F.col("written").isNotNull(), F.concat_ws("\t", "word", "written")).otherwise(F.col("word")).alias("line"))
 
 
+def in_drop_order(dropped: DataFrame) -> DataFrame:
+    """``dropped`` with place: nearest to being kept first, then in dictionary order."""
+    return rule.numbered(dropped, [F.col("families").desc(), rule.collated("word"), "word"], "place")
+
+
 def drop_list_lines(dropped: DataFrame) -> DataFrame:
-    """(word, families, line): word, families, sources and counts, by tabs and commas."""
+    """(word, families, line) and place if it is known: word, families, sources and counts, by tabs and commas."""
     a = F.coalesce("attestations", F.array().cast("array<struct<source:string,count:bigint,locators:array<string>>>"))
     listed = F.array_sort(a)
     line = F.concat_ws(
         "\t", "word", F.col("families").cast("string"),
         F.array_join(F.transform(listed, lambda x: x["source"]), ","), F.array_join(F.transform(listed, lambda x: x["count"].cast("string")), ","),
     )
-    return dropped.select("word", "families", line.alias("line"))
+    return dropped.select("word", "families", line.alias("line"), *(["place"] if "place" in dropped.columns else []))
 
 
 def common_tier(kept: DataFrame, cut: int) -> DataFrame:

@@ -138,7 +138,7 @@ def prove(attestations: DataFrame, sources: DataFrame, get: Callable[[str], str
 
 def sample_words(words: DataFrame, n: int, seed: int = 1) -> DataFrame:
     """``n`` words at random; the same for the same seed and words."""
-    return words.select("word").orderBy(F.xxhash64(F.lit(seed), "word"), "word").limit(n)
+    return words.select("word").orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "word").cast("binary")), "word").limit(n)
 
 
 def dump_url(name: Column) -> Column:

@@ -15,7 +15,7 @@ from ..functions.urls import domain_of
 from ..sources import evidence_files as E, readers, web
 from ..storage import write_table
 from ..streaming import incremental
-from . import build as B, checks, curve, reports, rule
+from . import build as B, checks, curve, evidence_store as T, reports, rule
 
 LIST, DROPS, STATUS, COLLECTIONS = "words.txt", "dropped.tsv", "status.json", "COLLECTIONS.md"
 RUNNING, HARVEST = "harvest.running", "harvest"
@@ -68,20 +68,18 @@ def save(root: str | Path, language: str, built_on: str, built: B.Built, candida
     root = Path(root)
     refuse_running_harvest(root)
     root.mkdir(parents=True, exist_ok=True)
-    found = E.evidence_from(language, built_on, B.evidence(candidates, built.attestations), built.totals.select("source", "tokens"))
-    E.write_evidence(root, found, most)
+    T.write_evidence(str(root.absolute()), language, built_on, B.evidence(candidates, built.attestations), built.totals.select("source", "tokens"), most)
     lines = [r["line"] for r in B.word_list_lines(built.kept, written).orderBy("rank").toLocalIterator()]
     (root / LIST).write_text(E.word_list(language, lines, cut), "utf-8")
-    ordered = B.drop_list_lines(built.dropped).orderBy(F.col("families").desc(), rule.collated("word"), "word")
+    ordered = B.drop_list_lines(B.in_drop_order(built.dropped)).orderBy("place")
     (root / DROPS).write_text(E.drop_list([r["line"] for r in ordered.toLocalIterator()]), "utf-8")
 
 
-def load(spark: SparkSession, root: str | Path) -> tuple[E.Evidence, DataFrame, DataFrame, DataFrame]:
+def load(spark: SparkSession, root: str | Path) -> tuple[T.Tables, DataFrame, DataFrame, DataFrame]:
     """(evidence, attestations, its words, sources)."""
-    found = E.read_evidence(root)
-    attested = E.attestation_frame(spark, found)
-    words = spark.createDataFrame([(w,) for w, _ in found.words], "word string")
-    return found, attested, words, sources_table(spark, sorted({a[0] for _, rows in found.words for a in rows}))
+    found = T.read_evidence(spark, str(Path(root).absolute()))
+    named = [r["source"] for r in found.attestations.select("source").distinct().orderBy("source").collect()]  # sources are few
+    return found, found.attestations, found.words, sources_table(spark, named)
 
 
 def shipped(spark: SparkSession, root: str | Path) -> DataFrame:
@@ -106,7 +104,7 @@ def measure(spark: SparkSession, root: str | Path) -> dict:
     before = json.loads((root / STATUS).read_text("utf-8")) if (root / STATUS).exists() else {}
     found, attested, words, sources = load(spark, root)
     familied = rule.with_family(attested, sources)
-    steps = curve.saturation(familied, len(found.words), language=found.language)
+    steps = curve.saturation(familied, words.count(), language=found.language)
     verdicts = words.join(shipped(spark, root).select("word").withColumn("kept", F.lit(True)), "word", "left").select("word", F.coalesce("kept", F.lit(False)).alias("kept"))
     checkable = reports.family_checkability(familied, sources.select(F.col("id").alias("source"), "checkability"))
     return reports.status(found.language, found.built, verdicts, steps, checkable, curve.knee(steps), not conform(spark, root), before)
@@ -117,7 +115,7 @@ def save_status(spark: SparkSession, root: str | Path, origins: DataFrame | None
     root, state = Path(root), measure(spark, root)
     (root / STATUS).write_text(json.dumps(state, ensure_ascii=False, indent=2) + "\n", "utf-8")
     (root / "SATURATION.md").write_text(reports.saturation_markdown(state), "utf-8")
-    totals = E.totals_frame(spark, E.read_evidence(root))
+    totals = T.read_evidence(spark, str(Path(root).absolute())).totals
     origins = origins if origins is not None else totals.select("source", F.lit("").alias("origin"))
     (root / COLLECTIONS).write_text(reports.collections_markdown(reports.collections(totals, origins)), "utf-8")
     return state
@@ -154,7 +152,7 @@ def may_retire(spark: SparkSession, root: str | Path, declared: list[str]) -> li
     """What bars the collections of a language from being let go; nothing if nothing does."""
     bars = [] if (Path(root) / COLLECTIONS).exists() else [f"{COLLECTIONS} is missing"]
     bars += uncommitted(root)
-    totals = E.totals_frame(spark, E.read_evidence(root))
+    totals = T.read_evidence(spark, str(Path(root).absolute())).totals
     if totals.isEmpty():
         bars.append("no totals are recorded")
     named = spark.createDataFrame([(s,) for s in declared], "source string")

@@ -743,4 +743,4 @@ def oracle_sql() -> dict[str, str]:
     return {name: sql for name, (_, sql) in REGISTRY.items() if sql}
 
 
-from . import further  # noqa: E402, F401  registers its own
+from . import further, outputs  # noqa: E402, F401  register their own
