@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.evidence_files import NAME, SAMPLES, SHARD_BYTES, VERSION, Evidence, Malformed, digest_of, format_evidence
-from ..storage import write_table
+from ..storage import file_system, write_table
 from .rule import numbered
 
 #: Words of a block whose costs are summed.
@@ -100,16 +100,10 @@ def with_shards(rows: DataFrame, starts: list[int]) -> DataFrame:
     return joined.withColumn("shard", F.when(F.col("_block").isNotNull(), inside).otherwise(outside)).drop("_at", "_block", "_before", "_cuts")
 
 
-def _files(spark: SparkSession, path: str):
-    """(file system, path) of the JVM, which reaches what Spark reads."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
 def _rename(spark: SparkSession, source: str, target: str) -> None:
-    files, to = _files(spark, target)
+    files, to = file_system(spark, target)
     files.delete(to, True)
-    if not files.rename(_files(spark, source)[1], to):
+    if not files.rename(file_system(spark, source)[1], to):
         raise OSError(f"{source} can't be renamed to {target}")
 
 
@@ -159,11 +153,11 @@ def write_evidence(root: str, language: str, built: str, evidence: DataFrame, to
     if len(starts) == 1:
         _rename(spark, f"{staging}/{0:0{width}d}.tsv", f"{root}/{SINGLE}")
         for path in (staging, f"{root}/{FOLDER}"):
-            files, at = _files(spark, path)
+            files, at = file_system(spark, path)
             files.delete(at, True)
     else:
         _rename(spark, staging, f"{root}/{FOLDER}")
-        files, at = _files(spark, f"{root}/{SINGLE}")
+        files, at = file_system(spark, f"{root}/{SINGLE}")
         files.delete(at, True)
     return made
 
@@ -184,8 +178,8 @@ def digests(rows: DataFrame) -> DataFrame:
 def layout(spark: SparkSession, root: str) -> list[str]:
     """The one file, or the shards by name; both or neither is an error."""
     root = str(root).rstrip("/")
-    files, single = _files(spark, f"{root}/{SINGLE}")
-    folder = _files(spark, f"{root}/{FOLDER}")[1]
+    files, single = file_system(spark, f"{root}/{SINGLE}")
+    folder = file_system(spark, f"{root}/{FOLDER}")[1]
     if files.exists(single) and files.exists(folder):
         raise Malformed(f"{root} has its evidence twice, as a file and in shards")
     if files.exists(single):

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import contextlib
 import json
-import os
 import subprocess
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.registry import sources_table
 from ..functions.urls import domain_of
 from ..sources import evidence_files as E, readers, web
-from ..storage import write_table
-from ..streaming import incremental
+from ..storage import exists, read_text, write_table, write_text
+from ..streaming import commits, incremental
 from . import build as B, checks, curve, evidence_store as T, reports, rule
 
 LIST, DROPS, STATUS, COLLECTIONS = "words.txt", "dropped.tsv", "status.json", "COLLECTIONS.md"
@@ -25,34 +25,27 @@ class HarvestRunning(RuntimeError):
     """A harvest still writes what a build would read."""
 
 
-def _alive(process: int) -> bool:
-    try:
-        os.kill(process, 0)
-    except ProcessLookupError:
-        return False
-    except PermissionError:
-        return True
-    return True
+def at(root: str | Path, name: str = "") -> str:
+    """The address of a folder, or of a file in it: a path of this machine, or one that Spark reads anywhere."""
+    root = str(root) if ":/" in str(root) else str(Path(root).absolute())
+    return f"{root.rstrip('/')}/{name}".rstrip("/")
 
 
-def refuse_running_harvest(root: str | Path) -> None:
-    """Raises while the harvest that left its mark in a folder is alive; the mark of a dead one doesn't count."""
-    mark = Path(root) / RUNNING
-    if mark.exists() and (said := mark.read_text("utf-8").strip()).isdigit() and _alive(int(said)):
-        raise HarvestRunning(f"process {said} is harvesting into {root}")
+def refuse_running_harvest(spark: SparkSession, root: str | Path) -> None:
+    """Raises while a harvest, on whatever machine, holds its lease of a folder; one that has died lets it run out."""
+    if held := commits.holder(spark, at(root, RUNNING)):
+        raise HarvestRunning(f"{held} is harvesting into {root}")
 
 
 @contextlib.contextmanager
-def harvesting(root: str | Path):
-    """Marks a folder as being harvested into; only one harvest at a time."""
-    refuse_running_harvest(root)
-    mark = Path(root) / RUNNING
-    mark.parent.mkdir(parents=True, exist_ok=True)
-    mark.write_text(str(os.getpid()), "utf-8")
+def harvesting(spark: SparkSession, root: str | Path, holds: float = commits.HOLDS):
+    """Holds a folder while a harvest adds to it; only one at a time. Gives an event that is set if the hold is lost."""
+    owner = f"{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     try:
-        yield
-    finally:
-        mark.unlink(missing_ok=True)
+        with commits.lease(spark, at(root, RUNNING), owner, holds) as lost:
+            yield lost
+    except commits.Held as error:
+        raise HarvestRunning(str(error)) from error
 
 
 def uncommitted(root: str | Path) -> list[str]:
@@ -65,26 +58,25 @@ def uncommitted(root: str | Path) -> list[str]:
 
 def save(root: str | Path, language: str, built_on: str, built: B.Built, candidates: DataFrame, cut: int, written: DataFrame | None = None, most: int = E.SHARD_BYTES) -> None:
     """Write evidence, word list and drop list of one build. These are one language's words."""
-    root = Path(root)
-    refuse_running_harvest(root)
-    root.mkdir(parents=True, exist_ok=True)
-    T.write_evidence(str(root.absolute()), language, built_on, B.evidence(candidates, built.attestations), built.totals.select("source", "tokens"), most)
+    spark = candidates.sparkSession
+    refuse_running_harvest(spark, root)
+    T.write_evidence(at(root), language, built_on, B.evidence(candidates, built.attestations), built.totals.select("source", "tokens"), most)
     lines = [r["line"] for r in B.word_list_lines(built.kept, written).orderBy("rank").toLocalIterator()]
-    (root / LIST).write_text(E.word_list(language, lines, cut), "utf-8")
+    write_text(spark, at(root, LIST), E.word_list(language, lines, cut))
     ordered = B.drop_list_lines(B.in_drop_order(built.dropped)).orderBy("place")
-    (root / DROPS).write_text(E.drop_list([r["line"] for r in ordered.toLocalIterator()]), "utf-8")
+    write_text(spark, at(root, DROPS), E.drop_list([r["line"] for r in ordered.toLocalIterator()]))
 
 
 def load(spark: SparkSession, root: str | Path) -> tuple[T.Tables, DataFrame, DataFrame, DataFrame]:
     """(evidence, attestations, its words, sources)."""
-    found = T.read_evidence(spark, str(Path(root).absolute()))
+    found = T.read_evidence(spark, at(root))
     named = [r["source"] for r in found.attestations.select("source").distinct().orderBy("source").collect()]  # sources are few
     return found, found.attestations, found.words, sources_table(spark, named)
 
 
 def shipped(spark: SparkSession, root: str | Path) -> DataFrame:
     """(word, place) of the list."""
-    lines = spark.createDataFrame(list(enumerate((Path(root) / LIST).read_text("utf-8").split("\n"))), "n long, line string")
+    lines = spark.createDataFrame(list(enumerate(read_text(spark, at(root, LIST)).split("\n"))), "n long, line string")
     part = F.split("line", "\t")
     return lines.where((F.col("n") > 0) & (F.col("line") != "")).select(part[0].alias("word"), F.col("n").alias("place"))
 
@@ -100,8 +92,7 @@ def conform(spark: SparkSession, root: str | Path) -> list[tuple[str, str]]:
 
 def measure(spark: SparkSession, root: str | Path) -> dict:
     """A folder's status, measured anew; what was decided about it before stays."""
-    root = Path(root)
-    before = json.loads((root / STATUS).read_text("utf-8")) if (root / STATUS).exists() else {}
+    before = json.loads(read_text(spark, at(root, STATUS))) if exists(spark, at(root, STATUS)) else {}
     found, attested, words, sources = load(spark, root)
     familied = rule.with_family(attested, sources)
     steps = curve.saturation(familied, words.count(), language=found.language)
@@ -112,12 +103,12 @@ def measure(spark: SparkSession, root: str | Path) -> dict:
 
 def save_status(spark: SparkSession, root: str | Path, origins: DataFrame | None = None) -> dict:
     """Measure a folder and write its status, the table of what each family added, and its collections."""
-    root, state = Path(root), measure(spark, root)
-    (root / STATUS).write_text(json.dumps(state, ensure_ascii=False, indent=2) + "\n", "utf-8")
-    (root / "SATURATION.md").write_text(reports.saturation_markdown(state), "utf-8")
-    totals = T.read_evidence(spark, str(Path(root).absolute())).totals
+    state = measure(spark, root)
+    write_text(spark, at(root, STATUS), json.dumps(state, ensure_ascii=False, indent=2) + "\n")
+    write_text(spark, at(root, "SATURATION.md"), reports.saturation_markdown(state))
+    totals = T.read_evidence(spark, at(root)).totals
     origins = origins if origins is not None else totals.select("source", F.lit("").alias("origin"))
-    (root / COLLECTIONS).write_text(reports.collections_markdown(reports.collections(totals, origins)), "utf-8")
+    write_text(spark, at(root, COLLECTIONS), reports.collections_markdown(reports.collections(totals, origins)))
     return state
 
 
@@ -138,21 +129,21 @@ def verify(spark: SparkSession, root: str | Path, words: int, get, seed: int = 1
 
 def harvest(spark: SparkSession, root: str | Path, domains: list[str], candidates: DataFrame, get, limit: int = web.MOST_PAGES, delay: float = web.DELAY) -> int:
     """Read sites into a folder's harvest and give the number of pages added; those held already aren't read again."""
-    path = str(Path(root).absolute() / HARVEST)
-    with harvesting(root):
+    path = at(root, HARVEST)
+    with harvesting(spark, root) as lost:
         found = web.discover(spark.createDataFrame([(d,) for d in domains], "domain string"), get, limit, delay)
-        fresh = write_table(incremental.new_pages(found, spark.read.parquet(path)) if Path(path).exists() else found.dropDuplicates(["url"]), "fresh-pages")
+        fresh = write_table(incremental.new_pages(found, incremental.harvested(spark, path)), "fresh-pages")
         read = write_table(web.fetched(fresh.select("domain", "pos", "url"), get, delay).where("body IS NOT NULL").withColumnRenamed("body", "html"), "harvest")
         pages = web.admissible(read).withColumn("domain", domain_of(F.col("url"))).select("url", "domain", "text")
-        incremental.append_harvest(pages, candidates, path)
+        incremental.append_harvest(pages, candidates, path, lost)
         return pages.count()
 
 
 def may_retire(spark: SparkSession, root: str | Path, declared: list[str]) -> list[str]:
     """What bars the collections of a language from being let go; nothing if nothing does."""
-    bars = [] if (Path(root) / COLLECTIONS).exists() else [f"{COLLECTIONS} is missing"]
+    bars = [] if exists(spark, at(root, COLLECTIONS)) else [f"{COLLECTIONS} is missing"]
     bars += uncommitted(root)
-    totals = T.read_evidence(spark, str(Path(root).absolute())).totals
+    totals = T.read_evidence(spark, at(root)).totals
     if totals.isEmpty():
         bars.append("no totals are recorded")
     named = spark.createDataFrame([(s,) for s in declared], "source string")

@@ -253,9 +253,9 @@ def resumed_harvest(spark, d):
     url = F.concat(F.lit("https://x.org/"), F.col("doc_id").cast("string")).alias("url")
     pages = table(spark, d, "documents").select(url, F.lit("x.org").alias("domain"), "text")
     I.append_harvest(pages.where(F.pmod(F.xxhash64("url"), F.lit(3)) == 0), words, path)
-    I.append_harvest(I.new_pages(pages.union(pages), spark.read.parquet(path)), words, path)
+    I.append_harvest(I.new_pages(pages.union(pages), I.harvested(spark, path)), words, path)
     pairs = F.transform("words", lambda w: F.concat(w["word"], F.lit(":"), w["n"].cast("string")))
-    return spark.read.parquet(path).select("url", F.array_join(pairs, " ").alias("words"))
+    return I.harvested(spark, path).select("url", F.array_join(pairs, " ").alias("words"))
 
 
 # Renderings

@@ -6,11 +6,14 @@ a table partitioned by source, of which a run replaces the partitions of the sou
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import keys
 from ..operators.scan import Scan
+from . import commits
 
 #: How late a fetched page may come and still be known as one fetched before.
 REMEMBERED = "30 days"
@@ -59,13 +62,22 @@ def new_pages(found: DataFrame, harvested: DataFrame) -> DataFrame:
     return found.dropDuplicates(["url"]).join(harvested.select("url"), "url", "left_anti")
 
 
-def append_harvest(pages: DataFrame, candidates: DataFrame, path: str) -> None:
+#: A harvested page: its address, domain and candidate words with their counts, by word.
+HARVESTED = "url string, domain string, words array<struct<word:string,n:bigint>>"
+
+
+def append_harvest(pages: DataFrame, candidates: DataFrame, path: str, lost: threading.Event | None = None) -> None:
     """Append (url, domain, words) of pages(url, domain, text) to the harvest; a run commits whole or not at all."""
     words = pages.select("url", "domain", F.explode_outer(keys(F.col("text"))).alias("word"))
     known = candidates.select("word").distinct().withColumn("_in", F.lit(1))
     counted = words.join(known, "word", "left").groupBy("url", "domain", "word").agg(F.count("_in").alias("n"))
     pairs = F.filter(F.array_sort(F.collect_list(F.when(F.col("n") > 0, F.struct("word", "n")))), lambda x: x.isNotNull())
-    counted.groupBy("url", "domain").agg(pairs.alias("words")).write.mode("append").parquet(path)
+    commits.append(counted.groupBy("url", "domain").agg(pairs.alias("words")), path, lost)
+
+
+def harvested(spark: SparkSession, path: str) -> DataFrame:
+    """The pages harvested so far."""
+    return commits.read(spark, path, HARVESTED)
 
 
 def deduplicated_stream(pages: DataFrame, time: str = "fetched") -> DataFrame:

@@ -79,12 +79,17 @@ def test_remote_status():
 
 
 def test_a_build_is_refused_while_a_harvest_runs(spark, folder):
-    with P.harvesting(folder):
-        with pytest.raises(P.HarvestRunning):
-            P.refuse_running_harvest(folder)
-    P.refuse_running_harvest(folder)
-    (folder / P.RUNNING).write_text("999999999")
-    P.refuse_running_harvest(folder)
+    with P.harvesting(spark, folder):
+        with pytest.raises(P.HarvestRunning, match="is harvesting into"):
+            P.refuse_running_harvest(spark, folder)
+        with pytest.raises(P.HarvestRunning, match="holds"), P.harvesting(spark.newSession(), folder):
+            pass
+    P.refuse_running_harvest(spark, folder)
+    (folder / P.RUNNING).write_text('{"owner": "one that died", "until": 5}')
+    P.refuse_running_harvest(spark, folder)
+    with P.harvesting(spark, folder):
+        pass
+    assert not (folder / P.RUNNING).exists()
 
 
 def test_a_repository_must_be_clean(spark, folder):
@@ -109,7 +114,7 @@ def test_verify_and_harvest(spark, folder, tmp_path):
     cands = P.candidates(spark, tmp_path / "words.in")
     assert P.harvest(spark, folder, ["x.de"], cands, pages.get, delay=0) == 1
     assert P.harvest(spark, folder, ["x.de"], cands, (pages | {"https://x.de/2": page}).get, delay=0) == 1
-    rows = spark.read.parquet(str(folder / P.HARVEST)).collect()
+    rows = P.incremental.harvested(spark, str(folder / P.HARVEST)).collect()
     assert sorted((r["url"], [tuple(w) for w in r["words"]]) for r in rows) == [("https://x.de/1", [("HAUS", 60)]), ("https://x.de/2", [("HAUS", 60)])]
     assert FIXED and not (folder / P.RUNNING).exists()
 

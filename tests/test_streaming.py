@@ -34,7 +34,7 @@ def test_harvest_resumes(spark, tmp_path):
     cands, path = spark.createDataFrame([("HAUS",)], "word string"), str(tmp_path / "harvest")
     page = "url string, domain string, text string"
     I.append_harvest(spark.createDataFrame([("u1", "x.de", "Haus Haus Tür"), ("u2", "x.de", "")], page), cands, path)
-    done = spark.read.parquet(path)
+    done = I.harvested(spark, path)
     assert {r["url"]: [(w["word"], w["n"]) for w in r["words"]] for r in done.collect()} == {"u1": [("HAUS", 2)], "u2": []}
     found = spark.createDataFrame([("u1",), ("u3",), ("u3",)], "url string")
     assert [r["url"] for r in I.new_pages(found, done).collect()] == ["u3"]
