@@ -20,6 +20,7 @@ SUFFIXES = (
 # Fixed values too: what is a link in a page, a sitemap or a feed.
 ANCHOR = r"""(?i)<a\b[^>]*\bhref=["']([^"'#]+)["']"""
 LOCATION = r"<loc>\s*([^<\s]+)\s*</loc>"
+INDEX = r"<sitemapindex[\s>]"
 FEED_TEXT, FEED_HREF = r"<link>\s*([^<\s]+)\s*</link>", r'<link\b[^>]*\bhref="([^"]+)"'
 
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
@@ -81,7 +82,7 @@ def sitemap_links(xml: Column) -> Column:
 
 
 def is_sitemap_index(xml: Column) -> Column:
-    return xml.rlike(r"<sitemapindex[\s>]")
+    return xml.rlike(INDEX)
 
 
 def feed_links(xml: Column) -> Column:

@@ -64,7 +64,11 @@ def test_discovery(spark):
     assert urls == ["https://x.de/1", "https://www.x.de/4"] and closed == [["/no"]]
     index = {"https://x.de/sitemap.xml": "<sitemapindex >" + "".join(f"<loc>https://x.de/s{i}</loc>" for i in range(9)) + "</sitemapindex>"} | {f"https://x.de/s{i}": f"<loc>https://x.de/p{i}</loc>" for i in range(9)}
     assert found(spark, index)[0] == [f"https://x.de/p{i}" for i in range(5)]
-    assert found(spark, index, limit=2)[0] == ["https://x.de/p0", "https://x.de/p1"]
+    urls, _, asked = found(spark, index, limit=2)
+    assert urls == ["https://x.de/p0", "https://x.de/p1"]
+    assert [u.rpartition("/")[2] for u in asked] == ["robots.txt", "sitemap.xml", "s0", "s1"]  # it has enough
+    _, _, asked = found(spark, {"https://x.de/robots.txt": "Sitemap: https://x.de/a.xml\nSitemap: https://x.de/b.xml", "https://x.de/a.xml": "<loc>https://x.de/1</loc><loc>https://y.de/2</loc>"}, limit=2)
+    assert [u.rpartition("/")[2] for u in asked] == ["robots.txt", "a.xml"]
     assert found(spark, {"https://x.de/rss": "<link>https://x.de/r</link>"})[0] == ["https://x.de/r"]
     urls, _, asked = found(spark, {"https://x.de/": '<link rel="stylesheet" href="/s.css"><a href="/front">f</a>'})
     assert urls == ["https://x.de/front"] and len(asked) == 11 and asked[0].endswith("robots.txt") and asked[-1] == "https://x.de/"
