@@ -205,16 +205,19 @@ def with_readings(docs: DataFrame, analyser: Callable[[], Callable[[str], str]])
 
 
 def reading_chunks(text: str, most: int = 20_000) -> list[str]:
-    """A text in parts of at most ``most`` bytes, cut at spaces; a longer word is a part of its own."""
-    parts, held, size = [], [], 0
-    for word in text.split(" "):
-        n = len(word.encode()) + 1
-        if held and size + n > most + 1:
-            parts.append(" ".join(held))
-            held, size = [], 0
-        held.append(word)
-        size += n
-    return [p for p in [*parts, " ".join(held)] if p]
+    """A text in parts of at most ``most`` bytes, as an analyser takes them: cut at the last space of a part's second
+    half, or where it must be if there is none, as in scripts that write without spaces."""
+    raw, parts, at = text.encode(), [], 0
+    while len(raw) - at > most:
+        # a space just behind the part ends it too
+        stop = raw.rfind(b" ", at + most // 2, at + most + 1)
+        if stop < 0:
+            stop = at + most
+            while raw[stop] & 0xC0 == 0x80:  # not within a character
+                stop -= 1
+        parts.append(raw[at:stop])
+        at = stop + (raw[stop : stop + 1] == b" ")
+    return [p for p in (x.decode() for x in [*parts, raw[at:]]) if p]
 
 
 #: Parts of speech that are no words of their own.
