@@ -163,7 +163,7 @@ def test_readings(spark):
     assert R.reading_chunks("aa bb cc", 5) == ["aa bb", "cc"] and R.reading_chunks("") == []
     long = "語" * 30_000 + " " + "word " * 9_000
     parts = R.reading_chunks(long)
-    assert max(len(p.encode()) for p in parts) <= 20_000 and "".join(parts).replace(" ", "") == long.replace(" ", "") and all(p.endswith("word") or "語" in p for p in parts if p.strip())
+    assert max(len(p.encode()) for p in parts) <= 20_000 and "".join(parts).replace(" ", "") == long.replace(" ", "") and all(p.strip().endswith("word") or "語" in p for p in parts if p.strip())
     assert R.reading_chunks("日本語", 4) == ["日", "本", "語"]
 
 
