@@ -20,18 +20,19 @@ passage that many documents share ties them only where it is so much of each tha
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..storage import write_table
-from .arrow import columns_of, free_names, slices, spread, texts, told_apart
+from .arrow import columns_of, free_names, slices, spread, told_apart
 from .components import components
 from .shingles import mixed
-from .vocabularies import Cache
 
 #: Fewer tokens than this are no template.
 LEAST_TOKENS = 3
@@ -54,42 +55,107 @@ _FIELD = np.uint64(0x5EED)
 _ONE = np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PLACES = mixed(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
-_digit = re.compile(rb"[0-9]").search
-#: The last bit of a token's hash says whether it has a digit.
-_token_hashes = Cache(lambda token: xxhash.xxh3_64_intdigest(token) & ~1 | bool(_digit(token)))
-
-
-def line_tokens(rows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of all tokens, tokens of each line, lines of each text) of some texts in a row.
-
-    A token is lower-cased.
+#: Bytes that part tokens, and those that make a token a field.
+_SPACE, _DIGIT = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_DIGIT[48:58] = True
+#: A number for each byte, and the base of token hashes with its inverse modulo 2 ** 64.
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * _STEP)
+_BASE = 0x9E3779B97F4A7C15
+#: Bytes that are hashed at once, unless a token is longer.
+CHUNK = 1 << 19
+#: Bytes of the texts that are worked on at once.
+BATCH_BYTES = 2 << 20
+
+
+@lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(powers of the base, powers of its inverse) up to a place."""
+    both = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(n + 1, base, np.uint64)
+        steps[0] = 1
+        both.append(np.multiply.accumulate(steps))
+    return tuple(both)
+
+
+def _chunks(text: bytes) -> Iterator[bytes]:
+    """A text in parts that end where a token does."""
+    at = 0
+    while len(text) - at > CHUNK:
+        stop = at + CHUNK
+        cut = max(text.rfind(b" ", at, stop), text.rfind(b"\n", at, stop)) + 1
+        if cut <= at:  # one token so far, which goes on to the next space
+            found = re.compile(rb"[ \n]").search(text, stop)
+            cut = found.end() if found else len(text)
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+def _tokens(data: bytes) -> tuple[np.ndarray, np.ndarray, int]:
+    """(hashes of tokens, the line of each, line ends) of some bytes.
+
+    A hash is the sum of the bytes' numbers times powers of the base by their place in the token; its last bit
+    says whether the token has a digit.
     """
-    cut = [text.lower().encode("utf-8", "surrogatepass").split(b"\n") for text in rows]
-    lines = [line.split() for text in cut for line in text]
-    counts = np.fromiter(map(len, lines), np.int64, len(lines))
-    hashes = np.fromiter(map(_token_hashes.__getitem__, chain.from_iterable(lines)), np.uint64, int(counts.sum()))
-    _token_hashes.trim()
-    return hashes, counts, np.fromiter(map(len, cut), np.int64, len(cut))
+    raw = np.frombuffer(data, np.uint8)
+    space = np.ones(len(raw) + 2, bool)
+    space[1:-1] = _SPACE[raw]
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    start, stop = edges[::2], edges[1::2]
+    powers, inverse = _powers(max(CHUNK, 1 << len(raw).bit_length()))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTES[raw] * powers[: len(raw)], out=sums[1:])
+    ends = np.flatnonzero(raw == 10)
+    hashes = mixed((sums[stop] - sums[start]) * inverse[start])
+    digits = np.flatnonzero(_DIGIT[raw])
+    has = np.searchsorted(digits, stop) > np.searchsorted(digits, start)
+    return (hashes & ~_ONE) | has.astype(np.uint64), np.searchsorted(ends, start), len(ends)
+
+
+def line_tokens(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of all tokens, tokens of each line, lines of each text) of some lower-case texts in a row."""
+    hashes, lines, before, held, size = [], [], 0, [], 0
+
+    def take() -> None:
+        nonlocal before, held, size
+        found, line, ends = _tokens(b"".join(held))
+        hashes.append(found)
+        lines.append(line + before)
+        before, held, size = before + ends, [], 0
+
+    for text in rows:
+        for part in _chunks(text + b"\n"):  # a text's end is its last line's
+            held.append(part)
+            size += len(part)
+            if size >= CHUNK:
+                take()
+    take()
+    return np.concatenate(hashes), np.bincount(np.concatenate(lines), minlength=before), np.fromiter((t.count(b"\n") + 1 for t in rows), np.int64, len(rows))
 
 
 def signatures_of(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """For each text, given its number of tokens, ``BINS`` values: the least hash of its shingles in each bin."""
     padded = np.concatenate([hashes, np.zeros(WIDTH, np.uint64)])
     shingles = mixed(sum(padded[i : i + len(hashes) + 1] * _PLACES[i] for i in range(WIDTH)))
-    bins = np.arange(BINS + 1, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)
-    order, out, at = np.arange(BINS), np.empty((len(sizes), BINS), np.uint64), 0
-    for row, n in enumerate(sizes.tolist()):
-        # a text shorter than a shingle is one, with what follows left out
-        if n >= WIDTH:
-            h = np.sort(shingles[at : at + n - WIDTH + 1])
-        else:
-            h = mixed(np.array([sum(int(x) * int(p) for x, p in zip(hashes[at : at + n], _PLACES)) + n & (1 << 64) - 1], np.uint64))
-        at += n
-        first = np.searchsorted(h, bins)
-        filled = np.nonzero(np.diff(first[:BINS], append=len(h)))[0]
-        to = filled[np.searchsorted(filled, order) % len(filled)]
-        out[row] = h[first[to]] + ((to - order) % BINS).astype(np.uint64) * _STEP
-    return mixed(out)
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(sizes)), np.maximum(sizes - WIDTH + 1, 0))
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(np.maximum(sizes - WIDTH + 1, 0)) - np.maximum(sizes - WIDTH + 1, 0), np.maximum(sizes - WIDTH + 1, 0)) + starts[owner]
+    # a text shorter than a shingle is one, with what follows left out
+    short = np.flatnonzero(sizes < WIDTH)
+    few = [sum(int(x) * int(p) for x, p in zip(hashes[starts[k] : starts[k] + sizes[k]], _PLACES)) + int(sizes[k]) & (1 << 64) - 1 for k in short]
+    found = np.concatenate([shingles[at], mixed(np.array(few, np.uint64))])
+    place = np.concatenate([owner, short]) * BINS + (found >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    least = np.full(len(sizes) * BINS, np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(least, place, found)
+    taken = np.zeros(len(least), bool)
+    taken[place] = True
+    # an empty bin takes the value of the next one filled, around the end too, told apart by how far it is
+    order = np.arange(BINS)
+    here = np.where(taken.reshape(-1, BINS), order, 2 * BINS)
+    ahead = np.minimum.accumulate(np.concatenate([here, here + BINS], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :BINS]
+    return mixed(np.take_along_axis(least.reshape(-1, BINS), ahead % BINS, axis=1) + (ahead - order).astype(np.uint64) * _STEP)
 
 
 def parts_of(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -124,13 +190,26 @@ _ROWS = T.StructType([
 ])
 
 
+def _by_size(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most ``BATCH_BYTES`` of text at a time or one text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and held + n > BATCH_BYTES:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if len(sizes) > start:
+        yield batch.slice(start)
+
+
 def line_parts(docs: DataFrame) -> DataFrame:
     """text_key, line, tokens, plain tokens and parts of every line; and one row a text with its signature and
     bands instead."""
 
     def cut(batches):
-        for batch in slices(batches, 256):
-            hashes, counts, lines = line_tokens(texts(batch))
+        for batch in chain.from_iterable(map(_by_size, slices(batches, 256))):
+            hashes, counts, lines = line_tokens([x or b"" for x in pc.utf8_lower(batch.column("text")).cast(pa.binary()).to_pylist()])
             owner = np.repeat(np.arange(len(lines)), lines)
             sizes = np.bincount(owner, counts, len(lines)).astype(np.int64)
             line, plain, k, parts = parts_of(hashes, counts)

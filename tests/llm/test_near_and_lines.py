@@ -315,3 +315,39 @@ def test_documents_that_were_only_boilerplate_go(documents):
     rows = [(i, f"All rights reserved by us.\n{prose(rnd, 20)}", "", "", 1) for i in range(6)] + [(9, "All rights reserved by us.", "", "", 26)]
     got = line_templates.cleaned_documents(documents(rows)).collect()
     assert sorted(r["doc_id"] for r in got) == list(range(6)) and all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+@pytest.mark.parametrize("chunk", [7, 40, 1 << 19])
+def test_tokens_and_signatures_by_plain_loops(monkeypatch, chunk):
+    import numpy as np
+
+    from lexwarrant.llm import line_templates as L
+
+    monkeypatch.setattr(L, "CHUNK", chunk)
+    rnd = random.Random(1)
+    rows = [b"".join(rnd.choice([b"ab", b"c1", b" ", b"\n", b"\t", b"\x0b", "é".encode(), b"x" * rnd.randrange(30)]) for _ in range(rnd.randrange(60))) for _ in range(200)] + [b"", b"one"]
+    hashes, counts, lines = L.line_tokens(rows)
+    want = [line.split() for text in rows for line in text.split(b"\n")]
+    assert counts.tolist() == list(map(len, want)) and lines.tolist() == [t.count(b"\n") + 1 for t in rows]
+    held = {}
+    for token, h in zip((t for line in want for t in line), hashes.tolist(), strict=True):
+        assert held.setdefault(token, h) == h and (h & 1) == any(48 <= b < 58 for b in token)
+    assert len(set(held.values())) == len(held)
+    # signatures: the least shingle of each bin, an empty bin by the next one filled
+    sizes = np.array([len(t.split()) for t in rows])
+    got, at = L.signatures_of(hashes, sizes), 0
+    for row, n in enumerate(sizes.tolist()):
+        if n == 0:
+            continue
+        own = hashes[at : at + n].tolist()
+        at += n
+        sums = [sum(x * int(p) for x, p in zip(own[i : i + L.WIDTH], L._PLACES)) for i in range(max(1, n - L.WIDTH + 1))]
+        if n < L.WIDTH:
+            sums[0] += n
+        least = {}
+        for h in L.mixed(np.array([x & (1 << 64) - 1 for x in sums], np.uint64)).tolist():
+            least[h >> 57] = min(h, least.get(h >> 57, h))
+        for b in range(L.BINS):
+            far = next(k for k in range(L.BINS) if (b + k) % L.BINS in least)
+            value = np.array([least[(b + far) % L.BINS] + far * int(L._STEP) & (1 << 64) - 1], np.uint64)
+            assert got[row, b] == L.mixed(value)[0]
