@@ -1,9 +1,12 @@
 """Secret spans: three fixed patterns, and random strings that a token vocabulary finds inefficient.
 
 Words of a language take few tokens for their length; random strings take many. Every maximal run of
-credential characters with a letter, with or without digits, is encoded by a byte-level vocabulary, and
-a low number of characters per token marks it as random, unless it is a known digest (a hexadecimal
-string of a digest's length, a UUID) or an identifier (parts that are words or numbers).
+credential characters is encoded by a byte-level vocabulary where it has a letter, with or without digits, and
+a low number of characters per token marks it as random. What isn't random as a whole is looked at in its parts:
+between the slashes and equal signs of a path, then between other separators, and at last in windows of what has none,
+which must be more inefficient still. Known digests are left out where their text says that they are digests
+(``sha256-...``, ``checksum: ...``), UUIDs always, and identifiers (parts that are words or numbers) where their words
+are no random strings themselves.
 """
 
 from __future__ import annotations
@@ -34,10 +37,16 @@ _RUN = re.compile(rf"[A-Za-z0-9_+/=.-]{{{_SHORTEST},}}")
 CHARS_PER_TOKEN = 2.0
 #: Characters that are encoded at once, as encoding takes longer than in proportion; a longer run is several such parts.
 _AT_ONCE = 2_048
+#: Windows of a run must be longer and have fewer characters per token, as parts of long words may.
+WINDOW, WINDOW_CHARS_PER_TOKEN = 20, 1.5
 _DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
-_DIGEST = re.compile(r"(?:sha\d+[-_=.:]?|md5[-_=.:]?)?([0-9a-fA-F]+)\Z")
+_DIGEST = re.compile(r"(sha\d+[-_=.:]?|md5[-_=.:]?)?([0-9a-fA-F]+)\Z")
+#: What a text says before a digest, within so many characters.
+_SAYS_DIGEST = re.compile(r"(?:sha-?\d*|md5|digest|checksum|hash|commit|revision|etag|integrity|fingerprint)[^A-Za-z0-9]{0,4}\Z", re.IGNORECASE)
+_BEFORE = 24
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_SEGMENT, _BETWEEN = re.compile(r"[^/=]+"), re.compile(r"[^-_.+]+")
 
 
 class TokenEfficiency:
@@ -48,22 +57,82 @@ class TokenEfficiency:
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self._lengths = {i: len(b) for b, i in ranks.items()}
         self._encode = tiktoken.Encoding("ranks", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    def lengths(self, run: str) -> list[int]:
+        """Characters of each token; runs are ASCII."""
+        return [self._lengths[t] for i in range(0, len(run), _AT_ONCE) for t in self._encode(run[i : i + _AT_ONCE])]
+
     def chars_per_token(self, run: str) -> float:
-        return len(run) / sum(len(self._encode(run[i : i + _AT_ONCE])) for i in range(0, len(run), _AT_ONCE))
+        return len(run) / len(self.lengths(run))
 
-    def random(self, run: str) -> bool:
-        if len(run) < _SHORTEST or not any(c.isalpha() for c in run):
-            return False
-        if _UUID.match(run) or ((m := _DIGEST.match(run)) and len(m[1]) in _DIGEST_LENGTHS):
+    def random(self, run: str, before: str = "") -> bool:
+        """Whether a run is random as a whole; ``before`` is the text in front of it."""
+        if len(run) < _SHORTEST or not any(c.isalpha() for c in run) or known(run, before):
             return False
-        # an identifier: separated parts each of which is one word or one number
+        # an identifier, separated parts each of which is one word or one number, is what its words are
         parts = re.split(r"[-_./=+]", run)
         if len(parts) > 1 and all(not p or _PART.fullmatch(p) for p in parts):
-            return False
+            run = "".join(parts)
         return self.chars_per_token(run) <= CHARS_PER_TOKEN
 
+    def windows(self, run: str) -> list[tuple[int, int]]:
+        """(start, end) of stretches of whole tokens that are long and inefficient enough.
+
+        A token counts by how far it is below the limit. Stretches are the ones with the highest sums: none can be
+        shortened at an end, or put together with another, without losing. One pass finds them all.
+        """
+        if len(run) < WINDOW:
+            return []
+        ends, total = [0, *accumulate(self.lengths(run))], 0.0
+        held: list[tuple[int, int, float, float]] = []  # first and last token, sums before and up to its end
+        for k in range(len(ends) - 1):
+            before, total = total, total + WINDOW_CHARS_PER_TOKEN - (ends[k + 1] - ends[k])
+            if total <= before:
+                continue
+            first, start = k, before
+            while True:
+                at = next((i for i in range(len(held) - 1, -1, -1) if held[i][2] < start), None)
+                if at is None or held[at][3] >= total:
+                    break
+                first, start = held[at][0], held[at][2]
+                del held[at:]
+            held.append((first, k + 1, start, total))
+        return [(ends[i], ends[j]) for i, j, *_ in held if ends[j] - ends[i] >= WINDOW]
+
+    def spans(self, run: str, before: str = "") -> list[tuple[int, int]]:
+        """(start, end) of a run's random stretches: the whole, or segments, or parts of segments, or windows of these."""
+        said_before = lambda at: (before + run[:at])[-_BEFORE:]
+        segments = [(m.span(), m[0], said_before(m.start())) for m in _SEGMENT.finditer(run)]
+        told = [known(segment, said) for _, segment, said in segments]
+        # one that holds a digest isn't random for that
+        if not any(told) and self.random(run, before):
+            return [(0, len(run))]
+        if known(run, before):
+            return []
+        out = []
+        for ((start, end), segment, said), is_known in zip(segments, told):
+            if is_known:
+                continue
+            if self.random(segment, said):
+                out.append((start, end))
+                continue
+            for part in _BETWEEN.finditer(segment):
+                at = start + part.start()
+                said = said_before(at)
+                if self.random(part[0], said):
+                    out.append((at, at + len(part[0])))
+                elif not known(part[0], said) and any(c.isalpha() for c in part[0]):
+                    out += [(at + s, at + e) for s, e in self.windows(part[0])]
+        return out
+
+
+def known(run: str, before: str) -> bool:
+    """Whether a run is a UUID, or a digest by its length and by what it or the text in front of it says."""
+    found = _DIGEST.match(run)
+    return bool(_UUID.match(run) or found and len(found[2]) in _DIGEST_LENGTHS and (found[1] or _SAYS_DIGEST.search(before)))
+
 
 @functools.lru_cache(maxsize=2)
 def token_efficiency(vocab_dir: str | None = None) -> TokenEfficiency:
@@ -79,7 +148,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], scan: TokenEfficiency) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of inefficient runs that no span of ``taken`` (in order) overlaps."""
+    """(start, kind, end) of inefficient stretches of runs; runs that a span of ``taken`` (in order) overlaps aren't looked at."""
     starts = [s for s, _, _ in taken]
     furthest = list(accumulate((e for _, _, e in taken), max))  # spans of different kinds may overlap
     found = []
@@ -87,8 +156,8 @@ def random_spans(text: str, taken: list[tuple[int, int, int]], scan: TokenEffici
         run = m[0].rstrip(".-=")
         start, end = m.start(), m.start() + len(run)
         before = bisect_left(starts, end)  # these begin before the run ends
-        if not (before and furthest[before - 1] > start) and scan.random(run):
-            found.append((start, 3, end))
+        if not (before and furthest[before - 1] > start):
+            found += [(start + s, 3, start + e) for s, e in scan.spans(run, text[max(0, start - _BEFORE) : start])]
     return found
 
 

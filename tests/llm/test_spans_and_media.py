@@ -110,7 +110,7 @@ def test_base_spans_of_supplied_documents(sample):
     [
         ("Password: 'abcdefghijkl' x", ["assign"]), ("secret: token: abcdefghijklmnop", []), ("API_KEY=short", []), ("ſecret=abcdefghijklmnop", []),
         ("é AKIAABCDEFGHIJ1234", ["access"]), ("AKIA1234", []), ("0123456789abcdef 0123456789abcde", ["hex"]),
-        ("use ghp_a8Kq2ZxV91LmPw07TbRy5NcD3sUe now", ["random"]), ("id 550e8400-e29b-41d4-a716-446655440000", []), ("sum DA39A3EE5E6B4B0D3255BFEF95601890AFD80709 ok", []),
+        ("use ghp_a8Kq2ZxV91LmPw07TbRy5NcD3sUe now", ["random"]), ("id 550e8400-e29b-41d4-a716-446655440000", []), ("sum DA39A3EE5E6B4B0D3255BFEF95601890AFD80709 ok", ["random"]), ("sha1: DA39A3EE5E6B4B0D3255BFEF95601890AFD80709 ok", []), ("at etc/Digest=DA39A3EE5E6B4B0D3255BFEF95601890AFD80709 ok", []),
         ("see section_12-of_the-annual_report-2021 there", []), ("internationalization and misunderstandings", []), ("call 12345678901234567890", ["hex"]), ("", []),
     ],
 )
@@ -121,8 +121,73 @@ def test_kinds(text, kinds):
     assert [S.KINDS[k] for _, k, _ in sorted(base + more)] == kinds
 
 
-def plain_random(text, base, encode):
-    """Random runs by the rule as it is stated, character by character."""
+def plain_stretches(lengths):
+    """(first, last) tokens of the stretches with the highest sums: the highest of all sums, the shortest of equal
+    ones and the first of those, then the same on either side."""
+    sums, best = [0.0], None
+    for n in lengths:
+        sums.append(sums[-1] + 1.5 - n)
+    for i in range(len(lengths)):
+        for j in range(i + 1, len(lengths) + 1):
+            if sums[j] - sums[i] > 0 and (best is None or (sums[j] - sums[i], i - j) > (best[0], best[1] - best[2])):
+                best = (sums[j] - sums[i], i, j)
+    if best is None:
+        return []
+    _, i, j = best
+    return plain_stretches(lengths[:i]) + [(i, j)] + [(a + j, b + j) for a, b in plain_stretches(lengths[j:])]
+
+
+def plain_spans_of(run, before, lengths_of):
+    """(start, end) of a run's random stretches as they are stated."""
+
+    def told(x, said):
+        bare = x
+        for name in ("sha1", "sha224", "sha256", "sha384", "sha512", "md5"):
+            if x.startswith(name):
+                bare = x[len(name) :].lstrip("-_=.:")
+        says = bare != x or re.search("(sha-?[0-9]*|md5|digest|checksum|hash|commit|revision|etag|integrity|fingerprint)[^a-z0-9]{0,4}$", said.lower())
+        groups = x.split("-")
+        uuid = [len(g) for g in groups] == [8, 4, 4, 4, 12] and all(c in string.hexdigits for g in groups for c in g)
+        return uuid or (says and bare and all(c in string.hexdigits for c in bare) and len(bare) in (32, 40, 56, 64, 96, 128))
+
+    def whole(x, said):
+        if len(x) < 16 or not any(c.isalpha() for c in x) or told(x, said):
+            return False
+        one = lambda p: not p or p.isdigit() or (p.isalpha() and (p.isupper() or p[1:].islower() or (len(p) == 1)))
+        parts = re.split(r"[-_./=+]", x)
+        x = "".join(parts) if len(parts) > 1 and all(map(one, parts)) else x
+        return len(x) <= 2 * len(lengths_of(x))
+
+    def pieces(x, signs):
+        at = 0
+        for piece in re.split(f"([{signs}])", x):
+            if piece and piece not in signs:
+                yield at, piece
+            at += len(piece)
+
+    said = lambda at: (before + run[:at])[-24:]
+    if not any(told(x, said(at)) for at, x in pieces(run, "/=")) and whole(run, before):
+        return [(0, len(run))]
+    if told(run, before):
+        return []
+    out = []
+    for at, segment in pieces(run, "/="):
+        if whole(segment, said(at)):
+            out.append((at, at + len(segment)))
+        elif not told(segment, said(at)):
+            for off, part in pieces(segment, "_.+-"):
+                begin = at + off
+                if whole(part, said(begin)):
+                    out.append((begin, begin + len(part)))
+                elif len(part) >= 20 and any(c.isalpha() for c in part) and not told(part, said(begin)):
+                    n = lengths_of(part)
+                    ends = [sum(n[:k]) for k in range(len(n) + 1)]
+                    out += [(begin + ends[i], begin + ends[j]) for i, j in plain_stretches(n) if ends[j] - ends[i] >= 20]
+    return out
+
+
+def plain_random(text, base, lengths_of):
+    """Random stretches of runs, which are found character by character."""
     chars, found, i = set(string.ascii_letters + string.digits + "_+/=.-"), [], 0
     while i < len(text):
         j = i
@@ -131,31 +196,43 @@ def plain_random(text, base, encode):
         run = text[i:j]
         while run and run[-1] in ".-=":
             run = run[:-1]
-        if j - i >= 16 and len(run) >= 16 and any(c.isalpha() for c in run) and not any(s < i + len(run) and i < e for s, _, e in base):
-            bare = run
-            for before in ("sha1", "sha224", "sha256", "sha384", "sha512", "md5"):
-                if run.startswith(before):
-                    bare = run[len(before) :].lstrip("-_=.:")
-            digest = all(c in string.hexdigits for c in bare) and len(bare) in (32, 40, 56, 64, 96, 128)
-            groups = run.split("-")
-            uuid = [len(g) for g in groups] == [8, 4, 4, 4, 12] and all(c in string.hexdigits for g in groups for c in g)
-            parts = [p for p in re.split(r"[-_./=+]", run)]
-            one = lambda p: not p or p.isdigit() or (p.isalpha() and (p.isupper() or p[1:].islower() or (len(p) == 1)))
-            identifier = len(parts) > 1 and all(map(one, parts))
-            if not (digest or uuid or identifier) and len(run) <= 2 * len(encode(run)):
-                found.append((i, 3, i + len(run)))
+        if j - i >= 16 and not any(s < i + len(run) and i < e for s, _, e in base):
+            found += [(i + s, 3, i + e) for s, e in plain_spans_of(run, text[max(0, i - 24) : i], lengths_of)]
         i = max(j, i + 1)
     return found
 
 
+FOUND_IN = {
+    "path": "static/assets/images/production/2024/reports/{24}", "within a path": "static/assets/2024/quarterly/internal/{24}/index.html", "two words": "{a12}-{a12}", "letters": "{a24}",
+    "capital digits": "{X32}", "dots": "{20}.{20}.{20}", "after a name": "service_account_{24}", "key": "v1/{24}={24}", "glued": "applicationconfiguration{48}",
+}
+
+
+@pytest.mark.parametrize("form", FOUND_IN)
+def test_random_parts_are_found_where_they_stand(form):
+    rnd, scan, found = random.Random(3), S.token_efficiency(), 0
+    letters = {"": string.ascii_letters + string.digits, "a": string.ascii_lowercase, "X": "0123456789ABCDEF"}
+    for _ in range(200):
+        text = "use " + re.sub(r"\{([aX]?)(\d+)\}", lambda m: "".join(rnd.choice(letters[m[1]]) for _ in range(int(m[2]))), FOUND_IN[form]) + " now"
+        found += bool(S.random_spans(text, S.base_spans(text), scan))
+    assert found >= 180
+
+
+def test_names_and_paths_are_no_secrets():
+    scan = S.token_efficiency()
+    for text in ("static/assets/images/production/2024/reports/summary.html", "see https://example.org/a/b-c/article_number-12/index.html?page=2", "src/main/java/org/example/service/AccountServiceImplementation.java", "release-candidate_version-1.2.3", "user.name+filter@example"):
+        assert S.random_spans(text, S.base_spans(text), scan) == [], text
+
+
 def test_random_spans_by_brute_force(sample):
     scan = S.token_efficiency()
     rnd = random.Random(6)
     made = ["".join(rnd.choice(string.ascii_letters + string.digits + "-_./=+ ") for _ in range(400)) for _ in range(100)]
+    made += ["/".join("".join(rnd.choice(["".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(rnd.randrange(3, 30))), "configuration", "report", "_", "-"]) for _ in range(rnd.randrange(1, 5))) for _ in range(3)) for _ in range(300)]
     made += ["sha256-" + "ab12" * 16, "x" * 40 + " Sun_light-2020.html/Index_page", "550e8400-e29b-41d4-a716-446655440000 q" * 3]
     for text in [*sample.texts.values(), *made]:
         base = S.base_spans(text)
-        assert S.random_spans(text, base, scan) == plain_random(text, base, scan._encode)
+        assert S.random_spans(text, base, scan) == plain_random(text, base, scan.lengths)
 
 
 @pytest.mark.parametrize("text", ["=" * 300_000, "a" * 300_000, "0123456789abcdef" * 18_750, "kQ" * 150_000, "secret" + " " * 300_000, "token=abcdefghijklmnop " * 13_000])
