@@ -40,7 +40,7 @@ def refuse_running_harvest(spark: SparkSession, root: str | Path) -> None:
 @contextlib.contextmanager
 def harvesting(spark: SparkSession, root: str | Path, holds: float = commits.HOLDS):
     """Holds a folder while a harvest adds to it; only one at a time. Gives an event that is set if the hold is lost."""
-    owner = f"{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    owner = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     try:
         with commits.lease(spark, at(root, RUNNING), owner, holds) as lost:
             yield lost
