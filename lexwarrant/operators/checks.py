@@ -88,7 +88,8 @@ def outcomes(cited: DataFrame, pages: DataFrame, fold: Callable[[Column], Column
     copy = archive_url(F.col("url"), F.col("as_of"))
     first = F.when(F.col("as_of").isNotNull(), copy).otherwise(F.col("url"))
     second = F.when(F.col("as_of").isNotNull(), F.col("url")).otherwise(copy)
-    rows = cited.withColumn("_first", first).withColumn("_second", second)
+    # read twice: for what is asked, and with the answers
+    rows = write_table(cited.withColumn("_first", first).withColumn("_second", second), "cited")
     held = pages.where(F.col("text").isNotNull())
     asked = rows.select(F.explode(F.array("_first", "_second")).alias("url"), "word").where(F.col("url").isNotNull())
     read, seen = held.select("url").distinct(), write_table(seen_on(held, asked, fold), "seen")

@@ -58,7 +58,8 @@ def numbered(rows: DataFrame, order: list[Column | str], name: str) -> DataFrame
     """
     spark = rows.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # ranges are drawn from the rows first, which are made only once so
+    ordered = write_table(rows, "unordered").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     held = write_table(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
     # the number's upper part is the range, the lower one the row's place within it
     part, before = F.shiftright("_at", 33), 0
@@ -78,6 +79,7 @@ def ranked(rated: DataFrame) -> DataFrame:
 
 def with_places(rated: DataFrame) -> DataFrame:
     """``rated`` with place: one more than the words of a better rate, so that ties share one."""
+    rated = write_table(rated, "rated")
     first = numbered(rated.select("rate"), [F.col("rate").desc()], "place").groupBy("rate").agg(F.min("place").alias("place"))
     return rated.join(first, "rate").select(*rated.columns, "place")
 
