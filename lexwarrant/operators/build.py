@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import rule
 from .scan import Scan
@@ -90,9 +90,9 @@ def word_list_lines(kept: DataFrame, written: DataFrame | None = None) -> DataFr
     return ranked.join(forms, "word", "left").select("rank", F.when(F.col("written").isNotNull(), F.concat_ws("\t", "word", "written")).otherwise(F.col("word")).alias("line"))
 
 
-def in_drop_order(dropped: DataFrame) -> DataFrame:
-    """``dropped`` with place: nearest to being kept first, then in dictionary order."""
-    return rule.numbered(dropped, [F.col("families").desc(), rule.collated("word"), "word"], "place")
+def in_drop_order(dropped: DataFrame, by: list[Column] | None = None) -> DataFrame:
+    """``dropped`` with place: nearest to being kept first, then ``by`` what tells words apart; by default their dictionary order."""
+    return rule.numbered(dropped, [F.col("families").desc(), *(by or [rule.collated("word"), "word"])], "place")
 
 
 def drop_list_lines(dropped: DataFrame) -> DataFrame:
@@ -106,6 +106,6 @@ def drop_list_lines(dropped: DataFrame) -> DataFrame:
     return dropped.select("word", "families", line.alias("line"), *(["place"] if "place" in dropped.columns else []))
 
 
-def common_tier(kept: DataFrame, cut: int) -> DataFrame:
-    """The first ``cut`` words by rank."""
-    return kept.orderBy(F.col("rate").desc(), rule.collated("word"), "word").limit(cut)
+def common_tier(kept: DataFrame, cut: int, by: list[Column] | None = None) -> DataFrame:
+    """The first ``cut`` words by rank; of equal rates ``by`` what tells words apart."""
+    return kept.orderBy(F.col("rate").desc(), *(by or [rule.collated("word"), "word"])).limit(cut)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import nfc
+from ..functions.text import nfc, nfd
 from ..storage import write_table
 
 #: Independent families a word needs.
@@ -49,6 +49,14 @@ def collated(word: str | Column) -> Column:
     return F.collate(F.col(word) if isinstance(word, str) else word, "UNICODE")
 
 
+def by_letters(word: str, *marks: str) -> list[Column]:
+    """An order without a collation: base letters by code, apostrophes of both kinds alike; then, letter by letter, none
+    of ``marks`` (letters of one mark each) before the first of them and so on; then the word by code."""
+    base = F.translate(F.regexp_replace(nfd(F.col(word)), r"\p{M}+", ""), "’", "'")
+    places = F.translate(word, "".join(marks), "".join(str(i) * len(m) for i, m in enumerate(marks, 1)))
+    return [base, *([F.regexp_replace(places, f"[^1-{len(marks)}]", "0")] if marks else []), F.col(word)]
+
+
 def numbered(rows: DataFrame, order: list[Column | str], name: str) -> DataFrame:
     """``rows`` with ``name``: each row's place, from 1, in the order of all.
 
@@ -72,9 +80,9 @@ def numbered(rows: DataFrame, order: list[Column | str], name: str) -> DataFrame
     return held.join(F.broadcast(starts), part == F.col("_part")).withColumn(name, F.col("_begin") + local).select(*rows.columns, name)
 
 
-def ranked(rated: DataFrame) -> DataFrame:
-    """``rated`` with rank by rate, best first, then by word in dictionary order."""
-    return numbered(rated, [F.col("rate").desc(), collated("word"), "word"], "rank")
+def ranked(rated: DataFrame, by: list[Column] | None = None) -> DataFrame:
+    """``rated`` with rank by rate, best first, then ``by`` what tells words apart; by default their dictionary order."""
+    return numbered(rated, [F.col("rate").desc(), *(by or [collated("word"), "word"])], "rank")
 
 
 def with_places(rated: DataFrame) -> DataFrame:

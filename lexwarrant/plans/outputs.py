@@ -170,12 +170,12 @@ _BASE = "replace(strip_accents(word), '’', '''')"
 
 @query(f"SELECT word, families, CAST(row_number() OVER (ORDER BY families DESC, {_BASE}, word) AS BIGINT) AS place FROM fam WHERE families < {MINIMUM}")
 def drop_order(spark, d):
-    return B.in_drop_order(_built(spark, d).dropped).select("word", "families", "place")
+    return B.in_drop_order(_built(spark, d).dropped, rule.by_letters("word")).select("word", "families", "place")
 
 
 @query(f"SELECT word, round(rate, 6) AS rate, CAST(row_number() OVER (ORDER BY round(rate, 6) DESC, {_BASE}, word) AS BIGINT) AS rank FROM rate")
 def kept_order(spark, d):
-    return rule.ranked(_rated(spark, d)).select("word", "rate", "rank")
+    return rule.ranked(_rated(spark, d), rule.by_letters("word")).select("word", "rate", "rank")
 
 
 @query("SELECT word FROM cand ORDER BY md5('7:' || word), word LIMIT 40")
