@@ -23,17 +23,16 @@ def sample_text(words: Column) -> Column:
     return F.when(more <= 0, first).otherwise(F.concat(first, F.lit(", and "), more.cast("string"), F.lit(" more")))
 
 
-def _failure(rows: DataFrame, column: str, check: str, prefix: Column) -> DataFrame:
-    """One row if ``rows`` has any: only the first few words are gathered, the rest are counted."""
+def _rule(rows: DataFrame, column: str, check: str, prefix: Column) -> DataFrame:
+    """One row on what breaks a rule: only the first few words are gathered, the rest are counted."""
     few = rows.orderBy("_order").limit(REPORTED).agg(F.array_sort(F.collect_list(F.struct("_order", F.col(column).alias("w")))).alias("f"))
     counted = rows.agg(F.count(F.lit(1)).alias("n"))
     words = F.array_join(F.transform("f", lambda x: x["w"]), ", ")
-    shown = F.when(F.col("n") <= REPORTED, words).otherwise(F.concat(words, F.lit(", and "), (F.col("n") - REPORTED).cast("string"), F.lit(" more")))
-    return few.crossJoin(counted).where("n > 0").select(F.lit(check).alias("check"), F.concat(prefix, shown).alias("detail"))  # one row each
+    return few.crossJoin(counted).select(F.lit(check).alias("check"), "n", prefix.alias("prefix"), words.alias("words"))  # one row each
 
 
-def conform(shipped: DataFrame, attestations: DataFrame, evidence_words: DataFrame, sources: DataFrame, minimum: int = MINIMUM) -> DataFrame:
-    """(check, detail) of every rule that is broken.
+def rules(shipped: DataFrame, attestations: DataFrame, evidence_words: DataFrame, sources: DataFrame, minimum: int = MINIMUM) -> DataFrame:
+    """(check, n, prefix, words) of every rule, broken or not: how many break it, what is said of them, the first few.
 
     shipped(word[, place]), attestations(word, source, locators), evidence_words(word), sources(id, family).
     """
@@ -47,13 +46,20 @@ def conform(shipped: DataFrame, attestations: DataFrame, evidence_words: DataFra
     silent = attestations.where(F.coalesce(F.size("locators"), F.lit(0)) <= 0).select("word").distinct().withColumn("_order", F.col("word"))
     n = lambda text: F.concat(F.col("n").cast("string"), F.lit(text))
     return (
-        _failure(unknown, "source", "every source is registered", F.lit("unknown: "))
-        .unionByName(_failure(missing, "word", "every shipped word has evidence", n(" without any: ")))
-        .unionByName(_failure(thin, "word", f"every shipped word has {minimum} independent sources", n(" short: ")))
-        .unionByName(_failure(silent, "word", "every attestation says where to look", n(" with a source and no locator: ")))
+        _rule(unknown, "source", "every source is registered", F.lit("unknown: "))
+        .unionByName(_rule(missing, "word", "every shipped word has evidence", n(" without any: ")))
+        .unionByName(_rule(thin, "word", f"every shipped word has {minimum} independent sources", n(" short: ")))
+        .unionByName(_rule(silent, "word", "every attestation says where to look", n(" with a source and no locator: ")))
     )
 
 
+def conform(shipped: DataFrame, attestations: DataFrame, evidence_words: DataFrame, sources: DataFrame, minimum: int = MINIMUM) -> DataFrame:
+    """(check, detail) of every rule that is broken, of tables as ``rules`` takes them."""
+    more = F.when(F.col("n") > REPORTED, F.concat(F.lit(", and "), (F.col("n") - REPORTED).cast("string"), F.lit(" more"))).otherwise("")
+    broken = rules(shipped, attestations, evidence_words, sources, minimum).where("n > 0")
+    return broken.select("check", F.concat("prefix", "words", more).alias("detail"))
+
+
 def citations(attestations: DataFrame, sources: DataFrame) -> DataFrame:
     """(word, source, family, locator, as_of, url): one row per locator; url is null where the source isn't registered."""
     known = sources.select(F.col("id").alias("_id"), F.col("family").alias("_family"), "locator_kind", "template", "as_of")
