@@ -3,11 +3,11 @@
 ``register(spark)`` makes them known to ``spark.read.format(name)``:
 
 - ``harvest_log``: url, word and times of each count of a harvest log;
-- ``leipzig``: kind, key and value of the lines of a sentence collection's three files;
+- ``leipzig``: kind, key and value of the lines of a sentence collection's three files, or of one ``kind`` of them;
 - ``verse_chapters``: locator and text of each run of verses of one chapter.
 
 Each row has ``seq``, its place in the order of files by name and of lines. Files are cut into ranges of
-``splitBytes``, each read by a task of its own. A record belongs to the range in which it begins; the task
+``splitBytes``, or of more where these were more than ``MOST_RANGES``, each read by a task of its own. A record belongs to the range in which it begins; the task
 reads on past the range's end, into further files if need be, and passes over what began before. Only
 columns of the schema asked for (``.schema("url string, times long")``) are made. Packed files aren't cut.
 Lines end with a line feed, before which a carriage return counts as part of the end.
@@ -26,6 +26,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import LongType, StructType
 
 SPLIT_BYTES = 64 << 20
+#: Ranges beyond which they are made larger, up to ``SPLIT_BYTES``: each costs a task and reads ahead by a block.
+MOST_RANGES = 1024
 _BLOCK, _ROWS = 1 << 20, 4096
 _PACKED = (".bz2", ".gz", ".zst")
 #: Places of a file's bytes in ``seq``, under the number of the file.
@@ -121,9 +123,15 @@ class _Reader(DataSourceReader):
         files, most = _files(self.options["path"]), int(self.options.get("splitbytes", SPLIT_BYTES))
         if most < 1:
             raise ValueError("splitBytes must be positive")
-        starts = [(k, 0 if path.endswith(_PACKED) else at, size, path) for k, (path, size) in enumerate(files) for at in (range(1) if path.endswith(_PACKED) else range(0, size, most))]
+        kept = [self.kept(path) for path, _ in files]
+        most = max(most, min(SPLIT_BYTES, sum(size for (_, size), wanted in zip(files, kept) if wanted) // MOST_RANGES))
+        starts = [(k, 0 if path.endswith(_PACKED) else at, size, path) for k, (path, size) in enumerate(files) if kept[k] for at in (range(1) if path.endswith(_PACKED) else range(0, size, most))]
         return [Range(files, k, at, 1 << 62 if path.endswith(_PACKED) else min(at + most, size)) for k, at, size, path in starts] or [Range([], 0, 0, 0)]
 
+    def kept(self, path: str) -> bool:
+        """Whether the file holds what is asked for; the others keep their places in the order."""
+        return "kind" not in self.options or leipzig_kind(path) == self.options["kind"]
+
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for row in self.rows(part) if part.files else ():
@@ -157,10 +165,13 @@ def harvest_rows(part: Range) -> Iterator[dict]:
 LEIPZIG_KINDS = {"sentences": "sentences.txt", "links": "inv_so.txt", "addresses": "sources.txt"}
 
 
+def leipzig_kind(name: str) -> str | None:
+    return next((kind for kind, ending in LEIPZIG_KINDS.items() if ending in name.rpartition("/")[2] or f"/{ending}/" in name), None)
+
+
 def leipzig_rows(part: Range) -> Iterator[dict]:
     """A sentence's value is the rest of its line, that of a map its second column; lines without one are left out."""
-    name = part.files[part.file][0]
-    kind = next((kind for kind, ending in LEIPZIG_KINDS.items() if ending in name.rpartition("/")[2] or f"/{ending}/" in name), None)
+    kind = leipzig_kind(part.files[part.file][0])
     for k, at, line in _lines(part) if kind else ():
         if not _inside(part, k, at):
             return
@@ -253,8 +264,8 @@ def register(spark: SparkSession) -> SparkSession:
 
 def leipzig_documents(spark: SparkSession, path: str, source: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Sentences of a collection's folder with the address each came from; of doubled lines of a map the last counts."""
-    rows = register(spark).read.format("leipzig").option("splitBytes", split_bytes).load(path)
-    of = lambda kind: rows.where(F.col("kind") == kind)
+    read = register(spark).read.format("leipzig").option("splitBytes", split_bytes)
+    of = lambda kind: read.option("kind", kind).load(path)  # noqa: E731  each file is read for its own kind only
     urls = of("addresses").groupBy(F.col("key").alias("address")).agg(F.max_by("value", "seq").alias("url"))
     places = of("links").select(F.col("key").alias("address"), F.col("value").alias("sentence"), "seq").join(urls, "address").groupBy("sentence").agg(F.max_by("url", "seq").alias("locator"))
     return of("sentences").select(F.col("key").alias("sentence"), "seq", F.col("value").alias("text")).join(places, "sentence").select(F.lit(source).alias("source"), "seq", "locator", "text")
