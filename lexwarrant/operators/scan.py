@@ -43,14 +43,15 @@ def spread(docs: DataFrame) -> DataFrame:
     return docs.repartition(cores) if docs.rdd.getNumPartitions() * 2 <= cores else docs
 
 
-def word_counts(docs: DataFrame, fold: Column | str = PLAIN) -> DataFrame:
-    """(source, seq, locator, word, n): how often each long enough word stands in each document.
+def word_counts(docs: DataFrame, fold: Column | str = PLAIN, by: tuple[str, ...] = ("source", "seq", "locator")) -> DataFrame:
+    """(source, seq, locator, word, n): how often each long enough word stands in each document, or in what is named by
+    fewer columns ``by``; by none, in all of them.
 
     ``fold`` is a language, whose words fold in its own way, or an expression of ``text`` that gives the
     array of its keys.
     """
-    words = spread(docs).select("source", "seq", "locator", F.explode(_keys(fold)).alias("word"))
-    return words.groupBy("source", "seq", "locator", "word").agg(F.count(F.lit(1)).alias("n"))
+    words = spread(docs).select(*by, F.explode(_keys(fold)).alias("word"))
+    return words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _marks(word: str) -> tuple[Column, Column]:
