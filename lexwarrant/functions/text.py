@@ -81,12 +81,17 @@ LETTERS: dict[str, str] = {
 }
 
 
+def own_letters(letters: str) -> str:
+    """Those of an alphabet's ``letters`` that decompose, which alone make its fold differ from another's."""
+    return "".join(c for c in letters if unicodedata.normalize("NFD", c) != c)
+
+
 def alphabet_fold(letters: str) -> Callable[[Column], Column]:
     """The fold of an alphabet: composed, in upper case, without marks but on ``letters``, which are given in upper case.
 
     A mark on a letter that isn't of the alphabet goes, and the letter stays.
     """
-    marked = "".join(c for c in letters if unicodedata.normalize("NFD", c) != c)
+    marked = own_letters(letters)
     return lambda word: _unmarked(word, marked)
 
 
