@@ -7,8 +7,9 @@ prefixes of a level's depth is a region. Candidates are the pairs of a region wh
 of 128 values) agree well enough.
 
 Depth adapts by region. In one of more than ``DENSE`` members only those are compared that have longer
-prefixes in common, as much longer as it takes until few enough do. If such a region isn't one
-component after that, its members go to the next level of ``LEVELS``, where prefixes are longer and trees more,
+prefixes in common, as much longer as it takes until few enough do. Such regions that share members are a team.
+A team of up to ``WHOLE`` times ``DENSE`` members is compared whole, as a crowd (below), which loses nothing. If a
+region of a larger one isn't one component after that, its members go to the next level of ``LEVELS``, where prefixes are longer and trees more,
 so that what is only somewhat alike comes apart while a pair at the threshold still meets. What is dense at
 the last level too is compared whole by bitmaps of the sets, which loses nothing.
 
@@ -42,6 +43,8 @@ WIDTH = 5
 NEEDED = 80
 #: Members of the largest region that is compared at its own depth.
 DENSE = 1024
+#: A team of dense regions with up to so many times ``DENSE`` members is compared whole.
+WHOLE = 4
 #: Candidates that a region of any size may give as pairs.
 PAIRS = 16
 #: Values of the sketch, two bits each, and how many deviations below the expected a pair may agree.
@@ -245,6 +248,20 @@ def candidates(looked: DataFrame, needed: int) -> tuple[DataFrame, DataFrame]:
     return found, dense
 
 
+def _teams(dense: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((kind, a, b), (prefix, rep)): ties that make each small team of dense regions (prefix, rep) a crowd, and the
+    members of large ones."""
+    ends = dense.groupBy("prefix").agg(F.min("rep").alias("a")).join(dense, "prefix").select("a", F.col("rep").alias("b"))
+    teams = components(ends)
+    sizes = teams.groupBy("component").agg((F.count(F.lit(1)) > WHOLE * DENSE).alias("large"))
+    sized = write_table(teams.join(sizes, "component"), "dense-teams")
+    ties = sized.where("not large and component < node").select(F.lit("tie").alias("kind"), F.col("component").alias("a"), F.col("node").alias("b"))
+    large = sized.where("large")
+    if large.isEmpty():
+        return ties, dense.limit(0)
+    return ties, write_table(dense.join(large.select(F.col("node").alias("rep")), "rep", "left_semi"), "dense")
+
+
 def _mixed(dense: DataFrame, known: DataFrame, settled: DataFrame | None) -> DataFrame:
     """Members (prefix, rep) of the dense regions that aren't one component of ``known``, nor within one crowd of
     ``settled``, which has been compared whole."""
@@ -302,9 +319,13 @@ def linked(docs: DataFrame, classes: DataFrame, same: DataFrame, width: int, nee
     members = classes
     for k, level in enumerate(LEVELS):
         found, dense = candidates(write_table(looked_through(entries(members, level), needed), "looked"), needed)
-        confirm(found)
         dense = write_table(dense.distinct(), "dense")
-        if dense.isEmpty():
+        more = not dense.isEmpty()
+        if more:
+            ties, dense = _teams(dense)
+            found, more = found.union(ties), not dense.isEmpty()
+        confirm(found)
+        if not more:
             break
         mixed_ones = write_table(_mixed(dense, components(links), settled), "mixed")
         if mixed_ones.isEmpty():
