@@ -68,9 +68,11 @@ HARVESTED = "url string, domain string, words array<struct<word:string,n:bigint>
 
 def append_harvest(pages: DataFrame, candidates: DataFrame, path: str, lost: threading.Event | None = None) -> None:
     """Append (url, domain, words) of pages(url, domain, text) to the harvest; a run commits whole or not at all."""
-    words = pages.select("url", "domain", F.explode_outer(keys(F.col("text"))).alias("word"))
-    known = candidates.select("word").distinct().withColumn("_in", F.lit(1))
-    counted = words.join(known, "word", "left").groupBy("url", "domain", "word").agg(F.count("_in").alias("n"))
+    # a null stands for the page itself, which may have no known word; other words leave before rows are counted
+    of_page = F.concat(F.coalesce(keys(F.col("text")), F.array().cast("array<string>")), F.array(F.lit(None).cast("string")))
+    words = pages.select("url", "domain", F.explode(of_page).alias("word"))
+    known = candidates.select("word").where("word IS NOT NULL").distinct().withColumn("_in", F.lit(1))
+    counted = words.join(known, "word", "left").where("_in = 1 OR word IS NULL").groupBy("url", "domain", "word").agg(F.count("_in").alias("n"))
     pairs = F.filter(F.array_sort(F.collect_list(F.when(F.col("n") > 0, F.struct("word", "n")))), lambda x: x.isNotNull())
     commits.append(counted.groupBy("url", "domain").agg(pairs.alias("words")), path, lost)
 
