@@ -6,10 +6,12 @@ The folder is a parameter everywhere (``vocab_dir``); left out, it is that of th
 
 from __future__ import annotations
 
+import array
 import ctypes
 import functools
 import os
 import re
+import sys
 import weakref
 
 WORD_BPE = "word_bpe_49k.json"
@@ -85,12 +87,15 @@ class WordBpe:
 
     The library's pre-tokenizer cuts a normalised text into units that merges never cross, so the
     ids of a text are those of its units in a row. Texts of printable ASCII and Latin letters are
-    cut here by the same pattern and their units looked up in a cache that the library fills. Any
-    other text (marks that compose, other scripts, special tokens) goes to the library whole.
+    cut here by the same pattern and their units looked up in a cache that the library's model fills: a
+    unit is one of its words, with bytes written as characters. Any other text (marks that compose,
+    other scripts, special tokens) goes through the library whole.
     """
 
-    #: What the fast path can't take: other characters, and the dotted capital I, which lower-cases to two.
-    _OTHER = re.compile("[^\n\r\t\x20-\x7e¡-ɏ]|İ|<\\|")
+    #: Letters that leave the range in lower case: the dotted capital I, which becomes two, and such as Ɓ.
+    _LEAVING = "".join(c for c in map(chr, range(0xA1, 0x250)) if len(c.lower()) > 1 or c.lower() > "ɏ")
+    #: What the fast path can't take: these and other characters, and the start of special tokens.
+    _OTHER = re.compile(f"[^\n\r\t\x20-\x7e¡-ɏ]|[{_LEAVING}]|<\\|")
     #: The tokenizer's own split pattern, spelled out for that range after lower-casing; letters, which
     #: none of the other parts can begin with, are tried first.
     _UNIT = re.compile(
@@ -105,15 +110,26 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._units = Cache(self._encode)
+        self._model = self._library.model
+        # bytes that are no visible character are the 256th character and those that follow it
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self._bytes = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
+        self._units = Cache(self._encode_unit)
+
+    @staticmethod
+    def _little(ids: list[int]) -> bytes:
+        packed = array.array("I", ids)
+        if packed.itemsize != 4 or sys.byteorder != "little":
+            return b"".join(i.to_bytes(4, "little") for i in ids)
+        return packed.tobytes()
 
     def _encode(self, text: str) -> bytes:
-        import array
+        return self._little(self._library.encode(text, add_special_tokens=False).ids)
 
-        ids = array.array("I", self._library.encode(text, add_special_tokens=False).ids)
-        if ids.itemsize != 4 or __import__("sys").byteorder != "little":
-            return b"".join(i.to_bytes(4, "little") for i in ids)
-        return ids.tobytes()
+    def _encode_unit(self, unit: str) -> bytes:
+        if not (unit.isascii() and unit.isprintable()):
+            unit = unit.encode().decode("latin-1").translate(self._bytes)
+        return self._little([token.id for token in self._model.tokenize(unit)])
 
     def _plain(self, text: str) -> bool:
         """Whether the fast path can take a text; that of ASCII only costs next to nothing."""
