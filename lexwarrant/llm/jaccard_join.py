@@ -1,10 +1,11 @@
 """Exact self-join of documents by the Jaccard similarity of their shingle sets.
 
-All shingles have one order, rare ones first. Two sets at the threshold share one of the first few of each
+All shingles have one order, rare ones first. Two sets at the threshold share some of the first few of each
 in that order, so rows (shingle, size, place, document) of these, sorted over the whole cluster, bring every
 pair that can link side by side; copies of one set collapse there. What shares a shingle is compared by
-sizes and places, which bound the overlap from above. Where few share one, the pairs that pass are candidates
-by themselves; where many do, they are tied together, and what ties connect is a team.
+sizes and places, which bound the overlap from above. Where few share one, the pairs that pass are counted, and
+those are candidates that share ``AGREE`` such shingles: that strangers share one grows with the square of their
+number. Where many share one, they are tied together, and what ties connect is a team.
 
 Each set has a bitmap, one bit a hash value, set where an odd number of its shingles fall, as wide as its size
 asks for. Bits in which two bitmaps differ come from shingles that only one set has, so their count bounds the
@@ -15,7 +16,7 @@ need, as in a large family of copies, it gives a tree of them instead, and what
 in tiles of whole sets, each tile in itself, then pairs of tiles of what isn't one component by then.
 
 No bound ever fails a link, and nothing is sampled but the order: which shingles count as common is taken
-from ``SAMPLE`` documents, and any order gives the same links.
+from ``SAMPLE`` documents, or one of ``EVERY`` of a larger table, and any order gives the same links.
 """
 
 from __future__ import annotations
@@ -32,10 +33,13 @@ from .shingles import shingle_set
 
 WIDTH = 4
 NEEDED = 85
-#: Documents, about, by which common shingles are known; shingles of this many of them are, and at most so many.
-SAMPLE, COMMON, MOST_COMMON = 16_384, 2, 500_000
+#: Documents, about, by which common shingles are known, or one of so many if that is more; shingles of this many of
+#: them are, and at most so many.
+SAMPLE, EVERY, COMMON, MOST_COMMON = 16_384, 32, 2, 500_000
 #: Documents that share a shingle and are paired by themselves, and those that are tied by bounds.
-FEW, MANY = 64, 512
+FEW, MANY = 256, 512
+#: Shingles among the first ones that a pair must share, where its sets are large enough.
+AGREE = 3
 #: Members and shingles of a tile, about.
 TILE, TILE_SHINGLES = 512, 2_000_000
 #: Pairs for each member that a tile may give by themselves, and the least number that any may.
@@ -46,9 +50,14 @@ BITS, WIDEST = 4, 1 << 18
 BUCKET, AT_ONCE = 4 << 20, 1 << 20
 
 
+def agreed(n: int | np.ndarray, needed: int):
+    """How many of its first shingles a set of n shares with any other at the threshold that isn't smaller."""
+    return np.minimum(AGREE, -(-needed * n // 100))
+
+
 def looked_at(n: int, needed: int) -> int:
-    """How many of a set's first shingles another set at the threshold must share one of."""
-    return n - -(-needed * n // 100) + 1
+    """How many of a set's first shingles hold the ``agreed`` ones."""
+    return n - -(-needed * n // 100) + int(agreed(n, needed))
 
 
 def bitmap_bits(n: int) -> int:
@@ -80,9 +89,9 @@ def linked_sets(x: np.ndarray, y: np.ndarray, needed: int) -> bool:
 
 
 def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
-    """Shingles that ``COMMON`` of about ``SAMPLE`` documents have, by hash; their counts in the second row."""
+    """Shingles that ``COMMON`` of the documents drawn have, by hash; their counts in the second row."""
     n = docs.count()
-    drawn = docs if n <= SAMPLE else docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(n // SAMPLE)) == 0)
+    drawn = docs if n <= SAMPLE else docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(min(EVERY, n // SAMPLE))) == 0)
 
     def each(batches):
         for batch in slices(batches):
@@ -91,8 +100,8 @@ def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], names=["shingle", "n"])
 
     counted = drawn.select("text").mapInArrow(each, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
-    rows = counted.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).collect()  # bounded by MOST_COMMON
-    found = np.array([[r["shingle"], r["n"]] for r in rows], np.int64).reshape(-1, 2).T
+    rows = counted.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).toArrow()  # bounded by MOST_COMMON
+    found = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("shingle", "n")])
     return found[:, np.argsort(found[0].view(np.uint64))]
 
 
@@ -125,11 +134,11 @@ def signed(docs: DataFrame, width: int, needed: int, common: np.ndarray) -> Data
 
 
 def met(members: DataFrame, needed: int) -> DataFrame:
-    """(kind, shingle, a, b) of documents that share one of their first shingles.
+    """(kind, shingle, a, b, least) of documents that share one of their first shingles.
 
-    ``pair``: what sizes and places let link, where up to ``FEW`` share one. ``tie``: a tree of that where up to
-    ``MANY`` do; beyond, neighbours by size. ``edge``: an end of a run of equal shingles that a range of the
-    order may have cut.
+    ``pair``: what sizes and places let link, where up to ``FEW`` share one; a link has ``least`` such rows at least
+    or is tied. ``tie``: a tree of that where up to ``MANY`` do; beyond, neighbours by size. ``edge``: an end of a run
+    of equal shingles that a range of the order may have cut.
     """
     place = F.shiftleft(F.col("n_shingles"), 32) + F.col("at")
     rows = members.select("n_shingles", F.xxhash64("set_key").alias("key"), F.col("doc_id").alias("rep"), F.posexplode("first").alias("at", "shingle")).select("shingle", place.alias("place"), "key", "rep")
@@ -152,13 +161,13 @@ def met(members: DataFrame, needed: int) -> DataFrame:
         for d in range(1, most):
             at = at[(at + d < len(shingle))]
             at = at[shingle[at] == shingle[at + d]]
-            good = at[in_bounds(place[at], place[at + d], needed)]
+            good = at[in_bounds(place[at], place[at + d], needed, AGREE - 1)]
             out.append(("pair", good, good + d))
         for k in np.nonzero(~whole)[0]:
             run = np.arange(starts[k], starts[k] + lengths[k])
             if lengths[k] <= MANY and not cut[k]:
                 i, j = np.triu_indices(len(run), 1)
-                good = in_bounds(place[run[i]], place[run[j]], needed)
+                good = in_bounds(place[run[i]], place[run[j]], needed, AGREE - 1)
                 i, j = forest(i[good], j[good], len(run))
             else:  # what two can link lies between them by size
                 n = place[run] >> 32
@@ -169,7 +178,8 @@ def met(members: DataFrame, needed: int) -> DataFrame:
         out.append(("edge", at, at))
         kinds = pa.array([k for k, *_ in out]).take(pa.array(np.repeat(np.arange(len(out)), [len(i) for _, i, _ in out])))
         i, j = (np.concatenate([x[c] for x in out]) for c in (1, 2))
-        return pa.RecordBatch.from_arrays([kinds, pa.array(shingle[i]), pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["kind", "shingle", "a", "b"])
+        least = agreed(np.minimum(place[i], place[j]) >> 32, needed).astype(np.int32)
+        return pa.RecordBatch.from_arrays([kinds, pa.array(shingle[i]), pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j])), pa.array(least)], names=["kind", "shingle", "a", "b", "least"])
 
     def walk(batches):
         held, begins = np.zeros((4, 0), np.int64), True
@@ -187,16 +197,23 @@ def met(members: DataFrame, needed: int) -> DataFrame:
         if held.shape[1]:
             yield look(held, begins, True)
 
-    return ordered.mapInArrow(walk, "kind string, shingle long, a long, b long")
+    return ordered.mapInArrow(walk, "kind string, shingle long, a long, b long, least int")
 
 
-def in_bounds(x: np.ndarray, y: np.ndarray, needed: int) -> np.ndarray:
-    """Whether sets with these places of their first shared shingle can link: each shares no more than it has left."""
-    n, m = x >> 32, y >> 32
-    most = np.minimum(n - (x & 0xFFFFFFFF), m - (y & 0xFFFFFFFF))
+def in_bounds(x: np.ndarray, y: np.ndarray, needed: int, before: int = 0) -> np.ndarray:
+    """Whether sets with these places of a shared shingle can link: each shares no more than it has left, and up to
+    ``before`` that stand before it."""
+    n, m, at, to = x >> 32, y >> 32, x & 0xFFFFFFFF, y & 0xFFFFFFFF
+    most = np.minimum(n - at, m - to) + np.minimum(before, np.minimum(at, to))
     return can_link(n + m - 2 * most, n, m, needed)
 
 
+def agreeing(found: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ``met`` that share as many of their first shingles as a link that isn't tied."""
+    counted = found.where("kind = 'pair' and a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
+    return counted.where("n >= least").select("a", "b")
+
+
 def _bands(n: str, needed: int) -> F.Column:
     """Bands of sizes: two sizes within the threshold of each other are in one band or in neighbours."""
     return F.floor(F.log(F.col(n).cast("double")) / F.lit(np.log(100 / needed) * (1 + 1e-9))).cast("int")
@@ -383,7 +400,7 @@ def joined_components(docs: DataFrame, members: DataFrame, same: DataFrame, widt
     edges = found.where("kind = 'edge'")
     ends = edges.groupBy("shingle").agg(F.min("a").alias("b")).join(edges.select("shingle", "a"), "shingle").select("a", "b")  # a few rows a range
     teams = components(found.where("kind = 'tie'").select("a", "b").union(ends)).withColumnRenamed("component", "team")
-    alone = within_bounds(found.where("kind = 'pair' and a < b").select("a", "b").distinct(), known, needed)
+    alone = within_bounds(agreeing(found), known, needed)
     pairs = write_table(alone.withColumn("crowded", F.lit(False)).union(team_pairs(teams, known, needed)), "bounded")
     few, many = pairs.where("not crowded").select("a", "b").distinct(), pairs.where("crowded").select("a", "b")
     ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
