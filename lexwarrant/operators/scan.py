@@ -1,7 +1,9 @@
 """Counting candidate words in documents, per source, with places to look.
 
 Input documents have source, seq, locator and text; seq orders the documents of a source. Everything
-follows from one table of (source, seq, locator, word, n), for which the text is read and cut once.
+follows from rows (source, seq, locator, word, n): totals and hits from their sums by source, for which no row of a
+document is shuffled, locators from a second look at those that can be first, and what is judged by document from a
+table of its counts.
 """
 
 from __future__ import annotations
@@ -16,6 +18,10 @@ from ..storage import write_table
 
 #: Locators kept per word and source.
 SAMPLES = 2
+#: Shares of locators, by their hash, whose first places bound where those to keep can stand.
+SHARES = 2 * SAMPLES
+#: Pairs of source and word whose bounds are broadcast to where the words are cut.
+BROADCAST_BOUNDS = 500_000
 #: Candidate lists up to this many words are broadcast; larger ones are joined by shuffle.
 BROADCAST_WORDS = 2_000_000
 #: Bits of a filter for each word of a larger list, and 64-bit blocks of the largest filter that is broadcast.
@@ -83,6 +89,21 @@ def maybe_in(tokens: DataFrame, words: DataFrame) -> DataFrame:
     return in_filter(tokens, word_filter(words, blocks), blocks) if blocks <= FILTER_BLOCKS else tokens.withColumn("word", F.col("token"))
 
 
+def is_short(candidates: DataFrame, most: int = BROADCAST_WORDS) -> bool:
+    """Whether a list of candidates is small enough to be broadcast."""
+    return candidates.select("word").distinct().limit(most + 1).count() <= most
+
+
+def found_words(docs: DataFrame, candidates: DataFrame, fold: Column | str = PLAIN) -> DataFrame:
+    """(source, seq, locator, word, n): each word of the documents as they are cut, n being 1; of no candidate, a null word.
+
+    The list is broadcast, nothing is shuffled or written.
+    """
+    words = spread(docs).select("source", "seq", "locator", F.explode(_keys(fold)).alias("token"))
+    known = F.broadcast(candidates.select("word").distinct())
+    return words.join(known, F.col("token") == F.col("word"), "left").select("source", "seq", "locator", "word", F.lit(1).cast("long").alias("n"))
+
+
 def counted(docs: DataFrame, candidates: DataFrame, fold: Column | str = PLAIN, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """(source, seq, locator, word, n) for candidates; a document's other words are one row with a null word.
 
@@ -92,10 +113,9 @@ def counted(docs: DataFrame, candidates: DataFrame, fold: Column | str = PLAIN,
     """
     known = candidates.select("word").distinct()
     document = ["source", "seq", "locator"]
+    if is_short(known, broadcast_words):
+        return found_words(docs, known, fold).groupBy(*document, "word").agg(F.count(F.lit(1)).alias("n"))
     words = spread(docs).select(*document, F.explode(_keys(fold)).alias("token"))
-    if known.limit(broadcast_words + 1).count() <= broadcast_words:
-        marked = words.join(F.broadcast(known), F.col("token") == F.col("word"), "left")
-        return marked.groupBy(*document, "word").agg(F.count(F.lit(1)).alias("n"))
     passed = maybe_in(words, known)
     # rows without a word, one a document, stay out of the join, where all would meet
     counts = write_table(passed.groupBy(*document, F.col("word").alias("token")).agg(F.count(F.lit(1)).alias("n")), "passed")
@@ -129,6 +149,19 @@ def sample_locators(hits: DataFrame) -> DataFrame:
     return few.groupBy("source", "word").agg(F.transform(listed, lambda x: x["locator"]).alias("locators"))
 
 
+def summed(counts: DataFrame) -> DataFrame:
+    """(source, word, n, until): counts by source, other words as a row with a null word, in sums of numbers alone.
+
+    The first ``SAMPLES`` distinct locators of a word have ``seq`` up to ``until``; null if that can't be told. Equal
+    locators are in one share, so that as many shares as are kept, by their first ``seq``, hold as many locators.
+    """
+    share = F.pmod(F.xxhash64("locator"), F.lit(SHARES))
+    firsts = [F.min(F.when(F.col("word").isNotNull() & (share == i), F.col("seq"))).alias(f"_{i}") for i in range(SHARES)]
+    sums = counts.groupBy("source", "word").agg(F.sum("n").alias("n"), F.count_if(F.col("seq").isNull()).alias("_unplaced"), *firsts)
+    until = F.get(F.array_sort(F.array(*(f"_{i}" for i in range(SHARES)))), F.lit(SAMPLES - 1))  # nulls last
+    return sums.select("source", "word", "n", F.when(F.col("_unplaced") == 0, until).alias("until"))
+
+
 def totals_of(counts: DataFrame, sources: DataFrame) -> DataFrame:
     """(source, tokens) for every source given; one without any word has 0."""
     found = counts.groupBy("source").agg(F.sum("n").alias("tokens"))
@@ -136,19 +169,31 @@ def totals_of(counts: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def scan_of(counts: DataFrame, sources: DataFrame, floor: float = 0.0) -> Scan:
-    """Totals, hits and locators from a written table of counts (as ``counted`` gives them)."""
+    """Totals, hits and locators from counts (as ``counted`` or ``found_words`` give them).
+
+    Sums by source are written, and all but locators follow from them; ``counts`` is read again only by who asks for
+    locators, and of it only what can be a first place is grouped.
+    """
     good = legible(counts, floor)
-    hits = good.where(F.col("word").isNotNull())
-    summed = hits.groupBy("source", "word").agg(F.sum("n").alias("count"))
-    return Scan(totals_of(good, sources), summed.join(sample_locators(hits), ["source", "word"]))
+    sums = write_table(summed(good), "sums")
+    hits = sums.where(F.col("source").isNotNull() & F.col("word").isNotNull())
+    early, bounds = good.where(F.col("word").isNotNull()), hits.select("source", "word", "until")
+    if bounds.limit(BROADCAST_BOUNDS + 1).count() <= BROADCAST_BOUNDS:
+        early = early.join(F.broadcast(bounds), ["source", "word"]).where(F.col("until").isNull() | (F.col("seq") <= F.col("until")))
+    # a left join by keys that are unique, which Spark leaves out where no locators are asked for
+    found = hits.select("source", "word", F.col("n").alias("count")).join(sample_locators(early), ["source", "word"], "left")
+    return Scan(totals_of(sums, sources), found)
 
 
 def scan(docs: DataFrame, candidates: DataFrame, floor: float = 0.0, sources: DataFrame | None = None, fold: Column | str = PLAIN) -> Scan:
     """Count candidates in documents. ``sources`` lists sources that must have a total even if empty.
 
-    The counts are written to the shared folder, and totals, hits and locators are read from there.
+    Without a floor, words are summed by source as they are cut, and cut again for locators. With one, or with a list too
+    large to broadcast, the counts of documents are written to the shared folder, and all is read from there.
     """
-    return scan_of(write_table(counted(docs, candidates, fold), "counts"), docs if sources is None else sources, floor)
+    direct = floor <= 0 and is_short(candidates)
+    counts = found_words(docs, candidates, fold) if direct else write_table(counted(docs, candidates, fold), "counts")
+    return scan_of(counts, docs if sources is None else sources, floor)
 
 
 def scan_by_domain(pages: DataFrame, candidates: DataFrame, fold: Column | str = PLAIN) -> Scan:
