@@ -98,7 +98,8 @@ def distributed_greedy(attestations: DataFrame, minimum: int = MINIMUM, order: d
     of the ``ahead`` best families are asked for together: as long as the next choice is one of them and shares no
     unkept word with those made since, its changes still hold and no other pass is needed.
     """
-    seen = attestations.select("word", "family").distinct()
+    # a row a word and family, made from all attestations only once
+    seen = write_table(attestations.select("word", "family").distinct(), "seen")
     sizes = {r["family"]: r["n"] for r in seen.groupBy("family").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a family
     place = order or {f: i for i, f in enumerate(sorted(sizes))}
     names = sorted(sizes, key=lambda f: (place[f], f))
