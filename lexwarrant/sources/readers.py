@@ -56,10 +56,19 @@ def wiki_documents(spark: SparkSession, path: str, source: str) -> DataFrame:
     return wiki_pages(pages.select(F.monotonically_increasing_id().alias("n"), F.col("value").alias("page")), source)
 
 
+def file_names(files: DataFrame) -> list[str]:
+    """The addresses of the files of a frame, from the JVM in one call; ``inputFiles`` of PySpark makes one call a name.
+
+    Addresses are percent-encoded, so none has a line end.
+    """
+    joined = files.sparkSession.sparkContext._jvm.scala.Predef.genericWrapArray(files._jdf.inputFiles()).mkString("\n")
+    return joined.split("\n") if joined else []
+
+
 def file_ranks(files: DataFrame) -> DataFrame:
     """(file, rank) of the files of a frame by name, from the list the driver holds of them anyway."""
     plain = lambda f: re.sub("^([a-z0-9]+):/+", r"\1:/", f)
-    found = sorted(set(map(plain, files.inputFiles())), key=lambda f: (unquote(f.rsplit("/", 1)[-1]), f))
+    found = sorted(set(map(plain, file_names(files))), key=lambda f: (unquote(f.rsplit("/", 1)[-1]), f))
     ranks = files.sparkSession.createDataFrame([(f, k) for k, f in enumerate(found)], "file string, rank long")
     return F.broadcast(ranks) if len(found) <= BROADCAST_FILES else ranks
 
