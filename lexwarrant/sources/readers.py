@@ -6,19 +6,34 @@ a format whose lines depend on each other is cut into records by its separator i
 
 from __future__ import annotations
 
+import bz2
+import gzip
+import os
 import re
+import zlib
 from collections.abc import Callable, Iterator
 from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.text import gutenberg_body, strip_wikitext
+from ..operators.rule import numbered
+from ..storage import file_system
 
 #: Line numbers of one block, in which the runs of verses are numbered by one task.
 LINES_A_BLOCK = 1 << 16
 #: Files whose names and ranks are broadcast; more are joined by shuffle.
 BROADCAST_FILES = 500_000
+#: Files, and bytes of them, that one task reads whole, and bytes that it holds at once beside a file.
+TASK_FILES, TASK_BYTES, _HELD = 4096, 32 << 20, 4 << 20
+#: File systems on which tasks list and open files themselves; on others Spark's own reader does.
+_TASKS_OPEN = ("file:", "hdfs:", "s3:", "gs:", "abfs:", "abfss:")
+_UNPACK: dict[str, Callable[[bytes], bytes]] = {
+    ".gz": gzip.decompress, ".bz2": bz2.decompress, ".deflate": zlib.decompress, ".zst": lambda x: pa.CompressedInputStream(pa.BufferReader(x), "zstd").read(),
+}
 DOCUMENT = "source string, seq long, locator string, text string"
 
 
@@ -87,21 +102,106 @@ def decoded_name() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
-def file_documents(spark: SparkSession, path: str, source: str, body: Callable[[Column], Column] = lambda t: t, locator: Column | None = None) -> DataFrame:
-    """One document per file of a directory, ordered by name; the locator is the name without its ending."""
-    name = decoded_name()
-    found = locator if locator is not None else F.regexp_replace(name, r"\.[^.]*$", "")
-    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.lit(0).alias("at"), found.alias("locator"), body(F.col("value")).alias("text"))
-    return in_file_order(rows).select(F.lit(source).alias("source"), "seq", "locator", "text")
+def _opened(path: str) -> tuple[fs.FileSystem | None, str]:
+    """(file system, path) of an address; none for a machine's own or mounted files."""
+    return (None, re.sub("^file:/+", "/", path)) if path.startswith("file:") else fs.FileSystem.from_uri(path)
+
+
+def _files_in(path: str) -> Iterator[tuple[str, str, int]]:
+    """(path, name, bytes) of the files of a folder, or of the file itself; names with a leading dot or underscore aren't data."""
+    system, inside = _opened(path)
+    if system is None:  # one after the other, however many there are
+        if os.path.isfile(inside):
+            yield path, os.path.basename(inside), os.path.getsize(inside)
+            return
+        with os.scandir(inside) as found:
+            for x in found:
+                if x.name[0] not in "._" and x.is_file():
+                    yield f"{path}/{x.name}", x.name, x.stat().st_size
+        return
+    info, root = system.get_file_info(inside), path.removesuffix(inside)
+    for x in [info] if info.type == fs.FileType.File else system.get_file_info(fs.FileSelector(inside)):
+        if x.type == fs.FileType.File and x.base_name[0] not in "._":
+            yield root + x.path, x.base_name, x.size
+
+
+def _content(path: str) -> bytes:
+    """A file's bytes, unpacked by its ending as Spark's text reader does."""
+    system, inside = _opened(path)
+    with open(inside, "rb") if system is None else system.open_input_stream(inside, compression=None) as file:
+        raw = file.read()
+    ending = os.path.splitext(inside)[1]
+    if ending in (".lz4", ".snappy"):
+        raise ValueError(f"{path}: packed in a way that isn't read here")
+    return _UNPACK.get(ending, bytes)(raw)
+
+
+def listed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, name, bytes) of the files of folders, each folder listed by a task; the driver holds none of them."""
+    schema = pa.schema([("path", pa.string()), ("name", pa.string()), ("bytes", pa.int64())])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[str, str, int]] = []
+        for folder in (x for batch in batches for x in batch.column(0).to_pylist()):
+            for file in _files_in(folder):
+                held.append(file)
+                if len(held) == TASK_FILES:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held), schema.types)], schema=schema)
+                    held = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held), schema.types)], schema=schema)
+
+    folders = spark.createDataFrame(spark.sparkContext.parallelize([(p,) for p in paths], max(1, len(paths))), "folder string")
+    return folders.mapInArrow(listed, "path string, name string, bytes long")
+
+
+def whole_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(name, seq, value): a row for each file of folders, empty ones too, with its place by name and its text.
+
+    Tasks list the folders, names are ranked over ranges of their order, and tasks open what is in their ranges.
+    """
+    files = numbered(listed_files(spark, paths), ["name", "path"], "rank")
+    n, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(1, min(n, max(spark.sparkContext.defaultParallelism, -(-n // TASK_FILES), -(-size // TASK_BYTES))))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, held, values = 0, 0, []
+            for i, path in enumerate(batch.column("path").to_pylist()):
+                values.append(_content(path))
+                held += len(values[-1])
+                if held >= _HELD or i == batch.num_rows - 1:
+                    part = batch.slice(first, i + 1 - first)
+                    yield pa.RecordBatch.from_arrays([part.column("name"), part.column("rank"), pa.array(values, pa.binary())], names=["name", "rank", "value"])
+                    first, held, values = i + 1, 0, []
+
+    rows = files.select("path", "name", "rank").repartitionByRange(tasks, "rank").mapInArrow(read, "name string, rank long, value binary")
+    return rows.select("name", F.shiftleft(F.col("rank") - 1, 40).alias("seq"), F.col("value").cast("string").alias("value"))
+
+
+def file_documents(spark: SparkSession, path: str | list[str], source: str, body: Callable[[Column], Column] = lambda t: t, locator: Column | None = None) -> DataFrame:
+    """One document per file of a directory, or of several, ordered by name; the locator is the name without its ending,
+    or an expression of ``name``.
+
+    Where only Spark's own reader opens the files, and for patterns, the driver holds their names and empty files are left out.
+    """
+    paths = [path] if isinstance(path, str) else path
+    full = [files.makeQualified(where).toString() for files, where in (file_system(spark, p) for p in paths)]
+    if all(p.startswith(_TASKS_OPEN) and not re.search(r"[*?\[{]", p) for p in full):
+        rows = whole_files(spark, full)
+    else:
+        rows = in_file_order(spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.lit(0).alias("at"), decoded_name().alias("name"), "value"))
+    found = locator if locator is not None else F.regexp_replace("name", r"\.[^.]*$", "")
+    return rows.select(F.lit(source).alias("source"), "seq", found.alias("locator"), body(F.col("value")).alias("text"))
 
 
 def gutenberg_documents(spark: SparkSession, path: str, shortest: int = 2_000) -> DataFrame:
     """Books without their licence; shorter ones are left out. ``pg123.txt`` is book 123."""
-    docs = file_documents(spark, path, "gut", gutenberg_body, F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1))
+    docs = file_documents(spark, path, "gut", gutenberg_body, F.regexp_extract("name", r"(\d+)", 1))
     return docs.where(F.length("text") >= shortest)
 
 
-def archive_documents(spark: SparkSession, path: str, manifest: DataFrame, shortest: int = 20_000) -> DataFrame:
+def archive_documents(spark: SparkSession, path: str | list[str], manifest: DataFrame, shortest: int = 20_000) -> DataFrame:
     """Scanned books; ``manifest`` (id, name) gives the file of an item, which the locator cites."""
     docs = file_documents(spark, path, "ia").withColumnRenamed("locator", "id")
     cited = docs.join(manifest.select("id", "name"), "id", "left")
