@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 import pyarrow as pa
 from pyarrow import fs
@@ -32,21 +33,24 @@ def _lines_in(spark, rows: DataFrame, name: str, **options) -> str:
     return path
 
 
-def _one_file_each(spark, rows: DataFrame, name: str) -> str:
-    """The folder of files of rows(name, text), one each, written by tasks."""
+def _one_file_each(spark, rows: DataFrame, name: str) -> list[str]:
+    """The folders of files of rows(name, text), one each, written by tasks.
+
+    An attempt of a task has a folder of its own, so that one given up can't touch what another has written.
+    """
     path = fresh_path(spark, name)
 
     def write(batches):
-        system, inside = fs.FileSystem.from_uri(path) if re.match("[a-z0-9]+:", path) else (fs.LocalFileSystem(), path)
+        folder = f"{path}/{uuid.uuid4().hex}"
+        system, inside = fs.FileSystem.from_uri(folder) if re.match("[a-z0-9]+:", folder) else (fs.LocalFileSystem(), folder)
         system.create_dir(inside, recursive=True)
         for batch in batches:
             for file, text in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist()):
                 with system.open_output_stream(f"{inside}/{file}") as out:
                     out.write((text or "").encode())
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+        yield pa.RecordBatch.from_arrays([pa.array([folder])], names=["folder"])
 
-    rows.select("name", "text").mapInArrow(write, "n long").agg(F.sum("n")).collect()
-    return path
+    return [r["folder"] for r in rows.select("name", "text").mapInArrow(write, "folder string").collect()]  # a row a task
 
 
 @query(f"SELECT CAST(doc_id AS VARCHAR) AS locator, {_FLAT} AS text FROM documents WHERE doc_id % 3 <> 0", pre=False)
@@ -68,8 +72,12 @@ def wiki_dump_packed(spark, d):
 
 @query("SELECT 'b' || doc_id AS locator, text FROM documents", pre=False)
 def book_files(spark, d):
-    docs = table(spark, d, "documents").select(F.concat(F.lit("b"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), "text")
-    return X.file_documents(spark, _one_file_each(spark, docs, "books"), "books").select("locator", "text")
+    """Documents as files of their own, of one name but for the ending where ids come again; what has no name or no text can't be a file."""
+    locator = F.concat(F.lit("b"), F.col("doc_id").cast("string")).alias("locator")
+    docs = table(spark, d, "documents").select(locator, "text")
+    filed = F.col("locator").isNotNull() & F.col("text").isNotNull()
+    named = docs.where(filed).select(F.concat("locator", F.lit(".txt"), F.monotonically_increasing_id().cast("string")).alias("name"), "text")
+    return X.file_documents(spark, _one_file_each(spark, named, "books"), "books").select("locator", "text").union(docs.where(~filed))
 
 
 @query("SELECT CASE WHEN doc_id % 4 = 0 THEN 'b' || doc_id ELSE 'b' || doc_id || '/scan ' || doc_id || '.txt' END AS locator, text FROM documents WHERE length(text) >= 1500", pre=False)
