@@ -137,16 +137,20 @@ def legible(counts: DataFrame, floor: float) -> DataFrame:
     return counts.join(bad, ["source", "seq"], "left_anti")
 
 
-def sample_locators(hits: DataFrame) -> DataFrame:
-    """(source, word, locators): the first ``SAMPLES`` distinct locators in document order.
+def first_located(hits: DataFrame) -> DataFrame:
+    """(source, word, locator, seq, place): the first ``SAMPLES`` distinct locators in document order.
 
     The rank is bounded, so each task keeps only its own first ones before rows are shuffled.
     """
     first = hits.groupBy("source", "word", "locator").agg(F.min("seq").alias("seq"))
     order = W.partitionBy("source", "word").orderBy("seq", "locator")
-    few = first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLES)
+    return first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLES)
+
+
+def sample_locators(hits: DataFrame) -> DataFrame:
+    """(source, word, locators): the first ``SAMPLES`` distinct locators in document order."""
     listed = F.array_sort(F.collect_list(F.struct("place", "locator")))
-    return few.groupBy("source", "word").agg(F.transform(listed, lambda x: x["locator"]).alias("locators"))
+    return first_located(hits).groupBy("source", "word").agg(F.transform(listed, lambda x: x["locator"]).alias("locators"))
 
 
 def summed(counts: DataFrame) -> DataFrame:
@@ -168,6 +172,14 @@ def totals_of(counts: DataFrame, sources: DataFrame) -> DataFrame:
     return sources.select("source").distinct().join(found, "source", "left").select("source", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
 
 
+def early(counts: DataFrame, hits: DataFrame) -> DataFrame:
+    """The rows of ``counts`` that can be a first place, by the bounds ``until`` of ``hits`` (source, word, until)."""
+    found, bounds = counts.where(F.col("word").isNotNull()), hits.select("source", "word", "until")
+    if bounds.limit(BROADCAST_BOUNDS + 1).count() <= BROADCAST_BOUNDS:
+        found = found.join(F.broadcast(bounds), ["source", "word"]).where(F.col("until").isNull() | (F.col("seq") <= F.col("until")))
+    return found
+
+
 def scan_of(counts: DataFrame, sources: DataFrame, floor: float = 0.0) -> Scan:
     """Totals, hits and locators from counts (as ``counted`` or ``found_words`` give them).
 
@@ -177,11 +189,8 @@ def scan_of(counts: DataFrame, sources: DataFrame, floor: float = 0.0) -> Scan:
     good = legible(counts, floor)
     sums = write_table(summed(good), "sums")
     hits = sums.where(F.col("source").isNotNull() & F.col("word").isNotNull())
-    early, bounds = good.where(F.col("word").isNotNull()), hits.select("source", "word", "until")
-    if bounds.limit(BROADCAST_BOUNDS + 1).count() <= BROADCAST_BOUNDS:
-        early = early.join(F.broadcast(bounds), ["source", "word"]).where(F.col("until").isNull() | (F.col("seq") <= F.col("until")))
     # a left join by keys that are unique, which Spark leaves out where no locators are asked for
-    found = hits.select("source", "word", F.col("n").alias("count")).join(sample_locators(early), ["source", "word"], "left")
+    found = hits.select("source", "word", F.col("n").alias("count")).join(sample_locators(early(good, hits)), ["source", "word"], "left")
     return Scan(totals_of(sums, sources), found)
 
 
