@@ -18,7 +18,8 @@ from ..storage import delete, exists, file_system, write_table
 
 #: Sources up to this many are broadcast, so that no text is shuffled to meet them.
 BROADCAST_SOURCES = 100_000
-_STATE = "word string, source string, family string, count long, places array<struct<seq:bigint,locator:string>>, families long, changed boolean"
+_PLACES = "array<struct<seq:bigint,locator:string>>"
+_STATE = "word string, source string, family string, count long, places " + _PLACES + ", families long, changed boolean"
 #: A row for each source of a word that a batch changed; ``families`` is how many the word has by then.
 CHANGES = "word string, source string, family string, count long, locators array<string>, families long"
 
@@ -34,8 +35,7 @@ def first_places(held: list[tuple[int, str]], new: list[tuple[int, str]]) -> lis
 def _first(places: Column) -> Column:
     """``first_places`` of an array of (seq, locator)."""
     new = lambda held, x: ~F.exists(held, lambda y: y["locator"].eqNullSafe(x["locator"])) & (F.size(held) < SAMPLES)
-    none = F.array().cast("array<struct<seq:bigint,locator:string>>")
-    return F.aggregate(F.array_sort(places), none, lambda held, x: F.when(new(held, x), F.array_append(held, x)).otherwise(held))
+    return F.aggregate(F.array_sort(places), F.array().cast(_PLACES), lambda held, x: F.when(new(held, x), F.array_append(held, x)).otherwise(held))
 
 
 def evidence_changes(docs: DataFrame, candidates: DataFrame, sources: DataFrame | None = None) -> DataFrame:
@@ -56,13 +56,16 @@ def evidence_changes(docs: DataFrame, candidates: DataFrame, sources: DataFrame
     return cut.join(F.broadcast(words) if S.is_short(words) else words, "word", "left_semi").select("source", "family", "seq", "locator", "word")
 
 
-def _sums(batch: DataFrame) -> DataFrame:
+def _sums(batch: DataFrame, places: bool = True) -> DataFrame:
     """(word, source, family, count, places) of a batch: sums first, then of what can be a first place the places."""
     of = F.struct("source", "family").alias("source")
     rows = batch.where("source is not null").select(of, "seq", "locator", "word", F.lit(1).cast("long").alias("n"))
+    if not places:
+        counts = rows.groupBy("source", "word").agg(F.sum("n").alias("count"))
+        return counts.select("word", "source.source", "source.family", "count", F.array().cast(_PLACES).alias("places"))
     sums = write_table(S.summed(rows), "sums")
-    places = S.first_located(S.early(rows, sums)).groupBy("source", "word").agg(F.collect_list(F.struct("seq", "locator")).alias("places"))
-    return sums.join(places, ["source", "word"], "left").select("word", "source.source", "source.family", F.col("n").alias("count"), "places")
+    first = S.first_located(S.early(rows, sums)).groupBy("source", "word").agg(F.collect_list(F.struct("seq", "locator")).alias("places"))
+    return sums.join(first, ["source", "word"], "left").select("word", "source.source", "source.family", F.col("n").alias("count"), "places")
 
 
 def _held(spark: SparkSession, states: str, epoch: int) -> DataFrame:
@@ -87,14 +90,15 @@ def _merged(held: DataFrame, new: DataFrame) -> DataFrame:
     return words.select("word", F.explode("of").alias("of"), "families").select("word", "of.source", "of.family", "of.count", "of.places", "families", "of.changed")
 
 
-def write_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def write_changes(changes: DataFrame, path: str, checkpoint: str, places: bool = True) -> StreamingQuery:
     """Run over what has arrived; the changes of each batch (``CHANGES``) are a folder of their own, which a batch that
-    is run again after a failure replaces. The state lies in the checkpoint, one for each of the last two batches."""
+    is run again after a failure replaces. The state lies in the checkpoint, one for each of the last two batches.
+    Without ``places`` no locators are kept, for which a text is cut a second time."""
     states = f"{checkpoint}/evidence"
 
     def save(batch: DataFrame, epoch: int) -> None:
         spark, state = batch.sparkSession, f"{states}/epoch={epoch}"
-        _merged(_held(spark, states, epoch), _sums(batch)).write.mode("overwrite").parquet(state)
+        _merged(_held(spark, states, epoch), _sums(batch, places)).write.mode("overwrite").parquet(state)
         changed = spark.read.schema(_STATE).parquet(state).where("changed")
         locators = F.transform("places", lambda x: x["locator"]).alias("locators")
         changed.select("word", "source", "family", "count", locators, "families").write.mode("overwrite").parquet(f"{path}/epoch={epoch}")

@@ -33,3 +33,13 @@ def test_only_sums_meet_the_state(spark, tmp_path, monkeypatch):
     found = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").where("epoch = 1").select("word", "source", "family", "count", "locators", "families").collect())
     assert found == [("HAUS", "a", "f", 796, ["l0", "l1"], 1), ("HAUS", "b", "f", 800, ["l0", "l1"], 1)]
     assert sorted(p.name for p in (tmp_path / "mark/evidence").iterdir() if p.name[0] != ".") == ["epoch=0", "epoch=1"]
+
+
+def test_independence_cuts_texts_once(spark, tmp_path, monkeypatch):
+    from lexwarrant.plans import queries
+
+    from .compare import differences
+
+    monkeypatch.setattr(E.S, "first_located", lambda _: (_ for _ in ()).throw(AssertionError("places of independence")))
+    query, sql = queries.REGISTRY["streamed_independence"]
+    assert differences(query(spark, "/root/testdata/sf0.001"), sql, "/root/testdata/sf0.001") == ([], [])
